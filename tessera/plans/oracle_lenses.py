@@ -44,3 +44,25 @@ def name_sql(product: str, x: str = "tile_x", y: str = "tile_y", m: str = "month
             f"CASE WHEN {y} < 0 THEN 'S' ELSE 'N' END, abs({y}), "
             f"CASE WHEN {x} < 0 THEN 'W' ELSE 'E' END, abs({x}), "
             f"year({m}), month({m}))")
+
+SCENE = """
+scene AS (
+  SELECT o.o_orderkey AS id, CAST(n.n_regionkey AS SMALLINT) AS metadata_type_ref,
+         CAST(o.o_custkey % 25 AS SMALLINT) AS dataset_type_ref,
+         CASE r.r_regionkey WHEN 0 THEN 'eo' WHEN 1 THEN 'eo3' WHEN 2 THEN 'eo3_landsat_ard'
+              WHEN 3 THEN 'telemetry' ELSE lower(r.r_name) END AS mtype,
+         CASE WHEN o.o_orderstatus = 'P' THEN o.o_orderdate END AS archived,
+         o.o_orderdate AS added,
+         o.o_orderdate + to_seconds(o.o_orderkey % 86400) AS t,
+         CAST(110 AS DOUBLE) + CAST(o.o_custkey * 37 % 4000 AS DOUBLE) / 100.0 AS lon,
+         CAST(-45 AS DOUBLE) + CAST(o.o_custkey * 53 % 3500 AS DOUBLE) / 100.0 AS lat,
+         o.o_custkey, o.o_orderkey, lower(n.n_name) AS product
+  FROM orders o JOIN nation n ON o.o_custkey % 25 = n.n_nationkey
+  JOIN region r ON r.r_regionkey = n.n_regionkey)"""
+
+MTYPE = """
+mtype AS (
+  SELECT CAST(r_regionkey AS SMALLINT) AS id,
+         CASE r_regionkey WHEN 0 THEN 'eo' WHEN 1 THEN 'eo3' WHEN 2 THEN 'eo3_landsat_ard'
+              WHEN 3 THEN 'telemetry' ELSE lower(r_name) END AS name
+  FROM region)"""
