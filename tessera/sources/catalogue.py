@@ -277,8 +277,13 @@ def render_documents(base: DataFrame) -> DataFrame:
         F.struct(F.struct(path.alias("x"), row.alias("y")).alias("satellite_ref_point_start"),
                  F.struct(path.alias("x"), (row + 2).alias("y")).alias("satellite_ref_point_end")
                  ).alias("image")))
-    doc = F.when(fam == "eo3", eo3).when(fam == "telemetry", tele).otherwise(eo)
-    return base.withColumn("metadata", doc)
+    # One projection per family (a union of three filtered branches) keeps
+    # each generated method small enough for whole-stage codegen.
+    b = base.withColumn("_fam", fam)
+    return (b.where(F.col("_fam") == "eo").withColumn("metadata", eo)
+            .unionByName(b.where(F.col("_fam") == "eo3").withColumn("metadata", eo3))
+            .unionByName(b.where(F.col("_fam") == "telemetry").withColumn("metadata", tele))
+            .drop("_fam"))
 
 
 def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
