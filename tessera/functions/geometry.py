@@ -190,8 +190,8 @@ def point_in_rings(p, rings) -> Column:
     p = _c(p)
     crossings = F.aggregate(edges(rings), F.lit(0), lambda acc, e: acc + F.when(
         ((e["a"]["y"] > p["y"]) != (e["b"]["y"] > p["y"])) &
-        (p["x"] < (e["b"]["x"] - e["a"]["x"]) * (p["y"] - e["a"]["y"]) /
-         (e["b"]["y"] - e["a"]["y"]) + e["a"]["x"]), 1).otherwise(0))
+        (p["x"] < F.try_divide((e["b"]["x"] - e["a"]["x"]) * (p["y"] - e["a"]["y"]),
+                               e["b"]["y"] - e["a"]["y"]) + e["a"]["x"]), 1).otherwise(0))
     return (crossings % 2) == 1
 
 

@@ -1 +1,225 @@
-"""Checked queries."""
+"""Checked queries: footprints, geometry and gridding (entry point A, "get work")."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions import geometry as geo
+from tessera.operators import grid
+from tessera.operators.ranges import table_extent
+from tessera.plans.q_catalogue import _round, albers_sql
+from tessera.plans.registry import query
+from tessera.sources.lenses import ROI_RING, aoi_table, footprints, roi_rings
+
+FP = """
+fp AS (
+  SELECT c_custkey, CAST(110 AS DOUBLE) + CAST(c_custkey * 37 % 4000 AS DOUBLE) / 100.0 AS lon,
+         CAST(-45 AS DOUBLE) + CAST(c_custkey * 53 % 3500 AS DOUBLE) / 100.0 AS lat
+  FROM customer),
+bx AS (SELECT c_custkey, lon, lat, lon - 0.5 AS x0, lat - 0.5 AS y0, lon + 0.5 AS x1, lat + 0.5 AS y1 FROM fp)"""
+
+TILES_1DEG = "tiles AS (SELECT x AS tile_x, y AS tile_y FROM range(100, 160) r1(x), range(-50, 5) r2(y))"
+
+
+def _poly_box_sql(ring) -> str:
+    """SQL predicate: closed polygon ``ring`` (constants) meets box x0..x1, y0..y1."""
+    edges = list(zip(ring[:-1], ring[1:]))
+    vin = " OR ".join(f"({x!r} BETWEEN x0 AND x1 AND {y!r} BETWEEN y0 AND y1)" for x, y in ring[:-1])
+
+    def pip(px, py):
+        terms = []
+        for (ax, ay), (bx, by) in edges:
+            if ay == by:
+                continue
+            terms.append(f"(CASE WHEN (({ay!r} > {py}) <> ({by!r} > {py})) AND "
+                         f"({px} < ({bx - ax!r}) * ({py} - {ay!r}) / ({by - ay!r}) + {ax!r}) THEN 1 ELSE 0 END)")
+        return f"(({' + '.join(terms)}) % 2 = 1)"
+    cin = " OR ".join(pip(px, py) for px, py in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1")))
+
+    def orient(p, q, r):
+        return f"sign(({q[0]} - {p[0]}) * ({r[1]} - {p[1]}) - ({q[1]} - {p[1]}) * ({r[0]} - {p[0]}))"
+    box_edges = [(("x0", "y0"), ("x1", "y0")), (("x1", "y0"), ("x1", "y1")),
+                 (("x1", "y1"), ("x0", "y1")), (("x0", "y1"), ("x0", "y0"))]
+    crosses = []
+    for (ax, ay), (bx, by) in edges:
+        a, b = (repr(ax), repr(ay)), (repr(bx), repr(by))
+        for c, d in box_edges:
+            crosses.append(
+                f"({orient(a, b, c)} * {orient(a, b, d)} <= 0 AND {orient(c, d, a)} * {orient(c, d, b)} <= 0 "
+                f"AND least({a[0]}, {b[0]}) <= greatest({c[0]}, {d[0]}) AND least({c[0]}, {d[0]}) <= greatest({a[0]}, {b[0]}) "
+                f"AND least({a[1]}, {b[1]}) <= greatest({c[1]}, {d[1]}) AND least({c[1]}, {d[1]}) <= greatest({a[1]}, {b[1]}))")
+    return f"(({vin}) OR ({cin}) OR {' OR '.join(crosses)})"
+
+
+# ------------------------------------------------------------------ J4, G6, G8, P8, P9, P14
+
+@query("j4_tile_cells", covers=("J4", "G6", "G7", "G8"), sql=f"""
+WITH {FP}, {TILES_1DEG}
+SELECT bx.c_custkey, t.tile_x, t.tile_y FROM bx JOIN tiles t
+  ON t.tile_x <= bx.x1 AND t.tile_x + 1 >= bx.x0 AND t.tile_y <= bx.y1 AND t.tile_y + 1 >= bx.y0""")
+def j4_tile_cells(spark, sf_dir):
+    """Every 1° tile each footprint meets (touching counts)."""
+    return grid.tile_cells(footprints(spark, sf_dir), 1.0).select("c_custkey", "tile_x", "tile_y")
+
+
+@query("p9_polygon_search", covers=("P9", "J5", "G8"), sql=f"""
+WITH {FP} SELECT c_custkey FROM bx WHERE {_poly_box_sql(ROI_RING)}""")
+def p9_polygon_search(spark, sf_dir):
+    """Footprints meeting the concave query polygon: bbox prefilter, then the
+    exact polygon predicate."""
+    fp = footprints(spark, sf_dir)
+    xs, ys = [p[0] for p in ROI_RING], [p[1] for p in ROI_RING]
+    pre = fp.where((F.col("lon") + 0.5 >= min(xs)) & (F.col("lon") - 0.5 <= max(xs)) &
+                   (F.col("lat") + 0.5 >= min(ys)) & (F.col("lat") - 0.5 <= max(ys)))
+    return pre.where(geo.intersects("rings", roi_rings())).select("c_custkey")
+
+
+@query("p8_bbox_search", covers=("P8",), sql=f"""
+WITH {FP} SELECT c_custkey FROM bx
+WHERE y0 <= -30.0 AND y1 >= -38.5 AND x0 <= 131.25 AND x1 >= 120.0""")
+def p8_bbox_search(spark, sf_dir):
+    """Latitude (s, n) and longitude (w, e) closed-interval overlap search."""
+    fp = footprints(spark, sf_dir)
+    lat, lon = (-38.5, -30.0), (120.0, 131.25)
+    return fp.where((F.col("lat") - 0.5 <= lat[1]) & (F.col("lat") + 0.5 >= lat[0]) &
+                    (F.col("lon") - 0.5 <= lon[1]) & (F.col("lon") + 0.5 >= lon[0])).select("c_custkey")
+
+
+_Q = (125.0, -35.0, 135.0, -25.0)
+_PRED = {
+    "left": "x1 < {0}", "overleft": "x1 <= {2}", "overlaps": "x0 <= {2} AND x1 >= {0} AND y0 <= {3} AND y1 >= {1}",
+    "overright": "x0 >= {0}", "right": "x0 > {2}", "same": "x0 = {0} AND y0 = {1} AND x1 = {2} AND y1 = {3}",
+    "contains": "x0 <= {0} AND y0 <= {1} AND x1 >= {2} AND y1 >= {3}",
+    "within": "x0 >= {0} AND y0 >= {1} AND x1 <= {2} AND y1 <= {3}",
+    "overbelow": "y1 <= {3}", "below": "y1 < {1}", "above": "y0 > {3}", "overabove": "y0 >= {1}",
+}
+
+
+@query("p14_box_predicates", covers=("P14",), sql="WITH " + FP + " SELECT " + ", ".join(
+    f"count(*) FILTER (WHERE {cond.format(*_Q)}) AS n_{name}" for name, cond in _PRED.items()) + " FROM bx")
+def p14_box_predicates(spark, sf_dir):
+    fp = footprints(spark, sf_dir).withColumn("bb", geo.bbox("rings"))
+    q = F.struct(*[F.lit(v).alias(k) for k, v in zip(("xmin", "ymin", "xmax", "ymax"), _Q)])
+    fns = {"left": geo.box_left, "overleft": geo.box_overleft, "overlaps": geo.box_overlaps,
+           "overright": geo.box_overright, "right": geo.box_right, "same": geo.box_same,
+           "contains": geo.box_contains, "within": geo.box_within, "overbelow": geo.box_overbelow,
+           "below": geo.box_below, "above": geo.box_above, "overabove": geo.box_overabove}
+    return fp.agg(*[F.count(F.when(fn("bb", q), 1)).alias(f"n_{k}") for k, fn in fns.items()])
+
+
+@query("l4_nearest_footprints", covers=("L4",), sql=f"""
+WITH {FP}
+SELECT * FROM (
+  SELECT 'centroid' AS metric, c_custkey, round(sqrt((lon - 130.0) ^ 2 + (lat + 30.0) ^ 2), 6) AS dist
+  FROM bx ORDER BY sqrt((lon - 130.0) ^ 2 + (lat + 30.0) ^ 2), c_custkey LIMIT 10)
+UNION ALL SELECT * FROM (
+  SELECT 'box', c_custkey,
+         round(sqrt(greatest(x0 - 131.0, 129.0 - x1, 0.0) ^ 2 + greatest(y0 - (-29.0), (-31.0) - y1, 0.0) ^ 2), 6)
+  FROM bx ORDER BY sqrt(greatest(x0 - 131.0, 129.0 - x1, 0.0) ^ 2 + greatest(y0 - (-29.0), (-31.0) - y1, 0.0) ^ 2),
+                   c_custkey LIMIT 10)""")
+def l4_nearest_footprints(spark, sf_dir):
+    """Top-10 nearest footprints by centre distance and by box distance
+    (a TakeOrderedAndProject: per-partition top-k, then merge)."""
+    fp = footprints(spark, sf_dir).withColumn("bb", geo.bbox("rings"))
+    target = F.struct(F.lit(129.0).alias("xmin"), F.lit(-31.0).alias("ymin"),
+                      F.lit(131.0).alias("xmax"), F.lit(-29.0).alias("ymax"))
+    out = None
+    for metric, fn in (("centroid", geo.centroid_distance), ("box", geo.box_distance)):
+        d = fp.select(F.lit(metric).alias("metric"), "c_custkey", fn("bb", target).alias("dist"))
+        d = d.orderBy("dist", "c_custkey").limit(10)
+        out = d if out is None else out.unionByName(d)
+    return out.select("metric", "c_custkey", F.round("dist", 6).alias("dist"))
+
+
+@query("a12_table_extent", covers=("A12",), sql=f"""
+WITH {FP} SELECT round(min(x0), 6) AS xmin, round(min(y0), 6) AS ymin,
+                 round(max(x1), 6) AS xmax, round(max(y1), 6) AS ymax FROM bx""")
+def a12_table_extent(spark, sf_dir):
+    return _round(table_extent(footprints(spark, sf_dir).withColumn("bbox", geo.bbox("rings"))))
+
+
+_GX, _GY = albers_sql("lon", "lat")
+
+
+@query("g6_albers_tile_keys", covers=("G5", "G6", "G7"), sql=f"""
+WITH {FP}, p AS (SELECT c_custkey, {_GX} AS x, {_GY} AS y FROM fp)
+SELECT c_custkey, round(x, 3) AS x, round(y, 3) AS y,
+       CAST(floor(x / 61440.0) AS INTEGER) AS tile_x, CAST(floor(y / 61440.0) AS INTEGER) AS tile_y,
+       CAST(floor((x - floor(x / 61440.0) * 61440.0) / 30.0) AS INTEGER) AS px,
+       CAST(floor(((floor(y / 61440.0) + 1) * 61440.0 - y) / 30.0) AS INTEGER) AS py
+FROM p""")
+def g6_albers_tile_keys(spark, sf_dir):
+    """Footprint centres in EPSG:3577, their 61440 m tile key and the
+    30 m pixel (column, row from the tile's top-left) inside that tile."""
+    fp = footprints(spark, sf_dir)
+    p = fp.select("c_custkey", geo.project_point("lon", "lat", 3577).alias("p"))
+    size, res = 61440.0, 30.0
+    tx, ty = geo.tile_index("p.x", size), geo.tile_index("p.y", size)
+    bb = geo.tile_bbox(tx, ty, size)
+    return p.select("c_custkey", F.round("p.x", 3).alias("x"), F.round("p.y", 3).alias("y"),
+                    tx.alias("tile_x"), ty.alias("tile_y"),
+                    F.floor((F.col("p.x") - bb["xmin"]) / res).cast("int").alias("px"),
+                    F.floor((bb["ymax"] - F.col("p.y")) / res).cast("int").alias("py"))
+
+
+# ------------------------------------------------------------------ A10, W2, S15, J6, A9
+
+_KEYS_SQL = f"""
+WITH {FP}, {TILES_1DEG},
+cells AS (SELECT bx.c_custkey, t.tile_x, t.tile_y FROM bx JOIN tiles t
+  ON t.tile_x <= bx.x1 AND t.tile_x + 1 >= bx.x0 AND t.tile_y <= bx.y1 AND t.tile_y + 1 >= bx.y0),
+k AS (SELECT DISTINCT tile_x, tile_y FROM cells),
+b AS (SELECT (row_number() OVER (ORDER BY tile_y, tile_x) - 1) // 8 AS batch_id, tile_x, tile_y FROM k)"""
+
+
+def _batches(spark, sf_dir):
+    cells = grid.tile_cells(footprints(spark, sf_dir), 1.0)
+    return cells, grid.batch_keys(grid.distinct_keys(cells), 8)
+
+
+@query("w2_key_batches", covers=("W2", "A10", "A11"), sql=_KEYS_SQL + " SELECT batch_id, tile_x, tile_y FROM b")
+def w2_key_batches(spark, sf_dir):
+    return _batches(spark, sf_dir)[1]
+
+
+@query("s15_work_list", covers=("S15",), sql=_KEYS_SQL + """
+SELECT batch_id, count(*) AS n_keys,
+       to_json(list([tile_x, tile_y] ORDER BY tile_y, tile_x)) AS keys_json
+FROM b GROUP BY batch_id""")
+def s15_work_list(spark, sf_dir):
+    wl = grid.work_list(_batches(spark, sf_dir)[1])
+    return wl.select("batch_id", F.size("keys").cast("long").alias("n_keys"), F.to_json("keys").alias("keys_json"))
+
+
+@query("j6_key_lookup", covers=("J6", "S16"), sql=_KEYS_SQL + """,
+w AS (SELECT tile_x, tile_y FROM b WHERE batch_id = 3 UNION ALL SELECT 999, 999)
+SELECT w.tile_x, w.tile_y, count(c.c_custkey) AS n_datasets, count(c.c_custkey) = 0 AS missing
+FROM w LEFT JOIN cells c ON c.tile_x = w.tile_x AND c.tile_y = w.tile_y GROUP BY w.tile_x, w.tile_y""")
+def j6_key_lookup(spark, sf_dir):
+    """Keys of one batch plus an unknown key looked up in the cell manifest."""
+    cells, batches = _batches(spark, sf_dir)
+    work = batches.where("batch_id = 3").select("tile_x", "tile_y").unionByName(
+        spark.range(1).select(F.lit(999).alias("tile_x"), F.lit(999).alias("tile_y")))
+    found, missing = grid.lookup_cells(work, cells)
+    hits = found.groupBy("tile_x", "tile_y").agg(F.count(F.lit(1)).alias("n_datasets"))
+    miss = missing.select("tile_x", "tile_y", F.lit(0).cast("long").alias("n_datasets"))
+    return hits.unionByName(miss).withColumn("missing", F.col("n_datasets") == 0)
+
+
+@query("a9_aoi_union_membership", covers=("A9", "S22", "J7", "G1"), sql=f"""
+WITH {FP}
+SELECT c_custkey, lon, lat FROM fp
+WHERE (lon BETWEEN 126.0 AND 134.0 AND lat BETWEEN -30.0 AND -20.0)
+   OR (lon BETWEEN 134.0 AND 142.0 AND lat BETWEEN -25.0 AND -15.0)""")
+def a9_aoi_union_membership(spark, sf_dir):
+    """Footprint centres inside the union of the AOIs 'asia' | 'europe'
+    (names split on '|', looked up, parsed; union = membership in any)."""
+    from tessera.operators.orders import aoi_union
+    union, missing = aoi_union(spark.createDataFrame([("asia | europe",)], "names string"), "names",
+                               aoi_table(spark, sf_dir))
+    fp = footprints(spark, sf_dir).select("c_custkey", "lon", "lat")
+    u = F.broadcast(union.select("rings"))  # one row per order
+    return (fp.join(u, geo.point_in_rings(geo.pt("lon", "lat"), "rings") |
+                    F.exists(geo.edges("rings"), lambda e: geo.segments_touch(
+                        e, F.struct(geo.pt("lon", "lat").alias("a"), geo.pt("lon", "lat").alias("b")))))
+            .select("c_custkey", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat")))

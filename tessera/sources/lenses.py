@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.names import INPUT_PRODUCT
-from tessera.sources.tables import read_table
+from tessera.sources.tables import broadcast_if_small, read_table
 
 # QA flag table of the observation lens ("pixel_qa").
 # bit 0: fill; bit 1: water; bit 2: cloud.  Shape as in a product's
@@ -64,3 +64,91 @@ def vectors(spark: SparkSession, sf_dir: str, n_bands: int = 3) -> DataFrame:
         F.col("label").cast("int").alias("tile"),
         F.col("vec_id").alias("px"),
         *[F.col("embedding")[i].cast("double").alias(f"band_{i}") for i in range(n_bands)])
+
+
+# The query region of the footprint lens — a concave polygon
+# in lon/lat (closed ring).
+ROI_RING = [(115.0, -42.0), (145.0, -38.0), (138.0, -30.0), (126.0, -33.0),
+            (130.0, -18.0), (117.0, -22.0), (115.0, -42.0)]
+
+
+def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` as scene footprints: centre lon = 110 + (custkey*37 % 4000)/100,
+    lat = -45 + (custkey*53 % 3500)/100, footprint = box ±0.5 degrees."""
+    from tessera.functions.geometry import box_rings
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    lon = F.lit(110.0) + (F.col("c_custkey") * 37 % 4000) / 100.0
+    lat = F.lit(-45.0) + (F.col("c_custkey") * 53 % 3500) / 100.0
+    return c.select("c_custkey", "c_nationkey", lon.alias("lon"), lat.alias("lat")).withColumn(
+        "rings", box_rings(F.col("lon") - 0.5, F.col("lat") - 0.5, F.col("lon") + 0.5, F.col("lat") + 0.5))
+
+
+def roi_rings():
+    from tessera.functions.geometry import pt
+    return F.array(F.array(*[pt(F.lit(x), F.lit(y)) for x, y in ROI_RING]))
+
+
+def aoi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S22 (lens): one area of interest per region, ``aoi_name`` = lower-case
+    region name, ``aoi_polygon`` = GeoJSON box lon [110+8k, 118+8k],
+    lat [-40+5k, -30+5k] for region key k."""
+    r = read_table(spark, sf_dir, "region")
+    k = F.col("r_regionkey")
+    x0, x1 = F.lit(110.0) + k * 8, F.lit(118.0) + k * 8
+    y0, y1 = F.lit(-40.0) + k * 5, F.lit(-30.0) + k * 5
+    ring = F.format_string('[[%s,%s],[%s,%s],[%s,%s],[%s,%s],[%s,%s]]',
+                           x0, y0, x1, y0, x1, y1, x0, y1, x0, y0)
+    return r.select(F.lower("r_name").alias("aoi_name"),
+                    F.concat(F.lit('{"type":"Polygon","coordinates":['), ring, F.lit("]}")).alias("aoi_polygon"))
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` as order documents (JSON text), one per order key k.
+
+    time_start = orderdate; time_end = orderdate + (k % 61 - 30) days, with a
+    '+10:00' offset when k % 3 = 0 and missing when k % 50 = 7.  Space by
+    k % 4: 0 bbox text 'w,s,e,n' (3 values when k % 13 = 0; a boundary too
+    when k % 9 = 0), 1 bbox list, 2 AOI names 'r(k%5) | r(k+1 %5)' or the
+    unknown 'atlantis' when k % 7 = 0, 3 GeoJSON box (ring left open when
+    k % 5 = 0).  api_params: invalid JSON text when k % 11 = 0, an object
+    when k % 11 = 1.  Centre as in the scenes lens, box ±1 degree.
+    """
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    r = broadcast_if_small(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    r1 = r.select(F.col("r_regionkey").alias("_k1"), F.lower("r_name").alias("_n1"))
+    r2 = r.select(F.col("r_regionkey").alias("_k2"), F.lower("r_name").alias("_n2"))
+    k = F.col("o_orderkey")
+    o = (o.join(r1, (k % 5) == F.col("_k1")).join(r2, ((k + 1) % 5) == F.col("_k2")))
+    lon = F.lit(110.0) + (F.col("o_custkey") * 37 % 4000) / 100.0
+    lat = F.lit(-45.0) + (F.col("o_custkey") * 53 % 3500) / 100.0
+    x0, y0, x1, y1 = lon - 1, lat - 1, lon + 1, lat + 1
+    end = F.col("o_orderdate") + F.make_interval(days=(k % 61 - 30).cast("int"))
+    m = k % 4
+
+    def kv(name, value_json):
+        return F.concat(F.lit(f'"{name}":'), value_json)
+
+    def q(s):
+        return F.concat(F.lit('"'), s, F.lit('"'))
+    bbox_txt = F.when(k % 13 == 0, F.format_string("%.2f,%.2f,%.2f", x0, y0, x1)) \
+        .otherwise(F.format_string("%.2f,%.2f,%.2f,%.2f", x0, y0, x1, y1))
+    ring_pts = F.format_string("[%.2f,%.2f],[%.2f,%.2f],[%.2f,%.2f],[%.2f,%.2f]", x0, y0, x1, y0, x1, y1, x0, y1)
+    ring = F.when(k % 5 == 0, ring_pts).otherwise(
+        F.concat(ring_pts, F.format_string(",[%.2f,%.2f]", x0, y0)))
+    geojson = F.concat(F.lit('{"type":"Polygon","coordinates":[['), ring, F.lit("]]}"))
+    parts = F.array(
+        kv("driver", F.lit('"lens"')),
+        kv("time_start", q(F.date_format("o_orderdate", "yyyy-MM-dd"))),
+        F.when(k % 50 != 7, kv("time_end", q(
+            F.when(k % 3 == 0, F.concat(F.date_format(end, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+10:00")))
+            .otherwise(F.date_format(end, "yyyy-MM-dd HH:mm:ss"))))),
+        F.when(m == 0, kv("bounding_box", q(bbox_txt))),
+        F.when(m == 1, kv("bounding_box", F.format_string("[%.2f,%.2f,%.2f,%.2f]", x0, y0, x1, y1))),
+        F.when(m == 2, kv("aoi_name", q(F.when(k % 7 == 0, F.lit("atlantis")).otherwise(
+            F.concat(F.col("_n1"), F.lit(" | "), F.col("_n2")))))),
+        F.when((m == 3) | ((m == 0) & (k % 9 == 0)), kv("boundary", geojson)),
+        F.when(k % 11 == 0, kv("api_params", F.lit('"{bad json"')))
+        .when(k % 11 == 1, kv("api_params", F.lit('{"cloud":10}'))),
+    )
+    doc = F.concat(F.lit("{"), F.array_join(F.array_compact(parts), ","), F.lit("}"))
+    return o.select(k.alias("order_id"), doc.alias("order_json"))
