@@ -74,13 +74,15 @@ def normalise_key(path) -> Column:
     return F.regexp_replace(_c(path), r"^([A-Za-z][A-Za-z0-9+.-]*://)?/*", "")
 
 
-def join_path(*parts) -> Column:
-    return F.concat_ws("/", *[F.lit(p) if isinstance(p, str) and not p.startswith("@") else _c(p[1:] if isinstance(p, str) else p) for p in parts])
-
-
 def elapsed_text(seconds) -> Column:
     """under 120 s in seconds, under an hour in minutes, else hours (2 dp)."""
     s = _c(seconds).cast("double")
     return (F.when(s < 120, F.format_string("%.2f seconds", s))
             .when(s < 3600, F.format_string("%.2f minutes", s / 60.0))
             .otherwise(F.format_string("%.2f hours", s / 3600.0)))
+
+
+def month_end_label(month) -> Column:
+    """F16 as text: last day of the month of ``month`` ('yyyy-MM-dd')."""
+    m = _c(month)
+    return F.date_format(F.date_sub(F.add_months(m, 1), 1), "yyyy-MM-dd")

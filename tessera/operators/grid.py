@@ -51,6 +51,29 @@ def tile_cells(scenes: DataFrame, size: float, rings: str = "rings", srid=None,
     return cand.drop("_bb")
 
 
+def region_tiles(regions: DataFrame, size: float, rings: str = "rings") -> DataFrame:
+    """Coarse tile keys (``_gx``, ``_gy``) touched by each region's bbox."""
+    r = regions.withColumn("_rb", bbox(rings))
+    return (r.withColumn("_gx", F.explode(touching_tile_range("_rb.xmin", "_rb.xmax", size)))
+             .withColumn("_gy", F.explode(touching_tile_range("_rb.ymin", "_rb.ymax", size)))
+             .drop("_rb"))
+
+
+def points_in_regions(points: DataFrame, x: str, y: str, regions: DataFrame, size: float,
+                      rings: str = "rings") -> DataFrame:
+    """Points inside (or on the boundary of) any region: an equi join on a
+    coarse grid key, then the exact test.  A point lies in exactly one grid
+    cell, so each (point, region) pair is produced once."""
+    from tessera.functions.geometry import edges, point_in_rings, pt, segments_touch
+    pts = points.withColumn("_gx", F.floor(F.col(x) / size).cast("int")) \
+                .withColumn("_gy", F.floor(F.col(y) / size).cast("int"))
+    j = pts.join(region_tiles(regions, size, rings), ["_gx", "_gy"])
+    p = pt(x, y)
+    inside = point_in_rings(p, rings) | F.exists(
+        edges(rings), lambda e: segments_touch(e, F.struct(p.alias("a"), p.alias("b"))))
+    return j.where(inside).drop("_gx", "_gy")
+
+
 def distinct_keys(cells: DataFrame) -> DataFrame:
     """A10: the set of tile keys (map-side partial dedupe, then shuffle)."""
     return cells.select("tile_x", "tile_y").distinct()

@@ -26,3 +26,124 @@ GROUP BY ALL""")
 def a7_monthly_median(spark, sf_dir):
     """Flagship: masked, scaled monthly median of every tile, pixel, month."""
     return monthly_median_products(observations(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ composite parts
+
+from tessera.functions.names import month_end_label  # noqa: E402
+from tessera.functions.pixels import from_reflectance  # noqa: E402
+from tessera.operators.composite import geomedian, month_keys, tile_month_range  # noqa: E402
+from tessera.plans.do_work import CLEAR_MASK, mask_and_scale  # noqa: E402
+from tessera.functions.pixels import decode_flag, make_mask  # noqa: E402
+from tessera.sources.lenses import OBS_FLAGS  # noqa: E402
+
+
+@query("a13_tile_month_range", covers=("A13", "F15"), sql=f"""
+WITH {OBS}, {TILE_MONTHS} SELECT tile_x, tile_y, m0 AS first_month, m1 AS last_month FROM tiles""")
+def a13_tile_month_range(spark, sf_dir):
+    return tile_month_range(observations(spark, sf_dir))
+
+
+@query("j8_month_membership", covers=("J8", "W1"), sql=f"""
+WITH {OBS}, {TILE_MONTHS}
+SELECT c.tile_x, c.tile_y, c.month, count(o.t) AS n_obs,
+       count(o.t) FILTER (WHERE o.t = CAST(c.month + INTERVAL 1 MONTH AS TIMESTAMP)) AS n_boundary
+FROM cal c LEFT JOIN obs o ON o.tile_x = c.tile_x AND o.tile_y = c.tile_y
+     AND o.t BETWEEN c.month AND c.month + INTERVAL 1 MONTH
+GROUP BY ALL""")
+def j8_month_membership(spark, sf_dir):
+    """Observations per tile and calendar month under the inclusive slice
+    (boundary instants counted in both months; empty months kept)."""
+    obs = observations(spark, sf_dir)
+    rng = tile_month_range(obs)
+    cal = rng.select("tile_x", "tile_y", F.explode(F.sequence(
+        "first_month", "last_month", F.expr("INTERVAL 1 MONTH"))).alias("month"), F.lit(1).alias("_cal"))
+    m = obs.select("tile_x", "tile_y", "t", F.explode(month_keys("t")).alias("month"))
+    data = m.select("tile_x", "tile_y", "month", F.lit(1).alias("_n"),
+                    (F.col("t") == F.add_months("month", 1).cast("timestamp_ntz")).cast("int").alias("_b"),
+                    F.lit(0).alias("_cal"))
+    u = data.unionByName(cal.select("tile_x", "tile_y", "month", F.lit(0).alias("_n"), F.lit(0).alias("_b"),
+                                    "_cal"))
+    g = u.groupBy("tile_x", "tile_y", "month").agg(F.sum("_n").alias("n_obs"), F.sum("_b").alias("n_boundary"),
+                                                   F.max("_cal").alias("_cal"))
+    return g.where("_cal = 1").select("tile_x", "tile_y", "month", F.col("n_obs").cast("long"),
+                                      F.col("n_boundary").cast("long"))
+
+
+@query("p16_qa_mask_counts", covers=("P15", "P16", "F22", "P5"), sql=f"""
+WITH {OBS}
+SELECT tile_x, tile_y, count(*) AS n_obs,
+       count(*) FILTER (WHERE qa & 1 = 0 AND (qa >> 1) & 1 = 0 AND (qa >> 2) & 1 = 0) AS n_clear,
+       count(*) FILTER (WHERE qa & 1 = 0 AND (qa >> 1) & 1 = 0 AND (qa >> 2) & 1 = 0 AND red <> 50) AS n_red_valid,
+       count(*) FILTER (WHERE (qa >> 2) & 1 = 1) AS n_cloud,
+       count(*) FILTER (WHERE (qa >> 1) & 1 = 1) AS n_water,
+       count(*) FILTER (WHERE qa & 1 = 1) AS n_fill
+FROM obs GROUP BY tile_x, tile_y""")
+def p16_qa_mask_counts(spark, sf_dir):
+    obs = observations(spark, sf_dir)
+    ms = mask_and_scale(obs, bands=("red",), keep=("tile_x", "tile_y", "qa"), scale=False)
+    clear = make_mask("qa", OBS_FLAGS, **CLEAR_MASK)
+    return ms.groupBy("tile_x", "tile_y").agg(
+        F.count(F.lit(1)).alias("n_obs"), F.count(F.when(clear, 1)).alias("n_clear"),
+        F.count("red").alias("n_red_valid"),
+        F.count(F.when(decode_flag("qa", OBS_FLAGS, "clear") == "cloud", 1)).alias("n_cloud"),
+        F.count(F.when(decode_flag("qa", OBS_FLAGS, "water") == "water", 1)).alias("n_water"),
+        F.count(F.when(decode_flag("qa", OBS_FLAGS, "nodata") == "true", 1)).alias("n_fill"))
+
+
+@query("f21_int16_composite", covers=("F21", "F20"), sql=f"""
+WITH {OBS}, {MS}, {TILE_MONTHS},
+med AS (
+  SELECT p.tile_x, p.tile_y, p.px, p.py, c.month, median(o.red) AS red, median(o.green) AS green,
+         median(o.blue) AS blue
+  FROM pix p JOIN cal c ON c.tile_x = p.tile_x AND c.tile_y = p.tile_y
+  LEFT JOIN ms o ON o.tile_x = p.tile_x AND o.tile_y = p.tile_y AND o.px = p.px AND o.py = p.py
+       AND o.t BETWEEN c.month AND c.month + INTERVAL 1 MONTH
+  GROUP BY ALL)
+SELECT tile_x, tile_y, px, py, month,
+       CAST(CASE WHEN red IS NULL OR NOT (red * (1 / 0.0000275) > -32769 AND red * (1 / 0.0000275) < 32768)
+                 THEN -999 ELSE trunc(red * (1 / 0.0000275)) END AS SMALLINT) AS red,
+       CAST(CASE WHEN green IS NULL OR NOT (green * (1 / 0.0000275) > -32769 AND green * (1 / 0.0000275) < 32768)
+                 THEN -999 ELSE trunc(green * (1 / 0.0000275)) END AS SMALLINT) AS green,
+       CAST(CASE WHEN blue IS NULL OR NOT (blue * (1 / 0.0000275) > -32769 AND blue * (1 / 0.0000275) < 32768)
+                 THEN -999 ELSE trunc(blue * (1 / 0.0000275)) END AS SMALLINT) AS blue
+FROM med""")
+def f21_int16_composite(spark, sf_dir):
+    """Monthly composite encoded back to int16 (nodata −999; overflow → nodata)."""
+    m = monthly_median_products(observations(spark, sf_dir), digits=None)
+    return m.select("tile_x", "tile_y", "px", "py", "month",
+                    *[from_reflectance(b).alias(b) for b in ("red", "green", "blue")])
+
+
+@query("s21_product_documents", covers=("S21", "F16", "F9", "S17", "S20"), sql=f"""
+WITH {OBS}, {TILE_MONTHS}
+SELECT {name_sql(_P, 'tile_x', 'tile_y', 'month')} AS label, '{_P}' AS product_family,
+       strftime(CAST(month + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE), '%Y-%m-%d') AS datetime,
+       'GeoTIFF' AS file_format, 3 AS n_measurements,
+       'out-prefix/' || {name_sql(_P, 'tile_x', 'tile_y', 'month')} || '/' ||
+         {name_sql(_P, 'tile_x', 'tile_y', 'month')} || '_red.tif' AS red_key
+FROM (SELECT DISTINCT tile_x, tile_y, month FROM cal)""")
+def s21_product_documents(spark, sf_dir):
+    """One metadata document per output product (tile × month) and the
+    object key of its red band under the output prefix."""
+    from tessera.sources.sinks import product_documents
+    comp = monthly_median_products(observations(spark, sf_dir))
+    docs = product_documents(comp, bands=("red", "green", "blue"), prefix="out-prefix")
+    return docs.select("label", "product_family", "datetime", "file_format",
+                       F.size("measurements").alias("n_measurements"),
+                       F.col("measurements")[F.lit("red")]["key"].alias("red_key"))
+
+
+@query("a8_geomedian_monthly", covers=("A8", "X3"))
+def a8_geomedian_monthly(spark, sf_dir):
+    """Geometric median of (red, green, blue) reflectance per tile, pixel and
+    month (distributed Weiszfeld), encoded to int16.  No SQL oracle: an
+    iterative algorithm; checked by the objective-value property test."""
+    obs = observations(spark, sf_dir)
+    ms = mask_and_scale(obs)
+    mk = ms.select("tile_x", "tile_y", "px", "py", F.explode(month_keys("t")).alias("month"),
+                   "red", "green", "blue")
+    gm = geomedian(mk, ["tile_x", "tile_y", "px", "py", "month"], ["red", "green", "blue"],
+                   max_iter=20, tol=0.2 * 0.0000275)
+    return gm.select("tile_x", "tile_y", "px", "py", "month",
+                     *[from_reflectance(b).alias(b) for b in ("red", "green", "blue")], "n_obs")

@@ -218,8 +218,6 @@ def a9_aoi_union_membership(spark, sf_dir):
     union, missing = aoi_union(spark.createDataFrame([("asia | europe",)], "names string"), "names",
                                aoi_table(spark, sf_dir))
     fp = footprints(spark, sf_dir).select("c_custkey", "lon", "lat")
-    u = F.broadcast(union.select("rings"))  # one row per order
-    return (fp.join(u, geo.point_in_rings(geo.pt("lon", "lat"), "rings") |
-                    F.exists(geo.edges("rings"), lambda e: geo.segments_touch(
-                        e, F.struct(geo.pt("lon", "lat").alias("a"), geo.pt("lon", "lat").alias("b")))))
+    hits = grid.points_in_regions(fp, "lon", "lat", union.select("_oid", "rings"), 1.0)
+    return (hits.select("c_custkey", "lon", "lat").distinct()
             .select("c_custkey", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat")))
