@@ -1 +1,154 @@
-"""Checked queries."""
+"""Checked queries: events and vectors lenses (solar day, bit flags, JSON
+numbers, durations, band maps, aliases, block layout)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions.names import elapsed_text
+from tessera.functions.pixels import decode_flag
+from tessera.operators.ranges import solar_day
+from tessera.plans.registry import query
+from tessera.sources.tables import read_table
+
+# The bit-field table of the events lens (props.k, 7 bits).
+EVENT_FLAGS = {
+    "confidence": {"bits": [0, 1], "values": {"0": "none", "1": "low", "2": "medium", "3": "high"}},
+    "cloud": {"bits": [2], "values": {"0": "clear", "1": "cloud"}},
+    "class": {"bits": [3, 4, 5, 6], "values": {str(i): f"class_{i}" for i in range(16)}},
+}
+
+EV = """
+ev AS (
+  SELECT event_id, ts, user_id, event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+         CAST(user_id % 360 - 180 AS DOUBLE) AS lon
+  FROM events)"""
+
+
+def _events(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events")
+    return e.select("event_id", "ts", "user_id", "event_type", "value",
+                    F.get_json_object("props", "$.k").cast("decimal(10,0)").cast("double").alias("k_num"),
+                    F.get_json_object("props", "$.k").cast("int").alias("k"),
+                    (F.col("user_id") % 360 - 180).cast("double").alias("lon"))
+
+
+@query("a6_solar_day_groups", covers=("A6", "P10"), sql=f"""
+WITH {EV}, s AS (
+  SELECT *, user_id % 10 AS tile,
+         CAST(ts + to_microseconds(CAST(round(lon * 240 * 1000000) AS BIGINT)) AS DATE) AS solar_day
+  FROM ev WHERE ts BETWEEN TIMESTAMP '2024-01-03 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'),
+r AS (SELECT *, row_number() OVER (PARTITION BY tile, solar_day ORDER BY ts, event_id) AS rn FROM s)
+SELECT tile, solar_day, count(*) AS n_events, max(CASE WHEN rn = 1 THEN round(value, 6) END) AS first_value
+FROM r GROUP BY tile, solar_day""")
+def a6_solar_day_groups(spark, sf_dir):
+    """Observations of one tile on the same local solar day form one time
+    slice; the slice value is the first by acquisition order (``min_by``:
+    a partial aggregate, no per-group row collection)."""
+    e = _events(spark, sf_dir).where(F.col("ts").between(
+        F.lit("2024-01-03 00:00:00").cast("timestamp_ntz"), F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")))
+    s = e.select((F.col("user_id") % 10).alias("tile"), solar_day("ts", "lon").alias("solar_day"),
+                 "value", "ts", "event_id")
+    return s.groupBy("tile", "solar_day").agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.round(F.min_by("value", F.struct("ts", "event_id")), 6).alias("first_value"))
+
+
+@query("f22_bit_flags", covers=("F22", "F24"), sql=f"""
+WITH {EV}
+SELECT CASE k & 3 WHEN 0 THEN 'none' WHEN 1 THEN 'low' WHEN 2 THEN 'medium' ELSE 'high' END AS confidence,
+       CASE (k >> 2) & 1 WHEN 0 THEN 'clear' ELSE 'cloud' END AS cloud,
+       count(*) AS n_events, round(sum(CAST(k AS DOUBLE)), 6) AS sum_k,
+       count(DISTINCT (k >> 3) & 15) AS n_classes
+FROM ev GROUP BY 1, 2""")
+def f22_bit_flags(spark, sf_dir):
+    """Bit fields of ``props.k`` decoded through a value table; ``k`` read
+    as a JSON decimal and converted to double."""
+    e = _events(spark, sf_dir)
+    return (e.select(decode_flag("k", EVENT_FLAGS, "confidence").alias("confidence"),
+                     decode_flag("k", EVENT_FLAGS, "cloud").alias("cloud"),
+                     decode_flag("k", EVENT_FLAGS, "class").alias("cls"), "k_num")
+            .groupBy("confidence", "cloud")
+            .agg(F.count(F.lit(1)).alias("n_events"), F.round(F.sum("k_num"), 6).alias("sum_k"),
+                 F.countDistinct("cls").alias("n_classes")))
+
+
+def _fmt_sql(expr: str, unit: str) -> str:
+    # Formatting rounds half up on the shortest decimal form of the value.
+    return f"printf('%.2f {unit}', round(CAST({expr} AS DECIMAL(18, 6)), 2))"
+
+
+@query("f23_elapsed_text", covers=("F23", "A11"), sql=f"""
+WITH {EV}, g AS (
+  SELECT user_id, CAST(ts AS DATE) AS day,
+         CAST(epoch_us(max(ts)) - epoch_us(min(ts)) AS DOUBLE) / 1000000.0 AS secs
+  FROM ev GROUP BY user_id, CAST(ts AS DATE))
+SELECT user_id, day, CASE WHEN secs < 120 THEN {_fmt_sql('secs', 'seconds')}
+                         WHEN secs < 3600 THEN {_fmt_sql('secs / 60.0', 'minutes')}
+                         ELSE {_fmt_sql('secs / 3600.0', 'hours')} END AS elapsed
+FROM g""")
+def f23_elapsed_text(spark, sf_dir):
+    """Activity span per user and day as human-readable text."""
+    e = _events(spark, sf_dir)
+    g = e.groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        ((F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp")))
+         / 1e6).alias("secs"))
+    return g.select("user_id", "day", elapsed_text("secs").alias("elapsed"))
+
+
+# ------------------------------------------------------------------ vectors lens
+
+VEC = """
+vec AS (SELECT vec_id, label, embedding FROM embeddings)"""
+
+
+@query("f25_band_map_explode", covers=("F25", "P6"), sql=f"""
+WITH {VEC}
+SELECT label AS tile, vec_id AS px, b.name AS band,
+       round(CAST(embedding[b.i + 1] AS DOUBLE), 6) AS value
+FROM vec, (VALUES (0, 'blue'), (1, 'green'), (2, 'red')) b(i, name)""")
+def f25_band_map_explode(spark, sf_dir):
+    """Band values as a map (band → value) exploded to rows; bands are
+    asked for by alias (band_2/3/4 → blue/green/red)."""
+    from tessera.sources.catalogue import LENS_MEASUREMENTS
+    alias = {a: m["name"] for m in LENS_MEASUREMENTS for a in m["aliases"]}
+    e = read_table(spark, sf_dir, "embeddings")
+    asked = ["band_2", "band_3", "band_4"]
+    cols = {alias[a]: F.col("embedding")[i].cast("double") for i, a in enumerate(asked)}
+    m = F.create_map(*[x for k, v in cols.items() for x in (F.lit(k), v)])
+    return e.select(F.col("label").alias("tile"), F.col("vec_id").alias("px"),
+                    F.explode(m).alias("band", "value")).withColumn("value", F.round("value", 6))
+
+
+@query("s18_block_layout", covers=("S18", "S19"), sql=f"""
+WITH {VEC}, l AS (
+  SELECT label AS tile, vec_id AS px, CAST(vec_id // 64 AS INTEGER) AS chunk, b.name AS band,
+         CAST(embedding[b.i + 1] AS DOUBLE) AS value
+  FROM vec, (VALUES (0, 'blue'), (1, 'green'), (2, 'red')) b(i, name))
+SELECT tile, band, chunk, count(*) AS n_values, min(px) AS first_px,
+       round(list(value ORDER BY px)[1], 6) AS first_value
+FROM l GROUP BY tile, band, chunk""")
+def s18_block_layout(spark, sf_dir):
+    """Chunked array layout: per (tile, band, chunk of 64 pixels) the values
+    in pixel order."""
+    from tessera.sources.sinks import block_layout
+    e = read_table(spark, sf_dir, "embeddings")
+    comp = e.select(F.col("label").alias("tile_x"), F.lit(0).alias("tile_y"),
+                    F.lit("2024-01-01").cast("date").alias("month"), F.lit(0).alias("px"),
+                    F.col("vec_id").alias("py"),
+                    *[F.col("embedding")[i].cast("double").alias(b)
+                      for i, b in enumerate(("blue", "green", "red"))])
+    blk = block_layout(comp, ("blue", "green", "red"), chunk_rows=64)
+    return blk.select(F.col("tile_x").alias("tile"), "band", "chunk",
+                      F.size("values").cast("long").alias("n_values"),
+                      F.col("py")[0].alias("first_px"), F.round(F.col("values")[0], 6).alias("first_value"))
+
+
+@query("a8_geomedian_vectors", covers=("A8", "X3"))
+def a8_geomedian_vectors(spark, sf_dir):
+    """Geometric median of the first three embedding bands per label."""
+    from tessera.operators.composite import geomedian
+    from tessera.sources.lenses import vectors
+    v = vectors(spark, sf_dir)
+    gm = geomedian(v, ["tile"], ["band_0", "band_1", "band_2"], max_iter=50, tol=1e-9)
+    return gm.select("tile", *[F.round(b, 4).alias(b) for b in ("band_0", "band_1", "band_2")], "n_obs")
