@@ -1 +1,268 @@
-"""Checked queries."""
+"""Checked queries: object inventories, listings, copy plans, dataset
+documents and lineage (bulk object jobs, entry point D)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions.names import normalise_key, region_code, versioned_path
+from tessera.operators import lineage as lin
+from tessera.operators import objects as obj
+from tessera.plans.registry import query
+from tessera.sources import objects as src
+from tessera.sources.lenses import DEM_ROOT, dem_datasets, dem_inventory, lineage_edges, page_inventory
+
+INV = """
+inv AS (
+  SELECT page_id, url, html,
+         concat_ws('/', regexp_extract(url, '^[a-z]+://([^/?#]+)', 1),
+                   nullif(regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]+/([^?#]*)', 1), '/+$', ''), ''),
+                   printf('%d.html', page_id)) AS path,
+         CAST(octet_length(encode(html)) AS BIGINT) AS length
+  FROM pages)"""
+
+
+def _inv(spark, sf_dir):
+    return page_inventory(spark, sf_dir).select("path", "modificationTime", "length")
+
+
+_GLOBS = ("*.example.com/en/*", "**/fr/*", "blog.*/??/*", "*.example.[no][er][gt]/de/**")
+
+
+@query("s6_glob_listing", covers=("S6", "U4"), sql=f"""
+WITH {INV}
+SELECT '*.example.com/en/*' AS pattern, path FROM inv WHERE regexp_matches(path, '^[^/]*\\.example\\.com/en/[^/]*$')
+UNION ALL SELECT '**/fr/*', path FROM inv WHERE regexp_matches(path, '^.*/fr/[^/]*$')
+UNION ALL SELECT 'blog.*/??/*', path FROM inv WHERE regexp_matches(path, '^blog\\.[^/]*/[^/][^/]/[^/]*$')
+UNION ALL SELECT '*.example.[no][er][gt]/de/**', path FROM inv
+  WHERE regexp_matches(path, '^[^/]*\\.example\\.[no][er][gt]/de/.*$')""")
+def s6_glob_listing(spark, sf_dir):
+    """Several glob patterns over one inventory (files only), unioned."""
+    inv = _inv(spark, sf_dir)
+    out = None
+    for g in _GLOBS:
+        part = src.glob(inv, g, include_dirs=False).select(F.lit(g).alias("pattern"), "path")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("s7_walk", covers=("S7", "S6"), sql=f"""
+WITH {INV},
+f AS (SELECT path, regexp_extract(path, '^(.*)/[^/]+$', 1) AS root FROM inv),
+d AS (SELECT DISTINCT array_to_string(list_slice(string_split(path, '/'), 1, n), '/') AS dir
+      FROM inv, range(1, 10) r(n) WHERE n < len(string_split(path, '/'))),
+dr AS (SELECT regexp_extract(dir, '^(.*)/[^/]+$', 1) AS root FROM d WHERE dir LIKE '%/%')
+SELECT root, CAST(sum(nd) AS BIGINT) AS n_dirs, CAST(sum(nf) AS BIGINT) AS n_files FROM (
+  SELECT root, 0 AS nd, 1 AS nf FROM f UNION ALL SELECT root, 1, 0 FROM dr) GROUP BY root""")
+def s7_walk(spark, sf_dir):
+    """Walk every bucket: per directory, sub-directory and file counts."""
+    return src.walk(_inv(spark, sf_dir))
+
+
+@query("s8_object_info", covers=("S8",), sql=f"""
+WITH {INV},
+w AS (SELECT path AS wanted FROM inv WHERE page_id % 10 = 0
+      UNION SELECT regexp_extract(path, '^(.*)/[^/]+$', 1) FROM inv WHERE page_id % 10 = 1
+      UNION SELECT path || '.missing' FROM inv WHERE page_id % 10 = 2),
+d AS (SELECT DISTINCT array_to_string(list_slice(string_split(path, '/'), 1, n), '/') AS dir
+      FROM inv, range(1, 10) r(n) WHERE n < len(string_split(path, '/')))
+SELECT w.wanted, (i.path IS NOT NULL OR d.dir IS NOT NULL) AS exists, i.path IS NOT NULL AS isfile,
+       d.dir IS NOT NULL AS isdir, i.length AS size,
+       CASE WHEN i.path IS NOT NULL THEN 'file' WHEN d.dir IS NOT NULL THEN 'directory' END AS type
+FROM w LEFT JOIN inv i ON i.path = w.wanted LEFT JOIN d ON d.dir = w.wanted""")
+def s8_object_info(spark, sf_dir):
+    """exists / isfile / isdir / size for a batch of keys (some missing)."""
+    inv_full = page_inventory(spark, sf_dir)
+    wanted = (inv_full.where("page_id % 10 = 0").select(F.col("path").alias("wanted"))
+              .unionByName(inv_full.where("page_id % 10 = 1").select(
+                  F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("wanted")))
+              .unionByName(inv_full.where("page_id % 10 = 2").select(
+                  F.concat("path", F.lit(".missing")).alias("wanted"))))
+    return src.info(_inv(spark, sf_dir), wanted)
+
+
+@query("s9_du_rollup", covers=("S9", "A11"), sql=f"""
+WITH {INV}, p AS (
+  SELECT string_split(path, '/') AS parts, length FROM inv)
+SELECT CASE WHEN len(parts) > 1 THEN parts[1] END AS level0, CASE WHEN len(parts) > 2 THEN parts[2] END AS level1,
+       sum(length) AS bytes, count(*) AS n_objects
+FROM p GROUP BY ROLLUP (1, 2)""")
+def s9_du_rollup(spark, sf_dir):
+    return src.du(_inv(spark, sf_dir), depth=2)
+
+
+@query("s10_object_head", covers=("S10",), sql=f"""
+WITH {INV} SELECT path, substring(html, 1, 180) AS head, length AS n_bytes,
+                  md5(html) AS content_md5 FROM inv""")
+def s10_object_head(spark, sf_dir):
+    """First 180 characters and a digest of each whole object."""
+    p = page_inventory(spark, sf_dir)
+    return p.select("path", src.head("html", 180).alias("head"), F.col("length").alias("n_bytes"),
+                    F.md5("html").alias("content_md5"))
+
+
+@query("p13_regex_filter", covers=("P13",), sql=f"""
+WITH {INV} SELECT path FROM inv WHERE regexp_matches(path, '/(en|fr)/[0-9]{{2}}5') AND path LIKE '%.html'""")
+def p13_regex_filter(spark, sf_dir):
+    f = src.filter_regex(_inv(spark, sf_dir), r"/(en|fr)/[0-9]{2}5")
+    return f.where(F.col("path").endswith(".html")).select("path")
+
+
+@query("s11_copy_plan", covers=("S11", "F10"), sql=f"""
+WITH {INV},
+b AS (SELECT DISTINCT regexp_extract(path, '^([^/]+)', 1) AS bucket FROM inv)
+SELECT i.path AS src, 'backup/' || b.bucket || '/en/' || substring(i.path, length(b.bucket || '/en/') + 1) AS dst,
+       i.length
+FROM b JOIN inv i ON starts_with(i.path, b.bucket || '/en/')
+UNION ALL
+SELECT path, 'archive/' || regexp_extract(path, '([^/]*)$', 1), length FROM inv WHERE page_id % 5 = 0
+UNION ALL
+SELECT path, 'single/' || CAST(page_id AS VARCHAR) || '.bin', length FROM inv WHERE page_id % 7 = 0""")
+def s11_copy_plan(spark, sf_dir):
+    """Copy requests expanded to object pairs: each bucket's 'en' folder
+    into 'backup/<bucket>/' (directory lands under its basename), every 5th
+    object into 'archive/' (trailing slash = into folder), every 7th to a
+    file name (no trailing slash).  Sources given as 's3://', '/' or bare
+    keys are normalised first."""
+    inv_full = page_inventory(spark, sf_dir)
+    inv = inv_full.select("path", "length")
+    buckets = inv.select(F.regexp_extract("path", "^([^/]+)", 1).alias("b")).distinct()
+    reqs = (buckets.select(F.concat(F.lit("s3://"), "b", F.lit("/en")).alias("src"),
+                           F.concat(F.lit("backup/"), "b", F.lit("/")).alias("dst"), F.lit(True).alias("recursive"))
+            .unionByName(inv_full.where("page_id % 5 = 0").select(
+                F.concat(F.lit("/"), "path").alias("src"), F.lit("archive/").alias("dst"),
+                F.lit(False).alias("recursive")))
+            .unionByName(inv_full.where("page_id % 7 = 0").select(
+                F.col("path").alias("src"), F.format_string("single/%d.bin", F.col("page_id")).alias("dst"),
+                F.lit(False).alias("recursive"))))
+    reqs = reqs.withColumn("src", normalise_key("src"))
+    return obj.copy_plan(inv, reqs)
+
+
+@query("l2_first_items", covers=("L2", "L1"), sql=f"""
+WITH {INV} SELECT path FROM inv ORDER BY path LIMIT 4""")
+def l2_first_items(spark, sf_dir):
+    """Early-out listing: the first four keys in order."""
+    return obj.first_n(_inv(spark, sf_dir).select("path"), 4)
+
+
+# ------------------------------------------------------------------ DEM copy-and-edit
+
+DEM = f"""
+dem AS (
+  SELECT doc_id, source, n_chars,
+         printf('Copernicus_DSM_COG_%05d_%s%02d_00_%s%03d_00_DEM', doc_id,
+                CASE WHEN doc_id % 2 = 0 THEN 'S' ELSE 'N' END, doc_id % 90,
+                CASE WHEN doc_id % 3 = 0 THEN 'W' ELSE 'E' END, doc_id * 7 % 180) AS name
+  FROM documents)"""
+
+
+@query("x5_copy_edit_plan", covers=("X5", "W3", "L1", "F7", "S6"), sql=f"""
+WITH {DEM}, d AS (SELECT '{DEM_ROOT}/' || name AS path FROM dem),
+e AS (SELECT row_number() OVER (ORDER BY path) - 1 AS i, path FROM d)
+SELECT i, path AS src, '{DEM_ROOT}/v2020_2/' || regexp_extract(path, '([^/]+)$', 1) AS dst,
+       printf('Completed [%03d]: %s -> %s', i, path, '{DEM_ROOT}/v2020_2/' || regexp_extract(path, '([^/]+)$', 1)) AS msg
+FROM e WHERE i < 1001""")
+def x5_copy_edit_plan(spark, sf_dir):
+    """Dataset folders matched by glob, enumerated from 0 in path order, the
+    first 1001 planned to their versioned targets."""
+    inv = dem_inventory(spark, sf_dir)
+    dirs = src.glob(inv, f"{DEM_ROOT}/Copernicus_DSM_COG_*_DEM").where(F.col("type") == "directory")
+    return obj.copy_edit_plan(inv, dirs, limit=1001)
+
+
+@query("f8_document_edit", covers=("F8", "F6", "S12", "S13"), sql=f"""
+WITH {DEM}
+SELECT '{DEM_ROOT}/v2020_2/' || name AS dst, name || '-v2020_2' AS label,
+       'copernicus_dem_30_v2020_2' AS product_name,
+       regexp_extract(name, '([NS]\\w{{2}})_\\d{{2}}_([EW]\\w{{3}})', 1)
+         || regexp_extract(name, '([NS]\\w{{2}})_\\d{{2}}_([EW]\\w{{3}})', 2) AS region_code,
+       '30' AS gsd, 'GLO-30' AS platform, '2020_2' AS version, '2021-03-01T00:00:00' AS datetime,
+       CAST(n_chars AS VARCHAR) AS n_chars, 'GeoTIFF' AS file_format
+FROM dem""")
+def f8_document_edit(spark, sf_dir):
+    """Every dataset document parsed from YAML, edited (label, product,
+    datetime, gsd, platform, version, region code) for its new location."""
+    d = dem_datasets(spark, sf_dir)
+    parsed = src.yaml_documents(d.select("dir", "yaml"), "yaml", "dir")
+    e = parsed.select(versioned_path("dir").alias("dst"), obj.edit_document("doc").alias("d"))
+    p = F.col("d.properties")
+    return e.select("dst", F.col("d.label").alias("label"), F.col("d.product.name").alias("product_name"),
+                    p["odc:region_code"].alias("region_code"), p["eo:gsd"].alias("gsd"),
+                    p["eo:platform"].alias("platform"), p["odc:dataset_version"].alias("version"),
+                    p["datetime"].alias("datetime"), p["n_chars"].alias("n_chars"),
+                    p["odc:file_format"].alias("file_format"))
+
+
+@query("f6_region_codes", covers=("F6",), sql=f"""
+WITH {DEM}
+SELECT regexp_extract(name, '([NS]\\w{{2}})_\\d{{2}}_([EW]\\w{{3}})', 1)
+         || regexp_extract(name, '([NS]\\w{{2}})_\\d{{2}}_([EW]\\w{{3}})', 2) AS region_code,
+       count(*) AS n_datasets, sum(n_chars) AS n_chars
+FROM dem GROUP BY 1""")
+def f6_region_codes(spark, sf_dir):
+    d = dem_datasets(spark, sf_dir)
+    return d.groupBy(region_code("name").alias("region_code")).agg(
+        F.count(F.lit(1)).alias("n_datasets"), F.sum("n_chars").alias("n_chars"))
+
+
+# ------------------------------------------------------------------ lineage, J11, S24
+
+@query("s3_lineage_edges", covers=("S3",), sql="""
+SELECT printf('c%d-t%d', conv_id, turn) AS dataset_ref, 'previous' AS classifier,
+       printf('c%d-t%d', conv_id, turn - 1) AS source_dataset_ref
+FROM conversations WHERE turn > 0""")
+def s3_lineage_edges(spark, sf_dir):
+    return lineage_edges(spark, sf_dir)
+
+
+@query("j10_lineage_roots", covers=("J10",), sql="""
+WITH c AS (SELECT conv_id, turn, role FROM conversations)
+SELECT printf('c%d-t%d', a.conv_id, a.turn) AS node, printf('c%d-t%d', a.conv_id, 0) AS root,
+       CAST(a.turn AS INTEGER) AS depth, b.role AS source_role
+FROM c a LEFT JOIN c b ON b.conv_id = a.conv_id AND b.turn = a.turn - 1""")
+def j10_lineage_roots(spark, sf_dir):
+    """Each turn's source (one hop, by classifier) and its root and depth
+    (pointer jumping over the edge list)."""
+    from tessera.sources.tables import read_table
+    c = read_table(spark, sf_dir, "conversations")
+    nodes = c.select(F.format_string("c%d-t%d", "conv_id", "turn").alias("id"), "role")
+    edges = lineage_edges(spark, sf_dir)
+    r = lin.roots(edges, nodes)
+    hop = lin.one_hop(edges, nodes, "previous").select(F.col("dataset_ref").alias("node"), "source_role")
+    return r.join(hop, "node", "left").select("node", "root", F.col("depth").cast("int"), "source_role")
+
+
+@query("j11_measurement_grids", covers=("J11", "F25"), sql="""
+WITH s AS (
+  SELECT o.o_orderkey AS id FROM orders o JOIN nation n ON o.o_custkey % 25 = n.n_nationkey
+  WHERE n.n_regionkey IN (1, 2))
+SELECT id, m.name AS measurement, m.grid, m.h, m.w FROM s,
+  (VALUES ('red', 'default', 7681, 7531), ('green', 'default', 7681, 7531),
+          ('aerosol', 'g60m', 3841, 3766)) m(name, grid, h, w)""")
+def j11_measurement_grids(spark, sf_dir):
+    """Each eo3 measurement's grid (a missing grid name means 'default')
+    looked up in the document's grids map."""
+    from tessera.sources.catalogue import dataset
+    d = dataset(spark, sf_dir).select("id", F.from_json("metadata", (
+        "struct<grids map<string, struct<shape array<int>, transform array<double>>>, "
+        "measurements map<string, struct<path string, grid string>>>")).alias("doc"))
+    m = d.select("id", "doc.grids", F.explode("doc.measurements").alias("measurement", "mm"))
+    g = F.coalesce(F.col("mm.grid"), F.lit("default"))
+    return m.select("id", "measurement", g.alias("grid"), F.element_at("grids", g)["shape"][0].alias("h"),
+                    F.element_at("grids", g)["shape"][1].alias("w"))
+
+
+@query("s24_row_update_stamp", covers=("S24",), sql="""
+SELECT o_orderkey AS id, CASE WHEN o_orderpriority = '1-URGENT' THEN 'lens-v2' ELSE 'lens' END AS added_by,
+       o_orderpriority = '1-URGENT' AS was_updated
+FROM orders""")
+def s24_row_update_stamp(spark, sf_dir):
+    """Upsert of changed rows stamps ``updated`` with the current time."""
+    from tessera.sources.catalogue import scene_base
+    from tessera.sources.tables import read_table
+    cur = scene_base(spark, sf_dir).select("id", F.lit("lens").alias("added_by"))
+    o = read_table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    changes = o.select(F.col("o_orderkey").alias("id"), F.lit("lens-v2").alias("added_by"))
+    up = lin.stamp_updates(cur, changes)
+    return up.select("id", "added_by", F.col("updated").isNotNull().alias("was_updated"))

@@ -152,3 +152,62 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     doc = F.concat(F.lit("{"), F.array_join(F.array_compact(parts), ","), F.lit("}"))
     return o.select(k.alias("order_id"), doc.alias("order_json"))
+
+
+def page_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` as an object inventory: url scheme/host/path read as
+    scheme/bucket/key; each page is the object ``bucket/<url path>/<page_id>.html``
+    (query and fragment dropped), ``length`` = bytes of its html,
+    ``modificationTime`` = 2024-01-01 + page_id minutes."""
+    p = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    bucket = F.regexp_extract("url", r"^[a-z]+://([^/?#]+)", 1)
+    key = F.regexp_replace(F.regexp_extract("url", r"^[a-z]+://[^/?#]+/([^?#]*)", 1), "/+$", "")
+    path = F.concat_ws("/", bucket, F.when(key != "", key), F.format_string("%d.html", F.col("page_id")))
+    return p.select("page_id", path.alias("path"),
+                    (F.lit("2024-01-01 00:00:00").cast("timestamp")
+                     + F.make_dt_interval(F.lit(0), F.lit(0), F.col("page_id").cast("int"))).alias("modificationTime"),
+                    F.octet_length("html").cast("long").alias("length"), "url", "html")
+
+
+DEM_ROOT = "dem-bucket/products-index/dem_30"
+
+
+def dem_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as DEM dataset folders, one per document:
+    ``<DEM_ROOT>/Copernicus_DSM_COG_<doc_id:05>_<N|S><doc_id%90:02>_00_<E|W><doc_id*7%180:03>_00_DEM``
+    (S when doc_id is even, W when doc_id % 3 = 0) holding the document text
+    as ``<name>.txt`` and an ``odc-metadata.yaml`` whose label is
+    ``<name>-<source>``."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    k = F.col("doc_id")
+    name = F.format_string("Copernicus_DSM_COG_%05d_%s%02d_00_%s%03d_00_DEM", k,
+                           F.when(k % 2 == 0, "S").otherwise("N"), k % 90,
+                           F.when(k % 3 == 0, "W").otherwise("E"), k * 7 % 180)
+    dt = F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (k % 365).cast("int")), "yyyy-MM-dd")
+    yaml_text = F.format_string(
+        "id: dem-%d\nlabel: %s-%s\nproduct:\n  name: dem_30\ncrs: epsg:4326\nproperties:\n"
+        "  datetime: '%s'\n  odc:file_format: GeoTIFF\n  lang: %s\n  n_chars: '%d'\n"
+        "measurements:\n  elevation:\n    path: %s.txt\n",
+        k, name, F.col("source"), dt, F.col("lang"), F.col("n_chars"), name)
+    return d.select("doc_id", F.concat(F.lit(DEM_ROOT + "/"), name).alias("dir"), name.alias("name"),
+                    "text", "source", "n_chars", yaml_text.alias("yaml"))
+
+
+def dem_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of the DEM folders: the metadata document and the data file."""
+    d = dem_datasets(spark, sf_dir)
+    meta = d.select(F.concat("dir", F.lit("/odc-metadata.yaml")).alias("path"),
+                    F.octet_length("yaml").cast("long").alias("length"))
+    data = d.select(F.concat("dir", F.lit("/"), "name", F.lit(".txt")).alias("path"),
+                    F.octet_length("text").cast("long").alias("length"))
+    return meta.unionByName(data)
+
+
+def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 (lens): ``conversations`` turns as datasets, each derived from the
+    previous turn of its conversation (classifier 'previous')."""
+    c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn")
+    return c.where(F.col("turn") > 0).select(
+        F.format_string("c%d-t%d", "conv_id", "turn").alias("dataset_ref"),
+        F.lit("previous").alias("classifier"),
+        F.format_string("c%d-t%d", F.col("conv_id"), F.col("turn") - 1).alias("source_dataset_ref"))
