@@ -69,9 +69,9 @@ def parent(path) -> Column:
 
 
 def normalise_key(path) -> Column:
-    """'s3://b/k', '/b/k' and 'b/k' all become 'b/k' (scheme and leading
-    slashes dropped)."""
-    return F.regexp_replace(_c(path), r"^([A-Za-z][A-Za-z0-9+.-]*://)?/*", "")
+    """'s3://b/k', 'file:/b/k', '/b/k' and 'b/k' all become 'b/k'
+    (scheme and leading slashes dropped)."""
+    return F.regexp_replace(_c(path), r"^([A-Za-z][A-Za-z0-9+.-]*:)?/*", "")
 
 
 def elapsed_text(seconds) -> Column:

@@ -401,3 +401,25 @@ def p12_integrity(spark, sf_dir):
                                                                       "n_violations")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@query("g9_geo_ref_footprint", covers=("G9", "G3"), sql=f"""
+WITH {SCENE}
+SELECT id, 'POLYGON((' || printf('%.6f %.6f', lon - 0.45, lat + 0.5) || ', ' || printf('%.6f %.6f', lon + 0.55, lat + 0.5)
+       || ', ' || printf('%.6f %.6f', lon + 0.5, lat - 0.5) || ', ' || printf('%.6f %.6f', lon - 0.5, lat - 0.5)
+       || ', ' || printf('%.6f %.6f', lon - 0.45, lat + 0.5) || '))' AS wkt,
+       'EPSG:4326' AS spatial_reference
+FROM scene WHERE mtype IN ('eo', 'middle east') AND archived IS NULL""")
+def g9_geo_ref_footprint(spark, sf_dir):
+    """Footprint polygon from a document's geo reference points
+    (ul → ur → lr → ll, closed) in the document's spatial reference."""
+    from tessera.functions.geometry import pt
+    d = cat.active(src.dataset(spark, sf_dir)).select("id", doc_variant("metadata").alias("doc"))
+
+    def corner(c):
+        return pt(get_path("doc", ["grid_spatial", "projection", "geo_ref_points", c, "x"], "double"),
+                  get_path("doc", ["grid_spatial", "projection", "geo_ref_points", c, "y"], "double"))
+    rings = F.array(F.array(*[corner(c) for c in ("ul", "ur", "lr", "ll", "ul")]))
+    srs = get_path("doc", ["grid_spatial", "projection", "spatial_reference"])
+    return (d.where(srs.isNotNull())
+            .select("id", wkt(rings).alias("wkt"), srs.alias("spatial_reference")))
