@@ -114,3 +114,72 @@ def flatten_ranges(df, names: Sequence[str]):
         else:
             cols.append(F.col(c))
     return df.select(*cols)
+
+
+# ---------------------------------------------------------------- schema-on-read
+
+_LEAF = {"string": "string", "double": "double", "int": "int", "integer": "int", "bigint": "bigint"}
+
+
+def paths_schema(specs) -> str:
+    """DDL of a nested struct holding only the given (path, type) leaves.
+
+    Parsing a document with ``from_json`` and this schema reads just the
+    needed fields (the streaming parser skips everything else); a node that
+    is requested both as a leaf and as a parent is kept as JSON text."""
+    tree: dict = {}
+    for path, typ in specs:
+        node = tree
+        for i, k in enumerate(path):
+            last = i == len(path) - 1
+            if last:
+                if k in node and isinstance(node[k], dict):
+                    node[k] = "string"
+                elif k not in node:
+                    node[k] = _LEAF.get(typ, "string")
+            else:
+                if not isinstance(node.get(k, {}), dict):
+                    break
+                node = node.setdefault(k, {})
+
+    def ddl(n):
+        return "struct<" + ", ".join(
+            f"`{k}`: " + (ddl(v) if isinstance(v, dict) else v) for k, v in n.items()) + ">"
+    return ddl(tree)
+
+
+def parse_paths(text, specs) -> Column:
+    """Parse JSON text once into a struct of the requested paths."""
+    return F.from_json(_c(text), paths_schema(specs))
+
+
+def at(struct_col, path) -> Column:
+    """Nested field of a ``parse_paths`` struct (NULL when absent)."""
+    c = _c(struct_col)
+    for k in path:
+        c = c.getField(k)
+    return c
+
+
+def field_specs(fields: dict) -> list:
+    """(path, leaf type) pairs a declaration reads."""
+    out = []
+    for spec in fields.values():
+        typ = _SPARK_TYPE.get(spec.get("type", "string"), "string")
+        for p in ([spec["offset"]] if "offset" in spec else spec["min_offset"] + spec["max_offset"]):
+            out.append((list(p), typ))
+    return out
+
+
+def search_field_struct(parsed, spec: dict) -> Column:
+    """P2 on a ``parse_paths`` struct: one declared field as a typed Column."""
+    typ = spec.get("type", "string")
+
+    def one(path):
+        v = at(parsed, path)
+        return common_timestamp(v) if typ.startswith("datetime") else v
+    if "offset" in spec:
+        return one(spec["offset"])
+    lo = [one(p) for p in spec["min_offset"]]
+    hi = [one(p) for p in spec["max_offset"]]
+    return make_range(lo[0] if len(lo) == 1 else F.least(*lo), hi[0] if len(hi) == 1 else F.greatest(*hi), "[]")

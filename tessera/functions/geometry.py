@@ -49,26 +49,40 @@ def geojson_crs(text) -> Column:
     return F.try_variant_get(F.try_parse_json(_c(text)), "$.crs.properties.name", "string")
 
 
-def geojson_error(text) -> Column:
-    """G1 validity: NULL when valid, else the reason (first failure)."""
-    t = _c(text)
-    v = F.try_parse_json(t)
+def geojson_parts(text) -> tuple[Column, Column, Column]:
+    """(parsed-ok flag, geometry type, coordinates as rings of [x, y] arrays)
+    — project these once, then derive rings and errors from the columns."""
+    v = F.try_parse_json(_c(text))
     typ = F.try_variant_get(v, "$.type", "string")
-    rings = rings_from_geojson(t)
+    poly = F.try_variant_get(v, "$.coordinates", "array<array<array<double>>>")
+    multi = F.try_variant_get(v, "$.coordinates", "array<array<array<array<double>>>>")
+    coords = F.when(typ == "Polygon", poly).when(typ == "MultiPolygon", F.flatten(multi))
+    return v.isNotNull(), typ, coords
+
 
-    def closed(r):
-        return (F.element_at(r, 1)["x"] == F.element_at(r, -1)["x"]) & \
-               (F.element_at(r, 1)["y"] == F.element_at(r, -1)["y"])
-    return (F.when(v.isNull(), F.lit("not valid JSON"))
+def rings_from_coords(coords) -> Column:
+    return F.transform(_c(coords), lambda ring: F.transform(ring, lambda p: pt(p[0], p[1])))
+
+
+def geojson_error_from(ok, typ, coords) -> Column:
+    """G1 validity from ``geojson_parts`` columns: NULL when valid, else the
+    first failure."""
+    ok, typ, coords = _c(ok), _c(typ), _c(coords)
+    return (F.when(~ok, F.lit("not valid JSON"))
             .when(~typ.isin("Polygon", "MultiPolygon"), F.concat(F.lit("unsupported geometry type: "),
                                                                F.coalesce(typ, F.lit("null"))))
-            .when(rings.isNull() | (F.size(rings) == 0), F.lit("coordinates are not rings of positions"))
-            .when(F.exists(rings, lambda r: F.size(r) < 4),
+            .when(coords.isNull() | (F.size(coords) == 0), F.lit("coordinates are not rings of positions"))
+            .when(F.exists(coords, lambda r: F.size(r) < 4),
                   F.lit("each linear ring must contain at least 4 positions"))
-            .when(F.exists(rings, lambda r: ~closed(r)),
+            .when(F.exists(coords, lambda r: F.element_at(r, 1) != F.element_at(r, -1)),
                   F.lit("the first and last positions in each linear ring must be equivalent")))
 
 
+def geojson_error(text) -> Column:
+    """G1 validity: NULL when valid, else the reason (first failure)."""
+    return geojson_error_from(*geojson_parts(text))
+
+
 def rings_from_wkt(text) -> Column:
     """G3 in: ``POLYGON((x y, ...), (...))`` → rings."""
     body = F.regexp_extract(F.upper(F.trim(_c(text))), r"^POLYGON\s*\(\((.*)\)\)$", 1)

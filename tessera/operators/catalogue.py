@@ -17,8 +17,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.fields import (common_timestamp, doc_variant, get_path, make_range,
-                                      search_field_columns)
+from tessera.functions.fields import (at, common_timestamp, doc_variant, field_specs, get_path,
+                                      make_range, parse_paths, search_field_struct)
 from tessera.functions.geometry import inverse_projection, rings_from_geojson
 from tessera.functions.names import epsg_code
 from tessera.sources.catalogue import (ARD_NAMES, EO3_NAMES, EO_CORNER_NAMES_V2, EO_NAMES_V1,
@@ -66,12 +66,13 @@ def dataset_view(dataset: DataFrame, dataset_type: DataFrame, metadata_type: Dat
         F.col("id").alias("_mt_id"), F.col("name").alias("metadata_type")))
     j = (d.join(dt, d.dataset_type_ref == dt._dt_id)
          .join(mt, F.col("_dt_mt") == F.col("_mt_id")))
-    j = j.withColumn("_doc", doc_variant("metadata"))
+    # Schema-on-read: parse each document once, reading only declared paths.
+    j = j.withColumn("_doc", parse_paths("metadata", field_specs(fields)))
     return j.select(
         "id", F.col("added").alias("indexed_time"), F.col("added_by").alias("indexed_by"),
         "product", F.col("dataset_type_ref").alias("dataset_type_id"), "metadata_type",
         F.col("metadata_type_ref").alias("metadata_type_id"), F.col("metadata").alias("metadata_doc"),
-        *search_field_columns("_doc", fields))
+        *[search_field_struct("_doc", spec).alias(name) for name, spec in fields.items()])
 
 
 def _types_named(metadata_type: DataFrame, names) -> DataFrame:
@@ -98,23 +99,31 @@ def space_view(dataset: DataFrame, metadata_type: DataFrame, version: str = "v1"
     three branches — eo3 lat/lon ranges, eo corner points, and projected
     GeoJSON geometry of ARD documents transformed to lon/lat."""
     v2 = version == "v2"
-    d = active(dataset, v2).select("id", "metadata_type_ref", doc_variant("metadata").alias("doc"))
+    base = active(dataset, v2).select("id", "metadata_type_ref", "metadata")
+
+    def typed(names, specs):
+        # Filter on the type first, then parse only the matching documents,
+        # reading only the paths this branch needs.
+        return of_type_names(base, metadata_type, names).select(
+            "id", parse_paths("metadata", specs).alias("doc"))
 
     def g(*p):
-        return get_path("doc", list(p), "double")
+        return at("doc", list(p)).cast("double")
 
-    ranges = of_type_names(d, metadata_type, EO3_NAMES).select(
+    rng = [(["extent", a, b], "double") for a in ("lat", "lon") for b in ("begin", "end")]
+    ranges = typed(EO3_NAMES, rng).select(
         "id", _box_ring(g("extent", "lon", "begin"), g("extent", "lat", "begin"),
                         g("extent", "lon", "end"), g("extent", "lat", "end")).alias("rings"))
     corner_names = EO_CORNER_NAMES_V2 if v2 else EO_NAMES_V1
+    crn = [(["extent", "coord", k, a], "double") for k in ("ll", "lr", "ur", "ul") for a in ("lat", "lon")]
     c = {k: (g("extent", "coord", k, "lon"), g("extent", "coord", k, "lat"))
          for k in ("ll", "lr", "ur", "ul")}
-    corners = of_type_names(d, metadata_type, corner_names).select(
+    corners = typed(corner_names, crn).select(
         "id", F.array(F.array(_pt(*c["ll"]), _pt(*c["lr"]), _pt(*c["ur"]), _pt(*c["ul"]),
                               _pt(*c["ll"]))).alias("rings"))
-    ard = of_type_names(d, metadata_type, ARD_NAMES)
-    srid = epsg_code(get_path("doc", ["crs"], "string"))
-    rings = rings_from_geojson(get_path("doc", ["geometry"], "variant").cast("string"))
+    ard = typed(ARD_NAMES, [(["crs"], "string"), (["geometry"], "string")])
+    srid = epsg_code(at("doc", ["crs"]))
+    rings = rings_from_geojson(at("doc", ["geometry"]))
     geo = ard.select("id", inverse_projection(rings, srid).alias("rings"))
     return (ranges.unionByName(corners).unionByName(geo).distinct()
             .withColumn("srid", F.lit(4326)))
@@ -130,36 +139,44 @@ def time_view(dataset: DataFrame, metadata_type: DataFrame, version: str = "v1")
         archived rows excluded.
     """
     v2 = version == "v2"
-    d = active(dataset, v2).select("id", "dataset_type_ref", "metadata_type_ref",
-                                   doc_variant("metadata").alias("doc"))
+    base = active(dataset, v2).select("id", "dataset_type_ref", "metadata_type_ref", "metadata")
+
+    def typed(names):
+        specs = [(["extent", k], "string") for k in ("from_dt", "to_dt", "center_dt")] + \
+                [(["properties", k], "string") for k in ("datetime", "dtr:start_datetime", "dtr:end_datetime")]
+        return of_type_names(base, metadata_type, names).select(
+            "id", "dataset_type_ref", parse_paths("metadata", specs).alias("doc"))
+
+    def raw(*p):
+        return at("doc", list(p))
 
     def ts(*p):
-        return common_timestamp(get_path("doc", list(p), "string"))
+        return common_timestamp(raw(*p))
 
     if not v2:
-        eo = of_type_names(d, metadata_type, EO_NAMES_V1).select(
+        eo = typed(EO_NAMES_V1).select(
             "dataset_type_ref", "id", make_range(
                 ts("extent", "from_dt"), ts("extent", "to_dt") + F.expr("INTERVAL 0.000001 SECOND"),
                 "[)").alias("temporal_extent"))
-        eo3 = of_type_names(d, metadata_type, EO3_NAMES).select(
+        eo3 = typed(EO3_NAMES).select(
             "dataset_type_ref", "id", make_range(
                 ts("properties", "datetime"), ts("properties", "datetime") + F.expr("INTERVAL 1 DAY"),
                 "[)").alias("temporal_extent"))
-        ard = of_type_names(d, metadata_type, ARD_NAMES).select(
+        ard = typed(ARD_NAMES).select(
             "dataset_type_ref", "id", make_range(
                 ts("properties", "dtr:start_datetime"), ts("properties", "dtr:end_datetime"),
                 "[)").alias("temporal_extent"))
         return eo.unionByName(eo3).unionByName(ard).distinct()
     frm = ts("extent", "from_dt")
-    eo = of_type_names(d, metadata_type, EO_NAMES_V2).select(
+    eo = typed(EO_NAMES_V2).select(
         "dataset_type_ref", "id", F.when(
-            get_path("doc", ["extent", "from_dt"], "string").isNull(),
+            raw("extent", "from_dt").isNull(),
             make_range(ts("extent", "center_dt"), ts("extent", "center_dt"), "[]"))
         .otherwise(make_range(frm, ts("extent", "to_dt"), "[]")).alias("temporal_extent"))
-    eo3 = of_type_names(d, metadata_type, (*ARD_NAMES, *EO3_NAMES)).select(
+    eo3 = typed((*ARD_NAMES, *EO3_NAMES)).select(
         "dataset_type_ref", "id", make_range(
-            common_timestamp(F.coalesce(get_path("doc", ["properties", "dtr:start_datetime"]),
-                                        get_path("doc", ["properties", "datetime"]))),
+            common_timestamp(F.coalesce(raw("properties", "dtr:start_datetime"),
+                                        raw("properties", "datetime"))),
             F.coalesce(ts("properties", "dtr:end_datetime"), ts("properties", "datetime")),
             "[]").alias("temporal_extent"))
     return eo.unionByName(eo3).distinct()

@@ -109,6 +109,8 @@ LENS_MEASUREMENTS = [
 ]
 
 TS_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSS'Z'"
+# Bump when the rendered documents change, so stored copies are rebuilt.
+LENS_VERSION = "scenes-v1"
 
 
 def mtype_name(regionkey: Column, region_name: Column) -> Column:
@@ -293,28 +295,15 @@ def render_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("lens").alias("added_by"))
 
 
-def _hadoop_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dataset table as stored: the lens is ingested once per input into
     Parquet under the shared checkpoint folder (as a catalogue dump is
-    loaded once), sorted by product and id so row groups prune on them;
-    later reads scan the stored documents instead of re-rendering them."""
-    import hashlib
-    from tessera.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    key = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:16]
-    path = f"{base}/catalogue/{key}/dataset"
-    if not _hadoop_exists(spark, f"{path}/_SUCCESS"):
-        (render_dataset(spark, sf_dir)
-         .repartitionByRange("dataset_type_ref", "id")
-         .sortWithinPartitions("dataset_type_ref", "id")
-         .write.mode("overwrite").parquet(path))
-    return spark.read.parquet(path)
+    loaded once), range-partitioned and sorted by product and id so row
+    groups prune on them; later reads scan the stored documents instead of
+    re-rendering them."""
+    from tessera.sources.tables import stored
+    return stored(spark, "dataset", LENS_VERSION, sf_dir, ("orders", "nation", "region"),
+                  lambda: render_dataset(spark, sf_dir), sort_cols=("dataset_type_ref", "id"))
 
 
 def dataset_location(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,6 +103,14 @@ def aoi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order documents as stored (rendered once per input, see
+    :func:`render_requests`)."""
+    from tessera.sources.tables import stored
+    return stored(spark, "requests", "requests-v1", sf_dir, ("orders", "region"),
+                  lambda: render_requests(spark, sf_dir), sort_cols=("order_id",))
+
+
+def render_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as order documents (JSON text), one per order key k.
 
     time_start = orderdate; time_end = orderdate + (k % 61 - 30) days, with a

@@ -15,12 +15,39 @@ DRIVER_TABLES = (
     "embeddings pages benchmark labels conversations").split()
 
 
+TABLE_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "customer": "c_custkey",
+              "supplier": "s_suppkey", "part": "p_partkey", "events": "event_id",
+              "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id",
+              "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id"}
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+def read_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
+    """Scan one table.  A scan that yields fewer partitions than the cluster
+    has cores (e.g. a file written as a single row group, which Parquet
+    cannot split) is spread round-robin over ``min_partitions`` (default:
+    the default parallelism) so per-row work after it runs on every core;
+    large inputs already have enough splits and are left alone."""
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target and _input_bytes(spark, path) > (1 << 20):
+        # Hash on the table's key column: deterministic placement (a retried
+        # task gets the same rows, no pre-sort needed as for round-robin) and
+        # only that column is added to the pruned scan.
+        key = TABLE_KEYS.get(name, df.columns[0])
+        df = df.repartition(target, key)
+    return df
+
+
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
@@ -34,3 +61,29 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def stored(spark: SparkSession, name: str, version: str, sf_dir: str, inputs, build,
+           sort_cols=None) -> DataFrame:
+    """A derived table written once to the shared checkpoint folder and read
+    back afterwards (as a catalogue or order store is loaded once, then
+    queried).  Keyed by the input files (path, size, modification time) and
+    ``version``, so changed inputs or a changed builder are rebuilt."""
+    import hashlib
+    from tessera.session import ensure_checkpoint_dir
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    stamp = []
+    for t in inputs:
+        hp = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, t))
+        st = hp.getFileSystem(conf).getFileStatus(hp)
+        stamp.append(f"{t}:{st.getLen()}:{st.getModificationTime()}")
+    key = hashlib.sha1("|".join([sf_dir.rstrip("/"), version, *stamp]).encode()).hexdigest()[:16]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored/{name}/{key}"
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not marker.getFileSystem(conf).exists(marker):
+        df = build()
+        if sort_cols:
+            df = df.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
