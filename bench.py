@@ -28,6 +28,7 @@ HEADLINE = [
     "j2_space_time_view",       # space x time join
     "a3_product_ranges",        # product ranges with projections and solar days
     "j4_tile_cells",            # scene x tile gridding
+    "x4_get_work_cells",        # get work: order -> cells -> batches
     "w2_key_batches",           # batching of tile keys
     "p9_polygon_search",        # exact polygon search
     "p17_validate_orders",      # order validation

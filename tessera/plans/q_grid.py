@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions import geometry as geo
 from tessera.operators import grid
 from tessera.operators.ranges import table_extent
+from tessera.plans.oracle_lenses import SCENE as SCENE_SQL
 from tessera.plans.q_catalogue import _round, albers_sql
 from tessera.plans.registry import query
 from tessera.sources.lenses import ROI_RING, aoi_table, footprints, roi_rings
@@ -221,3 +222,63 @@ def a9_aoi_union_membership(spark, sf_dir):
     hits = grid.points_in_regions(fp, "lon", "lat", union.select("_oid", "rings"), 1.0)
     return (hits.select("c_custkey", "lon", "lat").distinct()
             .select("c_custkey", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat")))
+
+
+# ------------------------------------------------------------------ get work (entry point A)
+
+def _pp_sql(a, b) -> str:
+    """SQL predicate: closed rings ``a`` and ``b`` (lists of (x, y) SQL
+    expressions, first point repeated last) share a point — a vertex of one
+    inside the other (even-odd), or two edges touching."""
+    def pip(p, ring):
+        terms = []
+        for (ax, ay), (bx, by) in zip(ring[:-1], ring[1:]):
+            terms.append(f"(CASE WHEN (({ay}) > ({p[1]})) <> (({by}) > ({p[1]})) AND "
+                         f"({p[0]}) < (({bx}) - ({ax})) * (({p[1]}) - ({ay})) / nullif(({by}) - ({ay}), 0) + ({ax}) "
+                         f"THEN 1 ELSE 0 END)")
+        return f"(({' + '.join(terms)}) % 2 = 1)"
+
+    def orient(p, q, r):
+        return f"sign((({q[0]}) - ({p[0]})) * (({r[1]}) - ({p[1]})) - (({q[1]}) - ({p[1]})) * (({r[0]}) - ({p[0]})))"
+
+    def touch(p1, p2, q1, q2):
+        return (f"({orient(p1, p2, q1)} * {orient(p1, p2, q2)} <= 0 AND {orient(q1, q2, p1)} * {orient(q1, q2, p2)} <= 0 "
+                f"AND least({p1[0]}, {p2[0]}) <= greatest({q1[0]}, {q2[0]}) AND least({q1[0]}, {q2[0]}) <= greatest({p1[0]}, {p2[0]}) "
+                f"AND least({p1[1]}, {p2[1]}) <= greatest({q1[1]}, {q2[1]}) AND least({q1[1]}, {q2[1]}) <= greatest({p1[1]}, {p2[1]}))")
+    conds = [pip(p, b) for p in a] + [pip(p, a) for p in b]
+    conds += [touch(a[i], a[i + 1], b[j], b[j + 1]) for i in range(len(a) - 1) for j in range(len(b) - 1)]
+    return "(" + " OR ".join(conds) + ")"
+
+
+_ROI_SQL = [(repr(x), repr(y)) for x, y in ROI_RING]
+_QUAD = [("lon - 0.5", "lat - 0.5"), ("lon + 0.5", "lat - 0.5"), ("lon + 0.55", "lat + 0.5"),
+         ("lon - 0.45", "lat + 0.5"), ("lon - 0.5", "lat - 0.5")]
+_TILE = [("t.tile_x", "t.tile_y"), ("t.tile_x + 1", "t.tile_y"), ("t.tile_x + 1", "t.tile_y + 1"),
+         ("t.tile_x", "t.tile_y + 1"), ("t.tile_x", "t.tile_y")]
+_ORDER = ('{"driver":"lens","time_start":"1996-01-01","time_end":"1996-12-31",'
+          '"boundary":{"type":"Polygon","coordinates":[[' +
+          ",".join(f"[{x},{y}]" for x, y in ROI_RING) + "]]}}")
+
+
+@query("x4_get_work_cells", covers=("P17", "P18", "P3", "P4", "P9", "P10", "J2", "J4", "J5", "A10", "W2"),
+       sql=f"""
+WITH {SCENE_SQL}, {TILES_1DEG},
+s AS (SELECT id, lon, lat FROM scene
+      WHERE mtype = 'eo' AND archived IS NULL AND dataset_type_ref IN (0, 5, 10, 15, 20)
+        AND t BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1996-12-31 00:00:00'),
+c AS (SELECT t.tile_x, t.tile_y, s.id FROM s JOIN tiles t
+        ON t.tile_x <= s.lon + 0.55 AND t.tile_x + 1 >= s.lon - 0.5
+       AND t.tile_y <= s.lat + 0.5 AND t.tile_y + 1 >= s.lat - 0.5
+      WHERE {_pp_sql(_QUAD, _TILE)} AND {_pp_sql(_QUAD, _ROI_SQL)} AND {_pp_sql(_TILE, _ROI_SQL)}),
+k AS (SELECT DISTINCT tile_x, tile_y FROM c),
+b AS (SELECT (row_number() OVER (ORDER BY tile_y, tile_x) - 1) // 8 AS batch_id, tile_x, tile_y FROM k)
+SELECT b.batch_id, c.tile_x, c.tile_y, c.id FROM c JOIN b USING (tile_x, tile_y)""")
+def x4_get_work_cells(spark, sf_dir):
+    """An order (concave region, 1996) over the scene catalogue: cells of
+    the eo products' active scenes on a 1° grid and their batches of 8."""
+    from tessera.plans.get_work import generate_tiles
+    from tessera.sources.catalogue import dataset, metadata_type
+    orders = spark.createDataFrame([(1, _ORDER)], "order_id long, order_json string")
+    batches, cells, _bad = generate_tiles(dataset(spark, sf_dir), metadata_type(spark, sf_dir), orders,
+                                          aoi_table(spark, sf_dir), (0, 5, 10, 15, 20), 1.0, 8)
+    return cells.join(batches, ["tile_x", "tile_y"]).select("batch_id", "tile_x", "tile_y", "id")

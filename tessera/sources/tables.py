@@ -59,8 +59,21 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     metadata types, regions); computed sides are left to AQE, which
     broadcasts at runtime from measured shuffle sizes.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    try:
+        key = (df._jdf.queryExecution().analyzed().semanticHash(), max_rows)
+    except Exception:  # pragma: no cover - plan not hashable
+        key = None
+    small = _SMALL.get(key) if key is not None else None
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _SMALL[key] = small
+    return F.broadcast(df) if small else df
+
+
+# Outcome of the bounded count per analysed plan, so a dimension table used
+# by several branches of one query is counted once.
+_SMALL: dict = {}
 
 
 def stored(spark: SparkSession, name: str, version: str, sf_dir: str, inputs, build,
