@@ -36,6 +36,23 @@ def of_products(df: DataFrame, ids, col: str = "dataset_type_ref") -> DataFrame:
     return df.where(F.col(col).isin(list(ids)))
 
 
+def search_index(dataset: DataFrame, lat=None, lon=None, time=None) -> DataFrame:
+    """Closed-range overlap search on the shredded index columns (P8, P10):
+    ``lat``/``lon`` = (lo, hi) degrees, ``time`` = (start, end).  These are
+    plain column comparisons, so Parquet pushes them into the scan and
+    skips row groups by min/max statistics; exact predicates run after."""
+    d = dataset
+    if lat is not None:
+        d = d.where((F.col("lat_hi") >= lat[0]) & (F.col("lat_lo") <= lat[1]))
+    if lon is not None:
+        d = d.where((F.col("lon_hi") >= lon[0]) & (F.col("lon_lo") <= lon[1]))
+    if time is not None:
+        t0 = F.lit(time[0]).cast("timestamp_ntz")
+        t1 = F.lit(time[1]).cast("timestamp_ntz")
+        d = d.where((F.col("t_hi") >= t0) & (F.col("t_lo") <= t1))
+    return d
+
+
 def declaration(metadata_type: DataFrame, mtype_id: int) -> dict:
     """Read one metadata type's search-field declaration (a single small
     row: schema information, not data)."""

@@ -110,7 +110,7 @@ LENS_MEASUREMENTS = [
 
 TS_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSS'Z'"
 # Bump when the rendered documents change, so stored copies are rebuilt.
-LENS_VERSION = "scenes-v1"
+LENS_VERSION = "scenes-v2"
 
 
 def mtype_name(regionkey: Column, region_name: Column) -> Column:
@@ -295,15 +295,42 @@ def render_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("lens").alias("added_by"))
 
 
+INDEX_COLUMNS = ("lat_lo", "lat_hi", "lon_lo", "lon_hi", "t_lo", "t_hi")
+
+
+def shred_search_extents(dataset: DataFrame) -> DataFrame:
+    """Index columns next to the document (the role of the catalogue's
+    spatial/temporal indexes): lat/lon/time ranges read through every
+    family's declaration (a document only has its own family's paths, so
+    the others are NULL and ``coalesce`` picks the right one).  Stored
+    sorted, their Parquet min/max statistics let searches skip row groups
+    and files (pushed filters) before any document is parsed."""
+    from tessera.functions.fields import field_specs, parse_paths, search_field_struct
+    wanted = ("lat", "lon", "time")
+    decls = [{k: v for k, v in fields.items() if k in wanted} for fields in SEARCH_FIELDS.values()]
+    specs = [sp for d in decls for sp in field_specs(d)]
+    d = dataset.withColumn("_ix", parse_paths("metadata", specs))
+    cols = {}
+    for name in wanted:
+        rs = [search_field_struct("_ix", d_[name]) for d_ in decls if name in d_]
+        cols[name] = (F.coalesce(*[r["lo"] for r in rs]), F.coalesce(*[r["hi"] for r in rs]))
+    return d.select(*dataset.columns,
+                    cols["lat"][0].cast("double").alias("lat_lo"), cols["lat"][1].cast("double").alias("lat_hi"),
+                    cols["lon"][0].cast("double").alias("lon_lo"), cols["lon"][1].cast("double").alias("lon_hi"),
+                    cols["time"][0].alias("t_lo"), cols["time"][1].alias("t_hi"))
+
+
 def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dataset table as stored: the lens is ingested once per input into
     Parquet under the shared checkpoint folder (as a catalogue dump is
-    loaded once), range-partitioned and sorted by product and id so row
-    groups prune on them; later reads scan the stored documents instead of
+    loaded once) with shredded index columns (:func:`shred_search_extents`),
+    range-partitioned and sorted by product and start time so row groups
+    prune on them; later reads scan the stored documents instead of
     re-rendering them."""
     from tessera.sources.tables import stored
     return stored(spark, "dataset", LENS_VERSION, sf_dir, ("orders", "nation", "region"),
-                  lambda: render_dataset(spark, sf_dir), sort_cols=("dataset_type_ref", "id"))
+                  lambda: shred_search_extents(render_dataset(spark, sf_dir)),
+                  sort_cols=("dataset_type_ref", "t_lo"))
 
 
 def dataset_location(spark: SparkSession, sf_dir: str) -> DataFrame:
