@@ -34,13 +34,22 @@ def pt(x, y) -> Column:
 
 # ----------------------------------------------------------------- G1 / G3
 
+_GJ = "struct<type:string,coordinates:string>"
+
+
+def _gj_coords(text) -> tuple[Column, Column]:
+    """(type, coordinates as rings of [x, y]) of GeoJSON text, read with
+    ``from_json`` (streaming parse of only these two members)."""
+    s = F.from_json(_c(text), _GJ)
+    typ = s["type"]
+    poly = F.from_json(s["coordinates"], "array<array<array<double>>>")
+    multi = F.from_json(s["coordinates"], "array<array<array<array<double>>>>")
+    return typ, F.when(typ == "Polygon", poly).when(typ == "MultiPolygon", F.flatten(multi))
+
+
 def rings_from_geojson(text) -> Column:
     """G1: GeoJSON Polygon / MultiPolygon text → rings (NULL if neither)."""
-    v = F.try_parse_json(_c(text))
-    typ = F.try_variant_get(v, "$.type", "string")
-    poly = F.try_variant_get(v, "$.coordinates", "array<array<array<double>>>")
-    multi = F.try_variant_get(v, "$.coordinates", "array<array<array<array<double>>>>")
-    coords = F.when(typ == "Polygon", poly).when(typ == "MultiPolygon", F.flatten(multi))
+    _typ, coords = _gj_coords(text)
     return F.transform(coords, lambda ring: F.transform(ring, lambda p: pt(p[0], p[1])))
 
 
@@ -52,12 +61,9 @@ def geojson_crs(text) -> Column:
 def geojson_parts(text) -> tuple[Column, Column, Column]:
     """(parsed-ok flag, geometry type, coordinates as rings of [x, y] arrays)
     — project these once, then derive rings and errors from the columns."""
-    v = F.try_parse_json(_c(text))
-    typ = F.try_variant_get(v, "$.type", "string")
-    poly = F.try_variant_get(v, "$.coordinates", "array<array<array<double>>>")
-    multi = F.try_variant_get(v, "$.coordinates", "array<array<array<array<double>>>>")
-    coords = F.when(typ == "Polygon", poly).when(typ == "MultiPolygon", F.flatten(multi))
-    return v.isNotNull(), typ, coords
+    typ, coords = _gj_coords(text)
+    ok = typ.isNotNull() | F.try_parse_json(_c(text)).isNotNull()
+    return ok, typ, coords
 
 
 def rings_from_coords(coords) -> Column:
