@@ -193,13 +193,13 @@ def s15_work_list(spark, sf_dir):
 
 
 @query("j6_key_lookup", covers=("J6", "S16"), sql=_KEYS_SQL + """,
-w AS (SELECT tile_x, tile_y FROM b WHERE batch_id = 3 UNION ALL SELECT 999, 999)
+w AS (SELECT tile_x, tile_y FROM b UNION ALL SELECT 999, 999)
 SELECT w.tile_x, w.tile_y, count(c.c_custkey) AS n_datasets, count(c.c_custkey) = 0 AS missing
 FROM w LEFT JOIN cells c ON c.tile_x = w.tile_x AND c.tile_y = w.tile_y GROUP BY w.tile_x, w.tile_y""")
 def j6_key_lookup(spark, sf_dir):
-    """Keys of one batch plus an unknown key looked up in the cell manifest."""
+    """Every worker's keys plus an unknown key looked up in the cell manifest."""
     cells, batches = _batches(spark, sf_dir)
-    work = batches.where("batch_id = 3").select("tile_x", "tile_y").unionByName(
+    work = batches.select("tile_x", "tile_y").unionByName(
         spark.range(1).select(F.lit(999).alias("tile_x"), F.lit(999).alias("tile_y")))
     found, missing = grid.lookup_cells(work, cells)
     hits = found.groupBy("tile_x", "tile_y").agg(F.count(F.lit(1)).alias("n_datasets"))

@@ -33,25 +33,26 @@ def _events(spark, sf_dir):
                     (F.col("user_id") % 360 - 180).cast("double").alias("lon"))
 
 
-@query("a6_solar_day_groups", covers=("A6", "P10"), sql=f"""
+@query("a6_solar_day_groups", covers=("A6",), sql=f"""
 WITH {EV}, s AS (
   SELECT *, user_id % 10 AS tile,
          CAST(ts + to_microseconds(CAST(round(lon * 240 * 1000000) AS BIGINT)) AS DATE) AS solar_day
-  FROM ev WHERE ts BETWEEN TIMESTAMP '2024-01-03 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'),
-r AS (SELECT *, row_number() OVER (PARTITION BY tile, solar_day ORDER BY ts, event_id) AS rn FROM s)
+  FROM ev),
+r AS (SELECT *, row_number() OVER (PARTITION BY tile, solar_day ORDER BY value IS NULL, ts, event_id) AS rn FROM s)
 SELECT tile, solar_day, count(*) AS n_events, max(CASE WHEN rn = 1 THEN round(value, 6) END) AS first_value
 FROM r GROUP BY tile, solar_day""")
 def a6_solar_day_groups(spark, sf_dir):
     """Observations of one tile on the same local solar day form one time
-    slice; the slice value is the first by acquisition order (``min_by``:
-    a partial aggregate, no per-group row collection)."""
-    e = _events(spark, sf_dir).where(F.col("ts").between(
-        F.lit("2024-01-03 00:00:00").cast("timestamp_ntz"), F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")))
+    slice; the slice value is the first valid one in acquisition order
+    (``min_by`` with NULL order keys for invalid values: a partial
+    aggregate, no per-group row collection)."""
+    e = _events(spark, sf_dir)
     s = e.select((F.col("user_id") % 10).alias("tile"), solar_day("ts", "lon").alias("solar_day"),
                  "value", "ts", "event_id")
     return s.groupBy("tile", "solar_day").agg(
         F.count(F.lit(1)).alias("n_events"),
-        F.round(F.min_by("value", F.struct("ts", "event_id")), 6).alias("first_value"))
+        F.round(F.min_by("value", F.when(F.col("value").isNotNull(), F.struct("ts", "event_id"))), 6)
+        .alias("first_value"))
 
 
 @query("f22_bit_flags", covers=("F22", "F24"), sql=f"""

@@ -61,9 +61,9 @@ def s7_walk(spark, sf_dir):
 
 @query("s8_object_info", covers=("S8",), sql=f"""
 WITH {INV},
-w AS (SELECT path AS wanted FROM inv WHERE page_id % 10 = 0
-      UNION SELECT regexp_extract(path, '^(.*)/[^/]+$', 1) FROM inv WHERE page_id % 10 = 1
-      UNION SELECT path || '.missing' FROM inv WHERE page_id % 10 = 2),
+w AS (SELECT path AS wanted FROM inv
+      UNION SELECT regexp_extract(path, '^(.*)/[^/]+$', 1) FROM inv
+      UNION SELECT path || '.missing' FROM inv),
 d AS (SELECT DISTINCT array_to_string(list_slice(string_split(path, '/'), 1, n), '/') AS dir
       FROM inv, range(1, 10) r(n) WHERE n < len(string_split(path, '/')))
 SELECT w.wanted, (i.path IS NOT NULL OR d.dir IS NOT NULL) AS exists, i.path IS NOT NULL AS isfile,
@@ -71,14 +71,13 @@ SELECT w.wanted, (i.path IS NOT NULL OR d.dir IS NOT NULL) AS exists, i.path IS
        CASE WHEN i.path IS NOT NULL THEN 'file' WHEN d.dir IS NOT NULL THEN 'directory' END AS type
 FROM w LEFT JOIN inv i ON i.path = w.wanted LEFT JOIN d ON d.dir = w.wanted""")
 def s8_object_info(spark, sf_dir):
-    """exists / isfile / isdir / size for a batch of keys (some missing)."""
-    inv_full = page_inventory(spark, sf_dir)
-    wanted = (inv_full.where("page_id % 10 = 0").select(F.col("path").alias("wanted"))
-              .unionByName(inv_full.where("page_id % 10 = 1").select(
-                  F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("wanted")))
-              .unionByName(inv_full.where("page_id % 10 = 2").select(
-                  F.concat("path", F.lit(".missing")).alias("wanted"))))
-    return src.info(_inv(spark, sf_dir), wanted)
+    """exists / isfile / isdir / size for every object, every object's
+    folder and a missing sibling of every object."""
+    inv = _inv(spark, sf_dir)
+    wanted = (inv.select(F.col("path").alias("wanted"))
+              .unionByName(inv.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("wanted")))
+              .unionByName(inv.select(F.concat("path", F.lit(".missing")).alias("wanted"))))
+    return src.info(inv, wanted)
 
 
 @query("s9_du_rollup", covers=("S9", "A11"), sql=f"""
@@ -115,24 +114,24 @@ SELECT i.path AS src, 'backup/' || b.bucket || '/en/' || substring(i.path, lengt
        i.length
 FROM b JOIN inv i ON starts_with(i.path, b.bucket || '/en/')
 UNION ALL
-SELECT path, 'archive/' || regexp_extract(path, '([^/]*)$', 1), length FROM inv WHERE page_id % 5 = 0
+SELECT path, 'archive/' || regexp_extract(path, '([^/]*)$', 1), length FROM inv
 UNION ALL
-SELECT path, 'single/' || CAST(page_id AS VARCHAR) || '.bin', length FROM inv WHERE page_id % 7 = 0""")
+SELECT path, 'single/' || CAST(page_id AS VARCHAR) || '.bin', length FROM inv""")
 def s11_copy_plan(spark, sf_dir):
     """Copy requests expanded to object pairs: each bucket's 'en' folder
-    into 'backup/<bucket>/' (directory lands under its basename), every 5th
-    object into 'archive/' (trailing slash = into folder), every 7th to a
-    file name (no trailing slash).  Sources given as 's3://', '/' or bare
-    keys are normalised first."""
+    into 'backup/<bucket>/' (directory lands under its basename), every
+    object into 'archive/' (trailing slash = into folder) and to a file
+    name (no trailing slash).  Sources given as 's3://', '/' or bare keys
+    are normalised first."""
     inv_full = page_inventory(spark, sf_dir)
     inv = inv_full.select("path", "length")
     buckets = inv.select(F.regexp_extract("path", "^([^/]+)", 1).alias("b")).distinct()
     reqs = (buckets.select(F.concat(F.lit("s3://"), "b", F.lit("/en")).alias("src"),
                            F.concat(F.lit("backup/"), "b", F.lit("/")).alias("dst"), F.lit(True).alias("recursive"))
-            .unionByName(inv_full.where("page_id % 5 = 0").select(
+            .unionByName(inv_full.select(
                 F.concat(F.lit("/"), "path").alias("src"), F.lit("archive/").alias("dst"),
                 F.lit(False).alias("recursive")))
-            .unionByName(inv_full.where("page_id % 7 = 0").select(
+            .unionByName(inv_full.select(
                 F.col("path").alias("src"), F.format_string("single/%d.bin", F.col("page_id")).alias("dst"),
                 F.lit(False).alias("recursive"))))
     reqs = reqs.withColumn("src", normalise_key("src"))
