@@ -110,7 +110,7 @@ LENS_MEASUREMENTS = [
 
 TS_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSS'Z'"
 # Bump when the rendered documents change, so stored copies are rebuilt.
-LENS_VERSION = "scenes-v2"
+LENS_VERSION = "scenes-v3"
 
 
 def mtype_name(regionkey: Column, region_name: Column) -> Column:

@@ -106,7 +106,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order documents as stored (rendered once per input, see
     :func:`render_requests`)."""
     from tessera.sources.tables import stored
-    return stored(spark, "requests", "requests-v1", sf_dir, ("orders", "region"),
+    return stored(spark, "requests", "requests-v2", sf_dir, ("orders", "region"),
                   lambda: render_requests(spark, sf_dir), sort_cols=("order_id",))
 
 

@@ -97,6 +97,9 @@ def stored(spark: SparkSession, name: str, version: str, sf_dir: str, inputs, bu
     if not marker.getFileSystem(conf).exists(marker):
         df = build()
         if sort_cols:
-            df = df.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
+            # At least two files per core so later scans use every core.
+            n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                    2 * spark.sparkContext.defaultParallelism)
+            df = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
