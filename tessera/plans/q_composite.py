@@ -13,7 +13,7 @@ from tessera.sources.lenses import observations
 _P = COMPOSITE_PRODUCT
 
 
-@query("a7_monthly_median", covers=("S14", "P5", "P7", "P15", "P16", "F20", "J8", "W1", "A7", "F9", "F15", "X4"), sql=f"""
+REGISTRY_SQL_A7 = f"""
 WITH {OBS}, {MS}, {TILE_MONTHS}
 SELECT {name_sql(_P, 'p.tile_x', 'p.tile_y', 'c.month')} AS name,
        p.tile_x, p.tile_y, p.px, p.py, c.month,
@@ -22,12 +22,22 @@ SELECT {name_sql(_P, 'p.tile_x', 'p.tile_y', 'c.month')} AS name,
 FROM pix p JOIN cal c ON c.tile_x = p.tile_x AND c.tile_y = p.tile_y
 LEFT JOIN ms o ON o.tile_x = p.tile_x AND o.tile_y = p.tile_y AND o.px = p.px AND o.py = p.py
      AND o.t BETWEEN c.month AND c.month + INTERVAL 1 MONTH
-GROUP BY ALL""")
+GROUP BY ALL"""
+
+
+@query("a7_monthly_median", covers=("S14", "P5", "P7", "P15", "P16", "F20", "J8", "W1", "A7", "F9", "F15", "X4"), sql=REGISTRY_SQL_A7)
 def a7_monthly_median(spark, sf_dir):
     """Flagship: masked, scaled monthly median of every tile, pixel, month."""
     return monthly_median_products(observations(spark, sf_dir))
 
 
+@query("a7_monthly_median_ranked", covers=("A7", "J8", "W1"), sql=REGISTRY_SQL_A7)
+def a7_monthly_median_ranked(spark, sf_dir):
+    """The flagship with the rank-based exact median: no group's values are
+    gathered in one task or buffer (continuous bands, hot pixel-months)."""
+    return monthly_median_products(observations(spark, sf_dir), method="ranked")
+
+
 # ------------------------------------------------------------------ composite parts
 
 from tessera.functions.names import month_end_label  # noqa: E402

@@ -63,3 +63,14 @@ def test_geomedian_beats_mean_and_paths_agree(spark):
     for k in o1:
         assert o1[k] <= o2[k] + 1e-9
         assert abs(o1[k] - o3[k]) < 1e-6
+
+
+def test_ranked_median_matches_median_including_one_hot_group(spark):
+    from tessera.operators.composite import ranked_median
+    obs = observations(spark, SF_SMALL)
+    long = obs.select("tile_x", "px", F.col("green").alias("value"))
+    a = {tuple(r[:2]): r[2] for r in ranked_median(long, ["tile_x", "px"]).collect()}
+    b = {tuple(r[:2]): r[2] for r in long.groupBy("tile_x", "px").agg(F.median("value")).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in b)
+    hot = long.withColumn("g", F.lit(1)).repartition(6)
+    assert abs(ranked_median(hot, ["g"]).first()[1] - long.agg(F.median("value")).first()[0]) < 1e-9
