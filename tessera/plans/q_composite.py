@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions.names import COMPOSITE_PRODUCT
-from tessera.plans.do_work import monthly_median_products
+from tessera.functions.pixels import decode_flag, from_reflectance, make_mask
+from tessera.operators.composite import geomedian, month_keys, tile_month_range
+from tessera.plans.do_work import CLEAR_MASK, mask_and_scale, monthly_median_products
 from tessera.plans.oracle_lenses import MS, OBS, TILE_MONTHS, name_sql
 from tessera.plans.registry import query
-from tessera.sources.lenses import observations
+from tessera.sources.lenses import OBS_FLAGS, observations
 
 _P = COMPOSITE_PRODUCT
 
@@ -40,13 +42,6 @@ def a7_monthly_median_ranked(spark, sf_dir):
 
 # ------------------------------------------------------------------ composite parts
 
-from tessera.functions.names import month_end_label  # noqa: E402
-from tessera.functions.pixels import from_reflectance  # noqa: E402
-from tessera.operators.composite import geomedian, month_keys, tile_month_range  # noqa: E402
-from tessera.plans.do_work import CLEAR_MASK, mask_and_scale  # noqa: E402
-from tessera.functions.pixels import decode_flag, make_mask  # noqa: E402
-from tessera.sources.lenses import OBS_FLAGS  # noqa: E402
-
 
 @query("a13_tile_month_range", covers=("A13", "F15"), sql=f"""
 WITH {OBS}, {TILE_MONTHS} SELECT tile_x, tile_y, m0 AS first_month, m1 AS last_month FROM tiles""")
