@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as geo
@@ -282,3 +284,38 @@ def x4_get_work_cells(spark, sf_dir):
     batches, cells, _bad = generate_tiles(dataset(spark, sf_dir), metadata_type(spark, sf_dir), orders,
                                           aoi_table(spark, sf_dir), (0, 5, 10, 15, 20), 1.0, 8)
     return cells.join(batches, ["tile_x", "tile_y"]).select("batch_id", "tile_x", "tile_y", "id")
+
+
+def _utm_sql(lon: str, lat: str, zone: str, south: str) -> tuple[str, str]:
+    from tessera.functions.geometry import K0_UTM, _kruger
+    n, A, alpha, _, _ = _kruger()
+    k = 2 * math.sqrt(n) / (1 + n)
+    phi, lam = f"radians({lat})", f"radians({lon} - ({zone} * 6.0 - 183.0))"
+    t = f"sinh(atanh(sin({phi})) - {k!r} * atanh({k!r} * sin({phi})))"
+    xi = f"atan2({t}, cos({lam}))"
+    eta = f"atanh(sin({lam}) / sqrt(1.0 + ({t}) * ({t})))"
+    e_sum = " + ".join([eta] + [f"{a!r} * cos({2 * j} * {xi}) * sinh({2 * j} * {eta})"
+                                for j, a in enumerate(alpha, start=1)])
+    n_sum = " + ".join([xi] + [f"{a!r} * sin({2 * j} * {xi}) * cosh({2 * j} * {eta})"
+                               for j, a in enumerate(alpha, start=1)])
+    x = f"(500000.0 + {K0_UTM * A!r} * ({e_sum}))"
+    y = f"((CASE WHEN {south} THEN 10000000.0 ELSE 0.0 END) + {K0_UTM * A!r} * ({n_sum}))"
+    return x, y
+
+
+_UX, _UY = _utm_sql("lon", "lat", "zone", "lat < 0")
+
+
+@query("g5_utm_projection", covers=("G5", "G4"), sql=f"""
+WITH {FP}, z AS (SELECT c_custkey, lon, lat, CAST(floor((lon + 180) / 6) + 1 AS INTEGER) AS zone FROM fp)
+SELECT c_custkey, zone, CASE WHEN lat < 0 THEN 32700 + zone ELSE 32600 + zone END AS srid,
+       round({_UX}, 3) AS x, round({_UY}, 3) AS y FROM z""")
+def g5_utm_projection(spark, sf_dir):
+    """Footprint centres projected to their own UTM zone (EPSG:326zz north,
+    327zz south) with the Krüger series; the SRID is a per-row column."""
+    fp = footprints(spark, sf_dir)
+    zone = (F.floor((F.col("lon") + 180) / 6) + 1).cast("int")
+    srid = F.when(F.col("lat") < 0, F.lit(32700) + zone).otherwise(F.lit(32600) + zone)
+    p = fp.select("c_custkey", zone.alias("zone"), srid.alias("srid"), "lon", "lat").select(
+        "c_custkey", "zone", "srid", geo.project_point("lon", "lat", F.col("srid")).alias("p"))
+    return p.select("c_custkey", "zone", "srid", F.round("p.x", 3).alias("x"), F.round("p.y", 3).alias("y"))
