@@ -16,6 +16,7 @@ Mercator / UTM on WGS84 by the 4th-order Krüger series (EPSG:326zz north,
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column
@@ -24,6 +25,26 @@ from pyspark.sql import functions as F
 RINGS_TYPE = "array<array<struct<x:double,y:double>>>"
 
 
+def _memo(fn):
+    """Reuse the Column built for the same column names / constants.
+
+    Building a nested higher-order expression costs thousands of calls
+    into the JVM on the driver; the resulting (unresolved) Column does not
+    depend on any DataFrame, so one built from plain names is reused."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        plain = (str, int, float, bool, type(None))
+        if all(isinstance(a, plain) for a in args) and all(isinstance(v, plain) for v in kwargs.values()):
+            key = (args, tuple(sorted(kwargs.items())))
+            if key not in cache:
+                cache[key] = fn(*args, **kwargs)
+            return cache[key]
+        return fn(*args, **kwargs)
+    return wrapper
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -37,6 +58,7 @@ def pt(x, y) -> Column:
 _GJ = "struct<type:string,coordinates:string>"
 
 
+@_memo
 def _gj_coords(text) -> tuple[Column, Column]:
     """(type, coordinates as rings of [x, y]) of GeoJSON text, read with
     ``from_json`` (streaming parse of only these two members)."""
@@ -47,6 +69,7 @@ def _gj_coords(text) -> tuple[Column, Column]:
     return typ, F.when(typ == "Polygon", poly).when(typ == "MultiPolygon", F.flatten(multi))
 
 
+@_memo
 def rings_from_geojson(text) -> Column:
     """G1: GeoJSON Polygon / MultiPolygon text → rings (NULL if neither)."""
     _typ, coords = _gj_coords(text)
@@ -58,6 +81,7 @@ def geojson_crs(text) -> Column:
     return F.try_variant_get(F.try_parse_json(_c(text)), "$.crs.properties.name", "string")
 
 
+@_memo
 def geojson_parts(text) -> tuple[Column, Column, Column]:
     """(parsed-ok flag, geometry type, coordinates as rings of [x, y] arrays)
     — project these once, then derive rings and errors from the columns."""
@@ -84,6 +108,7 @@ def geojson_error_from(ok, typ, coords) -> Column:
                   F.lit("the first and last positions in each linear ring must be equivalent")))
 
 
+@_memo
 def geojson_error(text) -> Column:
     """G1 validity: NULL when valid, else the reason (first failure)."""
     return geojson_error_from(*geojson_parts(text))
@@ -99,6 +124,7 @@ def rings_from_wkt(text) -> Column:
                      F.split(F.trim(p), r"\s+")[1].cast("double"))))
 
 
+@_memo
 def wkt(rings, fmt: str = "%.6f") -> Column:
     """G3 out: rings → ``POLYGON((x y, ...), (...))`` text."""
     ring_txt = F.transform(_c(rings), lambda r: F.concat(F.lit("("), F.array_join(
@@ -113,6 +139,7 @@ def box_rings(x0, y0, x1, y1) -> Column:
 
 # ----------------------------------------------------------------- bbox, A12
 
+@_memo
 def bbox(rings) -> Column:
     """struct<xmin, ymin, xmax, ymax> of all vertices."""
     pts = F.flatten(_c(rings))
@@ -198,6 +225,7 @@ def box_distance(a, b) -> Column:
 
 # ----------------------------------------------------------------- G8
 
+@_memo
 def edges(rings) -> Column:
     """All ring edges as array<struct<a, b>>."""
     return F.flatten(F.transform(_c(rings), lambda r: F.zip_with(
@@ -205,6 +233,7 @@ def edges(rings) -> Column:
         lambda a, b: F.struct(a.alias("a"), b.alias("b")))))
 
 
+@_memo
 def point_in_rings(p, rings) -> Column:
     """Even-odd rule over every ring (holes and parts included)."""
     p = _c(p)
@@ -232,6 +261,7 @@ def segments_touch(e, f) -> Column:
     return (o1 * o2 <= 0) & (o3 * o4 <= 0) & boxes
 
 
+@_memo
 def intersects(a, b) -> Column:
     """Polygons share a point (boundary contact included)."""
     a, b = _c(a), _c(b)
@@ -401,11 +431,13 @@ def unproject_point(x, y, srid) -> Column:
             .when(is_utm, pt(*utm_inverse(x, y, zone, south))))
 
 
+@_memo
 def project_rings(rings, srid) -> Column:
     return F.transform(_c(rings), lambda r: F.transform(
         r, lambda p: project_point(p["x"], p["y"], srid)))
 
 
+@_memo
 def inverse_projection(rings, srid) -> Column:
     """Rings in ``srid`` → rings in lon/lat."""
     return F.transform(_c(rings), lambda r: F.transform(

@@ -44,11 +44,12 @@ def tile_cells(scenes: DataFrame, size: float, rings: str = "rings", srid=None,
              .withColumn("tile_y", F.explode(touching_tile_range("_bb.ymin", "_bb.ymax", size))))
     tile = box_rings(F.col("tile_x") * size, F.col("tile_y") * size,
                      (F.col("tile_x") + 1) * size, (F.col("tile_y") + 1) * size)
+    cand = cand.withColumn("_tile", tile)
     if exact:
-        cand = cand.where(intersects(rings, tile))
+        cand = cand.where(intersects(rings, "_tile"))
     if region is not None:
-        cand = cand.where(intersects(region, tile))
-    return cand.drop("_bb")
+        cand = cand.withColumn("_region", region).where(intersects("_region", "_tile")).drop("_region")
+    return cand.drop("_bb", "_tile")
 
 
 def region_tiles(regions: DataFrame, size: float, rings: str = "rings") -> DataFrame:
@@ -67,11 +68,10 @@ def points_in_regions(points: DataFrame, x: str, y: str, regions: DataFrame, siz
     from tessera.functions.geometry import edges, point_in_rings, pt, segments_touch
     pts = points.withColumn("_gx", F.floor(F.col(x) / size).cast("int")) \
                 .withColumn("_gy", F.floor(F.col(y) / size).cast("int"))
-    j = pts.join(region_tiles(regions, size, rings), ["_gx", "_gy"])
-    p = pt(x, y)
-    inside = point_in_rings(p, rings) | F.exists(
-        edges(rings), lambda e: segments_touch(e, F.struct(p.alias("a"), p.alias("b"))))
-    return j.where(inside).drop("_gx", "_gy")
+    j = pts.join(region_tiles(regions, size, rings), ["_gx", "_gy"]).withColumn("_p", pt(x, y))
+    inside = point_in_rings("_p", rings) | F.exists(
+        edges(rings), lambda e: segments_touch(e, F.struct(F.col("_p").alias("a"), F.col("_p").alias("b"))))
+    return j.where(inside).drop("_gx", "_gy", "_p")
 
 
 def distinct_keys(cells: DataFrame) -> DataFrame:
