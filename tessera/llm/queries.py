@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chunks, mixing, neardup, suffix, tokens, toxicity
+from tessera.llm import ann, chunks, decontam, mixing, neardup, quality, suffix, tokens, toxicity
 from tessera.llm.common import read
 
 
@@ -12,6 +12,10 @@ def op1_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return tokens.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -25,15 +29,25 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op7_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.repeated_passages(read(spark, sf_dir, "documents")).drop("key")
 
 
+def op9_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeated_strings(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity_fm, op4_token_counts, op5_minhash_neardup, op6_mixing, op8_substring_dedup, op10_suffix_dedup)}
+    op1_toxicity_fm, op3_decontamination, op4_token_counts, op5_minhash_neardup, op6_mixing, op7_quality_pu,
+    op8_substring_dedup, op9_one_bit_neighbours, op10_suffix_dedup)}
 
 ORACLE: dict[str, str] = {}
