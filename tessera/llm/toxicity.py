@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, cut, mix, powers, prefix_hash
+from tessera.llm.common import LOWER, cut, mix, powers, prefix_hash, sorted_unique
 
 SLOTS = 1 << 18
 PREFIXES = (6, 8)
@@ -61,7 +61,7 @@ def terms(text: str | None) -> np.ndarray:
         a, b = starts[long], stop[long]
         h, n = np.unique(mix((p[b] - p[a]) * up[a] + np.uint64(kind)), return_counts=True)
         found += [h, *(mix(h[n >= times] + np.uint64(times)) for times in (2, 3))]
-    return np.unique(np.concatenate(found) >> np.uint64(64 - 18)).astype(np.int64)
+    return sorted_unique(np.concatenate(found) >> np.uint64(64 - 18)).astype(np.int64)
 
 
 class Machine:
@@ -99,7 +99,7 @@ def select_slots(slots: np.ndarray, rows: np.ndarray, y: np.ndarray, n_terms: in
 
 
 def fit(term_lists: list[np.ndarray], y: np.ndarray, n_terms: int = N_TERMS, factors: int = FACTORS,
-        steps: int = 3000, seed: int = 5) -> Machine:
+        steps: int = 2500, seed: int = 5) -> Machine:
     y = np.asarray(y, np.float64)
     share = (y.sum() + 0.5) / (len(y) + 1)
     if not len(y) or not 0 < y.sum() < len(y):
@@ -113,25 +113,26 @@ def fit(term_lists: list[np.ndarray], y: np.ndarray, n_terms: int = N_TERMS, fac
     on = place[slots] >= 0
     x[rows[on], place[slots[on]]] = 1
     rng = np.random.default_rng(seed)
-    params = [np.array([np.log(share / (1 - share))]), np.zeros(len(chosen)), rng.normal(0, 0.02, (len(chosen), factors))]
+    params = [np.array([np.log(share / (1 - share))], np.float32), np.zeros(len(chosen), np.float32),
+              rng.normal(0, 0.02, (len(chosen), factors)).astype(np.float32)]
     m, s, t = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     for _ in range(max(10, -(-steps * 256 // len(y)))):
         order = rng.permutation(len(y))
         for i in range(0, len(order), 256):
             pick = order[i:i + 256]
-            xb = x[pick].astype(np.float64)
+            xb = x[pick].astype(np.float32)
             w0, w, v = params
             sv = xb @ v
             z = w0 + xb @ w + 0.5 * (sv * sv - xb @ (v * v)).sum(axis=1)
-            e = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[pick]) / len(pick)
+            e = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[pick].astype(np.float32)) / np.float32(len(pick))
             ex = xb.T * e
-            grad = [np.array([e.sum()]), ex.sum(axis=1) + 2e-4 * w, ex @ sv - v * ex.sum(axis=1)[:, None] + 2e-3 * v]
+            grad = [e.sum(keepdims=True), ex.sum(axis=1) + 2e-4 * w, ex @ sv - v * ex.sum(axis=1)[:, None] + 2e-3 * v]
             t += 1
             for k, g in enumerate(grad):
                 m[k] = 0.9 * m[k] + 0.1 * g
                 s[k] = 0.999 * s[k] + 0.001 * g * g
                 params[k] = params[k] - 0.01 * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.999**t)) + 1e-8)
-    return Machine(chosen, params[0][0], params[1], params[2])
+    return Machine(chosen, params[0][0], params[1].astype(np.float64), params[2].astype(np.float64))
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
