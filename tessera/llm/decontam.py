@@ -136,20 +136,24 @@ class Items:
 HITS = "doc_id long, items array<struct<item_id:long,distance:int>>"
 
 
+def slices(benchmark: DataFrame, budget: float = BUDGET, min_words: int = MIN_WORDS):
+    """The items, a slice of bounded size at a time."""
+    bench = cut(benchmark.where("item_id IS NOT NULL AND text IS NOT NULL")
+                .select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct(), "items")
+    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, math.ceil(size / SLICE_BYTES))
+    for part in range(n):
+        some = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == part)
+        yield Items(sorted((r.item_id, r.text) for r in some.collect()), budget, min_words)
+
+
 def find(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, items) of the documents with hits, one row each; ``items``
     holds (item_id, smallest distance), by item_id."""
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL") \
         .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    bench = cut(benchmark.where("item_id IS NOT NULL AND text IS NOT NULL")
-                .select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct(), "items")
-    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    slices = max(1, math.ceil(size / SLICE_BYTES))
     found = None
-    for part in range(slices):
-        some = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == part)
-        items = Items(sorted((r.item_id, r.text) for r in some.collect()), budget, min_words)
-
+    for items in slices(benchmark, budget, min_words):
         def run(batches, items=items):
             for batch in batches:
                 hits = [items.hits(t) for t in batch.column(1).to_pylist()]
@@ -167,6 +171,18 @@ def find(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, min_word
     return best.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("item_id", "distance"))).alias("items"))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, min_words: int = MIN_WORDS) -> DataFrame:
+    """The rows of ``docs`` without a hit, all columns; nothing is shuffled."""
+    at = docs.columns.index("text")
+    for items in slices(benchmark, budget, min_words):
+        def run(batches, items=items):
+            for batch in batches:
+                yield batch.filter(pa.array([not items.hits(t) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, contaminated, item_ids, distances for every row of ``docs``."""
     hits = cut(find(docs, benchmark, budget, min_words), "leaks")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import ann, chunks, decontam, mixing, neardup, quality, suffix, tokens, toxicity
+from tessera.llm import ann, chunks, decontam, licenses, mixing, neardup, quality, suffix, tokens, toxicity
 from tessera.llm.common import read
 
 
@@ -12,6 +13,15 @@ def op1_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source / ten thousands / hundreds / id."""
+    docs = read(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.floor(F.col("doc_id") / 10000).cast("string"),
+                       F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = docs.select(F.col("doc_id").alias("key"), F.when(F.col("doc_id").isNotNull(), path).alias("path"), "text")
+    return licenses.scan(files).withColumnRenamed("key", "doc_id")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -47,7 +57,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity_fm, op3_decontamination, op4_token_counts, op5_minhash_neardup, op6_mixing, op7_quality_pu,
+    op1_toxicity_fm, op2_license_scan, op3_decontamination, op4_token_counts, op5_minhash_neardup, op6_mixing, op7_quality_pu,
     op8_substring_dedup, op9_one_bit_neighbours, op10_suffix_dedup)}
 
 ORACLE: dict[str, str] = {}

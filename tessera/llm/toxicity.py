@@ -180,5 +180,17 @@ def score(docs: DataFrame, machine: Machine, folds: int = 3, fold: int = 1, thre
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def drop_toxic(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, all columns."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            keep = [machine.score(t) < threshold for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, train(docs, labels))
