@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import ann, chunks, decontam, licenses, mixing, neardup, quality, suffix, tokens, toxicity
 from tessera.llm.common import read
+from tessera.llm.oracle import ORACLE  # noqa: F401
 
 
 def op1_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,5 +60,3 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_toxicity_fm, op2_license_scan, op3_decontamination, op4_token_counts, op5_minhash_neardup, op6_mixing, op7_quality_pu,
     op8_substring_dedup, op9_one_bit_neighbours, op10_suffix_dedup)}
-
-ORACLE: dict[str, str] = {}
