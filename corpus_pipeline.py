@@ -38,10 +38,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that stand in an earlier document are cut out."""
     found = chunks.repeated_passages(docs).where("n_removed > 0").select(
-        F.col("doc_id").alias("id"), F.col("key"), "kept").dropDuplicates(["id", "key"])
-    out = docs.join(found, docs["doc_id"].eqNullSafe(F.col("id")) & (F.xxhash64(docs["text"]) == F.col("key")), "left")
-    text = F.coalesce("kept", docs["text"])
-    new = {"text": text, "n_chars": F.when(F.col("kept").isNotNull(), F.length("kept").cast("long")).otherwise(docs["n_chars"])}
+        F.col("doc_id").alias("_cut_id"), F.col("key").alias("_cut_key"), F.col("kept").alias("_cut_text")) \
+        .dropDuplicates(["_cut_id", "_cut_key"])
+    out = docs.join(found, docs["doc_id"].eqNullSafe(F.col("_cut_id")) & (F.xxhash64(docs["text"]) == F.col("_cut_key")), "left")
+    new = {"text": F.coalesce("_cut_text", docs["text"]),
+           "n_chars": F.coalesce(F.length("_cut_text").cast("long"), docs["n_chars"])}
     return out.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
 
 
