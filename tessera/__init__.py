@@ -11,7 +11,6 @@ Layout:
                  orders, object jobs, integrity checks)
     plans/       end-to-end jobs ("get work", "do work", copy-and-edit, refresh)
                  and the registry of checked queries
-    streaming/   incremental ingest hook (the batch jobs are the operators)
 """
 
 from tessera.session import get_session, ensure_checkpoint_dir  # noqa: F401

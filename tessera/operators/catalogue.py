@@ -6,8 +6,9 @@
   size-checked broadcast (J1), so the dataset side is never shuffled.
 * ``IN (SELECT id FROM metadata_type WHERE name IN …)`` is a left-semi
   join against the (small) type table (J3).
-* Footprint and time-extent views are unions of per-family branches with
-  set semantics (U1, U2); the space × time view is an equi join on id (J2).
+* Footprint, time-extent and space × time views (U1, U2, J2) choose by the
+  dataset's type inside one projection of one scan: the branches of their
+  unions are disjoint and the join is on the dataset's own key.
 """
 
 from __future__ import annotations
@@ -40,16 +41,22 @@ def search_index(dataset: DataFrame, lat=None, lon=None, time=None) -> DataFrame
     """Closed-range overlap search on the shredded index columns (P8, P10):
     ``lat``/``lon`` = (lo, hi) degrees, ``time`` = (start, end).  These are
     plain column comparisons, so Parquet pushes them into the scan and
-    skips row groups by min/max statistics; exact predicates run after."""
+    skips row groups by min/max statistics.  The result is a superset of the
+    matches; exact predicates run after."""
+    def meets(lo, hi, a, b):
+        # NULL: not indexed, so left to the exact test.
+        return (F.col(hi).isNull() | (F.col(hi) >= a)) & (F.col(lo).isNull() | (F.col(lo) <= b))
+
     d = dataset
     if lat is not None:
-        d = d.where((F.col("lat_hi") >= lat[0]) & (F.col("lat_lo") <= lat[1]))
+        d = d.where(meets("lat_lo", "lat_hi", *lat))
     if lon is not None:
-        d = d.where((F.col("lon_hi") >= lon[0]) & (F.col("lon_lo") <= lon[1]))
+        d = d.where(meets("lon_lo", "lon_hi", *lon))
     if time is not None:
-        t0 = F.lit(time[0]).cast("timestamp_ntz")
+        # One day wider: a v1 extent may run a day past the indexed time.
+        t0 = F.lit(time[0]).cast("timestamp_ntz") - F.expr("INTERVAL 1 DAY")
         t1 = F.lit(time[1]).cast("timestamp_ntz")
-        d = d.where((F.col("t_hi") >= t0) & (F.col("t_lo") <= t1))
+        d = d.where(meets("t_lo", "t_hi", t0, t1))
     return d
 
 
@@ -111,96 +118,89 @@ def _box_ring(x0, y0, x1, y1) -> Column:
     return F.array(F.array(_pt(x0, y0), _pt(x1, y0), _pt(x1, y1), _pt(x0, y1), _pt(x0, y0)))
 
 
-def space_view(dataset: DataFrame, metadata_type: DataFrame, version: str = "v1") -> DataFrame:
-    """Footprint per dataset (EPSG:4326 rings) as the set union of
-    three branches — eo3 lat/lon ranges, eo corner points, and projected
-    GeoJSON geometry of ARD documents transformed to lon/lat."""
-    v2 = version == "v2"
-    base = active(dataset, v2).select("id", "metadata_type_ref", "metadata")
-
-    def typed(names, specs):
-        # Filter on the type first, then parse only the matching documents,
-        # reading only the paths this branch needs.
-        return of_type_names(base, metadata_type, names).select(
-            "id", parse_paths("metadata", specs).alias("doc"))
+_EXTENT_PATHS = (
+    [(["extent", a, b], "double") for a in ("lat", "lon") for b in ("begin", "end")]
+    + [(["extent", "coord", k, a], "double") for k in ("ll", "lr", "ur", "ul") for a in ("lat", "lon")]
+    + [(["extent", k], "string") for k in ("from_dt", "to_dt", "center_dt")]
+    + [(["properties", k], "string") for k in ("datetime", "dtr:start_datetime", "dtr:end_datetime")]
+    + [(["crs"], "string"), (["geometry"], "string")])
+
+
+def _parsed(dataset: DataFrame, metadata_type: DataFrame, version: str) -> DataFrame:
+    """One scan: datasets with their type's name and the document parsed once
+    for every path that a footprint or a time extent may need."""
+    types = broadcast_if_small(metadata_type.select(F.col("id").alias("_mt"), F.col("name").alias("_type")))
+    known = {*EO3_NAMES, *ARD_NAMES, *EO_NAMES_V1, *EO_NAMES_V2, *EO_CORNER_NAMES_V2}
+    base = active(dataset, version == "v2").select("id", "dataset_type_ref", "metadata_type_ref", "metadata")
+    return base.join(types.where(F.col("_type").isin(sorted(known))), F.col("metadata_type_ref") == F.col("_mt")) \
+        .select("id", "dataset_type_ref", "_type", parse_paths("metadata", _EXTENT_PATHS).alias("doc"))
 
+
+def _rings(version: str) -> tuple[Column, Column]:
+    """(has a footprint, EPSG:4326 rings) of a parsed dataset: eo3 lat/lon
+    ranges, eo corner points, or the projected geometry of ARD documents."""
     def g(*p):
         return at("doc", list(p)).cast("double")
 
-    rng = [(["extent", a, b], "double") for a in ("lat", "lon") for b in ("begin", "end")]
-    ranges = typed(EO3_NAMES, rng).select(
-        "id", _box_ring(g("extent", "lon", "begin"), g("extent", "lat", "begin"),
-                        g("extent", "lon", "end"), g("extent", "lat", "end")).alias("rings"))
-    corner_names = EO_CORNER_NAMES_V2 if v2 else EO_NAMES_V1
-    crn = [(["extent", "coord", k, a], "double") for k in ("ll", "lr", "ur", "ul") for a in ("lat", "lon")]
-    c = {k: (g("extent", "coord", k, "lon"), g("extent", "coord", k, "lat"))
-         for k in ("ll", "lr", "ur", "ul")}
-    corners = typed(corner_names, crn).select(
-        "id", F.array(F.array(_pt(*c["ll"]), _pt(*c["lr"]), _pt(*c["ur"]), _pt(*c["ul"]),
-                              _pt(*c["ll"]))).alias("rings"))
-    ard = typed(ARD_NAMES, [(["crs"], "string"), (["geometry"], "string")])
-    srid = epsg_code(at("doc", ["crs"]))
-    rings = rings_from_geojson(at("doc", ["geometry"]))
-    geo = ard.select("id", inverse_projection(rings, srid).alias("rings"))
-    return (ranges.unionByName(corners).unionByName(geo).distinct()
-            .withColumn("srid", F.lit(4326)))
+    corner_names = EO_CORNER_NAMES_V2 if version == "v2" else EO_NAMES_V1
+    box = _box_ring(g("extent", "lon", "begin"), g("extent", "lat", "begin"),
+                    g("extent", "lon", "end"), g("extent", "lat", "end"))
+    c = {k: _pt(g("extent", "coord", k, "lon"), g("extent", "coord", k, "lat")) for k in ("ll", "lr", "ur", "ul")}
+    corners = F.array(F.array(*[c[k] for k in ("ll", "lr", "ur", "ul", "ll")]))
+    projected = inverse_projection(rings_from_geojson(at("doc", ["geometry"])), epsg_code(at("doc", ["crs"])))
+    kind = F.col("_type")
+    return (kind.isin(*EO3_NAMES, *corner_names, *ARD_NAMES),
+            F.when(kind.isin(*EO3_NAMES), box).when(kind.isin(*corner_names), corners).otherwise(projected))
 
 
-def time_view(dataset: DataFrame, metadata_type: DataFrame, version: str = "v1") -> DataFrame:
-    """U2 + F17: temporal extent per dataset as a range struct.
+def _extent(version: str) -> tuple[Column, Column]:
+    """(has a time extent, range) of a parsed dataset.
 
     v1: eo ``[from_dt, to_dt + 1 µs)``; eo3 ``[datetime, datetime + 1 day)``;
-        ARD ``[dtr:start, dtr:end)``; archived rows included.
+        ARD ``[dtr:start, dtr:end)``.
     v2: eo ``[center, center]`` when from_dt is NULL else ``[from, to]``;
-        eo3 and ARD ``[coalesce(start, datetime), coalesce(end, datetime)]``;
-        archived rows excluded.
+        eo3 and ARD ``[coalesce(start, datetime), coalesce(end, datetime)]``.
     """
-    v2 = version == "v2"
-    base = active(dataset, v2).select("id", "dataset_type_ref", "metadata_type_ref", "metadata")
-
-    def typed(names):
-        specs = [(["extent", k], "string") for k in ("from_dt", "to_dt", "center_dt")] + \
-                [(["properties", k], "string") for k in ("datetime", "dtr:start_datetime", "dtr:end_datetime")]
-        return of_type_names(base, metadata_type, names).select(
-            "id", "dataset_type_ref", parse_paths("metadata", specs).alias("doc"))
-
     def raw(*p):
         return at("doc", list(p))
 
     def ts(*p):
         return common_timestamp(raw(*p))
 
-    if not v2:
-        eo = typed(EO_NAMES_V1).select(
-            "dataset_type_ref", "id", make_range(
-                ts("extent", "from_dt"), ts("extent", "to_dt") + F.expr("INTERVAL 0.000001 SECOND"),
-                "[)").alias("temporal_extent"))
-        eo3 = typed(EO3_NAMES).select(
-            "dataset_type_ref", "id", make_range(
-                ts("properties", "datetime"), ts("properties", "datetime") + F.expr("INTERVAL 1 DAY"),
-                "[)").alias("temporal_extent"))
-        ard = typed(ARD_NAMES).select(
-            "dataset_type_ref", "id", make_range(
-                ts("properties", "dtr:start_datetime"), ts("properties", "dtr:end_datetime"),
-                "[)").alias("temporal_extent"))
-        return eo.unionByName(eo3).unionByName(ard).distinct()
-    frm = ts("extent", "from_dt")
-    eo = typed(EO_NAMES_V2).select(
-        "dataset_type_ref", "id", F.when(
-            raw("extent", "from_dt").isNull(),
-            make_range(ts("extent", "center_dt"), ts("extent", "center_dt"), "[]"))
-        .otherwise(make_range(frm, ts("extent", "to_dt"), "[]")).alias("temporal_extent"))
-    eo3 = typed((*ARD_NAMES, *EO3_NAMES)).select(
-        "dataset_type_ref", "id", make_range(
-            common_timestamp(F.coalesce(raw("properties", "dtr:start_datetime"),
-                                        raw("properties", "datetime"))),
-            F.coalesce(ts("properties", "dtr:end_datetime"), ts("properties", "datetime")),
-            "[]").alias("temporal_extent"))
-    return eo.unionByName(eo3).distinct()
-
-
-def space_time_view(space: DataFrame, time: DataFrame) -> DataFrame:
-    """Footprint × time extent on dataset id (both sides keyed by id;
-    a shuffle join on id, co-partitioned when both are stored bucketed)."""
-    return space.join(time, "id").select("id", "dataset_type_ref", "rings", "srid",
-                                         "temporal_extent")
+    kind, start = F.col("_type"), ts("extent", "from_dt")
+    if version != "v2":
+        return kind.isin(*EO_NAMES_V1, *EO3_NAMES, *ARD_NAMES), F.when(
+            kind.isin(*EO_NAMES_V1), make_range(start, ts("extent", "to_dt") + F.expr("INTERVAL 0.000001 SECOND"), "[)")) \
+            .when(kind.isin(*EO3_NAMES), make_range(ts("properties", "datetime"),
+                                                    ts("properties", "datetime") + F.expr("INTERVAL 1 DAY"), "[)")) \
+            .otherwise(make_range(ts("properties", "dtr:start_datetime"), ts("properties", "dtr:end_datetime"), "[)"))
+    return kind.isin(*EO_NAMES_V2, *EO3_NAMES, *ARD_NAMES), F.when(
+        kind.isin(*EO_NAMES_V2), F.when(
+            raw("extent", "from_dt").isNull(), make_range(ts("extent", "center_dt"), ts("extent", "center_dt"), "[]"))
+        .otherwise(make_range(start, ts("extent", "to_dt"), "[]"))) \
+        .otherwise(make_range(common_timestamp(F.coalesce(raw("properties", "dtr:start_datetime"), raw("properties", "datetime"))),
+                              F.coalesce(ts("properties", "dtr:end_datetime"), ts("properties", "datetime")), "[]"))
+
+
+def space_view(dataset: DataFrame, metadata_type: DataFrame, version: str = "v1") -> DataFrame:
+    """Footprint per dataset (EPSG:4326 rings).  The view's three branches
+    select disjoint types and ``id`` is the key, so their set union is one
+    conditional projection: one scan, no shuffle.  v1 keeps archived rows."""
+    has, rings = _rings(version)
+    return _parsed(dataset, metadata_type, version).where(has).select("id", rings.alias("rings"), F.lit(4326).alias("srid"))
+
+
+def time_view(dataset: DataFrame, metadata_type: DataFrame, version: str = "v1") -> DataFrame:
+    """U2 + F17: temporal extent per dataset as a range struct, likewise in
+    one projection (see :func:`_extent`)."""
+    has, extent = _extent(version)
+    return _parsed(dataset, metadata_type, version).where(has).select("dataset_type_ref", "id", extent.alias("temporal_extent"))
+
+
+def space_time_view(dataset: DataFrame, metadata_type: DataFrame, version: str = "v1") -> DataFrame:
+    """Footprint x time extent.  Both views key by the dataset's id, so
+    their join is the projection of both from the same scan."""
+    has_rings, rings = _rings(version)
+    has_extent, extent = _extent(version)
+    return _parsed(dataset, metadata_type, version).where(has_rings & has_extent).select(
+        "id", "dataset_type_ref", rings.alias("rings"), F.lit(4326).alias("srid"), extent.alias("temporal_extent"))

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions.fields import doc_variant, flatten_ranges, get_path, range_overlaps, make_range
-from tessera.functions.geometry import _albers_consts, wkt
+from tessera.functions.geometry import wkt
 from tessera.operators import catalogue as cat
 from tessera.operators import ranges as rng
 from tessera.plans.oracle_lenses import MTYPE, SCENE
 from tessera.plans.registry import query
 from tessera.sources import catalogue as src
+from tessera.sources.tables import broadcast_if_small
 
 R6 = 6
 
@@ -21,13 +22,19 @@ def _round(df, digits=R6):
                        for f in df.schema.fields])
 
 
-def albers_sql(lon: str, lat: str, srid: int = 3577) -> tuple[str, str]:
-    a, e, e2, n, C, rho0, lon0, fe, fn = _albers_consts(srid)
+# EPSG:3577 on GRS80 (equatorial radius, eccentricity squared,
+# eccentricity; cone constant n, C and rho0 from the standard parallels -18 and
+# -36, latitude of origin 0), worked out from the published formulae.
+_A, _E2, _E = "6378137.0", "0.006694380022900787", "0.08181919104281579"
+_N, _C, _RHO0 = "(-0.448478997168302)", "1.1805242276692356", "(-15452159.644039396)"
+
+
+def albers_sql(lon: str, lat: str) -> tuple[str, str]:
     s = f"sin(radians({lat}))"
-    q = f"({1 - e2!r} * ({s} / (1.0 - {e2!r} * {s} * {s}) - {1 / (2 * e)!r} * ln((1.0 - {e!r} * {s}) / (1.0 + {e!r} * {s}))))"
-    rho = f"({a!r} * sqrt({C!r} - {n!r} * {q}) / {n!r})"
-    th = f"({n!r} * radians({lon} - {lon0!r}))"
-    return f"({fe!r} + {rho} * sin({th}))", f"({fn!r} + {rho0!r} - {rho} * cos({th}))"
+    q = f"((1 - {_E2}) * ({s} / (1.0 - {_E2} * {s} * {s}) - 1 / (2 * {_E}) * ln((1.0 - {_E} * {s}) / (1.0 + {_E} * {s}))))"
+    rho = f"({_A} * sqrt({_C} - {_N} * {q}) / {_N})"
+    th = f"({_N} * radians({lon} - 132.0))"
+    return f"({rho} * sin({th}))", f"({_RHO0} - {rho} * cos({th}))"
 
 
 # ------------------------------------------------------------------ S1, S2, S4
@@ -56,7 +63,7 @@ def s2_location_uri(spark, sf_dir):
     d = cat.active(src.scene_base(spark, sf_dir)).select(
         "id", F.col("dataset_type_ref"))
     dt = src.dataset_type(spark, sf_dir).select(F.col("id").alias("pid"), F.col("name").alias("product"))
-    return (loc.join(d, loc.dataset_ref == d.id).join(F.broadcast(dt), F.col("dataset_type_ref") == F.col("pid"))
+    return (loc.join(d, loc.dataset_ref == d.id).join(broadcast_if_small(dt), F.col("dataset_type_ref") == F.col("pid"))
             .select(d.id, "product", F.concat(loc.uri_scheme, F.lit(":"), loc.uri_body).alias("uri")))
 
 
@@ -123,7 +130,7 @@ def p1b_product_dataset_view(spark, sf_dir):
 _EO3_SELECT = f"""
 SELECT {_EO_COLS}, 'landsat-8' AS platform, 'oli_tirs' AS instrument, 'ard' AS product_family,
        printf('%03d%03d', o_custkey % 97, o_custkey % 89) AS region_code, 'final' AS dataset_maturity,
-       'GeoTIFF' AS format, round(CAST(o_orderkey % 10001 AS DOUBLE) / 100.0, 6) AS cloud_cover,
+       'GeoTIFF' AS format, printf('scene_%d', id) AS label, round(CAST(o_orderkey % 10001 AS DOUBLE) / 100.0, 6) AS cloud_cover,
        added AS creation_time,
        round(lat - 0.5, 6) AS lat_lo, round(lat + 0.5, 6) AS lat_hi,
        round(lon - 0.5, 6) AS lon_lo, round(lon + 0.55, 6) AS lon_hi"""
@@ -151,8 +158,11 @@ def p2_declared_fields_ard(spark, sf_dir):
 WITH {SCENE}
 SELECT {_EO_COLS}, 'LANDSAT_8' AS platform, 'OLI_TIRS' AS instrument,
        'satellite_telemetry_data' AS product_type, 'ASA' AS gsi, CAST(o_orderkey AS INTEGER) AS orbit,
-       CAST(o_custkey % 233 + 1 AS INTEGER) AS sat_path_lo, CAST(o_custkey % 233 + 1 AS INTEGER) AS sat_path_hi,
-       CAST(o_orderkey % 248 + 1 AS INTEGER) AS sat_row_lo, CAST(o_orderkey % 248 + 3 AS INTEGER) AS sat_row_hi,
+       'MD' AS format, printf('telemetry_%d', id) AS label, added AS creation_time,
+       CAST(o_custkey % 233 + 1 AS INTEGER) AS sat_path_lo,
+       CAST(greatest(o_custkey % 233 + 1, o_custkey % 233 + 1 + CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE 1 END) AS INTEGER) AS sat_path_hi,
+       CAST(o_orderkey % 248 + 3 AS INTEGER) AS sat_row_lo,
+       CAST(greatest(o_orderkey % 248 + 3, o_orderkey % 248 + 3 + CASE WHEN o_orderkey % 3 = 0 THEN -2 ELSE 2 END) AS INTEGER) AS sat_row_hi,
        t AS time_lo, t + INTERVAL 9 MINUTE AS time_hi
 FROM scene WHERE archived IS NULL AND metadata_type_ref = 3""")
 def p1d_telemetry_view(spark, sf_dir):
@@ -235,7 +245,7 @@ def u2_time_view_v2(spark, sf_dir):
     return _time_cols(cat.time_view(src.dataset(spark, sf_dir), src.metadata_type(spark, sf_dir), "v2"))
 
 
-@query("j2_space_time_view", covers=("J2", "S23"), sql=f"""
+@query("j2_space_time_view", covers=("J2",), sql=f"""
 WITH {SCENE}, sp AS ({_space_sql(False)}),
 tm AS (SELECT dataset_type_ref, id, t AS t_lo, t + INTERVAL 1 MICROSECOND AS t_hi FROM scene WHERE mtype = 'eo'
        UNION SELECT dataset_type_ref, id, t, t + INTERVAL 1 DAY FROM scene WHERE mtype = 'eo3'
@@ -244,7 +254,7 @@ tm AS (SELECT dataset_type_ref, id, t AS t_lo, t + INTERVAL 1 MICROSECOND AS t_h
 SELECT sp.id, tm.dataset_type_ref, sp.wkt, tm.t_lo, tm.t_hi FROM sp JOIN tm ON sp.id = tm.id""")
 def j2_space_time_view(spark, sf_dir):
     d, mt = src.dataset(spark, sf_dir), src.metadata_type(spark, sf_dir)
-    st = cat.space_time_view(cat.space_view(d, mt), cat.time_view(d, mt))
+    st = cat.space_time_view(d, mt)
     return st.select("id", "dataset_type_ref", wkt("rings").alias("wkt"),
                      F.col("temporal_extent.lo").alias("t_lo"), F.col("temporal_extent.hi").alias("t_hi"))
 
@@ -264,9 +274,11 @@ def a1_a2_corner_extremes(spark, sf_dir):
 
 
 def _a3_sql(key_expr: str, key_name: str, extra_where: str = "") -> str:
+    # Corner points of eo documents, the lat/lon box of eo3 and ARD ones.
+    left = "lon - CASE WHEN mtype IN ('eo', 'middle east') THEN 0.45 ELSE 0.5 END"
+    right = "lon + CASE WHEN mtype IN ('eo', 'middle east') THEN 0.5 ELSE 0.55 END"
     xs = [albers_sql(lo, la) for lo, la in
-          (("lon - 0.45", "lat + 0.5"), ("lon + 0.55", "lat + 0.5"), ("lon - 0.5", "lat - 0.5"),
-           ("lon + 0.5", "lat - 0.5"))]
+          ((left, "lat + 0.5"), ("lon + 0.55", "lat + 0.5"), ("lon - 0.5", "lat - 0.5"), (right, "lat - 0.5"))]
     xl = ", ".join(x for x, _ in xs)
     yl = ", ".join(y for _, y in xs)
     return f"""
@@ -274,7 +286,7 @@ WITH {SCENE}, e AS (
   SELECT {key_expr} AS {key_name}, lat - 0.5 AS lat_lo, lat + 0.5 AS lat_hi, lon - 0.5 AS lon_lo, lon + 0.55 AS lon_hi,
          CAST(t + to_microseconds(CAST(round((lon + 0.025) * 240 * 1000000) AS BIGINT)) AS DATE) AS sd,
          least({xl}) AS x_lo, greatest({xl}) AS x_hi, least({yl}) AS y_lo, greatest({yl}) AS y_hi
-  FROM scene WHERE archived IS NULL AND mtype IN ('eo', 'middle east') {extra_where}),
+  FROM scene WHERE archived IS NULL AND mtype <> 'telemetry' {extra_where}),
 g AS (SELECT {key_name}, min(lat_lo) AS lat_min, max(lat_hi) AS lat_max, min(lon_lo) AS lon_min,
              max(lon_hi) AS lon_max, list_sort(list_distinct(list(sd))) AS dates,
              min(x_lo) AS x0, max(x_hi) AS x1, min(y_lo) AS y0, max(y_hi) AS y1

@@ -66,6 +66,7 @@ SEARCH_FIELDS = {
         "region_code": {"offset": ["properties", "odc:region_code"]},
         "dataset_maturity": {"offset": ["properties", "dea:dataset_maturity"]},
         "format": {"offset": ["properties", "odc:file_format"]},
+        "label": {"offset": ["label"]},
         "cloud_cover": {"type": "double", "offset": ["properties", "eo:cloud_cover"]},
         "creation_time": {"type": "datetime", "offset": ["properties", "odc:processing_datetime"]},
         "lat": {"type": "double-range", "min_offset": [["extent", "lat", "begin"]],
@@ -82,12 +83,15 @@ SEARCH_FIELDS = {
         "product_type": {"offset": ["product_type"]},
         "gsi": {"offset": ["acquisition", "groundstation", "code"]},
         "orbit": {"type": "integer", "offset": ["acquisition", "platform_orbit"]},
+        "format": {"offset": ["format", "name"]},
+        "label": {"offset": ["ga_label"]},
+        "creation_time": {"type": "datetime", "offset": ["creation_dt"]},
         "sat_path": {"type": "integer-range",
                      "min_offset": [["image", "satellite_ref_point_start", "x"]],
-                     "max_offset": [["image", "satellite_ref_point_end", "x"]]},
+                     "max_offset": [["image", "satellite_ref_point_end", "x"], ["image", "satellite_ref_point_start", "x"]]},
         "sat_row": {"type": "integer-range",
                     "min_offset": [["image", "satellite_ref_point_start", "y"]],
-                    "max_offset": [["image", "satellite_ref_point_end", "y"]]},
+                    "max_offset": [["image", "satellite_ref_point_end", "y"], ["image", "satellite_ref_point_start", "y"]]},
         "time": {"type": "datetime-range", "min_offset": [["acquisition", "aos"]],
                  "max_offset": [["acquisition", "los"]]},
     },
@@ -110,7 +114,7 @@ LENS_MEASUREMENTS = [
 
 TS_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSS'Z'"
 # Bump when the rendered documents change, so stored copies are rebuilt.
-LENS_VERSION = "scenes-v3"
+LENS_VERSION = "scenes-v4"
 
 
 def mtype_name(regionkey: Column, region_name: Column) -> Column:
@@ -267,9 +271,14 @@ def render_documents(base: DataFrame) -> DataFrame:
             F.format_string("scene_%d_thumb.jpg", F.col("id")).alias("path")))).alias("accessories"),
         F.struct(F.create_map().cast("map<string,string>").alias("source_datasets")).alias("lineage")))
     path = (F.col("o_custkey") % 233 + 1).cast("int")
-    row = (F.col("o_orderkey") % 248 + 1).cast("int")
+    row = (F.col("o_orderkey") % 248 + 3).cast("int")
+    # Descending passes end below their start.
+    step = F.when(F.col("o_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.lit(1))
     tele = F.to_json(F.struct(
         F.col("id").cast("string").alias("id"),
+        F.format_string("telemetry_%d", F.col("id")).alias("ga_label"),
+        _ts(F.col("added")).alias("creation_dt"),
+        F.struct(F.lit("MD").alias("name")).alias("format"),
         F.lit("satellite_telemetry_data").alias("product_type"),
         F.struct(F.lit("LANDSAT_8").alias("code")).alias("platform"),
         F.struct(F.lit("OLI_TIRS").alias("name")).alias("instrument"),
@@ -277,7 +286,7 @@ def render_documents(base: DataFrame) -> DataFrame:
                  F.struct(F.lit("ASA").alias("code")).alias("groundstation"),
                  F.col("o_orderkey").alias("platform_orbit")).alias("acquisition"),
         F.struct(F.struct(path.alias("x"), row.alias("y")).alias("satellite_ref_point_start"),
-                 F.struct(path.alias("x"), (row + 2).alias("y")).alias("satellite_ref_point_end")
+                 F.struct((path + step).alias("x"), (row + 2 * step).alias("y")).alias("satellite_ref_point_end")
                  ).alias("image")))
     # One projection per family (a union of three filtered branches) keeps
     # each generated method small enough for whole-stage codegen.
@@ -373,8 +382,9 @@ def parse_copy_text(lines: DataFrame, schema: T.StructType = DATASET_SCHEMA,
                     json_cols=("metadata",)) -> DataFrame:
     """Parse COPY text lines (column ``value``) into typed columns.
 
-    Quoting is off (the format has none), ``\\N`` is NULL; JSON columns
-    get their doubled backslashes undone and must parse as JSON.
+    Quoting is off (the format has none), ``\\N`` is NULL and the escapes
+    for backslash, tab, newline and carriage return are undone in every
+    column; JSON columns must parse as JSON.
     """
     text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     parsed = lines.select(F.from_csv("value", text_schema.simpleString(),

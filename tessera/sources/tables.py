@@ -15,65 +15,22 @@ DRIVER_TABLES = (
     "embeddings pages benchmark labels conversations").split()
 
 
-TABLE_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "customer": "c_custkey",
-              "supplier": "s_suppkey", "part": "p_partkey", "events": "event_id",
-              "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id",
-              "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id"}
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
-    """Scan one table.  A scan that yields fewer partitions than the cluster
-    has cores (e.g. a file written as a single row group, which Parquet
-    cannot split) is spread round-robin over ``min_partitions`` (default:
-    the default parallelism) so per-row work after it runs on every core;
-    large inputs already have enough splits and are left alone."""
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target and _input_bytes(spark, path) > (1 << 20):
-        # Hash on the table's key column: deterministic placement (a retried
-        # task gets the same rows, no pre-sort needed as for round-robin) and
-        # only that column is added to the pruned scan.
-        key = TABLE_KEYS.get(name, df.columns[0])
-        df = df.repartition(target, key)
-    return df
-
-
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A plain scan of one table, split as its files allow."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
-
-    The proof is a bounded count (``limit(max_rows + 1)``), so a table that
-    outgrows the bound falls back to a shuffle join instead of exhausting
-    driver and executor memory.  Use for dimension tables (products,
-    metadata types, regions); computed sides are left to AQE, which
-    broadcasts at runtime from measured shuffle sizes.
-    """
-    try:
-        key = (df._jdf.queryExecution().analyzed().semanticHash(), max_rows)
-    except Exception:  # pragma: no cover - plan not hashable
-        key = None
-    small = _SMALL.get(key) if key is not None else None
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None:
-            _SMALL[key] = small
-    return F.broadcast(df) if small else df
-
-
-# Outcome of the bounded count per analysed plan, so a dimension table used
-# by several branches of one query is counted once.
-_SMALL: dict = {}
+def broadcast_if_small(df: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
+    """Hint a broadcast if the plan's own size estimate, in bytes and taken
+    anew from the files at every call, is at most ``max_bytes``; otherwise the
+    join is left to adaptive execution.  The estimate of a scan is its file
+    size and only grows through joins, so it does not understate a table."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(df) if 0 <= size <= max_bytes else df
 
 
 def stored(spark: SparkSession, name: str, version: str, sf_dir: str, inputs, build,
@@ -83,6 +40,8 @@ def stored(spark: SparkSession, name: str, version: str, sf_dir: str, inputs, bu
     queried).  Keyed by the input files (path, size, modification time) and
     ``version``, so changed inputs or a changed builder are rebuilt."""
     import hashlib
+    import uuid
+
     from tessera.session import ensure_checkpoint_dir
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -101,5 +60,11 @@ def stored(spark: SparkSession, name: str, version: str, sf_dir: str, inputs, bu
             n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                     2 * spark.sparkContext.defaultParallelism)
             df = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-        df.write.mode("overwrite").parquet(path)
+        # Written aside and moved into place: a reader never sees half of it,
+        # and of two jobs that build the same table one wins.
+        aside = f"{path}-{uuid.uuid4().hex}"
+        df.write.parquet(aside)
+        fs, source, target = marker.getFileSystem(conf), jvm.org.apache.hadoop.fs.Path(aside), jvm.org.apache.hadoop.fs.Path(path)
+        if not fs.exists(marker) and not fs.rename(source, target) and not fs.exists(marker):
+            raise RuntimeError(f"cannot move {aside} to {path}")
     return spark.read.parquet(path)

@@ -73,20 +73,11 @@ def test_storage_dispatch():
         assert "Unknown storage" in str(e)
 
 
-def test_refresh_and_streaming_ingest(spark, tmp_dir):
+def test_refresh_writes_the_three_views(spark, tmp_dir):
     from tessera.plans.refresh import refresh_views
     from tessera.sources.catalogue import dataset, metadata_type
-    from tessera.streaming import ingest_documents
     from conftest import SF_SMALL
     d, mt = dataset(spark, SF_SMALL), metadata_type(spark, SF_SMALL)
     paths = refresh_views(spark, d, mt, os.path.join(tmp_dir, "views"))
     st = spark.read.parquet(paths["space_time"])
     assert st.count() == spark.read.parquet(paths["space"]).count() > 0
-    src_dir = os.path.join(tmp_dir, "incoming")
-    d.limit(20).write.json(src_dir)
-    table = os.path.join(tmp_dir, "dataset_table")
-    seen = []
-    q = ingest_documents(spark, src_dir, table, os.path.join(tmp_dir, "ckpt-stream"),
-                         on_batch=lambda b, e: seen.append(e))
-    q.awaitTermination(120)
-    assert spark.read.parquet(table).count() == 20 and seen
