@@ -8,9 +8,9 @@ probability it is off by no more than
 
     sqrt((1 - c*c) / (c*c)) * EPSILON / sqrt(d - 1).
 
-A scan holds, for each query, the least exact score among its best so far;
-only vectors whose upper bound reaches it (and, within a batch, the k-th
-largest lower bound) are reranked with their original components.
+A scan holds, for each query, the k best exact scores so far.  Of a code block
+the k best estimates are reranked with their original components first, which
+raises the least of them; then only vectors whose upper bound reaches it are.
 
 Queries are worked off in blocks of at most ``QUERIES`` rows, which bounds what
 is sent to the tasks; every block scans the codes once, each task sends its k
@@ -37,7 +37,8 @@ from tessera.llm.common import cut
 EPSILON = 2.5
 QUERIES = 4096          # queries sent to the tasks at a time
 ROWS = 4096             # vectors of a code block
-STEP = 256              # queries compared with a code block at a time
+STEP = 64               # queries compared with a code block at a time
+PAIRS = 1 << 14         # pairs reranked at a time
 
 
 def rotation(d: int) -> np.ndarray:
@@ -45,11 +46,16 @@ def rotation(d: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors scaled by powers of two, so that nothing overflows and no digit
+    changes, and their lengths."""
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+    return x, np.sqrt((x * x).sum(axis=1))
+
+
 def units(x: np.ndarray) -> np.ndarray:
-    """Vectors scaled to length one, safely for very large or small values."""
-    top = np.abs(x).max(axis=1, keepdims=True)
-    x = np.ldexp(x, -np.frexp(top)[1])
-    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    x, length = scaled(x)
+    return x / length[:, None]
 
 
 def encode(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,14 +96,31 @@ def _codes(batches):
                       "c": c.tobytes(), "raw": x.tobytes()}], schema=schema)
 
 
-def _best(scores, ids, k):
-    """Indexes of the k best distinct ids, by score, then smaller id."""
-    order = np.lexsort((ids, -scores))
-    _, first = np.unique(ids[order], return_index=True)
-    return order[np.sort(first)][:k]
+FOUND = "query_id long, vec_id long, score double"
 
 
-FOUND = "query_id long, vec_id long, score double"
+class Best:
+    """The k best distinct vec_ids of each query, and their exact scores."""
+
+    def __init__(self, n: int, k: int):
+        self.k, self.score, self.id = k, np.full((n, k), -np.inf), np.zeros((n, k), np.int64)
+
+    def add(self, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        at = np.unique(query)
+        old = np.isfinite(self.score[at])
+        rows = np.repeat(at, old.sum(axis=1))
+        q, i, s = (np.concatenate(x) for x in ((rows, query), (self.id[at][old], ids), (self.score[at][old], score)))
+        # The best score of each (query, id), then the k best ids of a query.
+        order = np.lexsort((-s, i, q))
+        q, i, s = q[order], i[order], s[order]
+        first = np.append(True, (q[1:] != q[:-1]) | (i[1:] != i[:-1]))[:len(q)]
+        q, i, s = q[first], i[first], s[first]
+        order = np.lexsort((i, -s, q))
+        q, i, s = q[order], i[order], s[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        keep = place < self.k
+        self.score[at] = -np.inf
+        self.score[q[keep], place[keep]], self.id[q[keep], place[keep]] = s[keep], i[keep]
 
 
 def _search(query_ids: np.ndarray, vectors: list[np.ndarray], k: int):
@@ -105,56 +128,45 @@ def _search(query_ids: np.ndarray, vectors: list[np.ndarray], k: int):
     for d in {len(v) for v in vectors}:
         at = [i for i, v in enumerate(vectors) if len(v) == d]
         x = np.array([vectors[i] for i in at])
-        by_dim[d] = (query_ids[at], x, units(x))
+        by_dim[d] = (query_ids[at], *scaled(x), units(x))
 
     def run(batches):
-        state = {d: (np.full((len(q), k), -np.inf), np.full((len(q), k), -1, np.int64), u @ rotation(d))
-                 for d, (q, _, u) in by_dim.items()}
+        state = {d: (Best(len(q), k), u @ rotation(d)) for d, (q, _, _, u) in by_dim.items()}
         for batch in batches:
-            for d, ids, bits, c, raw in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for n in range(batch.num_rows):
+                d, ids, bits, c, raw = (column[n].as_py() for column in batch.columns)
                 if d not in by_dim:
                     continue
-                qid, qx, _ = by_dim[d]
-                top, who, rotated = state[d]
+                qid, qx, qlength, _ = by_dim[d]
+                best, rotated = state[d]
                 ids, c = np.frombuffer(ids, np.int64), np.frombuffer(c, np.float64)
-                x = np.frombuffer(raw, np.float64).reshape(len(ids), d)
+                x, length = scaled(np.frombuffer(raw, np.float64).reshape(len(ids), d))
                 bits = np.frombuffer(bits, np.uint8).reshape(len(ids), -1)
+
+                def rerank(a, q, x=x, length=length, ids=ids, qx=qx, qlength=qlength, best=best):
+                    for i in range(0, len(a), PAIRS):
+                        r, j = a[i:i + PAIRS], q[i:i + PAIRS]
+                        best.add(j, ids[r], np.einsum("ij,ij->i", x[r], qx[j]) / (length[r] * qlength[j]))
+
                 for i in range(0, len(qid), STEP):
                     est, error = estimates(bits, c, rotated[i:i + STEP])
-                    own = ids[:, None] == qid[None, i:i + STEP]
-                    low = np.where(own, -np.inf, est - error)
-                    bar = top[i:i + STEP, k - 1]
-                    # Repeated ids would count twice towards the k-th bound.
-                    if len(ids) > k and len(np.unique(ids)) == len(ids):
-                        bar = np.maximum(bar, np.partition(low, len(ids) - k, axis=0)[len(ids) - k])
-                    a, b = np.nonzero((est + error >= bar[None, :]) & ~own)
-                    exact = cosine(x[a], qx[i + b])
-                    order = np.argsort(b, kind="stable")
-                    a, b, exact = a[order], b[order], exact[order]
-                    begin = np.searchsorted(b, np.arange(est.shape[1] + 1))
-                    for j in range(est.shape[1]):
-                        s = slice(begin[j], begin[j + 1])
-                        if s.start == s.stop:
-                            continue
-                        sc, vid = np.concatenate([top[i + j], exact[s]]), np.concatenate([who[i + j], ids[a[s]]])
-                        sc, vid = sc[vid >= 0] if (vid < 0).any() and not (ids < 0).any() else sc, \
-                            vid[vid >= 0] if (vid < 0).any() and not (ids < 0).any() else vid
-                        keep = _best(sc, vid, k)
-                        top[i + j], who[i + j] = -np.inf, -1
-                        top[i + j, :len(keep)], who[i + j, :len(keep)] = sc[keep], vid[keep]
-        for d, (top, who, _) in state.items():
-            at, r = np.nonzero(np.isfinite(top))
+                    est[ids[:, None] == qid[None, i:i + STEP]] = -np.inf
+                    top = np.argpartition(-est, min(k, len(ids)) - 1, axis=0)[:k]
+                    q = np.broadcast_to(np.arange(est.shape[1]), top.shape).ravel()
+                    top = top.ravel()
+                    some = np.isfinite(est[top, q])
+                    rerank(top[some], i + q[some])
+                    est[top, q] = -np.inf
+                    a, q = np.nonzero(est + error >= best.score[i:i + STEP, k - 1][None, :])
+                    some = np.isfinite(est[a, q])
+                    rerank(a[some], i + q[some])
+        for d, (best, _) in state.items():
+            at, r = np.nonzero(np.isfinite(best.score))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(by_dim[d][0][at]), pa.array(who[at, r]), pa.array(top[at, r])], names=["query_id", "vec_id", "score"])
+                [pa.array(by_dim[d][0][at]), pa.array(best.id[at, r]), pa.array(best.score[at, r])], names=["query_id", "vec_id", "score"])
     return run
 
 
-def cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Cosines of rows in double precision, scaled by powers of two only."""
-    x, y = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]) for v in (x, y)) if len(x) else (x, y)
-    return (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
-
-
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of ``vectors`` for
     each vec_id of ``queries``, other than itself."""
