@@ -81,16 +81,13 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def select_slots(slots: np.ndarray, rows: np.ndarray, y: np.ndarray, n_terms: int) -> np.ndarray:
-    """The slots that tell the classes apart most (likelihood ratio)."""
-    n1, n0 = y.sum(), (1 - y).sum()
-    a = np.bincount(slots, weights=y[rows], minlength=SLOTS)
-    b = np.bincount(slots, minlength=SLOTS) - a
-    total = a + b
+def select_slots(a: np.ndarray, total: np.ndarray, n1: int, n0: int, n_terms: int) -> np.ndarray:
+    """The slots that tell the classes apart most (likelihood ratio), from the
+    toxic rows and all rows that hold each slot."""
+    b, n = total - a, n0 + n1
     with np.errstate(divide="ignore", invalid="ignore"):
         def part(seen, expected):
             return np.where(seen > 0, seen * np.log(seen / expected), 0.0)
-        n = n0 + n1
         g = part(a, total * n1 / n) + part(b, total * n0 / n) \
             + part(n1 - a, (n - total) * n1 / n) + part(n0 - b, (n - total) * n0 / n)
     g[total < 3] = 0
@@ -98,20 +95,16 @@ def select_slots(slots: np.ndarray, rows: np.ndarray, y: np.ndarray, n_terms: in
     return np.sort(best[g[best] > 0])
 
 
-def fit(term_lists: list[np.ndarray], y: np.ndarray, n_terms: int = N_TERMS, factors: int = FACTORS,
-        steps: int = 2500, seed: int = 5) -> Machine:
+def fit(places: list[np.ndarray], y: np.ndarray, chosen: np.ndarray, factors: int = FACTORS, steps: int = 4000,
+        seed: int = 5) -> Machine:
+    """From each row's terms, as positions among the chosen slots."""
     y = np.asarray(y, np.float64)
     share = (y.sum() + 0.5) / (len(y) + 1)
-    if not len(y) or not 0 < y.sum() < len(y):
+    if not 0 < y.sum() < len(y):
         return Machine(np.zeros(0, np.int64), np.log(share / (1 - share)), np.zeros(0), np.zeros((0, factors)))
-    rows = np.repeat(np.arange(len(y)), [len(t) for t in term_lists])
-    slots = np.concatenate(term_lists)
-    chosen = select_slots(slots, rows, y, n_terms)
-    place = np.full(SLOTS, -1)
-    place[chosen] = np.arange(len(chosen))
     x = np.zeros((len(y), len(chosen)), np.uint8)
-    on = place[slots] >= 0
-    x[rows[on], place[slots[on]]] = 1
+    for i, p in enumerate(places):
+        x[i, p] = 1
     rng = np.random.default_rng(seed)
     params = [np.array([np.log(share / (1 - share))], np.float32), np.zeros(len(chosen), np.float32),
               rng.normal(0, 0.02, (len(chosen), factors)).astype(np.float32)]
@@ -126,7 +119,7 @@ def fit(term_lists: list[np.ndarray], y: np.ndarray, n_terms: int = N_TERMS, fac
             z = w0 + xb @ w + 0.5 * (sv * sv - xb @ (v * v)).sum(axis=1)
             e = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[pick].astype(np.float32)) / np.float32(len(pick))
             ex = xb.T * e
-            grad = [e.sum(keepdims=True), ex.sum(axis=1) + 2e-4 * w, ex @ sv - v * ex.sum(axis=1)[:, None] + 2e-3 * v]
+            grad = [e.sum(keepdims=True), ex.sum(axis=1) + 1e-5 * w, ex @ sv - v * ex.sum(axis=1)[:, None] + 1e-4 * v]
             t += 1
             for k, g in enumerate(grad):
                 m[k] = 0.9 * m[k] + 0.1 * g
@@ -156,14 +149,47 @@ def _terms(batches):
             names=["doc_id", "y", "terms"])
 
 
+def _slot_counts(batches):
+    """Rows, and toxic rows, of a task that hold each slot."""
+    total, toxic = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for y, t in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+            slots = np.frombuffer(t.as_py(), np.int32)
+            total[slots] += 1
+            toxic[slots] += y
+    on = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(on), pa.array(total[on]), pa.array(toxic[on])], names=["slot", "total", "toxic"])
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, fold: int = 1,
           max_rows: int = MAX_ROWS, n_terms: int = N_TERMS) -> Machine:
     # The ids are broadcast: at most max_rows rows of two numbers.
     ids = F.broadcast(labelled_ids(labels, label, folds, fold, max_rows))
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .join(ids, "doc_id").select("doc_id", "y", "text").mapInArrow(_terms, "doc_id long, y int, terms binary")
-    rows = sorted((r.doc_id, bytes(r.terms), r.y) for r in cut(sample, "toxic-terms").collect())
-    return fit([np.frombuffer(t, np.int32).astype(np.int64) for _, t, _ in rows], np.array([y for *_, y in rows]), n_terms)
+    rows = cut(sample, "toxic-terms")
+    # The driver gets SLOTS rows of counts at most, and of each sample row
+    # only the chosen terms.
+    counts = rows.mapInArrow(_slot_counts, "slot long, total long, toxic long") \
+        .groupBy("slot").agg(F.sum("total").alias("total"), F.sum("toxic").alias("toxic")).toArrow()
+    total, toxic = np.zeros(SLOTS), np.zeros(SLOTS)
+    slots = counts["slot"].to_numpy()
+    total[slots], toxic[slots] = counts["total"].to_numpy(), counts["toxic"].to_numpy()
+    of = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    chosen = select_slots(toxic, total, of.get(1, 0), of.get(0, 0), n_terms) if of.get(0) and of.get(1) else np.zeros(0, np.int64)
+    place = np.full(SLOTS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+
+    def narrow(batches):
+        for batch in batches:
+            found = [place[np.frombuffer(t.as_py(), np.int32)] for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([p[p >= 0].astype(np.int32).tobytes() for p in found], pa.binary())],
+                names=["doc_id", "y", "places"])
+
+    table = rows.mapInArrow(narrow, "doc_id long, y int, places binary").toArrow()
+    sample = sorted(zip(table["doc_id"].to_pylist(), table["places"].to_pylist(), table["y"].to_pylist(), strict=True))
+    return fit([np.frombuffer(p, np.int32) for _, p, _ in sample], np.array([y for *_, y in sample]), chosen)
 
 
 def score(docs: DataFrame, machine: Machine, folds: int = 3, fold: int = 1, threshold: float = 0.7) -> DataFrame:
