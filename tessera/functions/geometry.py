@@ -76,6 +76,16 @@ def rings_from_geojson(text) -> Column:
     return F.transform(coords, lambda ring: F.transform(ring, lambda p: pt(p[0], p[1])))
 
 
+@_memo
+def polygons_from_geojson(text) -> Column:
+    """GeoJSON Polygon / MultiPolygon text → its polygons, each a list of rings."""
+    s = F.from_json(_c(text), _GJ)
+    poly = F.array(F.from_json(s["coordinates"], "array<array<array<double>>>"))
+    multi = F.from_json(s["coordinates"], "array<array<array<array<double>>>>")
+    coords = F.when(s["type"] == "Polygon", poly).when(s["type"] == "MultiPolygon", multi)
+    return F.transform(coords, lambda p: F.transform(p, lambda ring: F.transform(ring, lambda q: pt(q[0], q[1]))))
+
+
 def geojson_crs(text) -> Column:
     """CRS name of a GeoJSON object (``crs.properties.name``), else NULL."""
     return F.try_variant_get(F.try_parse_json(_c(text)), "$.crs.properties.name", "string")
@@ -333,6 +343,22 @@ def albers_forward(lon, lat, srid: int = 3577) -> tuple[Column, Column]:
     return F.lit(fe) + rho * F.sin(theta), F.lit(fn) + F.lit(rho0) - rho * F.cos(theta)
 
 
+def albers_inverse(x, y, srid: int = 3577) -> tuple[Column, Column]:
+    """Lon/lat of projected coordinates, the latitude by its series in the
+    authalic one (the terms left out are below a millimetre)."""
+    a, e, e2, n, C, rho0, lon0, fe, fn = _albers_consts(srid)
+    sign = math.copysign(1.0, n)
+    dx, dy = _c(x) - fe, F.lit(rho0) - (_c(y) - fn)
+    rho2 = dx * dx + dy * dy
+    lon = F.lit(lon0) + F.degrees(F.atan2(dx * sign, dy * sign)) / n
+    q = (F.lit(C) - rho2 * (n / a) ** 2) / n
+    q_pole = 1 - (1 - e2) / (2 * e) * math.log((1 - e) / (1 + e))
+    beta = F.asin(F.greatest(F.least(q / q_pole, F.lit(1.0)), F.lit(-1.0)))
+    phi = beta + (e2 / 3 + 31 * e2 ** 2 / 180 + 517 * e2 ** 3 / 5040) * F.sin(2 * beta) \
+        + (23 * e2 ** 2 / 360 + 251 * e2 ** 3 / 3780) * F.sin(4 * beta) + 761 * e2 ** 3 / 45360 * F.sin(6 * beta)
+    return lon, F.degrees(phi)
+
+
 def _kruger():
     f = F_WGS84
     n = f / (2 - f)
@@ -423,12 +449,13 @@ def project_point(lon, lat, srid) -> Column:
 
 
 def unproject_point(x, y, srid) -> Column:
-    """G5 inverse to lon/lat for 4326, 3857 and UTM (NULL otherwise)."""
+    """G5 inverse to lon/lat for 4326, 3857, Albers and UTM (NULL otherwise)."""
     s = F.lit(srid) if isinstance(srid, int) else _c(srid)
     is_utm, zone, south = _is_utm(s)
-    return (F.when(s == 4326, pt(x, y))
-            .when(s == 3857, pt(*mercator_inverse(x, y)))
-            .when(is_utm, pt(*utm_inverse(x, y, zone, south))))
+    out = F.when(s == 4326, pt(x, y)).when(s == 3857, pt(*mercator_inverse(x, y)))
+    for code in ALBERS:
+        out = out.when(s == code, pt(*albers_inverse(x, y, code)))
+    return out.when(is_utm, pt(*utm_inverse(x, y, zone, south)))
 
 
 @_memo

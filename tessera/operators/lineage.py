@@ -1,10 +1,9 @@
 """Lineage graph operators on the edge list (S3, J10) and row-update stamps.
 
 The graph is an edge-list DataFrame ``(dataset_ref, classifier,
-source_dataset_ref)``.  One hop is an equi join; the root of every
-dataset is found by pointer jumping (each round doubles the distance
-covered), so the number of rounds is logarithmic in the chain length and
-no (ancestor, descendant) pairs are ever materialised.
+source_dataset_ref)``.  One hop is an equi join; roots are propagated
+along the layers of the graph, a dataset with several sources having
+several roots; cycles are reported, not followed.
 """
 
 from __future__ import annotations
@@ -21,29 +20,53 @@ def one_hop(edges: DataFrame, datasets: DataFrame, classifier: str | None = None
     return e.join(src, F.col("source_dataset_ref") == F.col(f"source_{key}"))
 
 
-def roots(edges: DataFrame, nodes: DataFrame, key: str = "id", max_rounds: int = 64) -> DataFrame:
-    """J10 closure: (node, root, depth) — the first ancestor without a source
-    and the number of hops to it.  Each node keeps one ancestor pointer, so
-    state stays one row per node; rounds stop when no pointer moves."""
+def roots(edges: DataFrame, nodes: DataFrame, key: str = "id") -> DataFrame:
+    """J10 closure: one row per (node, root) pair — every ancestor without a
+    source, with the least and the greatest number of hops to it — and, for
+    nodes that only reach a cycle, one row with a NULL root and the error.
+
+    Frontier by frontier: roots are their own root at depth 0; each round
+    joins the pairs found in the last one with the edges to the derived
+    datasets.  A node on or behind a cycle would be found for ever, so what
+    may propagate is first reduced to the acyclic part: rounds of removing
+    nodes whose sources are all removed (at most the longest chain).  State is
+    written to the shared folder each round."""
     from tessera.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(nodes.sparkSession)
-    parent = edges.select(F.col("dataset_ref").alias("node"), F.col("source_dataset_ref").alias("anc"))
-    state = (nodes.select(F.col(key).alias("node")).join(parent, "node", "left")
-             .select("node", F.coalesce("anc", "node").alias("anc"),
-                     F.when(F.col("anc").isNull(), 0).otherwise(1).alias("depth")))
-    for i in range(max_rounds):
-        nxt = state.select(F.col("node").alias("anc"), F.col("anc").alias("anc2"),
-                           F.col("depth").alias("d2"))
-        new = (state.join(nxt, "anc", "left")
-               .select("node", F.coalesce("anc2", "anc").alias("anc"),
-                       (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-                       (F.coalesce("anc2", "anc") != F.col("anc")).alias("_moved")))
-        new = new.checkpoint(eager=True)
-        moved = new.where("_moved").limit(1).count()
-        state = new.drop("_moved")
-        if moved == 0:
+    parent = edges.select(F.col("dataset_ref").alias("node"), F.col("source_dataset_ref").alias("anc")).distinct() \
+        .checkpoint(eager=True)
+    names = nodes.select(F.col(key).alias("node")).union(parent.select("anc")).union(parent.select("node")).distinct() \
+        .checkpoint(eager=True)
+    # Layers of the acyclic part: a node's layer is its longest chain.
+    layer = names.join(parent.select("node").distinct(), "node", "left_anti").select("node", F.lit(0).alias("layer")) \
+        .checkpoint(eager=True)
+    waiting = parent.groupBy("node").agg(F.count(F.lit(1)).alias("open")).checkpoint(eager=True)
+    last = layer
+    depth = 0
+    while True:
+        depth += 1
+        less = last.select(F.col("node").alias("anc")).join(parent, "anc").groupBy("node").agg(F.count(F.lit(1)).alias("done"))
+        waiting = waiting.join(less, "node", "left").select("node", (F.col("open") - F.coalesce("done", F.lit(0))).alias("open")) \
+            .checkpoint(eager=True)
+        last = waiting.where("open = 0").select("node", F.lit(depth).alias("layer")).checkpoint(eager=True)
+        if last.isEmpty():
             break
-    return state.select("node", F.col("anc").alias("root"), "depth")
+        layer = layer.union(last)
+        waiting = waiting.where("open > 0")
+    layer = layer.checkpoint(eager=True)
+    found = layer.where("layer = 0").select("node", F.col("node").alias("root"), F.lit(0).alias("depth"), F.lit(0).alias("max_depth"))
+    state = found
+    for k in range(1, depth):
+        # Pairs of layer k from those of its sources, all in lower layers.
+        now = layer.where(F.col("layer") == k).select("node").join(parent, "node")
+        new = now.join(state.select(F.col("node").alias("anc"), "root", "depth", "max_depth"), "anc") \
+            .groupBy("node", "root").agg((F.min("depth") + 1).alias("depth"), (F.max("max_depth") + 1).alias("max_depth"))
+        state = state.union(new).checkpoint(eager=True)
+    cyclic = names.join(layer.select("node"), "node", "left_anti").select(
+        "node", F.lit(None).cast(dict(names.dtypes)["node"]).alias("root"), F.lit(None).cast("int").alias("depth"),
+        F.lit(None).cast("int").alias("max_depth"), F.lit("on or derived from a cycle").alias("error"))
+    out = state.withColumn("error", F.lit(None).cast("string")).unionByName(cyclic)
+    return out.join(nodes.select(F.col(key).alias("node")).distinct(), "node", "left_semi")
 
 
 def stamp_updates(current: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:

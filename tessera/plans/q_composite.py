@@ -139,16 +139,29 @@ def s21_product_documents(spark, sf_dir):
                        F.col("measurements")[F.lit("red")]["key"].alias("red_key"))
 
 
-@query("a8_geomedian_monthly", covers=("A8", "X3"))
+_A8_ROUNDS = 8
+
+
+@query("a8_geomedian_monthly", covers=("A8",), sql=f"""
+WITH RECURSIVE {OBS}, {MS},
+mk AS (SELECT tile_x, tile_y, px, py, CAST(date_trunc('month', t) AS DATE) AS month, red, green, blue FROM ms
+       UNION ALL SELECT tile_x, tile_y, px, py, CAST(t - INTERVAL 1 MONTH AS DATE), red, green, blue FROM ms WHERE t = date_trunc('month', t)),
+x AS (SELECT * FROM mk WHERE red IS NOT NULL AND green IS NOT NULL AND blue IS NOT NULL),
+it(k, tile_x, tile_y, px, py, month, r, g, b, n) AS (
+  SELECT 0, tile_x, tile_y, px, py, month, avg(red), avg(green), avg(blue), count(*) FROM x GROUP BY ALL
+  UNION ALL
+  SELECT * FROM (
+    WITH cur AS (SELECT * FROM it),
+    w AS (SELECT x.*, cur.k, cur.n, 1 / greatest(sqrt((red - r) ** 2 + (green - g) ** 2 + (blue - b) ** 2), 1e-12) AS w
+          FROM x JOIN cur USING (tile_x, tile_y, px, py, month) WHERE cur.k < {_A8_ROUNDS})
+    SELECT k + 1, tile_x, tile_y, px, py, month, sum(w * red) / sum(w), sum(w * green) / sum(w), sum(w * blue) / sum(w), n
+    FROM w GROUP BY k, tile_x, tile_y, px, py, month, n))
+SELECT tile_x, tile_y, px, py, month, round(r, 5) AS red, round(g, 5) AS green, round(b, 5) AS blue, n AS n_obs
+FROM it WHERE k = {_A8_ROUNDS}""")
 def a8_geomedian_monthly(spark, sf_dir):
     """Geometric median of (red, green, blue) reflectance per tile, pixel and
-    month (distributed Weiszfeld), encoded to int16.  No SQL oracle: an
-    iterative algorithm; checked by the objective-value property test."""
-    obs = observations(spark, sf_dir)
-    ms = mask_and_scale(obs)
-    mk = ms.select("tile_x", "tile_y", "px", "py", F.explode(month_keys("t")).alias("month"),
-                   "red", "green", "blue")
-    gm = geomedian(mk, ["tile_x", "tile_y", "px", "py", "month"], ["red", "green", "blue"],
-                   max_iter=20, tol=0.2 * 0.0000275)
-    return gm.select("tile_x", "tile_y", "px", "py", "month",
-                     *[from_reflectance(b).alias(b) for b in ("red", "green", "blue")], "n_obs")
+    month, after a fixed number of rounds (so that SQL can repeat them)."""
+    ms = mask_and_scale(observations(spark, sf_dir))
+    mk = ms.select("tile_x", "tile_y", "px", "py", F.explode(month_keys("t")).alias("month"), "red", "green", "blue")
+    gm = geomedian(mk, ["tile_x", "tile_y", "px", "py", "month"], ["red", "green", "blue"], max_iter=_A8_ROUNDS, tol=0.0)
+    return gm.select("tile_x", "tile_y", "px", "py", "month", *[F.round(b, 5).alias(b) for b in ("red", "green", "blue")], "n_obs")

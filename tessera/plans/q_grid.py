@@ -210,20 +210,25 @@ def j6_key_lookup(spark, sf_dir):
 
 
 @query("a9_aoi_union_membership", covers=("A9", "S22", "J7", "G1"), sql=f"""
-WITH {FP}
-SELECT c_custkey, lon, lat FROM fp
-WHERE (lon BETWEEN 126.0 AND 134.0 AND lat BETWEEN -30.0 AND -20.0)
-   OR (lon BETWEEN 134.0 AND 142.0 AND lat BETWEEN -25.0 AND -15.0)""")
+WITH {FP},
+n AS (SELECT r1.r_regionkey AS a, r2.r_regionkey AS b, lower(r1.r_name) || ' | ' || lower(r2.r_name) AS names
+      FROM (SELECT DISTINCT o_orderkey % 5 AS k FROM orders WHERE o_orderkey % 4 = 2 AND o_orderkey % 7 <> 0) o
+      JOIN region r1 ON r1.r_regionkey = o.k JOIN region r2 ON r2.r_regionkey = (o.k + 1) % 5)
+SELECT names, c_custkey, round(lon, 6) AS lon, round(lat, 6) AS lat FROM fp JOIN n
+  ON (lon BETWEEN 110 + 8 * a AND 120 + 8 * a AND lat BETWEEN -40 + 5 * a AND -28 + 5 * a)
+  OR (lon BETWEEN 110 + 8 * b AND 120 + 8 * b AND lat BETWEEN -40 + 5 * b AND -28 + 5 * b)""")
 def a9_aoi_union_membership(spark, sf_dir):
-    """Footprint centres inside the union of the AOIs 'asia' | 'europe'
-    (names split on '|', looked up, parsed; union = membership in any)."""
+    """Footprint centres inside the union of the AOIs of every name list that
+    an order gives (split on '|', looked up, parsed; a point is in the union if
+    it is in any polygon, overlaps included)."""
     from tessera.operators.orders import aoi_union
-    union, missing = aoi_union(spark.createDataFrame([("asia | europe",)], "names string"), "names",
-                               aoi_table(spark, sf_dir))
+    from tessera.sources.lenses import requests
+    asked = requests(spark, sf_dir).select(F.get_json_object("order_json", "$.aoi_name").alias("names"))
+    union, _missing = aoi_union(asked, "names", aoi_table(spark, sf_dir))
     fp = footprints(spark, sf_dir).select("c_custkey", "lon", "lat")
-    hits = grid.points_in_regions(fp, "lon", "lat", union.select("_oid", "rings"), 1.0)
-    return (hits.select("c_custkey", "lon", "lat").distinct()
-            .select("c_custkey", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat")))
+    hits = grid.points_in_regions(fp, "lon", "lat", union.select("names", "rings"), 1.0)
+    return (hits.select("names", "c_custkey", "lon", "lat").distinct()
+            .select("names", "c_custkey", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat")))
 
 
 # ------------------------------------------------------------------ get work (entry point A)
@@ -283,7 +288,7 @@ def x4_get_work_cells(spark, sf_dir):
     orders = spark.createDataFrame([(1, _ORDER)], "order_id long, order_json string")
     batches, cells, _bad = generate_tiles(dataset(spark, sf_dir), metadata_type(spark, sf_dir), orders,
                                           aoi_table(spark, sf_dir), (0, 5, 10, 15, 20), 1.0, 8)
-    return cells.join(batches, ["tile_x", "tile_y"]).select("batch_id", "tile_x", "tile_y", "id")
+    return cells.join(batches, ["order_id", "tile_x", "tile_y"]).select("batch_id", "tile_x", "tile_y", "id")
 
 
 def _utm_sql(lon: str, lat: str, zone: str, south: str) -> tuple[str, str]:

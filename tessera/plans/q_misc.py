@@ -145,11 +145,33 @@ def s18_block_layout(spark, sf_dir):
                       F.col("py")[0].alias("first_px"), F.round(F.col("values")[0], 6).alias("first_value"))
 
 
-@query("a8_geomedian_vectors", covers=("A8", "X3"))
+_A8_ROUNDS = 12
+
+
+@query("a8_geomedian_vectors", covers=("A8",), sql=f"""
+WITH RECURSIVE x AS (SELECT label AS tile, vec_id AS px, unnest(range(0, 64)) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+n AS (SELECT label AS tile, count(*) AS n_obs FROM embeddings GROUP BY label),
+it(k, tile, i, m) AS (
+  SELECT 0, tile, i, avg(v) FROM x GROUP BY tile, i
+  UNION ALL
+  SELECT * FROM (
+    WITH cur AS (SELECT * FROM it),
+    d AS (SELECT x.tile, x.px, 1 / greatest(sqrt(sum((x.v - cur.m) * (x.v - cur.m))), 1e-12) AS w
+          FROM x JOIN cur ON x.tile = cur.tile AND x.i = cur.i GROUP BY x.tile, x.px)
+    SELECT (SELECT max(k) FROM cur) + 1, x.tile, x.i, sum(d.w * x.v) / sum(d.w)
+    FROM x JOIN d ON x.tile = d.tile AND x.px = d.px WHERE (SELECT max(k) FROM cur) < {_A8_ROUNDS} GROUP BY x.tile, x.i))
+SELECT it.tile, i AS band, round(m, 5) AS value, n_obs FROM it JOIN n ON it.tile = n.tile WHERE k = {_A8_ROUNDS}""")
 def a8_geomedian_vectors(spark, sf_dir):
-    """Geometric median of the first three embedding bands per label."""
+    """Geometric median of all 64 embedding bands per label, after a fixed
+    number of rounds (so that SQL can repeat them)."""
     from tessera.operators.composite import geomedian
     from tessera.sources.lenses import vectors
-    v = vectors(spark, sf_dir)
-    gm = geomedian(v, ["tile"], ["band_0", "band_1", "band_2"], max_iter=50, tol=1e-9)
-    return gm.select("tile", *[F.round(b, 4).alias(b) for b in ("band_0", "band_1", "band_2")], "n_obs")
+    from tessera.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    bands = [f"band_{i}" for i in range(64)]
+    # As stored columns: filters on 64 aliased array items take the optimizer
+    # exponentially long to relate.
+    v = vectors(spark, sf_dir).checkpoint(eager=True)
+    gm = geomedian(v, ["tile"], bands, max_iter=_A8_ROUNDS, tol=0.0)
+    return gm.select("tile", "n_obs", F.posexplode(F.array(*bands)).alias("band", "value")) \
+        .select("tile", "band", F.round("value", 5).alias("value"), "n_obs")

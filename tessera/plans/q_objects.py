@@ -91,12 +91,12 @@ def s9_du_rollup(spark, sf_dir):
 
 
 @query("s10_object_head", covers=("S10",), sql=f"""
-WITH {INV} SELECT path, substring(html, 1, 180) AS head, length AS n_bytes,
+WITH {INV} SELECT path, substr(hex(encode(html)), 1, 360) AS head_hex, length AS n_bytes,
                   md5(html) AS content_md5 FROM inv""")
 def s10_object_head(spark, sf_dir):
-    """First 180 characters and a digest of each whole object."""
+    """First 180 bytes and a digest of each whole object."""
     p = page_inventory(spark, sf_dir)
-    return p.select("path", src.head("html", 180).alias("head"), F.col("length").alias("n_bytes"),
+    return p.select("path", F.hex(src.head("html", 180)).alias("head_hex"), F.col("length").alias("n_bytes"),
                     F.md5("html").alias("content_md5"))
 
 
@@ -156,41 +156,47 @@ dem AS (
   FROM documents)"""
 
 
-@query("x5_copy_edit_plan", covers=("X5", "W3", "L1", "F7", "S6"), sql=f"""
+@query("x5_copy_edit_plan", covers=("X5", "W3", "F7", "S6"), sql=f"""
 WITH {DEM}, d AS (SELECT '{DEM_ROOT}/' || name AS path FROM dem),
 e AS (SELECT row_number() OVER (ORDER BY path) - 1 AS i, path FROM d)
 SELECT i, path AS src, '{DEM_ROOT}/v2020_2/' || regexp_extract(path, '([^/]+)$', 1) AS dst,
        printf('Completed [%03d]: %s -> %s', i, path, '{DEM_ROOT}/v2020_2/' || regexp_extract(path, '([^/]+)$', 1)) AS msg
-FROM e WHERE i < 1001""")
+FROM e""")
 def x5_copy_edit_plan(spark, sf_dir):
-    """Dataset folders matched by glob, enumerated from 0 in path order, the
-    first 1001 planned to their versioned targets."""
+    """Dataset folders matched by glob, enumerated from 0 in path order, all
+    planned to their versioned targets."""
     inv = dem_inventory(spark, sf_dir)
     dirs = src.glob(inv, f"{DEM_ROOT}/Copernicus_DSM_COG_*_DEM").where(F.col("type") == "directory")
-    return obj.copy_edit_plan(inv, dirs, limit=1001)
+    return obj.copy_edit_plan(dirs)
 
 
-@query("f8_document_edit", covers=("F8", "F6", "S12", "S13"), sql=f"""
+@query("f8_document_edit", covers=("F8", "F6", "S12"), sql=f"""
 WITH {DEM}
-SELECT '{DEM_ROOT}/v2020_2/' || name AS dst, name || '-v2020_2' AS label,
-       'copernicus_dem_30_v2020_2' AS product_name,
+SELECT '{DEM_ROOT}/v2020_2/' || name AS dst, CAST(NULL AS VARCHAR) AS error, name || '-v2020_2' AS label,
+       'copernicus_dem_30_v2020_2' AS product_name, 'https://example.org/dem_30' AS product_href,
        regexp_extract(name, '([NS]\\w{{2}})_\\d{{2}}_([EW]\\w{{3}})', 1)
          || regexp_extract(name, '([NS]\\w{{2}})_\\d{{2}}_([EW]\\w{{3}})', 2) AS region_code,
        '30' AS gsd, 'GLO-30' AS platform, '2020_2' AS version, '2021-03-01T00:00:00' AS datetime,
-       CAST(n_chars AS VARCHAR) AS n_chars, 'GeoTIFF' AS file_format
+       CAST(n_chars AS BIGINT) AS n_chars, 'GeoTIFF' AS file_format, 'https://example.org/schema/dataset' AS schema_name,
+       1 AS band, 'parent-' || doc_id AS parent
 FROM dem""")
 def f8_document_edit(spark, sf_dir):
-    """Every dataset document parsed from YAML, edited (label, product,
-    datetime, gsd, platform, version, region code) for its new location."""
+    """Every dataset document parsed from YAML and edited (label, product,
+    datetime, gsd, platform, version, region code) for its new location; all
+    other members stay as they are."""
     d = dem_datasets(spark, sf_dir)
     parsed = src.yaml_documents(d.select("dir", "yaml"), "yaml", "dir")
-    e = parsed.select(versioned_path("dir").alias("dst"), obj.edit_document("doc").alias("d"))
-    p = F.col("d.properties")
-    return e.select("dst", F.col("d.label").alias("label"), F.col("d.product.name").alias("product_name"),
-                    p["odc:region_code"].alias("region_code"), p["eo:gsd"].alias("gsd"),
-                    p["eo:platform"].alias("platform"), p["odc:dataset_version"].alias("version"),
-                    p["datetime"].alias("datetime"), p["n_chars"].alias("n_chars"),
-                    p["odc:file_format"].alias("file_format"))
+    e = parsed.select(versioned_path("dir").alias("dst"), "error", F.parse_json(obj.edit_document("doc")).alias("d"))
+
+    def at(path, kind="string"):
+        return F.variant_get("d", path, kind)
+    return e.select("dst", "error", at("$.label").alias("label"), at("$.product.name").alias("product_name"),
+                    at("$.product.href").alias("product_href"), at("$.properties['odc:region_code']").alias("region_code"),
+                    at("$.properties['eo:gsd']").alias("gsd"), at("$.properties['eo:platform']").alias("platform"),
+                    at("$.properties['odc:dataset_version']").alias("version"), at("$.properties.datetime").alias("datetime"),
+                    at("$.properties.n_chars", "bigint").alias("n_chars"), at("$.properties['odc:file_format']").alias("file_format"),
+                    at("$['$schema']").alias("schema_name"), at("$.measurements.elevation.band", "int").alias("band"),
+                    at("$.lineage.parent[0]").alias("parent"))
 
 
 @query("f6_region_codes", covers=("F6",), sql=f"""
@@ -207,29 +213,47 @@ def f6_region_codes(spark, sf_dir):
 
 # ------------------------------------------------------------------ lineage, J11, S24
 
-@query("s3_lineage_edges", covers=("S3",), sql="""
-SELECT printf('c%d-t%d', conv_id, turn) AS dataset_ref, 'previous' AS classifier,
-       printf('c%d-t%d', conv_id, turn - 1) AS source_dataset_ref
-FROM conversations WHERE turn > 0""")
+EDGES = """
+edges AS (
+  SELECT printf('c%d-t%d', conv_id, turn) AS dataset_ref, 'previous' AS classifier,
+         printf('c%d-t%d', conv_id, turn - 1) AS source_dataset_ref
+  FROM conversations WHERE turn > 0
+  UNION ALL
+  SELECT printf('c%d-t%d', a.conv_id, a.turn), 'other', printf('c%d-t%d', b.conv_id, 0)
+  FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id + 1 AND b.turn = 0 WHERE a.turn IN (2, 3))"""
+
+
+@query("s3_lineage_edges", covers=("S3",), sql=f"WITH {EDGES} SELECT * FROM edges")
 def s3_lineage_edges(spark, sf_dir):
     return lineage_edges(spark, sf_dir)
 
 
-@query("j10_lineage_roots", covers=("J10",), sql="""
-WITH c AS (SELECT conv_id, turn, role FROM conversations)
-SELECT printf('c%d-t%d', a.conv_id, a.turn) AS node, printf('c%d-t%d', a.conv_id, 0) AS root,
-       CAST(a.turn AS INTEGER) AS depth, b.role AS source_role
-FROM c a LEFT JOIN c b ON b.conv_id = a.conv_id AND b.turn = a.turn - 1""")
+@query("j10_lineage_roots", covers=("J10",), sql=f"""
+WITH RECURSIVE {EDGES},
+walk(node, anc, depth) AS (
+  SELECT printf('c%d-t%d', conv_id, turn), printf('c%d-t%d', conv_id, turn), 0 FROM conversations
+  UNION SELECT walk.node, edges.source_dataset_ref, walk.depth + 1 FROM walk JOIN edges ON edges.dataset_ref = walk.anc)
+SELECT node, anc AS root, min(depth) AS depth, max(depth) AS max_depth FROM walk
+WHERE anc NOT IN (SELECT dataset_ref FROM edges) GROUP BY node, anc""")
 def j10_lineage_roots(spark, sf_dir):
-    """Each turn's source (one hop, by classifier) and its root and depth
-    (pointer jumping over the edge list)."""
+    """Every root of each dataset, with the fewest and the most hops to it;
+    datasets with two sources have several."""
+    from tessera.sources.tables import read_table
+    c = read_table(spark, sf_dir, "conversations")
+    nodes = c.select(F.format_string("c%d-t%d", "conv_id", "turn").alias("id"))
+    return lin.roots(lineage_edges(spark, sf_dir), nodes).select("node", "root", "depth", "max_depth")
+
+
+@query("j10_one_hop", covers=("J10",), sql=f"""
+WITH {EDGES}
+SELECT e.dataset_ref, e.classifier, c.role AS source_role
+FROM edges e JOIN conversations c ON printf('c%d-t%d', c.conv_id, c.turn) = e.source_dataset_ref WHERE e.classifier = 'other'""")
+def j10_one_hop(spark, sf_dir):
+    """Each derived dataset's source by classifier, with its attributes."""
     from tessera.sources.tables import read_table
     c = read_table(spark, sf_dir, "conversations")
     nodes = c.select(F.format_string("c%d-t%d", "conv_id", "turn").alias("id"), "role")
-    edges = lineage_edges(spark, sf_dir)
-    r = lin.roots(edges, nodes)
-    hop = lin.one_hop(edges, nodes, "previous").select(F.col("dataset_ref").alias("node"), "source_role")
-    return r.join(hop, "node", "left").select("node", "root", F.col("depth").cast("int"), "source_role")
+    return lin.one_hop(lineage_edges(spark, sf_dir), nodes, "other").select("dataset_ref", "classifier", "source_role")
 
 
 @query("j11_measurement_grids", covers=("J11", "F25"), sql="""

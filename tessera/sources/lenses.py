@@ -56,9 +56,22 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def vectors(spark: SparkSession, sf_dir: str, n_bands: int = 3) -> DataFrame:
+def scene_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as the pixels of the scenes of the catalogue lens: scene id
+    = orderkey, pixel (px, py) = (linenumber, suppkey % 2), bands and qa as in
+    :func:`observations`."""
+    li = read_table(spark, sf_dir, "lineitem")
+    cls = (F.when(F.col("l_returnflag") == "N", 0).when(F.col("l_returnflag") == "R", 1).when(F.col("l_returnflag") == "A", 2))
+    fill = F.when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"), 1).otherwise(0)
+    return li.select(
+        F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("int").alias("px"), (F.col("l_suppkey") % 2).cast("int").alias("py"),
+        F.col("l_quantity").alias("red"), F.col("l_extendedprice").alias("green"), F.col("l_discount").alias("blue"),
+        (fill + 2 * cls).cast("int").alias("qa"))
+
+
+def vectors(spark: SparkSession, sf_dir: str, n_bands: int = 64) -> DataFrame:
     """``embeddings`` as pixels with many bands: tile = label, pixel = vec_id,
-    band_i = embedding[i]."""
+    band_i = embedding[i], all 64 of them."""
     e = read_table(spark, sf_dir, "embeddings")
     return e.select(
         F.col("label").cast("int").alias("tile"),
@@ -90,12 +103,12 @@ def roi_rings():
 
 def aoi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S22 (lens): one area of interest per region, ``aoi_name`` = lower-case
-    region name, ``aoi_polygon`` = GeoJSON box lon [110+8k, 118+8k],
-    lat [-40+5k, -30+5k] for region key k."""
+    region name, ``aoi_polygon`` = GeoJSON box lon [110+8k, 120+8k],
+    lat [-40+5k, -28+5k] for region key k; neighbours overlap."""
     r = read_table(spark, sf_dir, "region")
     k = F.col("r_regionkey")
-    x0, x1 = F.lit(110.0) + k * 8, F.lit(118.0) + k * 8
-    y0, y1 = F.lit(-40.0) + k * 5, F.lit(-30.0) + k * 5
+    x0, x1 = F.lit(110.0) + k * 8, F.lit(120.0) + k * 8
+    y0, y1 = F.lit(-40.0) + k * 5, F.lit(-28.0) + k * 5
     ring = F.format_string('[[%s,%s],[%s,%s],[%s,%s],[%s,%s],[%s,%s]]',
                            x0, y0, x1, y0, x1, y1, x0, y1, x0, y0)
     return r.select(F.lower("r_name").alias("aoi_name"),
@@ -106,7 +119,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order documents as stored (rendered once per input, see
     :func:`render_requests`)."""
     from tessera.sources.tables import stored
-    return stored(spark, "requests", "requests-v2", sf_dir, ("orders", "region"),
+    return stored(spark, "requests", "requests-v3", sf_dir, ("orders", "region"),
                   lambda: render_requests(spark, sf_dir), sort_cols=("order_id",))
 
 
@@ -114,7 +127,9 @@ def render_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as order documents (JSON text), one per order key k.
 
     time_start = orderdate; time_end = orderdate + (k % 61 - 30) days, with a
-    '+10:00' offset when k % 3 = 0 and missing when k % 50 = 7.  Space by
+    '+10:00' offset when k % 3 = 0 and missing when k % 50 = 7; time_start is
+    written out ('2 January 1996') when k % 17 = 3 and 'someday' when
+    k % 19 = 5; time_end is null when k % 23 = 6.  Space by
     k % 4: 0 bbox text 'w,s,e,n' (3 values when k % 13 = 0; a boundary too
     when k % 9 = 0), 1 bbox list, 2 AOI names 'r(k%5) | r(k+1 %5)' or the
     unknown 'atlantis' when k % 7 = 0, 3 GeoJSON box (ring left open when
@@ -146,8 +161,9 @@ def render_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     geojson = F.concat(F.lit('{"type":"Polygon","coordinates":[['), ring, F.lit("]]}"))
     parts = F.array(
         kv("driver", F.lit('"lens"')),
-        kv("time_start", q(F.date_format("o_orderdate", "yyyy-MM-dd"))),
-        F.when(k % 50 != 7, kv("time_end", q(
+        kv("time_start", q(F.when(k % 19 == 5, F.lit("someday")).when(k % 17 == 3, F.date_format("o_orderdate", "d MMMM yyyy"))
+                           .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))),
+        F.when(k % 50 == 7, F.lit(None)).when(k % 23 == 6, kv("time_end", F.lit("null"))).otherwise(kv("time_end", q(
             F.when(k % 3 == 0, F.concat(F.date_format(end, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+10:00")))
             .otherwise(F.date_format(end, "yyyy-MM-dd HH:mm:ss"))))),
         F.when(m == 0, kv("bounding_box", q(bbox_txt))),
@@ -193,10 +209,11 @@ def dem_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.when(k % 3 == 0, "W").otherwise("E"), k * 7 % 180)
     dt = F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (k % 365).cast("int")), "yyyy-MM-dd")
     yaml_text = F.format_string(
-        "id: dem-%d\nlabel: %s-%s\nproduct:\n  name: dem_30\ncrs: epsg:4326\nproperties:\n"
-        "  datetime: '%s'\n  odc:file_format: GeoTIFF\n  lang: %s\n  n_chars: '%d'\n"
-        "measurements:\n  elevation:\n    path: %s.txt\n",
-        k, name, F.col("source"), dt, F.col("lang"), F.col("n_chars"), name)
+        "$schema: https://example.org/schema/dataset\nid: dem-%d\nlabel: %s-%s\nproduct:\n  name: dem_30\n"
+        "  href: https://example.org/dem_30\ncrs: epsg:4326\nproperties:\n"
+        "  datetime: '%s'\n  odc:file_format: GeoTIFF\n  eo:gsd: 30.5\n  lang: %s\n  n_chars: %d\n"
+        "measurements:\n  elevation:\n    path: %s.txt\n    band: 1\nlineage:\n  parent: [parent-%d]\n",
+        k, name, F.col("source"), dt, F.col("lang"), F.col("n_chars"), name, k)
     return d.select("doc_id", F.concat(F.lit(DEM_ROOT + "/"), name).alias("dir"), name.alias("name"),
                     "text", "source", "n_chars", yaml_text.alias("yaml"))
 
@@ -213,9 +230,15 @@ def dem_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 (lens): ``conversations`` turns as datasets, each derived from the
-    previous turn of its conversation (classifier 'previous')."""
+    previous turn of its conversation (classifier 'previous'); turns 2 and 3
+    also from the first turn of the next conversation (classifier 'other')."""
     c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn")
-    return c.where(F.col("turn") > 0).select(
+    first = c.where(F.col("turn") == 0).select(F.col("conv_id").alias("other"))
+    previous = c.where(F.col("turn") > 0).select(
         F.format_string("c%d-t%d", "conv_id", "turn").alias("dataset_ref"),
         F.lit("previous").alias("classifier"),
         F.format_string("c%d-t%d", F.col("conv_id"), F.col("turn") - 1).alias("source_dataset_ref"))
+    other = c.where(F.col("turn").isin(2, 3)).join(first, F.col("conv_id") + 1 == F.col("other")).select(
+        F.format_string("c%d-t%d", "conv_id", "turn").alias("dataset_ref"), F.lit("other").alias("classifier"),
+        F.format_string("c%d-t%d", "other", F.lit(0)).alias("source_dataset_ref"))
+    return previous.unionByName(other)
