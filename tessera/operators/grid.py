@@ -134,9 +134,14 @@ def write_work_list(batches: DataFrame, path: str) -> None:
 
 
 def write_cells(cells: DataFrame, path: str) -> None:
-    """S16 sink: the cell manifest, partitioned by tile key so a worker's
-    lookup (J6) prunes to its own tiles' files."""
-    cells.write.mode("overwrite").partitionBy("tile_x", "tile_y").parquet(path)
+    """S16 sink: the cell manifest, partitioned by tile column so a worker's
+    lookup (J6) prunes to its own tiles' files; rows are first brought
+    together by tile column, so a folder gets few files."""
+    cells.hint("rebalance", "tile_x").write.mode("overwrite").partitionBy("tile_x").parquet(path)
+
+
+def read_cells(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path).withColumn("tile_x", F.col("tile_x").cast("int"))
 
 
 def lookup_cells(work_keys: DataFrame, cells: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -120,7 +120,7 @@ def f21_int16_composite(spark, sf_dir):
                     *[from_reflectance(b).alias(b) for b in ("red", "green", "blue")])
 
 
-@query("s21_product_documents", covers=("S21", "F16", "F9", "S17", "S20"), sql=f"""
+@query("s21_product_documents", covers=("S21", "F16", "F9", "S20"), sql=f"""
 WITH {OBS}, {TILE_MONTHS}
 SELECT {name_sql(_P, 'tile_x', 'tile_y', 'month')} AS label, '{_P}' AS product_family,
        strftime(CAST(month + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE), '%Y-%m-%d') AS datetime,

@@ -194,21 +194,6 @@ def s15_work_list(spark, sf_dir):
     return wl.select("batch_id", F.size("keys").cast("long").alias("n_keys"), F.to_json("keys").alias("keys_json"))
 
 
-@query("j6_key_lookup", covers=("J6", "S16"), sql=_KEYS_SQL + """,
-w AS (SELECT tile_x, tile_y FROM b UNION ALL SELECT 999, 999)
-SELECT w.tile_x, w.tile_y, count(c.c_custkey) AS n_datasets, count(c.c_custkey) = 0 AS missing
-FROM w LEFT JOIN cells c ON c.tile_x = w.tile_x AND c.tile_y = w.tile_y GROUP BY w.tile_x, w.tile_y""")
-def j6_key_lookup(spark, sf_dir):
-    """Every worker's keys plus an unknown key looked up in the cell manifest."""
-    cells, batches = _batches(spark, sf_dir)
-    work = batches.select("tile_x", "tile_y").unionByName(
-        spark.range(1).select(F.lit(999).alias("tile_x"), F.lit(999).alias("tile_y")))
-    found, missing = grid.lookup_cells(work, cells)
-    hits = found.groupBy("tile_x", "tile_y").agg(F.count(F.lit(1)).alias("n_datasets"))
-    miss = missing.select("tile_x", "tile_y", F.lit(0).cast("long").alias("n_datasets"))
-    return hits.unionByName(miss).withColumn("missing", F.col("n_datasets") == 0)
-
-
 @query("a9_aoi_union_membership", covers=("A9", "S22", "J7", "G1"), sql=f"""
 WITH {FP},
 n AS (SELECT r1.r_regionkey AS a, r2.r_regionkey AS b, lower(r1.r_name) || ' | ' || lower(r2.r_name) AS names

@@ -121,7 +121,7 @@ def f25_band_map_explode(spark, sf_dir):
                     F.explode(m).alias("band", "value")).withColumn("value", F.round("value", 6))
 
 
-@query("s18_block_layout", covers=("S18", "S19"), sql=f"""
+@query("s18_block_layout", covers=("S18",), sql=f"""
 WITH {VEC}, l AS (
   SELECT label AS tile, vec_id AS px, CAST(vec_id // 64 AS INTEGER) AS chunk, b.name AS band,
          CAST(embedding[b.i + 1] AS DOUBLE) AS value

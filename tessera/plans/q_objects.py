@@ -109,33 +109,47 @@ def p13_regex_filter(spark, sf_dir):
 
 @query("s11_copy_plan", covers=("S11", "F10"), sql=f"""
 WITH {INV},
-b AS (SELECT DISTINCT regexp_extract(path, '^([^/]+)', 1) AS bucket FROM inv)
-SELECT i.path AS src, 'backup/' || b.bucket || '/en/' || substring(i.path, length(b.bucket || '/en/') + 1) AS dst,
-       i.length
+b AS (SELECT DISTINCT regexp_extract(path, '^([^/]+)', 1) AS bucket FROM inv),
+g AS (SELECT bucket, count(*) AS n FROM b JOIN inv i ON regexp_matches(i.path, '^' || replace(bucket, '.', '\\.') || '/fr/[^/]*/[^/]*5\\.html$') GROUP BY 1)
+SELECT i.path AS src, 'backup/' || b.bucket || '/en/' || substring(i.path, length(b.bucket || '/en/') + 1) AS dst, i.length, CAST(NULL AS VARCHAR) AS error
 FROM b JOIN inv i ON starts_with(i.path, b.bucket || '/en/')
 UNION ALL
-SELECT path, 'archive/' || regexp_extract(path, '([^/]*)$', 1), length FROM inv
+SELECT bucket || '/en', 'backup/' || bucket || '/', NULL, 'source not found' FROM b
+WHERE NOT EXISTS (SELECT 1 FROM inv i WHERE starts_with(i.path, b.bucket || '/en/'))
 UNION ALL
-SELECT path, 'single/' || CAST(page_id AS VARCHAR) || '.bin', length FROM inv""")
+SELECT bucket, 'flat/', NULL, 'is a directory: not recursive' FROM b
+UNION ALL
+SELECT i.path, 'globbed/' || regexp_extract(path, '([^/]*)$', 1), length, NULL
+FROM b JOIN inv i ON regexp_matches(i.path, '^' || replace(bucket, '.', '\\.') || '/fr/[^/]*/[^/]*5\\.html$')
+UNION ALL
+SELECT bucket || '/fr/*/*5.html', 'globbed/', NULL, 'source not found' FROM b WHERE bucket NOT IN (SELECT bucket FROM g)
+UNION ALL
+SELECT path || '.gone', 'lost/', NULL, 'source not found' FROM inv WHERE page_id % 2 = 0
+UNION ALL
+SELECT path, 'archive/' || regexp_extract(path, '([^/]*)$', 1), length, NULL FROM inv
+UNION ALL
+SELECT path, 'single/' || CAST(page_id AS VARCHAR) || '.bin', length, NULL FROM inv""")
 def s11_copy_plan(spark, sf_dir):
     """Copy requests expanded to object pairs: each bucket's 'en' folder
-    into 'backup/<bucket>/' (directory lands under its basename), every
-    object into 'archive/' (trailing slash = into folder) and to a file
-    name (no trailing slash).  Sources given as 's3://', '/' or bare keys
-    are normalised first."""
+    into 'backup/<bucket>/' (directory lands under its basename), each bucket
+    without recursion (an error row), a glob in each bucket, missing objects
+    (error rows), every object into 'archive/' (trailing slash = into folder)
+    and to a file name (no trailing slash).  Sources given as 's3://', '/' or
+    bare keys are normalised first."""
     inv_full = page_inventory(spark, sf_dir)
     inv = inv_full.select("path", "length")
     buckets = inv.select(F.regexp_extract("path", "^([^/]+)", 1).alias("b")).distinct()
-    reqs = (buckets.select(F.concat(F.lit("s3://"), "b", F.lit("/en")).alias("src"),
-                           F.concat(F.lit("backup/"), "b", F.lit("/")).alias("dst"), F.lit(True).alias("recursive"))
-            .unionByName(inv_full.select(
-                F.concat(F.lit("/"), "path").alias("src"), F.lit("archive/").alias("dst"),
-                F.lit(False).alias("recursive")))
-            .unionByName(inv_full.select(
-                F.col("path").alias("src"), F.format_string("single/%d.bin", F.col("page_id")).alias("dst"),
-                F.lit(False).alias("recursive"))))
-    reqs = reqs.withColumn("src", normalise_key("src"))
-    return obj.copy_plan(inv, reqs)
+
+    def req(df, src_, dst, recursive=False):
+        return df.select(src_.alias("src"), dst.alias("dst"), F.lit(recursive).alias("recursive"))
+    path, b = F.col("path"), F.col("b")
+    reqs = req(buckets, F.concat(F.lit("s3://"), b, F.lit("/en")), F.concat(F.lit("backup/"), b, F.lit("/")), True)
+    for one in (req(buckets, b, F.lit("flat/")), req(buckets, F.concat(b, F.lit("/fr/*/*5.html")), F.lit("globbed/")),
+                req(inv_full.where("page_id % 2 = 0"), F.concat(path, F.lit(".gone")), F.lit("lost/")),
+                req(inv_full, F.concat(F.lit("/"), path), F.lit("archive/")),
+                req(inv_full, path, F.format_string("single/%d.bin", F.col("page_id")))):
+        reqs = reqs.unionByName(one)
+    return obj.copy_plan(inv, reqs.withColumn("src", normalise_key("src")))
 
 
 @query("l2_first_items", covers=("L2", "L1"), sql=f"""

@@ -76,7 +76,8 @@ def save_composites(comp: DataFrame, path: str, bands, storage: str = "cog",
     out = pixel_layout(comp) if layout == "pixel" else block_layout(comp, bands)
     out = out.withColumn("product", F.lit(product)).withColumn("year", F.year("month")) \
         .withColumn("mon", F.month("month"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Brought together by folder first (adaptive execution splits large ones).
+    (out.hint("rebalance", "product", "year", "mon").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("product", "year", "mon").parquet(path))
 
 

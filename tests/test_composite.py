@@ -54,7 +54,7 @@ def test_geomedian_beats_mean_and_paths_agree(spark):
                                                (F.col("blue") * 10).alias("c"))
     g = ["tile_x", "tile_y", "px"]
     gm = geomedian(obs, g, ["a", "b", "c"], max_iter=200, tol=1e-10)
-    dist = geomedian(obs, g, ["a", "b", "c"], max_iter=200, tol=1e-10, small_group_max=0)
+    dist = geomedian(obs, g, ["a", "b", "c"], max_iter=200, tol=1e-10, in_task=0)
     mean = obs.groupBy(*g).agg(F.avg("a").alias("a"), F.avg("b").alias("b"), F.avg("c").alias("c"))
     o1 = {tuple(r[:3]): r[3] for r in geomedian_objective(obs, gm, g, ["a", "b", "c"]).collect()}
     o2 = {tuple(r[:3]): r[3] for r in geomedian_objective(obs, mean, g, ["a", "b", "c"]).collect()}

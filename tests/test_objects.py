@@ -43,7 +43,7 @@ def test_listing_copy_and_edit_on_files(spark, tmp_dir):
     assert ls == {"b/p/Copernicus_DSM_COG_10_S10_00_E141_00_DEM": "directory", "b/p/other": "directory"}
 
     dirs = src.glob(inv, "b/p/Copernicus_DSM_COG_*_DEM").where("type = 'directory'")
-    plan = obj.copy_edit_plan(inv, dirs)
+    plan = obj.copy_edit_plan(dirs)
     p = plan.first()
     assert p.dst == "b/p/v2020_2/Copernicus_DSM_COG_10_S10_00_E141_00_DEM"
     reqs = plan.select("src", "dst", F.lit(True).alias("recursive"))
@@ -55,7 +55,7 @@ def test_listing_copy_and_edit_on_files(spark, tmp_dir):
     docs = spark.read.format("binaryFile").load(os.path.join(tmp_dir, p.dst, "odc-metadata.yaml")) \
         .select(F.lit(p.dst).alias("dst"), F.decode("content", "UTF-8").alias("y"))
     parsed = src.yaml_documents(docs, "y", "dst")
-    edited = parsed.select("dst", F.to_json(obj.edit_document("doc")).alias("doc"))
+    edited = parsed.select("dst", obj.edit_document("doc").alias("doc"))
     assert all(r.ok for r in obj.write_documents(edited, tmp_dir + "/").collect())
     import yaml
     out = yaml.safe_load(open(os.path.join(tmp_dir, p.dst, "odc-metadata.yaml")))
