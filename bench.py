@@ -28,7 +28,8 @@ HEADLINE = [
     "j2_space_time_view",       # space x time join
     "a3_product_ranges",        # product ranges with projections and solar days
     "j4_tile_cells",            # scene x tile gridding
-    "x4_get_work_cells",        # get work: order -> cells -> batches
+    "x4_get_work_cells",        # get work: one order -> cells -> batches
+    "x4_orders_to_composites",  # every stored order: cells -> pixels -> solar days -> medians
     "w2_key_batches",           # batching of tile keys
     "p9_polygon_search",        # exact polygon search
     "p17_validate_orders",      # order validation
@@ -60,8 +61,8 @@ def main() -> None:
     w.groupBy("k").agg({"v": "median", "s": "max"}).join(w.limit(1000), "k").collect()
     # Python workers (reused across tasks) start once, as on a warm cluster.
     w.repartition(int(cpus) * 2).mapInPandas(lambda it: (p.head(1) for p in it), w.schema).collect()
-    # Setup (timed separately): load the stored catalogue and order tables,
-    # as a catalogue database is loaded before it is queried.
+    # Setup, part of the total: render and store the catalogue and order
+    # tables that some queries read.
     from tessera.sources.catalogue import dataset
     from tessera.sources.lenses import requests
     t0 = time.perf_counter()
@@ -69,7 +70,7 @@ def main() -> None:
     requests(spark, sf_dir)
     setup = round(time.perf_counter() - t0, 3)
     print(f"# setup (catalogue + order ingest): {setup}s", file=sys.stderr, flush=True)
-    times = {}
+    times = {"setup_catalogue_and_orders": setup}
     for name in names:
         t0 = time.perf_counter()
         reg[name].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -77,7 +78,7 @@ def main() -> None:
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_query_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "setup_sec": setup, "sf": float(sf.group(1)) if sf else None}))
+                      "queries": times, "sf": float(sf.group(1)) if sf else None}))
     spark.stop()
 
 
