@@ -156,7 +156,7 @@ it(k, tile_x, tile_y, px, py, month, r, g, b, n) AS (
           FROM x JOIN cur USING (tile_x, tile_y, px, py, month) WHERE cur.k < {_A8_ROUNDS})
     SELECT k + 1, tile_x, tile_y, px, py, month, sum(w * red) / sum(w), sum(w * green) / sum(w), sum(w * blue) / sum(w), n
     FROM w GROUP BY k, tile_x, tile_y, px, py, month, n))
-SELECT tile_x, tile_y, px, py, month, round(r, 5) AS red, round(g, 5) AS green, round(b, 5) AS blue, n AS n_obs
+SELECT tile_x, tile_y, px, py, month, round(r, 10) AS red, round(g, 10) AS green, round(b, 10) AS blue, n AS n_obs
 FROM it WHERE k = {_A8_ROUNDS}""")
 def a8_geomedian_monthly(spark, sf_dir):
     """Geometric median of (red, green, blue) reflectance per tile, pixel and
@@ -164,4 +164,4 @@ def a8_geomedian_monthly(spark, sf_dir):
     ms = mask_and_scale(observations(spark, sf_dir))
     mk = ms.select("tile_x", "tile_y", "px", "py", F.explode(month_keys("t")).alias("month"), "red", "green", "blue")
     gm = geomedian(mk, ["tile_x", "tile_y", "px", "py", "month"], ["red", "green", "blue"], max_iter=_A8_ROUNDS, tol=0.0)
-    return gm.select("tile_x", "tile_y", "px", "py", "month", *[F.round(b, 5).alias(b) for b in ("red", "green", "blue")], "n_obs")
+    return gm.select("tile_x", "tile_y", "px", "py", "month", *[F.round(b, 10).alias(b) for b in ("red", "green", "blue")], "n_obs")
