@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import BYTE_HASH, cut, powers
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 LAST = 2**63 - 1             # order of a null doc_id
 
 
@@ -37,6 +37,31 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(d, dtype=np.uint64)
 
 
+def rows(batch: pa.RecordBatch, names: list[str]):
+    """The rows of a batch one by one, so that one block at a time is unpacked."""
+    columns = [batch.column(n) for n in names]
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in columns)
+
+
+def sorted_order(h: np.ndarray) -> np.ndarray:
+    """Stable order of 64-bit hashes: hash bits and position share one word,
+    which sorts much faster than an argsort; the few hashes that agree in the
+    bits kept but not in the others are put right afterwards."""
+    bits = max(len(h) - 1, 1).bit_length()
+    mask = np.uint64((1 << bits) - 1)
+    order = (np.sort((h & ~mask) | np.arange(len(h), dtype=np.uint64)) & mask).astype(np.int64)
+    a = h[order]
+    wrong = np.flatnonzero(a[1:] < a[:-1])
+    if len(wrong):
+        kept = a & ~mask
+        for i in np.unique(np.searchsorted(kept, kept[wrong])):
+            j = np.searchsorted(kept, kept[i], side="right")
+            part = np.sort(order[i:j])
+            order[i:j] = part[np.argsort(h[part], kind="stable")]
+    return order
+
+
 def squeeze(a: np.ndarray) -> bytes:
     return len(a).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(a).tobytes(), codec="zstd", asbytes=True)
 
@@ -71,19 +96,6 @@ class Block:
         blob = pa.compress(self.buf.tobytes(), codec="zstd", asbytes=True) if len(self.buf) else b""
         return [self.ids.tobytes(), self.nulls.tobytes(), self.keys.tobytes(), self.lens.astype(np.int64).tobytes(), blob]
 
-    def mask(self, starts, ends) -> np.ndarray:
-        """True at the positions of [start, end) ranges, which may overlap."""
-        step = np.zeros(len(self.buf) + 1, np.int32)
-        np.add.at(step, starts, 1)
-        np.add.at(step, ends, -1)
-        return np.cumsum(step[:-1]) > 0
-
-    def valid(self, length: int) -> np.ndarray:
-        """Where a window of ``length`` bytes stays in its document."""
-        fits = self.lens >= length
-        s = self.starts[fits]
-        return self.mask(s, s + self.lens[fits] - length + 1)
-
     def doc_of(self, pos: np.ndarray) -> np.ndarray:
         full = np.flatnonzero(self.lens > 0)
         return full[np.searchsorted(self.starts[full], pos, side="right") - 1]
@@ -131,6 +143,12 @@ def to_blocks(docs: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------- names
+def in_part(h1: np.ndarray, part: int, parts: int) -> np.ndarray:
+    """Which names fall into one of ``parts`` equal ranges."""
+    low, high = (2**64 * k // parts for k in (part, part + 1))
+    return (h1 >= np.uint64(low)) & (h1 <= np.uint64(high - 1))
+
+
 class Named:
     """Pieces of a block, in document and position order: document index and
     96-bit name."""
@@ -142,14 +160,15 @@ class Named:
         """The pieces of one range of names, in order of (name, doc_id,
         position): their indexes; where a name begins; the bucket of each
         distinct name."""
-        at = np.flatnonzero(self.h1 % np.uint64(parts) == np.uint64(part)) if parts > 1 else np.arange(len(self.h1))
+        at = np.flatnonzero(in_part(self.h1, part, parts)) if parts > 1 else np.arange(len(self.h1))
+        if np.any(np.diff(self.block.ids) <= 0):
+            rank = np.argsort(np.argsort(self.block.ids, kind="stable"), kind="stable")
+            at = at[np.argsort(rank[self.doc[at]], kind="stable")]    # positions stay in order within a document
         h1, h2 = self.h1[at], self.h2[at]
-        rank = np.argsort(np.argsort(self.block.ids, kind="stable"), kind="stable")
-        by_doc = np.argsort(rank[self.doc[at]], kind="stable")   # positions stay in order within a document
-        order = by_doc[np.argsort(h1[by_doc], kind="stable")]
+        order = sorted_order(h1)
         a, b = h1[order], h2[order]
-        if np.any((a[1:] == a[:-1]) & (b[1:] != b[:-1])):         # two names that agree in 64 bits
-            order = by_doc[np.lexsort((h2[by_doc], h1[by_doc]))]
+        if np.any((a[1:] == a[:-1]) & (b[1:] != b[:-1])):             # two names that agree in 64 bits
+            order = np.lexsort((h2, h1))
             a, b = h1[order], h2[order]
         new = np.ones(len(order), bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
@@ -207,9 +226,13 @@ def _late(part: int):
         h1 = np.concatenate(h1)
         h2 = np.concatenate([spread(x, np.uint32) for x in table.column("h2").to_pylist()])
         first = np.concatenate([spread(x, np.int64) for x in table.column("first").to_pylist()])
-        order = np.lexsort((h2, h1))
+        order = sorted_order(h1)
+        a, b = h1[order], h2[order]
+        if np.any((a[1:] == a[:-1]) & (b[1:] != b[:-1])):
+            order = np.lexsort((h2, h1))
+            a, b = h1[order], h2[order]
         new = np.ones(len(order), bool)
-        new[1:] = (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
         low = np.minimum.reduceat(first[order], np.flatnonzero(new))
         late = np.zeros(len(order), bool)
         late[order] = first[order] > low[np.cumsum(new) - 1]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.blocks import COLUMNS, KEYS, Block, Named, late_names, to_blocks
+from tessera.llm.blocks import COLUMNS, KEYS, Block, Named, late_names, rows, to_blocks
 from tessera.llm.common import SPACE, mix, powers, text_bytes
 
 SPACE_ZEROS, ANY_ZEROS = 2, 9      # leading zero bits that cut
@@ -97,7 +97,7 @@ def _chunks(block: Block):
 def _keys(part: int, parts: int, buckets: int):
     def run(batches):
         for batch in batches:
-            for name, *row in zip(*(batch.column(k).to_pylist() for k in COLUMNS), strict=True):
+            for name, *row in rows(batch, COLUMNS):
                 yield _chunks(Block.load(*row))[2].keys(name, part, parts, buckets)
     return run
 
@@ -108,12 +108,12 @@ RESULT = "doc_id long, key long, n_bytes long, n_chunks long, n_repeated long, n
 def _result(min_run: int, parts: int, buckets: int):
     def run(batches):
         for batch in batches:
-            for _, *row, late in zip(*(batch.column(k).to_pylist() for k in (*COLUMNS, "late")), strict=True):
+            for _, *row, late in rows(batch, [*COLUMNS, "late"]):
                 block = Block.load(*row)
                 starts, ends, named = _chunks(block)
                 again = np.zeros(len(starts), bool)
                 again[named.repeated(late, parts, buckets)] = True
-                rows = {k: [] for k in ("doc", "key", "bytes", "chunks", "again", "removed", "spans", "kept")}
+                out = {k: [] for k in ("doc", "key", "bytes", "chunks", "again", "removed", "spans", "kept")}
                 lo = np.searchsorted(named.doc, np.arange(len(block.lens)), side="left")
                 hi = np.searchsorted(named.doc, np.arange(len(block.lens)), side="right")
                 for i, (s, n) in enumerate(zip(block.starts, block.lens, strict=True)):
@@ -126,11 +126,11 @@ def _result(min_run: int, parts: int, buckets: int):
                             kept.append(block.buf[at:x].tobytes())
                             at, removed, spans = y, removed + int(y - x), spans + 1
                     kept.append(block.buf[at:s + n].tobytes())
-                    for k, x in zip(rows, (None if block.nulls[i] else int(block.ids[i]), int(block.keys[i]), int(n), len(r),
+                    for k, x in zip(out, (None if block.nulls[i] else int(block.ids[i]), int(block.keys[i]), int(n), len(r),
                                            int(r.sum()), removed, spans, b"".join(kept).decode("utf-8", "surrogatepass")), strict=True):
-                        rows[k].append(x)
+                        out[k].append(x)
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(x, pa.int64()) for x in list(rows.values())[:-1]), pa.array(rows["kept"], pa.string())],
+                    [*(pa.array(x, pa.int64()) for x in list(out.values())[:-1]), pa.array(out["kept"], pa.string())],
                     names=[x.split()[0] for x in RESULT.split(", ")])
     return run
 

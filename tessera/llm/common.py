@@ -64,7 +64,7 @@ _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i (mod 2**64) for i < n, grown on demand."""
     if len(_powers["up"]) < n:
-        size = max(n, 2 * len(_powers["up"]), 1 << 16)
+        size = (n + n // 8) | 0xFFFF
         for key, base in (("up", BASE), ("down", BASE_INV)):
             a = np.full(size, base, np.uint64)
             a[0] = 1
