@@ -20,6 +20,7 @@ from tessera.llm.common import BYTE_HASH, cut, powers
 
 BLOCK_BYTES = 1 << 20
 LAST = 2**63 - 1             # order of a null doc_id
+BATCH = 16                   # blocks in an Arrow batch
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -42,6 +43,7 @@ def rows(batch: pa.RecordBatch, names: list[str]):
     columns = [batch.column(n) for n in names]
     for i in range(batch.num_rows):
         yield tuple(c[i].as_py() for c in columns)
+    pa.default_memory_pool().release_unused()
 
 
 def sorted_order(h: np.ndarray) -> np.ndarray:
@@ -248,6 +250,6 @@ def late_names(send, parts: int) -> DataFrame:
     are worked off one after another, so their shuffles do not add up."""
     found = None
     for part in range(parts):
-        one = cut(send(part).groupBy("bucket").applyInArrow(_late(part), LATE).where("late IS NOT NULL"), "late")
+        one = cut(send(part).groupBy("bucket").applyInArrow(_late(part), LATE).where("late IS NOT NULL"), "late", BATCH)
         found = one if found is None else found.union(one)
     return found.groupBy("block").agg(F.collect_list(F.struct("part", "bucket", "late")).alias("late"))

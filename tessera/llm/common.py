@@ -31,13 +31,16 @@ def _setting(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, old)
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back:
     later steps neither repeat its work nor depend on executor-local files.
-    Shuffle files of the write are released as soon as it ends."""
+    Shuffle files of the write are released as soon as it ends.  ``batch``
+    bounds the rows of an Arrow batch on the way to Python, for rows that hold
+    whole blocks."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    with _setting(spark, CLEANUP, "true"):
+    rows = batch or spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with _setting(spark, CLEANUP, "true"), _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows)):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
