@@ -3,15 +3,18 @@ r"""Licences of files: notices by TF-IDF cosine, inheritance by path.
 Every line of every file is a possible notice.  Lines and templates are
 vectors of terms (runs of letters and digits, lower case, hyphens and dots
 within kept apart); a term weighs its count times ln((1 + N) / (1 + df)) + 1,
-with N files and df the files that hold it, counted over all files.  Terms of
-no template count as terms of a single file, so foreign words lower a line's
-score.  A file's licence is that of the best template, if the cosine of its
-best line reaches ``threshold``.
+with N files and df the files that hold it, counted over all files, whether a
+template has the term or not: foreign words lower a line's score, rare ones
+more than common ones, and equal shares of files give equal scores in a small
+and in a large table.  A file's licence is that of the best template, if the
+cosine of its best line reaches ``threshold``.
 
 Most lines cannot reach it.  A line that holds none of a template's heaviest
 terms scores at most the length of the template's remaining part; terms are
 called heavy from the top until that is below the threshold, and only lines
-with a heavy term of some template are scored.  No match is lost.
+with a heavy term of some template are scored.  A term weighs at least 1, so
+lines that would miss the threshold if every foreign word weighed 1 are left
+out before the foreign words of the others are counted.  No match is lost.
 
 A directory's licence is that of its licence file: of the files with a notice
 of their own, the one with the smallest key.  A file without a notice inherits
@@ -36,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import cut
+from tessera.sources.tables import broadcast_if_small
 
 THRESHOLD = 0.6
 
@@ -87,6 +91,15 @@ def _heavy(vectors, threshold: float) -> set[str]:
     return out
 
 
+def _frequencies(files: DataFrame, terms: DataFrame, words) -> DataFrame:
+    """(term, df) of the given terms: the files that hold them."""
+    wanted = cut(terms.select("term").distinct(), "foreign")
+    few, found = broadcast_if_small(wanted), files.select(F.explode(words).alias("term"))
+    if few is not wanted:
+        return found.join(few, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+    return found.groupBy("term").agg(F.count("*").alias("df")).join(wanted, "term", "left_semi")
+
+
 def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(key, path, text) -> key, path, own (licence of its own notice), score
     (of the best line, 0 without one), licence (own or inherited), origin (the
@@ -101,27 +114,44 @@ def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     seen = files.select(F.explode(F.array_intersect(words, F.array(*map(F.lit, vocabulary)))).alias("term"))
     df = {r.term: r["count"] for r in seen.groupBy("term").count().collect()}
     n = files.count()
-    weight, foreign, vectors = _vectors(templates, df, n)
+    weight, _, vectors = _vectors(templates, df, n)
     heavy = "|".join(sorted(_heavy(vectors, threshold)))
     with_heavy = f"(?<![a-z0-9])({heavy})(?![a-z0-9])"
     lines = files.where(F.col("text").rlike(with_heavy)).select(
         "file", F.explode(F.filter(F.split("text", "\n"), lambda x: x.rlike(with_heavy))).alias("line"))
     terms = F.filter(F.split("line", "[^a-z0-9]+"), lambda t: t != "")
     weights = F.create_map(*[x for t in vocabulary for x in (F.lit(t), F.lit(weight[t]))])
-    # tf-idf per distinct term of the line: count times weight.
-    counted = F.transform(F.array_distinct("terms"), lambda t: F.struct(
-        t.alias("t"), (F.size(F.filter("terms", lambda x: x == t)) * F.coalesce(F.element_at("weights", t), F.lit(foreign))).alias("x")))
-    scored = lines.withColumn("terms", terms).withColumn("weights", weights).withColumn("v", counted) \
-        .withColumn("size", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, e: a + e["x"] * e["x"])))
-
-    def cosine(v):
+    # tf-idf per distinct template term of the line (count times weight), and
+    # the foreign terms with their counts.
+    known, times = F.array(*map(F.lit, vocabulary)), lambda t: F.size(F.filter("terms", lambda x: x == t))
+    counted = lines.withColumn("terms", F.array_sort(terms)).withColumn("weights", weights) \
+        .withColumn("v", F.transform(F.array_intersect("terms", known), lambda t: F.struct(
+            t.alias("t"), (times(t) * F.element_at("weights", t)).alias("x")))) \
+        .withColumn("others", F.transform(F.array_except("terms", known), lambda t: F.struct(t.alias("term"), times(t).alias("c"))))
+
+    def squares(column, part):
+        return F.aggregate(column, F.lit(0.0), lambda a, e: a + e[part] * e[part])
+
+    def cosine(v, size):
         m = F.create_map(*[x for t, y in v.items() for x in (F.lit(t), F.lit(y))])
-        return F.aggregate("v", F.lit(0.0), lambda a, e: a + e["x"] * F.coalesce(F.element_at(m, e["t"]), F.lit(0.0))) / F.col("size")
-
-    options = [F.struct(F.round(cosine(v), 6).alias("score"), F.lit(-i).alias("turn"), F.lit(name).alias("name"))
-               for i, (name, v) in enumerate(vectors)]
-    best = scored.select("file", F.array_max(F.array(*options)).alias("best")).groupBy("file").agg(F.max("best").alias("best")) \
-        .where(F.col("best.score") >= threshold).select("file", F.col("best.score").alias("score"), F.col("best.name").alias("own"))
+        return F.aggregate("v", F.lit(0.0), lambda a, e: a + e["x"] * F.coalesce(F.element_at(m, e["t"]), F.lit(0.0))) / size
+
+    def best_of(size):
+        return F.array_max(F.array(*[F.struct(F.round(cosine(v, size), 6).alias("score"), F.lit(-i).alias("turn"), F.lit(name).alias("name"))
+                                     for i, (name, v) in enumerate(vectors)]))
+
+    # Equal terms, equal score: the lines are scored once per bag of terms.
+    near = cut(counted.withColumn("least", F.sqrt(squares("v", "x") + squares("others", "c")))
+               .where(best_of(F.col("least"))["score"] >= threshold - 1e-6)
+               .select("file", F.array_join("terms", " ").alias("bag"), "v", "others"), "near")
+    bags = near.select("bag", "v", "others").distinct()
+    other = bags.select("bag", F.explode("others").alias("o")).select("bag", "o.term", "o.c")
+    size = bags.join(other.join(_frequencies(files, other, words), "term")
+                     .groupBy("bag").agg(F.sum(F.pow(F.col("c") * (F.log((1.0 + n) / (1 + F.col("df"))) + 1), 2)).alias("x")), "bag", "left") \
+        .withColumn("size", F.sqrt(squares("v", "x") + F.coalesce("x", F.lit(0.0))))
+    scores = cut(size.select("bag", best_of(F.col("size")).alias("best")).where(F.col("best.score") >= threshold), "bags")
+    best = near.select("file", "bag").join(broadcast_if_small(scores), "bag").groupBy("file").agg(F.max("best").alias("best")) \
+        .select("file", F.col("best.score").alias("score"), F.col("best.name").alias("own"))
     found = cut(best, "notices")
     folder = F.when(F.col("path").contains("/"), F.regexp_extract("path", "^(.*)/", 1))
     named = cut(files.select("file", "key", "path", folder.alias("folder")).join(found, "file", "left"), "files")

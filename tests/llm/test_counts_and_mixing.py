@@ -127,6 +127,19 @@ def test_heavy_terms_lose_no_line(spark):
         assert got[key].own == (best[2] if best[0] >= licenses.THRESHOLD else None), (t, best, got[key])
 
 
+def test_foreign_words_weigh_what_they_are_worth(spark):
+    """Equal shares of files, equal scores: the table's size decides nothing."""
+    def score(n):
+        def text(i):
+            return "\n".join((["Released under the MIT License by Foo"] if i % 50 == 0 else []) +
+                             (["by the way"] if i % 2 else []) + (["foo stands under the bar"] if i % 5 == 0 else []))
+        files = [(i, f"s/{i}", text(i)) for i in range(n)]
+        got = licenses.scan(spark.createDataFrame(files, "key long, path string, text string")).where("key = 0").first()
+        return got.own, got.score
+    small, large = score(200), score(20_000)
+    assert small[0] == large[0] == "MIT" and abs(small[1] - large[1]) < 0.01
+
+
 def test_empty_tables(spark):
     docs = empty_documents(spark)
     assert tokens.token_counts(docs, PATH).count() == 0
