@@ -1,10 +1,13 @@
 """Repeated passages by content-defined chunking.
 
 Texts are cut where a gear rolling hash of the last 32 bytes says so: after a
-white-space byte whose hash has two leading zero bits, or (text without white
-space) at a character whose hash has nine.  Cuts depend on the bytes just
-before them, so an insertion moves them but does not change them, and equal
-passages get equal chunks but for their ends.  Chunks have 12 to 512 bytes.
+white-space byte whose hash has two leading zero bits, or at a character whose
+hash has nine.  Where the last 32 bytes hold no white space (Chinese, Japanese,
+Thai, encoded runs), three are enough after a character of several bytes and
+four after one of one byte, so that chunks there are about as long as elsewhere
+and hardly ever reach the largest size.  Cuts depend on the bytes just before
+them, so an insertion moves them but does not change them, and equal passages
+get equal chunks but for their ends.  Chunks have 12 to 512 bytes.
 
 A chunk is named by a 96-bit digest.  It is repeated if its name occurs in a
 document with a smaller doc_id, or before in the same document.  Repeated
@@ -32,6 +35,8 @@ from tessera.llm.blocks import COLUMNS, KEYS, Block, Named, late_names, rows, to
 from tessera.llm.common import SPACE, mix, powers, text_bytes
 
 SPACE_ZEROS, ANY_ZEROS = 2, 9      # leading zero bits that cut
+WIDE_ZEROS, NARROW_ZEROS = 3, 4    # far from white space, after characters of several bytes and of one
+FAR = 32                           # bytes without white space
 MIN_CHUNK, MAX_CHUNK = 12, 512
 MIN_RUN = 100
 BUCKET_KEYS = 1 << 19
@@ -59,6 +64,10 @@ def cuts(buf: np.ndarray) -> np.ndarray:
     whole = np.ones(n, bool)                       # the next byte begins a character
     whole[:-1] = (buf[1:] & 0xC0) != 0x80
     at = (SPACE[buf] & (h >> np.uint32(32 - SPACE_ZEROS) == 0)) | (whole & (h >> np.uint32(32 - ANY_ZEROS) == 0))
+    some = np.flatnonzero(whole & (h >> np.uint32(32 - WIDE_ZEROS) == 0))
+    some = some[(buf[some] >= 0x80) | (h[some] >> np.uint32(32 - NARROW_ZEROS) == 0)]
+    space = np.concatenate([[-1], np.flatnonzero(SPACE[buf])])
+    at[some[some - space[np.searchsorted(space, some, side="right") - 1] > FAR]] = True
     out, last = [], 0
     for end in [*(np.flatnonzero(at) + 1).tolist(), n]:
         while end - last > MAX_CHUNK:

@@ -148,6 +148,21 @@ def test_shared_passage_is_cut_from_all_but_the_first(spark):
         assert passage not in got[i].kept and got[i].n_removed > len(passage) // 2
 
 
+@pytest.mark.parametrize("letters", [[chr(c) for c in range(0x4E00, 0x5200)], [chr(c) for c in range(0x0E01, 0x0E2F)],
+                                     list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")])
+def test_passages_without_white_space_are_found(spark, letters):
+    import random
+    rng = random.Random(11)
+    def run(n):
+        return "".join(rng.choice(letters) for _ in range(n))
+    n = 40
+    passages = [run(900 // len(letters[0].encode())) for _ in range(n)]
+    rows = [(k * n + i, run(rng.randrange(200, 900)) + p + run(rng.randrange(200, 900))) for k in (0, 1) for i, p in enumerate(passages)]
+    got = {r.doc_id: r for r in chunks.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(got[i].n_removed for i in range(n))
+    assert all(450 < got[n + i].n_removed <= 900 for i in range(n))
+
+
 def test_gear_hash_is_a_rolling_hash():
     buf = np.frombuffer(b"some bytes that roll through the hash window of thirty-two", np.uint8)
     h, want = 0, []
