@@ -145,6 +145,18 @@ def test_contamination_matches_brute_force(spark, monkeypatch):
     assert not any(r.contaminated for r in decontam.contamination(docs, bench.where("false")).collect())
 
 
+def test_short_items_and_unspaced_scripts_are_found(spark):
+    chinese = "水在标准大气压下的沸点是多少摄氏度呢请回答"
+    items = [(1, "What is 2 + 2?"), (2, "Paris"), (3, "水的沸点是多少"), (4, chinese), (5, "one two three four five six seven eight nine ten eleven"),
+             (6, "...")]
+    rows = [(10, "Asked: what is 2+2? And more."), (11, "what is 2 and 2"), (12, "They saw Paris\u2014twice."), (13, "Parish"),
+            (14, "前面水的沸点是多少后面"), (15, "前面水的沸点是几多后面"), (16, "前面" + chinese.replace("标", "表") + "后面"),
+            (17, "\u201cone\u00a0two\u2013three\u2026four five six se\u00adven eight nine ten eleven\u201d")]
+    docs, bench = (spark.createDataFrame(x, f"{n} long, text string") for x, n in ((rows, "doc_id"), (items, "item_id")))
+    got = {r.doc_id: dict(zip(r.item_ids, r.distances, strict=True)) for r in decontam.contamination(docs, bench).collect()}
+    assert got == {10: {1: 0}, 11: {}, 12: {2: 0}, 13: {}, 14: {3: 0}, 15: {}, 16: {4: 1}, 17: {5: 0}}
+
+
 @pytest.mark.parametrize("d", [1, 5, 64])
 def test_neighbours_match_brute_force(spark, d):
     rng = np.random.default_rng(d)
