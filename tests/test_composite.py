@@ -6,7 +6,7 @@ from tessera.functions.names import region_code, tile_product_name
 from tessera.functions.pixels import from_reflectance, make_mask, valid_data
 from tessera.operators.composite import geomedian, geomedian_objective, monthly_composite
 from tessera.sources.lenses import OBS_FLAGS, observations
-from conftest import SF_SMALL
+from tables import SF_SMALL
 
 
 def test_product_name_golden(spark):

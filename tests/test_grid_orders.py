@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from tessera.operators import grid
 from tessera.operators.orders import normalise_period, split_names, to_utc_iso, validate_orders
 from tessera.sources.lenses import aoi_table
-from conftest import SF_SMALL
+from tables import SF_SMALL
 
 
 def test_batches_partition_keys(spark):

@@ -76,7 +76,7 @@ def test_storage_dispatch():
 def test_refresh_writes_the_three_views(spark, tmp_dir):
     from tessera.plans.refresh import refresh_views
     from tessera.sources.catalogue import dataset, metadata_type
-    from conftest import SF_SMALL
+    from tables import SF_SMALL
     d, mt = dataset(spark, SF_SMALL), metadata_type(spark, SF_SMALL)
     paths = refresh_views(spark, d, mt, os.path.join(tmp_dir, "views"))
     st = spark.read.parquet(paths["space_time"])

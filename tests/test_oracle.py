@@ -5,7 +5,7 @@ import pytest
 from tessera.plans.registry import load_all
 from tools.check_oracle import digest, duck
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 
 REG = load_all()
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans.registry import load_all
 from tessera.sources.lenses import observations
-from conftest import SF_SMALL
+from tables import SF_SMALL
 
 REG = load_all()
 

@@ -139,7 +139,7 @@ def test_order_parts_messages(spark):
 
 
 def test_views_scan_the_catalogue_once(spark):
-    from conftest import SF_SMALL
+    from tables import SF_SMALL
     from tessera.plans.registry import load_all
     for name in ("u1_space_view", "u2_time_view_v2", "j2_space_time_view"):
         p = load_all()[name].fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
