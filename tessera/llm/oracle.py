@@ -129,10 +129,50 @@ SELECT doc_id, path, own, coalesce(score, 0.0)::DOUBLE AS score, coalesce(own, l
 FROM f LEFT JOIN near ON f.folder = near.folder
 """
 
+# Every document scored for every item.
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+p AS (SELECT row, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM d GROUP BY row, term),
+l AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM p GROUP BY row),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM l),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * s.docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM p, s GROUP BY term, s.docs),
+q AS (SELECT item_id, term, count(*) AS c FROM (SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+x AS (SELECT q.item_id, p.row, p.doc_id,
+        CAST(sum(q.c * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (25 + (75 * l.n * s.docs) // s.total)))) AS BIGINT) AS score
+      FROM q JOIN w ON q.term = w.term JOIN p ON p.term = q.term JOIN l ON l.row = p.row, s GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM x WHERE score > 0 QUALIFY rank <= 10
+"""
+
+# All inner products of the anchors.
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON len(a.v) = len(c.v) AND a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 ORACLE = {
     "op2_license_scan": OP2,
     "op5_minhash_neardup": OP5,
     "op6_mixing": OP6,
     "op9_one_bit_neighbours": OP9,
     "op10_suffix_dedup": OP10,
+    "op12_ranked_search": OP12,
+    "op13_hard_negatives": OP13,
 }

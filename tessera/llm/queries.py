@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chunks, decontam, licenses, mixing, neardup, quality, suffix, tokens, toxicity
+from tessera.llm import ann, chunks, decontam, hardneg, htmltext, licenses, mixing, neardup, quality, ranked, suffix, tokens, toxicity
 from tessera.llm.common import read
 from tessera.llm.oracle import ORACLE  # noqa: F401
 
@@ -57,6 +57,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeated_strings(read(spark, sf_dir, "documents"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(read(spark, sf_dir, "pages"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return hardneg.hard_negatives(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity_fm, op2_license_scan, op3_decontamination, op4_token_counts, op5_minhash_neardup, op6_mixing, op7_quality_pu,
-    op8_substring_dedup, op9_one_bit_neighbours, op10_suffix_dedup)}
+    op8_substring_dedup, op9_one_bit_neighbours, op10_suffix_dedup, op11_html_text, op12_ranked_search, op13_hard_negatives)}
