@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.names import COMPOSITE_PRODUCT
+from tessera.functions.names import COMPOSITE_PRODUCT, tile_product_name
 from tessera.functions.pixels import decode_flag, from_reflectance, make_mask
-from tessera.operators.composite import geomedian, month_keys, tile_month_range
+from tessera.operators.composite import month_keys, tile_month_range
+from tessera.operators.geomedian import geomedian
 from tessera.plans.do_work import CLEAR_MASK, mask_and_scale, monthly_median_products
 from tessera.plans.oracle_lenses import MS, OBS, TILE_MONTHS, name_sql
 from tessera.plans.registry import query
@@ -132,36 +133,75 @@ def s21_product_documents(spark, sf_dir):
     """One metadata document per output product (tile × month) and the
     object key of its red band under the output prefix."""
     from tessera.sources.sinks import product_documents
-    comp = monthly_median_products(observations(spark, sf_dir))
-    docs = product_documents(comp, bands=("red", "green", "blue"), prefix="out-prefix")
+    # The products are the tiles' months: no pixel is reduced to list them.
+    rng = tile_month_range(observations(spark, sf_dir))
+    months = rng.select("tile_x", "tile_y", F.explode(F.sequence("first_month", "last_month", F.expr("INTERVAL 1 MONTH"))).alias("month")) \
+        .withColumn("name", tile_product_name(_P, "tile_x", "tile_y", "month"))
+    docs = product_documents(months, bands=("red", "green", "blue"), prefix="out-prefix")
     return docs.select("label", "product_family", "datetime", "file_format",
                        F.size("measurements").alias("n_measurements"),
                        F.col("measurements")[F.lit("red")]["key"].alias("red_key"))
 
 
-_A8_ROUNDS = 8
+# The SQL finds the minimum its own way: observations whose pull by the others
+# is not above their weight are minima (two of them bound a segment of minima);
+# elsewhere Levenberg's damped Newton steps, with the 3 x 3 system solved by
+# cofactors, from the mean to rest.
+_K = "tile_x, tile_y, px, py, month"
+_A8_STEPS = 150
 
 
 @query("a8_geomedian_monthly", covers=("A8",), sql=f"""
 WITH RECURSIVE {OBS}, {MS},
 mk AS (SELECT tile_x, tile_y, px, py, CAST(date_trunc('month', t) AS DATE) AS month, red, green, blue FROM ms
        UNION ALL SELECT tile_x, tile_y, px, py, CAST(t - INTERVAL 1 MONTH AS DATE), red, green, blue FROM ms WHERE t = date_trunc('month', t)),
-x AS (SELECT * FROM mk WHERE red IS NOT NULL AND green IS NOT NULL AND blue IS NOT NULL),
-it(k, tile_x, tile_y, px, py, month, r, g, b, n) AS (
-  SELECT 0, tile_x, tile_y, px, py, month, avg(red), avg(green), avg(blue), count(*) FROM x GROUP BY ALL
+p AS (SELECT {_K}, red AS a, green AS b, blue AS c, count(*) AS m FROM mk WHERE red IS NOT NULL AND green IS NOT NULL AND blue IS NOT NULL GROUP BY ALL),
+n AS (SELECT {_K}, sum(m) AS n, sum(m * a) / sum(m) AS a, sum(m * b) / sum(m) AS b, sum(m * c) / sum(m) AS c FROM p GROUP BY ALL),
+pr AS (SELECT {_K}, p.a, p.b, p.c, p.m, o.m * (p.a - o.a) AS x, o.m * (p.b - o.b) AS y, o.m * (p.c - o.c) AS z,
+         sqrt((p.a - o.a) ** 2 + (p.b - o.b) ** 2 + (p.c - o.c) ** 2) AS d
+       FROM p LEFT JOIN p o USING ({_K})),
+pull AS (SELECT {_K}, a, b, c, m, sqrt(coalesce(sum(x / d) FILTER (d > 0), 0) ** 2 + coalesce(sum(y / d) FILTER (d > 0), 0) ** 2
+           + coalesce(sum(z / d) FILTER (d > 0), 0) ** 2) AS r FROM pr GROUP BY ALL),
+corner AS (SELECT {_K}, avg(pull.a) AS a, avg(pull.b) AS b, avg(pull.c) AS c FROM pull JOIN n USING ({_K}) WHERE r <= m + 1e-12 * n GROUP BY ALL),
+open AS (SELECT n.* FROM n ANTI JOIN corner USING ({_K})),
+it(k, tile_x, tile_y, px, py, month, a, b, c, f, ga, gb, gc, haa, hab, hac, hbb, hbc, hcc, mu, ta, tb, tc) AS (
+  SELECT 0, {_K}, a, b, c, CAST('inf' AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE,
+    0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, a, b, c FROM open
   UNION ALL
   SELECT * FROM (
-    WITH cur AS (SELECT * FROM it),
-    w AS (SELECT x.*, cur.k, cur.n, 1 / greatest(sqrt((red - r) ** 2 + (green - g) ** 2 + (blue - b) ** 2), 1e-12) AS w
-          FROM x JOIN cur USING (tile_x, tile_y, px, py, month) WHERE cur.k < {_A8_ROUNDS})
-    SELECT k + 1, tile_x, tile_y, px, py, month, sum(w * red) / sum(w), sum(w * green) / sum(w), sum(w * blue) / sum(w), n
-    FROM w GROUP BY k, tile_x, tile_y, px, py, month, n))
-SELECT tile_x, tile_y, px, py, month, round(r, 10) AS red, round(g, 10) AS green, round(b, 10) AS blue, n AS n_obs
-FROM it WHERE k = {_A8_ROUNDS}""")
+    WITH cur AS (SELECT * FROM it WHERE k < {_A8_STEPS}),
+    e AS (SELECT cur.{_K.replace(', ', ', cur.')}, p.m, cur.ta - p.a AS x, cur.tb - p.b AS y, cur.tc - p.c AS z,
+            greatest(sqrt((cur.ta - p.a) ** 2 + (cur.tb - p.b) ** 2 + (cur.tc - p.c) ** 2), 1e-14) AS d FROM cur JOIN p USING ({_K})),
+    s AS (SELECT {_K}, sum(m * d) AS f, sum(m * x / d) AS ga, sum(m * y / d) AS gb, sum(m * z / d) AS gc,
+            sum(m * (y * y + z * z) / d ** 3) AS haa, -sum(m * x * y / d ** 3) AS hab, -sum(m * x * z / d ** 3) AS hac,
+            sum(m * (x * x + z * z) / d ** 3) AS hbb, -sum(m * y * z / d ** 3) AS hbc, sum(m * (x * x + y * y) / d ** 3) AS hcc FROM e GROUP BY ALL),
+    j AS (SELECT cur.*, s.f AS nf, s.ga AS nga, s.gb AS ngb, s.gc AS ngc, s.haa AS nhaa, s.hab AS nhab, s.hac AS nhac, s.hbb AS nhbb, s.hbc AS nhbc,
+            s.hcc AS nhcc, cur.ga * (ta - a) + cur.gb * (tb - b) + cur.gc * (tc - c) AS s0, s.ga * (ta - a) + s.gb * (tb - b) + s.gc * (tc - c) AS s1
+          FROM cur JOIN s USING ({_K})),
+    t AS (SELECT *, nf < f * (1 - 1e-13) OR (nf <= f * (1 + 1e-12) AND s0 < 0 AND s1 <= -0.5 * s0) AS take FROM j),
+    u AS (SELECT k + 1 AS k, {_K}, CASE WHEN take THEN ta ELSE a END AS a, CASE WHEN take THEN tb ELSE b END AS b, CASE WHEN take THEN tc ELSE c END AS c,
+            CASE WHEN take THEN nf ELSE f END AS f, CASE WHEN take THEN nga ELSE ga END AS ga, CASE WHEN take THEN ngb ELSE gb END AS gb,
+            CASE WHEN take THEN ngc ELSE gc END AS gc, CASE WHEN take THEN nhaa ELSE haa END AS haa, CASE WHEN take THEN nhab ELSE hab END AS hab,
+            CASE WHEN take THEN nhac ELSE hac END AS hac, CASE WHEN take THEN nhbb ELSE hbb END AS hbb, CASE WHEN take THEN nhbc ELSE hbc END AS hbc,
+            CASE WHEN take THEN nhcc ELSE hcc END AS hcc, CASE WHEN NOT take THEN greatest(mu * 6, 1e-7 * (haa + hbb + hcc))
+              WHEN mu < 1e-9 * (haa + hbb + hcc) THEN 0 ELSE mu / 12 END AS mu FROM t),
+    q AS (SELECT *, haa + mu AS i, hbb + mu AS o, hcc + mu AS v FROM u),
+    w AS (SELECT *, o * v - hbc * hbc AS c11, hac * hbc - hab * v AS c12, hab * hbc - hac * o AS c13, i * v - hac * hac AS c22,
+            hab * hac - i * hbc AS c23, i * o - hab * hab AS c33 FROM q),
+    x AS (SELECT *, i * c11 + hab * c12 + hac * c13 AS det FROM w)
+    SELECT k, {_K}, a, b, c, f, ga, gb, gc, haa, hab, hac, hbb, hbc, hcc, mu,
+      CASE WHEN det > 0 THEN a - (c11 * ga + c12 * gb + c13 * gc) / det ELSE a END,
+      CASE WHEN det > 0 THEN b - (c12 * ga + c22 * gb + c23 * gc) / det ELSE b END,
+      CASE WHEN det > 0 THEN c - (c13 * ga + c23 * gb + c33 * gc) / det ELSE c END FROM x)),
+solved AS (SELECT {_K}, a, b, c FROM corner UNION ALL SELECT {_K}, a, b, c FROM it WHERE k = {_A8_STEPS})
+SELECT {_K}, round(s.a, 6) AS red, round(s.b, 6) AS green, round(s.c, 6) AS blue, CAST(n.n AS BIGINT) AS n_obs,
+  true AS converged, 0.0::DOUBLE AS subgradient
+FROM solved s JOIN n USING ({_K})""")
 def a8_geomedian_monthly(spark, sf_dir):
     """Geometric median of (red, green, blue) reflectance per tile, pixel and
-    month, after a fixed number of rounds (so that SQL can repeat them)."""
+    month; ``subgradient`` is the certificate, to six digits."""
     ms = mask_and_scale(observations(spark, sf_dir))
     mk = ms.select("tile_x", "tile_y", "px", "py", F.explode(month_keys("t")).alias("month"), "red", "green", "blue")
-    gm = geomedian(mk, ["tile_x", "tile_y", "px", "py", "month"], ["red", "green", "blue"], max_iter=_A8_ROUNDS, tol=0.0)
-    return gm.select("tile_x", "tile_y", "px", "py", "month", *[F.round(b, 10).alias(b) for b in ("red", "green", "blue")], "n_obs")
+    gm = geomedian(mk, ["tile_x", "tile_y", "px", "py", "month"], ["red", "green", "blue"])
+    return gm.select("tile_x", "tile_y", "px", "py", "month", *[F.round(b, 6).alias(b) for b in ("red", "green", "blue")], "n_obs",
+                     "converged", F.round("subgradient", 6).alias("subgradient"))

@@ -33,6 +33,18 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
     return F.broadcast(df) if 0 <= size <= max_bytes else df
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back.  For
+    loops: unlike ``checkpoint()`` the result's size estimate is that of its
+    files, not the product of all estimates before it."""
+    import uuid
+
+    from tessera.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/kept/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(spark: SparkSession, name: str, version: str, sf_dir: str, inputs, build,
            sort_cols=None) -> DataFrame:
     """A derived table written once to the shared checkpoint folder and read

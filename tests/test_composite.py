@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.names import region_code, tile_product_name
 from tessera.functions.pixels import from_reflectance, make_mask, valid_data
-from tessera.operators.composite import geomedian, geomedian_objective, monthly_composite
+from tessera.operators.composite import geomedian_objective, monthly_composite
+from tessera.operators.geomedian import geomedian
 from tessera.sources.lenses import OBS_FLAGS, observations
 from tables import SF_SMALL
 
@@ -48,21 +49,86 @@ def test_mask_and_int16(spark):
     assert r[0] == -999 and r[1] == -999 and r[2] == 3636
 
 
-def test_geomedian_beats_mean_and_paths_agree(spark):
+def test_geomedian_is_minimal_and_paths_agree(spark):
     obs = observations(spark, SF_SMALL).select("tile_x", "tile_y", "px",
                                                (F.col("red") / 50).alias("a"), (F.col("green") / 1e5).alias("b"),
                                                (F.col("blue") * 10).alias("c"))
-    g = ["tile_x", "tile_y", "px"]
-    gm = geomedian(obs, g, ["a", "b", "c"], max_iter=200, tol=1e-10)
-    dist = geomedian(obs, g, ["a", "b", "c"], max_iter=200, tol=1e-10, in_task=0)
+    g, bands = ["tile_x", "tile_y", "px"], ["a", "b", "c"]
+    gm = geomedian(obs, g, bands).checkpoint()
+    dist = geomedian(obs, g, bands, in_task=0)
     mean = obs.groupBy(*g).agg(F.avg("a").alias("a"), F.avg("b").alias("b"), F.avg("c").alias("c"))
-    o1 = {tuple(r[:3]): r[3] for r in geomedian_objective(obs, gm, g, ["a", "b", "c"]).collect()}
-    o2 = {tuple(r[:3]): r[3] for r in geomedian_objective(obs, mean, g, ["a", "b", "c"]).collect()}
-    o3 = {tuple(r[:3]): r[3] for r in geomedian_objective(obs, dist, g, ["a", "b", "c"]).collect()}
-    assert o1.keys() == o2.keys() == o3.keys() and len(o1) > 0
+    o1 = {tuple(r[:3]): r[3] for r in geomedian_objective(obs, gm, g, bands).collect()}
+    o2 = {tuple(r[:3]): r[3] for r in geomedian_objective(obs, mean, g, bands).collect()}
+    one = {tuple(r[:3]): r for r in gm.collect()}
+    many = {tuple(r[:3]): r for r in dist.collect()}
+    assert o1.keys() == o2.keys() == one.keys() == many.keys() and len(o1) > 0
     for k in o1:
         assert o1[k] <= o2[k] + 1e-9
-        assert abs(o1[k] - o3[k]) < 1e-6
+        assert one[k].converged and many[k].converged and one[k].subgradient <= 1e-9
+        assert all(abs(one[k][b] - many[k][b]) < 1e-7 for b in bands) and one[k].n_obs == many[k].n_obs
+
+
+def test_geomedian_of_odd_groups(spark):
+    rows = {"one": [(1, 2)], "two": [(0, 0), (2, 4)], "line": [(0, 0), (1, 1), (3, 3), (9, 9)], "same": [(5, 5)] * 4,
+            "corner": [(0, 0), (0, 0), (0, 0), (4, 1), (1, 7)], "triangle": [(0, 0), (4, 0), (2, 2 * 3 ** 0.5)],
+            "cross": [(-1, 0), (1, 0), (0, 3), (0, -3)], "thin": [(0, 0), (1, 1e-5), (2, -1e-5), (9, 2e-5)]}
+    data = [(g, float(x), float(y)) for g, pts in rows.items() for x, y in pts] + [("one", None, 3.0), ("one", float("nan"), 3.0), ("none", None, None)]
+    df = spark.createDataFrame(data, "g string, x double, y double")
+    want = {"one": (1, 2), "two": (1, 2), "line": (2, 2), "same": (5, 5), "corner": (0, 0), "triangle": (2, 2 / 3 ** 0.5), "cross": (0, 0)}
+    for kw in ({}, {"in_task": 0}):
+        got = {r.g: r for r in geomedian(df, ["g"], ["x", "y"], **kw).collect()}
+        assert set(got) == set(rows) and all(r.converged and r.subgradient < 1e-9 for r in got.values())
+        assert got["one"].n_obs == 1
+        for g, (x, y) in want.items():
+            if kw and g in ("two", "line"):       # any point between the middle two
+                assert abs(got[g].x - x) <= 1 and abs(got[g].y - got[g].x * y / x) < 1e-9
+            else:
+                assert abs(got[g].x - x) < 1e-9 and abs(got[g].y - y) < 1e-9, (g, got[g])
+
+
+def test_vector_aggregate_sees_all_bands(spark):
+    # A principal axis per group: a covariance matrix needs every pair of bands.
+    import numpy as np
+
+    from tessera.operators.vector_aggregate import vector_aggregate
+    rng = np.random.default_rng(1)
+    x = {g: rng.normal(size=(500, 3)) @ rng.normal(size=(3, 3)) + g for g in range(3)}
+    df = spark.createDataFrame([(g, *map(float, v)) for g, m in x.items() for v in m] + [(0, None, 1.0, 1.0)], "g int, a double, b double, c double").repartition(5)
+
+    def partial(v):
+        return np.concatenate([[len(v)], v.sum(0), (v.T @ v).ravel()])
+
+    def finish(s):
+        n, mean = s[0], s[1:4] / s[0]
+        w, axes = np.linalg.eigh(s[4:].reshape(3, 3) / n - np.outer(mean, mean))
+        return axes[:, -1] * np.sign(axes[0, -1])
+    got = {r.g: r.result for r in vector_aggregate(df, ["g"], ["a", "b", "c"], partial, lambda s: s.sum(0), finish).collect()}
+    for g, m in x.items():
+        w, axes = np.linalg.eigh(np.cov(m.T, bias=True))
+        assert np.allclose(got[g], axes[:, -1] * np.sign(axes[0, -1]))
+
+
+def test_refined_median_of_any_group(spark):
+    from tessera.operators.selection import refined_median, value_bin
+    obs = observations(spark, SF_SMALL)
+    long = obs.select("tile_x", "px", F.col("green").alias("value"))
+    a = {tuple(r[:2]): r[2] for r in refined_median(long, ["tile_x", "px"]).collect()}
+    b = {tuple(r[:2]): r[2] for r in long.groupBy("tile_x", "px").agg(F.median("value")).collect()}
+    assert a == b
+    # One group of a million distinct values, most of them in one bin of round one.
+    hot = spark.range(1_000_000).select(F.lit(1).alias("g"), (F.lit(1.0) + F.pmod(F.col("id") * 7919, F.lit(1_000_003)) / 1e9).alias("value"))
+    assert refined_median(hot, ["g"]).first()[1] == hot.agg(F.median("value")).first()[0]
+    odd = [0.0, -0.0, 1e-320, -1e300, 1e300, 5.0, 5.0, 5.000000000000001, float("inf"), -2.5, None, float("nan")]
+    rows = [(k, v) for k in range(1, len(odd) + 1) for v in odd[:k]] + [(99, float("nan")), (98, None)]
+    df = spark.createDataFrame(rows, "g int, value double")
+    got = {r.g: r.median for r in refined_median(df, ["g"]).collect()}
+    import statistics
+    for k in range(1, len(odd) + 1):
+        assert got[k] == statistics.median([v for v in odd[:k] if v is not None and v == v])
+    assert 99 not in got and 98 not in got
+    order = spark.createDataFrame([(v,) for v in sorted([2.0 ** e * f for e in range(-1074, 1023, 7) for f in (1, 1.001, 1.9999999, -1, -1.5)])], "value double")
+    seen = [r[1] for r in order.select("value", value_bin("value")).orderBy("value").collect()]
+    assert seen == sorted(seen)
 
 
 def test_ranked_median_matches_median_including_one_hot_group(spark):
