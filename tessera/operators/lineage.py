@@ -1,9 +1,9 @@
 """Lineage graph operators on the edge list (S3, J10) and row-update stamps.
 
 The graph is an edge-list DataFrame ``(dataset_ref, classifier,
-source_dataset_ref)``.  One hop is an equi join; roots are propagated
-along the layers of the graph, a dataset with several sources having
-several roots; cycles are reported, not followed.
+source_dataset_ref)``.  One hop is an equi join; roots are found by path
+doubling, a dataset with several sources having several roots; cycles are
+reported, not followed.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.tables import kept
+
 
 def one_hop(edges: DataFrame, datasets: DataFrame, classifier: str | None = None,
             key: str = "id") -> DataFrame:
@@ -23,50 +25,35 @@ def one_hop(edges: DataFrame, datasets: DataFrame, classifier: str | None = None
 def roots(edges: DataFrame, nodes: DataFrame, key: str = "id") -> DataFrame:
     """J10 closure: one row per (node, root) pair — every ancestor without a
     source, with the least and the greatest number of hops to it — and, for
-    nodes that only reach a cycle, one row with a NULL root and the error.
+    nodes on or derived from a cycle, one row with a NULL root and the error.
 
-    Frontier by frontier: roots are their own root at depth 0; each round
-    joins the pairs found in the last one with the edges to the derived
-    datasets.  A node on or behind a cycle would be found for ever, so what
-    may propagate is first reduced to the acyclic part: rounds of removing
-    nodes whose sources are all removed (at most the longest chain).  State is
-    written to the shared folder each round."""
-    from tessera.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(nodes.sparkSession)
-    parent = edges.select(F.col("dataset_ref").alias("node"), F.col("source_dataset_ref").alias("anc")).distinct() \
-        .checkpoint(eager=True)
-    names = nodes.select(F.col(key).alias("node")).union(parent.select("anc")).union(parent.select("node")).distinct() \
-        .checkpoint(eager=True)
-    # Layers of the acyclic part: a node's layer is its longest chain.
-    layer = names.join(parent.select("node").distinct(), "node", "left_anti").select("node", F.lit(0).alias("layer")) \
-        .checkpoint(eager=True)
-    waiting = parent.groupBy("node").agg(F.count(F.lit(1)).alias("open")).checkpoint(eager=True)
-    last = layer
-    depth = 0
-    while True:
-        depth += 1
-        less = last.select(F.col("node").alias("anc")).join(parent, "anc").groupBy("node").agg(F.count(F.lit(1)).alias("done"))
-        waiting = waiting.join(less, "node", "left").select("node", (F.col("open") - F.coalesce("done", F.lit(0))).alias("open")) \
-            .checkpoint(eager=True)
-        last = waiting.where("open = 0").select("node", F.lit(depth).alias("layer")).checkpoint(eager=True)
-        if last.isEmpty():
-            break
-        layer = layer.union(last)
-        waiting = waiting.where("open > 0")
-    layer = layer.checkpoint(eager=True)
-    found = layer.where("layer = 0").select("node", F.col("node").alias("root"), F.lit(0).alias("depth"), F.lit(0).alias("max_depth"))
-    state = found
-    for k in range(1, depth):
-        # Pairs of layer k from those of its sources, all in lower layers.
-        now = layer.where(F.col("layer") == k).select("node").join(parent, "node")
-        new = now.join(state.select(F.col("node").alias("anc"), "root", "depth", "max_depth"), "anc") \
-            .groupBy("node", "root").agg((F.min("depth") + 1).alias("depth"), (F.max("max_depth") + 1).alias("max_depth"))
-        state = state.union(new).checkpoint(eager=True)
-    cyclic = names.join(layer.select("node"), "node", "left_anti").select(
-        "node", F.lit(None).cast(dict(names.dtypes)["node"]).alias("root"), F.lit(None).cast("int").alias("depth"),
-        F.lit(None).cast("int").alias("max_depth"), F.lit("on or derived from a cycle").alias("error"))
-    out = state.withColumn("error", F.lit(None).cast("string")).unionByName(cyclic)
-    return out.join(nodes.select(F.col(key).alias("node")).distinct(), "node", "left_semi")
+    Path doubling: after round k a node knows the roots within 2^k hops and the
+    ancestors at exactly 2^k; the next round replaces each of these by what it
+    knows itself.  Rounds grow with the logarithm of the longest chain.  A walk
+    as long as there are nodes has passed one twice: what is still open then
+    lies on or behind a cycle."""
+    parent = kept(edges.select(F.col("dataset_ref").alias("node"), F.col("source_dataset_ref").alias("anc")).distinct(), "edges")
+    derived = parent.select("node").distinct()
+    names = nodes.select(F.col(key).alias("node")).union(parent.select("anc")).union(parent.select("node")).distinct()
+    tops = kept(names.join(derived, "node", "left_anti"), "roots")
+    n = derived.count()
+    known = kept(parent.join(tops.select(F.col("node").alias("anc"), F.lit(True).alias("top")), "anc", "left").select(
+        "node", "anc", F.coalesce("top", F.lit(False)).alias("top"), F.lit(1).alias("lo"), F.lit(1).alias("hi")), "lineage")
+    reach = 1
+    while reach < n and not known.where("NOT top").isEmpty():
+        step = known.select(F.col("node").alias("anc"), F.col("anc").alias("far"), F.col("top").alias("_top"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+        on = known.where("NOT top").join(step, "anc").select(
+            "node", F.col("far").alias("anc"), F.col("_top").alias("top"), (F.col("lo") + F.col("_lo")).alias("lo"), (F.col("hi") + F.col("_hi")).alias("hi"))
+        known = kept(known.where("top").unionByName(on).groupBy("node", "anc", "top").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "lineage")
+        reach *= 2
+    open_ = known.where("NOT top").select("node").distinct()
+    none = F.lit(None)
+    found = known.where("top").join(open_, "node", "left_anti").select(
+        "node", F.col("anc").alias("root"), F.col("lo").alias("depth"), F.col("hi").alias("max_depth"), none.cast("string").alias("error"))
+    own = tops.select("node", F.col("node").alias("root"), F.lit(0).alias("depth"), F.lit(0).alias("max_depth"), none.cast("string").alias("error"))
+    cyclic = open_.select("node", none.cast(dict(names.dtypes)["node"]).alias("root"), none.cast("int").alias("depth"),
+                          none.cast("int").alias("max_depth"), F.lit("on or derived from a cycle").alias("error"))
+    return found.unionByName(own).unionByName(cyclic).join(nodes.select(F.col(key).alias("node")).distinct(), "node", "left_semi")
 
 
 def stamp_updates(current: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:

@@ -397,23 +397,39 @@ UNION ALL SELECT 'dataset_type.name duplicates', count(*) FROM (
 UNION ALL SELECT 'orders.o_custkey orphans', count(*) FROM orders
   WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)""")
 def p12_integrity(spark, sf_dir):
-    from tessera.operators.quality import duplicate_keys, orphans
+    """Violated key values per constraint (a duplicate counts once, an orphan
+    by its rows), every table read once."""
+    from tessera.operators.quality import Reference, Unique, integrity
     from tessera.sources.tables import read_table
-    d = src.scene_base(spark, sf_dir)
-    dt = src.dataset_type(spark, sf_dir)
-    checks = [
-        ("dataset.id duplicates", duplicate_keys(d, ["id"])),
-        ("dataset.dataset_type_ref orphans", orphans(d, "dataset_type_ref", dt, "id")),
-        ("dataset_type.name duplicates", duplicate_keys(dt, ["name"])),
-        ("orders.o_custkey orphans", orphans(read_table(spark, sf_dir, "orders"), "o_custkey",
-                                             read_table(spark, sf_dir, "customer"), "c_custkey")),
-    ]
-    out = None
-    for name, df in checks:
-        row = df.agg(F.count(F.lit(1)).alias("n_violations")).select(F.lit(name).alias("check_name"),
-                                                                      "n_violations")
-        out = row if out is None else out.unionByName(row)
-    return out
+    unique = [Unique("dataset.id duplicates", "dataset", ("id",)), Unique("dataset_type.name duplicates", "dataset_type", ("name",))]
+    refs = [Reference("dataset.dataset_type_ref orphans", "dataset", ("dataset_type_ref",), "dataset_type", ("id",)),
+            Reference("orders.o_custkey orphans", "orders", ("o_custkey",), "customer", ("c_custkey",))]
+    tables = {"dataset": src.scene_base(spark, sf_dir), "dataset_type": src.dataset_type(spark, sf_dir),
+              "orders": read_table(spark, sf_dir, "orders"), "customer": read_table(spark, sf_dir, "customer")}
+    found = integrity(tables, unique + refs)
+    return found.select(F.col("constraint").alias("check_name"),
+                        F.when(F.col("constraint").endswith("duplicates"), F.col("n_keys")).otherwise(F.col("n_rows")).alias("n_violations"))
+
+
+@query("p12_violating_keys", covers=("P12",), sql="""
+SELECT 'lineitem.(l_orderkey, l_linenumber) duplicates' AS "constraint", '["' || l_orderkey || '","' || l_linenumber || '"]' AS key, count(*) AS n_rows
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+UNION ALL SELECT 'lineitem.l_suppkey -> orders.o_custkey', '["' || l_suppkey || '"]', count(*) FROM lineitem
+  WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL) GROUP BY l_suppkey
+UNION ALL SELECT 'orders.o_custkey -> lineitem.l_suppkey', '["' || o_custkey || '"]', count(*) FROM orders
+  WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_suppkey IS NOT NULL) GROUP BY o_custkey
+UNION ALL SELECT 'orders.o_orderdate duplicates', '["' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '"]', count(*) FROM orders
+  GROUP BY o_orderdate HAVING count(*) > 1""")
+def p12_violating_keys(spark, sf_dir):
+    """The violating keys themselves, of constraints that the tables do
+    violate: composite keys and references in both directions, two scans."""
+    from tessera.operators.quality import Reference, Unique, violations
+    from tessera.sources.tables import read_table
+    rules = [Unique("lineitem.(l_orderkey, l_linenumber) duplicates", "lineitem", ("l_orderkey", "l_linenumber")),
+             Unique("orders.o_orderdate duplicates", "orders", ("o_orderdate",)),
+             Reference("lineitem.l_suppkey -> orders.o_custkey", "lineitem", ("l_suppkey",), "orders", ("o_custkey",)),
+             Reference("orders.o_custkey -> lineitem.l_suppkey", "orders", ("o_custkey",), "lineitem", ("l_suppkey",))]
+    return violations({"lineitem": read_table(spark, sf_dir, "lineitem"), "orders": read_table(spark, sf_dir, "orders")}, rules)
 
 
 @query("g9_geo_ref_footprint", covers=("G9", "G3"), sql=f"""

@@ -38,24 +38,43 @@ UNION ALL SELECT '*.example.[no][er][gt]/de/**', path FROM inv
   WHERE regexp_matches(path, '^[^/]*\\.example\\.[no][er][gt]/de/.*$')""")
 def s6_glob_listing(spark, sf_dir):
     """Several glob patterns over one inventory (files only), unioned."""
+    asked = spark.createDataFrame([(g,) for g in _GLOBS], "pattern string")
+    return src.glob(_inv(spark, sf_dir), asked, include_dirs=False).select("pattern", "path")
+
+
+_TREE = """
+t AS (SELECT DISTINCT array_to_string(list_slice(p, 1, n - 1), '/') AS parent, p[n] AS seg, array_to_string(list_slice(p, 1, n), '/') AS path,
+        CASE WHEN n = len(p) THEN 'file' ELSE 'directory' END AS type, CASE WHEN n = len(p) THEN length END AS size
+      FROM (SELECT string_split(path, '/') AS p, length FROM inv), range(1, 20) r(n) WHERE n <= len(p))"""
+
+
+@query("s6_ls", covers=("S6",), sql=f"WITH {INV}, {_TREE} SELECT parent, path, type, size FROM t")
+def s6_ls(spark, sf_dir):
+    """The immediate children of every directory, with their sizes."""
+    return src.ls(_inv(spark, sf_dir))
+
+
+@query("s6_expand_path", covers=("S6", "U4"), sql=f"""
+WITH {INV}, {_TREE},
+w AS (SELECT DISTINCT parent || '/' || seg AS wanted, path FROM t WHERE parent <> '' AND strpos(parent, '/') = 0
+      UNION SELECT '?' || substr(b.parent, 2) || '/[!a-e]*', x.path FROM (SELECT DISTINCT parent FROM t WHERE parent <> '' AND strpos(parent, '/') = 0) b
+        JOIN t x ON substr(x.parent, 2) = substr(b.parent, 2) AND x.parent <> '' AND strpos(x.parent, '/') = 0 AND NOT regexp_matches(x.seg, '^[a-e]'))
+SELECT DISTINCT wanted, t.path, t.type FROM w JOIN t ON t.path = w.path OR starts_with(t.path, w.path || '/')""")
+def s6_expand_path(spark, sf_dir):
+    """Names and patterns of every bucket expanded to all entries at and
+    under them (``find`` for each): its children by name, and by a pattern with
+    an open first character and a negated class."""
+    from tessera.operators import patterns
     inv = _inv(spark, sf_dir)
-    out = None
-    for g in _GLOBS:
-        part = src.glob(inv, g, include_dirs=False).select(F.lit(g).alias("pattern"), "path")
-        out = part if out is None else out.unionByName(part)
-    return out
+    t = patterns.tree(inv).where("parent <> '' AND parent NOT LIKE '%/%'")
+    wanted = t.select(F.explode(F.array("path", F.concat(F.lit("?"), F.substring("parent", 2, 1 << 20), F.lit("/[!a-e]*")))).alias("wanted"))
+    return src.expand_paths(inv, wanted.distinct(), recursive=True)
 
 
 @query("s7_walk", covers=("S7", "S6"), sql=f"""
-WITH {INV},
-f AS (SELECT path, regexp_extract(path, '^(.*)/[^/]+$', 1) AS root FROM inv),
-d AS (SELECT DISTINCT array_to_string(list_slice(string_split(path, '/'), 1, n), '/') AS dir
-      FROM inv, range(1, 10) r(n) WHERE n < len(string_split(path, '/'))),
-dr AS (SELECT regexp_extract(dir, '^(.*)/[^/]+$', 1) AS root FROM d WHERE dir LIKE '%/%')
-SELECT root, CAST(sum(nd) AS BIGINT) AS n_dirs, CAST(sum(nf) AS BIGINT) AS n_files FROM (
-  SELECT root, 0 AS nd, 1 AS nf FROM f UNION ALL SELECT root, 1, 0 FROM dr) GROUP BY root""")
+WITH {INV}, {_TREE} SELECT parent AS root, type AS kind, seg AS name FROM t WHERE parent <> ''""")
 def s7_walk(spark, sf_dir):
-    """Walk every bucket: per directory, sub-directory and file counts."""
+    """Walk every bucket: per directory, its sub-directories and files."""
     return src.walk(_inv(spark, sf_dir))
 
 
@@ -74,9 +93,7 @@ def s8_object_info(spark, sf_dir):
     """exists / isfile / isdir / size for every object, every object's
     folder and a missing sibling of every object."""
     inv = _inv(spark, sf_dir)
-    wanted = (inv.select(F.col("path").alias("wanted"))
-              .unionByName(inv.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("wanted")))
-              .unionByName(inv.select(F.concat("path", F.lit(".missing")).alias("wanted"))))
+    wanted = inv.select(F.explode(F.array("path", F.regexp_extract("path", r"^(.*)/[^/]+$", 1), F.concat("path", F.lit(".missing")))).alias("wanted"))
     return src.info(inv, wanted)
 
 
@@ -128,30 +145,45 @@ SELECT path || '.gone', 'lost/', NULL, 'source not found' FROM inv WHERE page_id
 UNION ALL
 SELECT path, 'archive/' || regexp_extract(path, '([^/]*)$', 1), length, NULL FROM inv
 UNION ALL
-SELECT path, 'single/' || CAST(page_id AS VARCHAR) || '.bin', length, NULL FROM inv""")
+SELECT path, 'single/' || CAST(page_id AS VARCHAR) || '.bin', length, NULL FROM inv
+UNION ALL
+SELECT i.path, 'open/' || regexp_extract(i.path, '([^/]*)$', 1), i.length, NULL
+FROM inv p JOIN inv i ON substr(i.path, 2) = substr(p.path, 2)
+UNION ALL
+SELECT bucket || '/en/[z-a]*', 'bad/', NULL, 'malformed pattern' FROM b
+UNION ALL
+SELECT bucket || '/e[n/*', 'odd/', NULL, 'source not found' FROM b""")
 def s11_copy_plan(spark, sf_dir):
     """Copy requests expanded to object pairs: each bucket's 'en' folder
     into 'backup/<bucket>/' (directory lands under its basename), each bucket
     without recursion (an error row), a glob in each bucket, missing objects
-    (error rows), every object into 'archive/' (trailing slash = into folder)
-    and to a file name (no trailing slash).  Sources given as 's3://', '/' or
+    (error rows), every object into 'archive/' (trailing slash = into folder),
+    to a file name (no trailing slash) and by a glob that begins with a
+    wildcard; malformed globs (error rows) and unclosed ones.  Sources given as 's3://', '/' or
     bare keys are normalised first."""
-    inv_full = page_inventory(spark, sf_dir)
-    inv = inv_full.select("path", "length")
-    buckets = inv.select(F.regexp_extract("path", "^([^/]+)", 1).alias("b")).distinct()
-
-    def req(df, src_, dst, recursive=False):
-        return df.select(src_.alias("src"), dst.alias("dst"), F.lit(recursive).alias("recursive"))
-    path, b = F.col("path"), F.col("b")
-    reqs = req(buckets, F.concat(F.lit("s3://"), b, F.lit("/en")), F.concat(F.lit("backup/"), b, F.lit("/")), True)
-    for one in (req(buckets, b, F.lit("flat/")), req(buckets, F.concat(b, F.lit("/fr/*/*5.html")), F.lit("globbed/")),
-                req(inv_full.where("page_id % 2 = 0"), F.concat(path, F.lit(".gone")), F.lit("lost/")),
-                req(inv_full, F.concat(F.lit("/"), path), F.lit("archive/")),
-                req(inv_full, path, F.format_string("single/%d.bin", F.col("page_id")))):
-        reqs = reqs.unionByName(one)
+    inv = page_inventory(spark, sf_dir).select("page_id", "path", "length")
+    path, b = F.col("path"), F.regexp_extract("path", "^([^/]+)", 1)
+
+    def req(source, dst, recursive=False):
+        return F.struct(source.alias("src"), dst.alias("dst"), F.lit(recursive).alias("recursive"))
+    asked = [req(F.concat(F.lit("s3://"), b, F.lit("/en")), F.concat(F.lit("backup/"), b, F.lit("/")), True), req(b, F.lit("flat/")),
+             req(F.concat(b, F.lit("/fr/*/*5.html")), F.lit("globbed/")), req(F.concat(b, F.lit("/en/[z-a]*")), F.lit("bad/")),
+             req(F.concat(b, F.lit("/e[n/*")), F.lit("odd/")),
+             req(F.when(F.col("page_id") % 2 == 0, F.concat(path, F.lit(".gone"))), F.lit("lost/")),
+             req(F.concat(F.lit("/"), path), F.lit("archive/")), req(path, F.format_string("single/%d.bin", F.col("page_id"))),
+             req(F.concat(F.lit("?"), F.substring("path", 2, 1 << 20)), F.lit("open/"))]
+    reqs = inv.select(F.inline(F.array(*asked))).where("src IS NOT NULL").distinct()
     return obj.copy_plan(inv, reqs.withColumn("src", normalise_key("src")))
 
 
+@query("l1_first_objects", covers=("L1",), sql=f"""
+WITH {INV}, e AS (SELECT path, row_number() OVER (ORDER BY path) - 1 AS i FROM inv)
+SELECT i, path FROM e WHERE i <= 1000""")
+def l1_first_objects(spark, sf_dir):
+    """The job's cut: the first 1001 enumerated keys (positions 0 to 1000)."""
+    return obj.enumerate_paths(obj.first_n(_inv(spark, sf_dir).select("path"), 1001)).select("i", "path")
+
+
 @query("l2_first_items", covers=("L2", "L1"), sql=f"""
 WITH {INV} SELECT path FROM inv ORDER BY path LIMIT 4""")
 def l2_first_items(spark, sf_dir):
@@ -303,3 +335,36 @@ def s24_row_update_stamp(spark, sf_dir):
     changes = o.select(F.col("o_orderkey").alias("id"), F.lit("lens-v2").alias("added_by"))
     up = lin.stamp_updates(cur, changes)
     return up.select("id", "added_by", F.col("updated").isNotNull().alias("was_updated"))
+
+
+@query("s24_stored_upserts", covers=("S24",), sql="""
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'lens-v3' WHEN o_orderpriority = '1-URGENT' THEN 'lens-v2' ELSE 'lens' END AS added_by,
+       CASE WHEN o_orderkey % 5 = 0 THEN 3 WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS stamped_by
+FROM orders
+UNION ALL SELECT -o_orderkey, 'new', 3 FROM orders WHERE o_orderkey % 97 = 0 AND o_orderkey > 0""")
+def s24_stored_upserts(spark, sf_dir):
+    """Two upserts into a stored table of versions: ``stamped_by`` is the
+    version whose write gave a row its ``updated`` stamp, told from the stored
+    versions themselves."""
+    import uuid
+
+    from tessera.session import ensure_checkpoint_dir
+    from tessera.sources.catalogue import scene_base
+    from tessera.sources.tables import read_table
+    from tessera.sources.versions import VersionedTable
+    table = VersionedTable(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/versions/dataset-{uuid.uuid4().hex}")
+    o = read_table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("long")
+    table.upsert(scene_base(spark, sf_dir).select(F.col("id").cast("long").alias("id"), F.lit("lens").alias("added_by")))
+    table.upsert(o.where(F.col("o_orderpriority") == "1-URGENT").select(key.alias("id"), F.lit("lens-v2").alias("added_by")))
+    third = F.array(F.when(key % 5 == 0, F.struct(key.alias("id"), F.lit("lens-v3").alias("added_by"))),
+                    F.when((key % 97 == 0) & (key > 0), F.struct((-key).alias("id"), F.lit("new").alias("added_by"))))
+    table.upsert(o.select(F.inline(F.array_compact(third))))
+    stamps = None
+    for v in (1, 2, 3):
+        one = table.read(v).select(F.col("id").alias("_id"), F.col("updated").alias("_at"), F.lit(v).alias("_v"))
+        stamps = one if stamps is None else stamps.unionByName(one)
+    # The first version that holds the row's present stamp wrote it.
+    wrote = stamps.groupBy("_id", "_at").agg(F.min("_v").alias("stamped_by"))
+    now = table.read()
+    return now.join(wrote, (now["id"] == wrote["_id"]) & (now["updated"] == wrote["_at"])).select("id", "added_by", "stamped_by")

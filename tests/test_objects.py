@@ -20,12 +20,42 @@ def _tree(root):
     return files
 
 
-def test_glob_regex():
-    import re
-    rx = src.glob_regex("b/p/Cop*/*.y?ml")
-    assert re.match(rx, "b/p/Copx/odc.yaml") and not re.match(rx, "b/p/Copx/sub/odc.yaml")
-    assert re.match(src.glob_regex("b/**/*.txt"), "b/p/other/readme.txt")
-    assert re.match(src.glob_regex("b/[op]*"), "b/p") and not re.match(src.glob_regex("b/[q]*"), "b/p")
+KEYS = ["b/p/Copx/odc.yaml", "b/p/Copx/sub/odc.yaml", "b/p/other/readme.txt", "b/axc.txt", "b/abc.txt", "b/a^c.txt", "b/a[c.txt", "b/a[c]d.txt",
+        "b/a-c.txt", "c/x", "cx", "b/a.c.txt", "b/a\\c.txt", "d/é/日.txt", "fr/x", "a/fr/x", "b/a&c.txt"]
+GLOBS = {
+    "b/p/Cop*/*.y?ml": {"b/p/Copx/odc.yaml"}, "b/**/*.txt": {"b/p/other/readme.txt"},
+    "b/[op]*": set(), "b/a[^x]c.txt": {"b/abc.txt", "b/a^c.txt", "b/a[c.txt", "b/a-c.txt", "b/a.c.txt", "b/a\\c.txt", "b/a&c.txt"},
+    "b/a[!x-z]c.txt": {"b/abc.txt", "b/a^c.txt", "b/a[c.txt", "b/a-c.txt", "b/a.c.txt", "b/a\\c.txt", "b/a&c.txt"},
+    "b/a[c.txt": {"b/a[c.txt"}, "b/a[c]d.txt": set(), "b/a[[]c[]]d.txt": {"b/a[c]d.txt"}, "b/a[z-a]c.txt": set(), "b/a.c.txt": {"b/a.c.txt"},
+    "b/a[x^-]c.txt": {"b/axc.txt", "b/a^c.txt", "b/a-c.txt"}, "?/x": {"c/x"}, "??": {"cx"}, "**": set(KEYS), "**/fr/*": {"a/fr/x"}, "c/x/": {"c/x"},
+    "b/a\\c.txt": {"b/a\\c.txt"}, "?/[!a]/?.txt": {"d/é/日.txt"}, "b/p/**": {k for k in KEYS if k.startswith("b/p/")}, "b/a[&]c.txt": {"b/a&c.txt"},
+    "b/p/**/odc*": {"b/p/Copx/odc.yaml", "b/p/Copx/sub/odc.yaml"}, "[bc]/a[a-c&&]c.txt": {"b/abc.txt", "b/a&c.txt"}, "": set(), "b//x": set()}
+
+
+def test_one_matcher_for_listing_and_copying(spark):
+    inv = spark.createDataFrame([(k, 1) for k in KEYS], "path string, length long")
+    asked = spark.createDataFrame([(g,) for g in GLOBS], "pattern string")
+    got = {g: set() for g in GLOBS}
+    for r in src.glob(inv, asked, include_dirs=False).collect():
+        got[r.pattern].add(r.path)
+    assert got == GLOBS
+    assert {(r.path, r.type) for r in src.glob(inv, "b/p/*").collect()} == {("b/p/Copx", "directory"), ("b/p/other", "directory")}
+    reqs = spark.createDataFrame([(g, "to/", False) for g in GLOBS if g], "src string, dst string, recursive boolean")
+    rows = obj.copy_plan(inv, reqs).collect()
+    by = {(r.src, r.dst): r.error for r in rows}
+    assert by[("b/a[z-a]c.txt", "to/")] == "malformed pattern" and by[("b/a[c]d.txt", "to/")] == "source not found"
+    for g, paths in GLOBS.items():
+        for p in paths:
+            assert by[(p, "to/" + p.rsplit("/", 1)[-1])] is None
+
+
+def test_many_open_globs_and_scans(spark):
+    inv = spark.range(3000).select(F.format_string("b%d/f%d.txt", F.col("id") % 7, "id").alias("path"), F.lit(1).cast("long").alias("length"))
+    reqs = inv.select(F.concat(F.lit("*"), F.substring("path", 3, 99)).alias("src"), F.lit("to/").alias("dst"), F.lit(False).alias("recursive")).limit(2000)
+    plan = obj.copy_plan(inv, reqs)
+    assert plan.where("error IS NULL").count() == 2000 and plan.count() == 2000
+    # All that is read is what was written: the inventory itself is behind it.
+    assert "Range" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
 def test_listing_copy_and_edit_on_files(spark, tmp_dir):
