@@ -134,6 +134,21 @@ def l4_nearest_footprints(spark, sf_dir):
     return out.select("metric", "c_custkey", F.round("dist", 6).alias("dist"))
 
 
+@query("l4_nearest_of_each", covers=("L4",), sql=f"""
+WITH {FP},
+c AS (SELECT c_custkey, (x0 + x1) / 2 AS x, (y0 + y1) / 2 AS y FROM bx),
+d AS (SELECT a.c_custkey, b.c_custkey AS neighbour, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS dist
+      FROM c a JOIN c b ON a.c_custkey <> b.c_custkey)
+SELECT c_custkey, CAST(row_number() OVER (PARTITION BY c_custkey ORDER BY dist, neighbour) AS INTEGER) AS rank, neighbour, round(dist, 6) AS dist
+FROM d QUALIFY rank <= 5""")
+def l4_nearest_of_each(spark, sf_dir):
+    """The five nearest footprints of every footprint, by centre distance."""
+    from tessera.operators.nearest import nearest
+    c = geo.box_centre("bb")
+    p = footprints(spark, sf_dir).withColumn("bb", geo.bbox("rings")).select("c_custkey", c["x"].alias("x"), c["y"].alias("y"))
+    return nearest(p, p, 5, "c_custkey").withColumn("dist", F.round("dist", 6))
+
+
 @query("a12_table_extent", covers=("A12",), sql=f"""
 WITH {FP} SELECT round(min(x0), 6) AS xmin, round(min(y0), 6) AS ymin,
                  round(max(x1), 6) AS xmax, round(max(y1), 6) AS ymax FROM bx""")

@@ -175,3 +175,40 @@ def a8_geomedian_vectors(spark, sf_dir):
     gm = geomedian(v, ["tile"], bands, in_task=16)
     return gm.select("tile", "n_obs", "converged", F.round("subgradient", 6).alias("subgradient"), F.posexplode(F.array(*bands)).alias("band", "value")) \
         .select("tile", "band", F.round("value", 6).alias("value"), "n_obs", "converged", "subgradient")
+
+
+@query("x3_band_covariances", covers=("X3",), sql="""
+WITH o AS (SELECT CAST(l_suppkey % 2 AS INTEGER) AS tile_x, CAST(-1 - floor((l_suppkey % 4) / 2) AS INTEGER) AS tile_y,
+  CAST(l_quantity AS DOUBLE) AS red, CAST(l_extendedprice AS DOUBLE) / 1000 AS green, CAST(l_discount AS DOUBLE) * 100 AS blue FROM lineitem)
+SELECT tile_x, tile_y, count(*) AS n_obs, round(covar_pop(red, green), 4) AS red_green, round(covar_pop(red, blue), 4) AS red_blue,
+  round(covar_pop(green, blue), 4) AS green_blue, round(var_pop(red) + var_pop(green) + var_pop(blue), 4) AS total_variance
+FROM o GROUP BY tile_x, tile_y""")
+def x3_band_covariances(spark, sf_dir):
+    """A user aggregate of the whole band vector: covariances of every pair of
+    bands per tile, merged from shifted partial sums."""
+    import numpy as np
+
+    from tessera.operators.vector_aggregate import vector_aggregate
+    from tessera.sources.lenses import observations
+    bands = ["red", "green", "blue"]
+    obs = observations(spark, sf_dir).select("tile_x", "tile_y", F.col("red").cast("double").alias("red"),
+                                             (F.col("green").cast("double") / 1000).alias("green"), (F.col("blue").cast("double") * 100).alias("blue"))
+
+    def partial(v):
+        mean = v.mean(0)
+        return np.concatenate([[len(v)], mean, ((v - mean).T @ (v - mean)).ravel()])
+
+    def merge(s):
+        # Pairwise update of means and scatter matrices.
+        n = s[:, 0]
+        mean = (n[:, None] * s[:, 1:4]).sum(0) / n.sum()
+        off = s[:, 1:4] - mean
+        return np.concatenate([[n.sum()], mean, s[:, 4:].sum(0) + np.einsum("k,ka,kb->ab", n, off, off).ravel()])
+
+    def finish(s):
+        c = s[4:].reshape(3, 3) / s[0]
+        return np.array([s[0], c[0, 1], c[0, 2], c[1, 2], np.trace(c)])
+    r = F.col("r")
+    return vector_aggregate(obs, ["tile_x", "tile_y"], bands, partial, merge, finish, "r").select(
+        "tile_x", "tile_y", r[0].cast("long").alias("n_obs"),
+        *[F.round(r[i + 1], 4).alias(c) for i, c in enumerate(("red_green", "red_blue", "green_blue", "total_variance"))])

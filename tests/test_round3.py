@@ -117,3 +117,26 @@ def test_two_writers_do_not_lose_updates(spark, tmp_dir):
     for w in workers:
         w.join()
     assert t.version() == 4 and {r.id for r in t.read().collect()} == {0, 1, 2, 3}
+
+
+def test_nearest_of_crowded_and_lonely_points(spark):
+    from tessera.operators.nearest import nearest
+    rng = random.Random(8)
+    pts = [(i, rng.gauss(0, 0.1), rng.gauss(0, 0.1)) for i in range(250)]             # a crowd
+    pts += [(300 + i, 5.0, 5.0) for i in range(120)]                                    # one place
+    pts += [(500 + i, rng.uniform(-50, 50), rng.uniform(-50, 50)) for i in range(60)]
+    pts += [(900, None, 1.0), (901, float("nan"), 1.0), (None, 0.0, 0.0)]
+    df = spark.createDataFrame(pts, "id long, x double, y double")
+    far = spark.createDataFrame([(-1, 1e4, -1e4), (-2, 0.0, 0.0), (7, 0.0, 0.0)], "id long, x double, y double")
+    real = [p for p in pts if p[0] is not None and p[1] is not None and p[1] == p[1]]
+
+    def want(q, k):
+        d = sorted((((q[1] - p[1]) ** 2 + (q[2] - p[2]) ** 2) ** 0.5, p[0]) for p in real if p[0] != q[0])
+        return [i for _, i in d[:k]]
+    for queries, rows in ((df, real), (far, [(-1, 1e4, -1e4), (-2, 0.0, 0.0), (7, 0.0, 0.0)])):
+        got = {}
+        for r in nearest(df, queries, 4).orderBy("id", "rank").collect():
+            got.setdefault(r.id, []).append(r.neighbour)
+        assert got == {q[0]: want(q, 4) for q in rows}
+    few = df.where("id < 3")
+    assert nearest(few, few, 5).count() == 6 and nearest(df.limit(0), df, 5).count() == 0
