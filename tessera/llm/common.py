@@ -51,6 +51,14 @@ def text_bytes(df: DataFrame, col: str = "text") -> int:
     return int(df.agg(F.sum(F.octet_length(col))).first()[0] or 0)
 
 
+def below_hash(df: DataFrame, h, n: int, total: int) -> DataFrame:
+    """The rows whose 64-bit hash ``h`` lies under a threshold that leaves
+    about twice ``n`` of ``total``: what is ordered and collected afterwards is
+    bounded, however many partitions there are."""
+    low = -2**63 + min(1.0, 2 * n / max(total, 1)) * 2**64
+    return df.where(h <= min(int(low), 2**63 - 1))
+
+
 # ---------------------------------------------------------------- hashing
 _rng = np.random.default_rng(20240607)
 BYTE_HASH = _rng.integers(0, 2**64, 256, dtype=np.uint64)

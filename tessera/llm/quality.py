@@ -19,8 +19,8 @@ marks, repetition of words, lines and word pairs, lengths.  g is a network
 with one small hidden layer; the score is its logistic value.
 
 The fit reads at most ``max_rows`` positives and ``max_rows`` unlabelled rows
-(smallest hashes of their doc_id).  Features and scores cover every whole
-text; neither step shuffles.
+(smallest hashes of their doc_id, one row of each doc_id).  Features and scores
+cover every whole text, one at a time; neither step shuffles.
 
 Defined cases: a null or empty text has all features 0 and gets a score like
 any other; rows with a null doc_id are scored; a doc_id with several labels
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, grams, sorted_unique, span_hash, word_spans
+from tessera.llm.common import below_hash, cut, grams, sorted_unique, span_hash, word_spans
 from tessera.llm.toxicity import held_out, labelled_ids
 
 MAX_ROWS = 20_000
@@ -183,10 +183,12 @@ def describe(docs: DataFrame) -> DataFrame:
 def train(described: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, fold: int = 0,
           max_rows: int = MAX_ROWS) -> Model:
     """From described rows: at most ``max_rows`` positives and as many of all."""
-    # At most max_rows ids are broadcast.
+    # At most max_rows ids are broadcast, and one row of each is learned from.
     ids = F.broadcast(labelled_ids(labels, label, folds, fold, max_rows, only=1).select("doc_id"))
-    positive = described.join(ids, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).collect()
-    unlabelled = described.where("doc_id IS NOT NULL").orderBy(F.xxhash64(F.lit(1), "doc_id"), "doc_id").limit(max_rows).collect()
+    positive = described.join(ids, "doc_id").groupBy("doc_id").agg(F.min("x").alias("x")).collect()
+    h = F.xxhash64(F.lit(1), "doc_id")
+    some = below_hash(described.where("doc_id IS NOT NULL"), h, max_rows, described.count())
+    unlabelled = some.groupBy("doc_id").agg(F.min("x").alias("x")).orderBy(h, "doc_id").limit(max_rows).collect()
     p, u = (np.array([r.x for r in sorted(rows, key=lambda r: (r.doc_id, r.x))]).reshape(-1, FEATURES) for rows in (positive, unlabelled))
     return fit(p, u)
 

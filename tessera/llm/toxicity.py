@@ -19,7 +19,9 @@ text in one pass without a shuffle.
 
 Defined cases: a null or empty text has no terms and scores the bias; rows
 with a null doc_id are scored, never learned from; a doc_id with several
-labels has their majority (a tie: toxic); without labelled rows, or with only
+labels has their majority (a tie: toxic); of the rows that share a doc_id the
+smallest text is learned from, all are scored; texts of any length are read
+whole, one at a time; without labelled rows, or with only
 one class among them, every text scores the smoothed share of toxic rows;
 extra columns are ignored; an empty table gives an empty result.
 """
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, cut, mix, powers, prefix_hash, sorted_unique
+from tessera.llm.common import LOWER, below_hash, cut, mix, powers, prefix_hash, sorted_unique
 
 SLOTS = 1 << 18
 PREFIXES = (6, 8)
@@ -139,7 +141,8 @@ def labelled_ids(labels: DataFrame, label: str, folds: int, fold: int, max_rows:
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg(F.col(label).cast("int")) >= 0.5).cast("int").alias("y"))
     if only is not None:
         rows = rows.where(F.col("y") == only)
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    h = F.xxhash64("doc_id")
+    return below_hash(rows, h, max_rows, rows.count()).orderBy(h, "doc_id").limit(max_rows)
 
 
 def _terms(batches):
@@ -166,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     # The ids are broadcast: at most max_rows rows of two numbers.
     ids = F.broadcast(labelled_ids(labels, label, folds, fold, max_rows))
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .join(ids, "doc_id").select("doc_id", "y", "text").mapInArrow(_terms, "doc_id long, y int, terms binary")
+        .join(ids, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).mapInArrow(_terms, "doc_id long, y int, terms binary")
     rows = cut(sample, "toxic-terms")
     # The driver gets SLOTS rows of counts at most, and of each sample row
     # only the chosen terms.

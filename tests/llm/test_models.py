@@ -197,3 +197,57 @@ def test_error_bound_holds():
     est, error = ann.estimates(bits, c, ann.units(q) @ ann.rotation(64))
     true = ann.units(x) @ ann.units(q).T
     assert (np.abs(est - true) <= error).mean() > 0.985
+
+
+def test_samples_are_the_smallest_hashes_whatever_the_partitions(spark):
+    from pyspark.sql import functions as F
+    rows = [(i % 900, (i * 7) % 3 > 0) for i in range(1800)] + [(901, None), (None, True)]
+    labels = spark.createDataFrame([(d, None if y is None else int(y)) for d, y in rows], "doc_id long, toxic int")
+    hashes = {r.doc_id: r.h for r in labels.select("doc_id", F.xxhash64(F.col("doc_id")).alias("h")).distinct().collect()}
+    votes = {}
+    for d, y in rows:
+        if d is not None and y is not None and not held_out(d, 3, 1):
+            votes.setdefault(d, []).append(y)
+    plain = sorted((hashes[d], d, int(2 * sum(v) >= len(v))) for d, v in votes.items())[:40]
+    for parts in (1, 50):
+        got = toxicity.labelled_ids(labels.repartition(parts), "toxic", 3, 1, 40)
+        assert sorted((hashes[r.doc_id], r.doc_id, r.y) for r in got.collect()) == plain
+
+
+@pytest.mark.parametrize("name", ["toxic", "quality"])
+def test_a_labelled_id_on_a_third_of_all_rows_is_one_row_of_the_sample(spark, monkeypatch, name):
+    from pyspark.sql import functions as F
+    rng = random.Random(4)
+    rows = [(i, words(rng, 25) + (" vile foreigners" if i % 2 else ""), i % 2) for i in range(120)]
+    hot = next(d for d, _, y in rows if y == 1 and not held_out(d, 3, 1) and not held_out(d, 5, 0))
+    docs = spark.createDataFrame([(d, t) for d, t, _ in rows], "doc_id long, text string")
+    many = docs.union(spark.range(3000).select(F.lit(hot).alias("doc_id"), F.concat(F.lit("zz "), F.col("id").cast("string")).alias("text"))).repartition(12)
+    labels = labelled(spark, rows, name)
+    sizes = []
+    if name == "toxic":
+        monkeypatch.setattr(toxicity, "fit", lambda x, y, chosen, **kw: sizes.append(len(y)))
+        toxicity.train(many, labels)
+        assert sizes == [sum(not held_out(d, 3, 1) for d, _, _ in rows)]
+    else:
+        monkeypatch.setattr(quality, "fit", lambda p, u, **kw: sizes.append((len(p), len(u))))
+        quality.train(quality.describe(many), labels)
+        assert sizes == [(sum(y == 1 and not held_out(d, 5, 0) for d, _, y in rows), 120)]
+
+
+def test_scores_of_the_queries_are_those_of_the_models_text_by_text(spark):
+    # Plain references: the machine's pair sum, the network's value on each text's features.
+    rows = toxic_rows(200)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    machine = toxicity.train(docs, labelled(spark, rows, "toxic"))
+    texts = {d: t for d, t, _ in rows}
+
+    def plain(text):
+        slots = toxicity.terms(text)
+        at = [int(machine.place[s]) for s in slots if machine.place[s] >= 0]
+        z = machine.w0 + sum(machine.w[i] for i in at) + sum(float(machine.v[a] @ machine.v[b]) for k, a in enumerate(at) for b in at[:k])
+        return 1 / (1 + np.exp(-z))
+    for r in toxicity.toxicity(docs, labelled(spark, rows, "toxic")).collect():
+        assert np.isclose(r.score, plain(texts[r.doc_id])) and r.predicted == (r.score >= 0.7)
+    model = quality.train(quality.describe(docs), labelled(spark, rows, "quality"))
+    for r in quality.quality(docs, labelled(spark, rows, "quality")).collect():
+        assert np.isclose(r.score, model.score(np.array([quality.features(texts[r.doc_id])]))[0])
