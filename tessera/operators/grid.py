@@ -9,10 +9,12 @@ per scene is proportional to the number of tiles it covers.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.geometry import bbox, box_rings, intersects, project_rings
+from tessera.functions.geometry import bbox, box_rings, edges, intersects, point_in_rings, project_rings, segments_touch
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -52,6 +54,61 @@ def tile_cells(scenes: DataFrame, size: float, rings: str = "rings", srid=None,
     return cand.drop("_bb", "_tile")
 
 
+def _box_inside(rings, box) -> Column:
+    """A box lies in the interior of the polygon: no edge of the polygon comes
+    near it and a corner is inside."""
+    cell = edges(box)
+    free = ~F.exists(edges(rings), lambda e: F.exists(cell, lambda f: segments_touch(e, f)))
+    corner = box[0][0]
+    empty = ~F.exists(F.flatten(rings), lambda p: (p["x"] >= box[0][0]["x"]) & (p["x"] <= box[0][2]["x"])
+                      & (p["y"] >= box[0][0]["y"]) & (p["y"] <= box[0][2]["y"]))
+    return free & empty & point_in_rings(corner, rings)
+
+
+def cover(areas: DataFrame, key: str, size: float, rings: str = "rings") -> DataFrame:
+    """Each area as cells of a quad-tree over the tile grid: (key, level,
+    cell_x, cell_y, inside).  A cell of level l is 2**l tiles wide.  Cells that
+    lie inside the area stay as coarse as they are; cells at its edge are split
+    down to single tiles, of which those that meet the area stay.  So an area
+    costs cells in proportion to its edge, not to its surface: one of the size
+    of the world is a few coarse cells and its border.
+
+    One chain of generators, no shuffle: cells are classified and split within
+    the row of their area."""
+    a = areas.select(key, F.col(rings).alias("_r")).withColumn("_b", bbox("_r"))
+    wide = F.greatest(F.col("_b.xmax") - F.col("_b.xmin"), F.col("_b.ymax") - F.col("_b.ymin"))
+    most = a.agg(F.max(wide)).first()[0]
+    if most is None:
+        top = 0
+    else:
+        top = max(0, math.ceil(math.log2(max(most / size, 1.0))))
+    step = size * 2.0 ** top
+    cells = (a.withColumn("_x", F.explode(touching_tile_range("_b.xmin", "_b.xmax", step)))
+             .withColumn("_y", F.explode(touching_tile_range("_b.ymin", "_b.ymax", step)))
+             .select(key, "_r", F.lit(top).alias("_l"), F.col("_x").cast("long").alias("_x"), F.col("_y").cast("long").alias("_y"), F.lit(False).alias("_in")))
+    for level in range(top, -1, -1):
+        w = F.lit(size * 2.0 ** level)
+        box = box_rings(F.col("_x") * w, F.col("_y") * w, (F.col("_x") + 1) * w, (F.col("_y") + 1) * w)
+        cells = cells.withColumn("_box", F.when(~F.col("_in"), box))
+        cells = cells.where(F.col("_in") | intersects("_r", "_box"))
+        inside = F.col("_in") | _box_inside(F.col("_r"), F.col("_box"))
+
+        def cell(lev, x, y, flag):
+            return F.struct(lev.cast("int").alias("_l"), x.alias("_x"), y.alias("_y"), flag.alias("_in"))
+        same = F.array(cell(F.col("_l"), F.col("_x"), F.col("_y"), F.col("_in2")))
+        parts = F.array(*[cell(F.lit(level - 1), F.col("_x") * 2 + i, F.col("_y") * 2 + j, F.lit(False)) for i in (0, 1) for j in (0, 1)])
+        new = F.when(F.col("_in2") | F.lit(level == 0), same).otherwise(parts)
+        cells = cells.withColumn("_in2", inside).select(key, "_r", F.inline(new))
+    return cells.select(key, F.col("_l").alias("level"), F.col("_x").alias("cell_x"), F.col("_y").alias("cell_y"), F.col("_in").alias("inside"))
+
+
+def above_tiles(tiles: DataFrame, levels: list[int]) -> DataFrame:
+    """Every tile with the cells of the given levels that hold it."""
+    up = F.array(*[F.struct(F.lit(n).alias("level"), F.shiftright(F.col("tile_x").cast("long"), n).alias("cell_x"),
+                            F.shiftright(F.col("tile_y").cast("long"), n).alias("cell_y")) for n in levels])
+    return tiles.select("*", F.inline(up))
+
+
 def region_tiles(regions: DataFrame, size: float, rings: str = "rings") -> DataFrame:
     """Coarse tile keys (``_gx``, ``_gy``) touched by each region's bbox."""
     r = regions.withColumn("_rb", bbox(rings))
@@ -65,7 +122,7 @@ def points_in_regions(points: DataFrame, x: str, y: str, regions: DataFrame, siz
     """Points inside (or on the boundary of) any region: an equi join on a
     coarse grid key, then the exact test.  A point lies in exactly one grid
     cell, so each (point, region) pair is produced once."""
-    from tessera.functions.geometry import edges, point_in_rings, pt, segments_touch
+    from tessera.functions.geometry import pt
     pts = points.withColumn("_gx", F.floor(F.col(x) / size).cast("int")) \
                 .withColumn("_gy", F.floor(F.col(y) / size).cast("int"))
     j = pts.join(region_tiles(regions, size, rings), ["_gx", "_gy"]).withColumn("_p", pt(x, y))

@@ -12,7 +12,7 @@ from tessera.operators import grid
 from tessera.operators import objects as obj
 from tessera.operators.composite import monthly_composite
 from tessera.plans.do_work import mask_and_scale, monthly_median_products
-from tessera.plans.oracle_lenses import MS, OBS, SCENE, TILE_MONTHS
+from tessera.plans.oracle_lenses import MS, OBS, SCENE, TILE_MONTHS, name_sql
 from tessera.plans.q_catalogue import _space_sql
 from tessera.plans.q_composite import REGISTRY_SQL_A7
 from tessera.plans.q_grid import _KEYS_SQL
@@ -118,3 +118,50 @@ def x3_user_aggregate(spark, sf_dir):
     ms = mask_and_scale(observations(spark, sf_dir), bands=("red",))
     m = monthly_composite(ms, ["red"], reduce=lambda b: F.max(b) - F.min(b))
     return m.withColumn("red", F.round("red", 8))
+
+
+@query("s14_cell_pixels", covers=("S14", "J6", "P7"), sql=f"""
+WITH {OBS}, b AS (SELECT tile_x, tile_y FROM (SELECT DISTINCT tile_x, tile_y FROM obs) ORDER BY tile_y, tile_x LIMIT 2)
+SELECT o.tile_x, o.tile_y, px, py, t, red, green, blue, qa FROM obs o JOIN b USING (tile_x, tile_y)
+WHERE t BETWEEN TIMESTAMP '1995-01-01 00:00:00' AND TIMESTAMP '1996-06-30 00:00:00'""")
+def s14_cell_pixels(spark, sf_dir):
+    """Pixels stored by tile and read back for the first batch of work keys
+    and a time slice."""
+    from tessera.sources import pixel_store
+    obs = observations(spark, sf_dir)
+    path = _folder(spark, "pixels")
+    pixel_store.write_pixels(obs, path)
+    batch = grid.batch_keys(grid.distinct_keys(obs), 2).where("batch_id = 0")
+    back = pixel_store.read_pixels(spark, path, obs.schema, batch, ("1995-01-01 00:00:00", "1996-06-30 00:00:00"), skip_broken=True)
+    return back.select("tile_x", "tile_y", "px", "py", "t", "red", "green", "blue", "qa")
+
+
+@query("s15_saved_work_list", covers=("S15", "W2"), sql=_KEYS_SQL + """
+SELECT batch_id, list([tile_x, tile_y] ORDER BY tile_y, tile_x) AS keys FROM b GROUP BY batch_id""")
+def s15_saved_work_list(spark, sf_dir):
+    """The work list written as JSON lines and read back as a worker does."""
+    cells = grid.tile_cells(footprints(spark, sf_dir), 1.0)
+    path = _folder(spark, "work")
+    grid.write_work_list(grid.batch_keys(grid.distinct_keys(cells), 8), path)
+    return spark.read.schema("batch_id long, keys array<array<int>>").json(path)
+
+
+@query("s21_saved_documents", covers=("S21", "S20"), sql=f"""
+WITH {OBS}, {TILE_MONTHS}, p AS (SELECT DISTINCT tile_x, tile_y, month, {name_sql(COMPOSITE_PRODUCT, 'tile_x', 'tile_y', 'month')} AS label FROM cal)
+SELECT label, '{COMPOSITE_PRODUCT}' AS product_family, strftime(CAST(month + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE), '%Y-%m-%d') AS datetime,
+  'out/' || label || '/' || label || '_green.tif' AS green_key, true AS has_time
+FROM p""")
+def s21_saved_documents(spark, sf_dir):
+    """The product documents saved as JSON lines and read back."""
+    from tessera.operators.composite import tile_month_range
+    from tessera.sources.sinks import product_documents, save_documents
+    rng = tile_month_range(observations(spark, sf_dir))
+    months = rng.select("tile_x", "tile_y", F.explode(F.sequence("first_month", "last_month", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    path = _folder(spark, "products")
+    save_documents(product_documents(months, ("red", "green", "blue"), "out/"), path)
+    d = spark.read.text(path).select(F.parse_json("value").alias("d"))
+
+    def at(name):
+        return F.variant_get("d", name, "string")
+    return d.select(at("$.label").alias("label"), at("$.product_family").alias("product_family"), at("$.datetime").alias("datetime"),
+                    at("$.measurements.green.key").alias("green_key"), at("$.processed").isNotNull().alias("has_time"))

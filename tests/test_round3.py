@@ -140,3 +140,83 @@ def test_nearest_of_crowded_and_lonely_points(spark):
         assert got == {q[0]: want(q, 4) for q in rows}
     few = df.where("id < 3")
     assert nearest(few, few, 5).count() == 6 and nearest(df.limit(0), df, 5).count() == 0
+
+
+def _ring(pts):
+    return [[{"x": float(x), "y": float(y)} for x, y in [*pts, pts[0]]]]
+
+
+def test_cover_is_exact_and_bounded(spark):
+    import math
+
+    from tessera.operators import grid
+    rng = random.Random(3)
+    shapes = {"world": [(-2000, -1000), (2000, -1000), (2000, 1000), (-2000, 1000)], "box": [(0, 0), (8, 0), (8, 4), (0, 4)],
+              "point": [(3.5, 3.5), (3.5, 3.5), (3.5, 3.5)], "thin": [(-6.2, 0.1), (30.7, 9.9), (30.7, 10.0)],
+              "concave": [(0, 0), (20, 0), (20, 20), (10, 3), (0, 20)]}
+    for i in range(4):
+        n, r = rng.randint(3, 7), rng.uniform(1, 12)
+        at = sorted(rng.uniform(0, 2 * math.pi) for _ in range(n))
+        shapes[f"r{i}"] = [(5 + r * math.cos(a), -3 + r * math.sin(a)) for a in at]
+    areas = spark.createDataFrame([(k, _ring(p)) for k, p in shapes.items()], "area string, rings array<array<struct<x:double,y:double>>>")
+    cells = grid.cover(areas, "area", 1.0).collect()
+    world = [c for c in cells if c.area == "world"]
+    # 8,000,000 tiles as a few cells for each of the 12,000 along the border.
+    assert len(world) < 60_000 and max(c.level for c in world) >= 8
+    got = {}
+    for c in cells:
+        if c.area != "world":
+            w = 1 << c.level
+            got.setdefault(c.area, []).extend((c.cell_x * w + i, c.cell_y * w + j) for i in range(w) for j in range(w))
+    small = areas.where("area <> 'world'")
+    want = {}
+    for r in grid.tile_cells(small, 1.0).select("area", "tile_x", "tile_y").collect():
+        want.setdefault(r.area, set()).add((r.tile_x, r.tile_y))
+    assert {k: len(v) for k, v in got.items()} == {k: len(set(v)) for k, v in got.items()}        # no tile twice
+    assert {k: set(v) for k, v in got.items()} == want
+
+
+def test_pixel_store_prunes_and_skips_broken_files(spark, tmp_dir):
+    import glob
+    import os
+
+    from tables import SF_SMALL
+    from tessera.sources import pixel_store
+    from tessera.sources.lenses import observations
+    obs = observations(spark, SF_SMALL)
+    path = os.path.join(tmp_dir, "pixels")
+    pixel_store.write_pixels(obs, path)
+    keys = spark.createDataFrame([(0, -1), (1, -2)], "tile_x int, tile_y int")
+    got = pixel_store.read_pixels(spark, path, obs.schema, keys, ("1995-01-01 00:00:00", "1995-12-31 00:00:00"))
+    t = F.col("t")
+    want = obs.where(((F.col("tile_x") == 0) & (F.col("tile_y") == -1) | (F.col("tile_x") == 1) & (F.col("tile_y") == -2))
+                     & t.between(F.lit("1995-01-01").cast("timestamp_ntz"), F.lit("1995-12-31").cast("timestamp_ntz")))
+    assert got.count() == want.count() > 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "GreaterThanOrEqual(t" in plan
+    # A truncated file, and one that is no Parquet at all.
+    files = sorted(glob.glob(f"{path}/tile_x=0/tile_y=-1/*.parquet"))
+    lost = spark.read.parquet(files[0]).count()
+    size = os.path.getsize(files[0])
+    with open(files[0], "r+b") as f:
+        f.truncate(size // 2)
+    for c in glob.glob(os.path.join(os.path.dirname(files[0]), ".*.crc")):
+        os.unlink(c)
+    with open(f"{path}/tile_x=1/tile_y=-2/part-junk.parquet", "wb") as f:
+        f.write(b"nothing")
+    with pytest.raises(Exception):
+        pixel_store.read_pixels(spark, path, obs.schema).count()
+    left = pixel_store.read_pixels(spark, path, obs.schema, skip_broken=True)
+    assert left.count() == obs.count() - lost
+    bad = pixel_store.broken_files(spark, path, left).collect()
+    assert {os.path.basename(r.path) for r in bad} == {os.path.basename(files[0]), "part-junk.parquet"} and all(r.error for r in bad)
+    none = spark.createDataFrame([], "tile_x int, tile_y int")
+    assert pixel_store.read_pixels(spark, path, obs.schema, none).count() == 0
+
+
+def test_orders_of_the_same_scenes_share_a_reduction(spark):
+    from tessera.plans.do_work import scene_sets
+    rows = [(1, 0, 0, s) for s in (5, 6, 7)] + [(2, 0, 0, s) for s in (7, 5, 6)] + [(3, 0, 0, 5)] + [(1, 1, 0, 9), (3, 1, 0, 9), (2, 1, 0, 8)]
+    cells = spark.createDataFrame(rows, "order_id int, tile_x int, tile_y int, id int")
+    got = {(r.order_id, r.tile_x): r.rep for r in scene_sets(cells, "order_id").collect()}
+    assert got == {(1, 0): 1, (2, 0): 1, (3, 0): 3, (1, 1): 1, (3, 1): 1, (2, 1): 2}
