@@ -142,6 +142,36 @@ def wkt(rings, fmt: str = "%.6f") -> Column:
     return F.concat(F.lit("POLYGON("), F.array_join(ring_txt, ", "), F.lit(")"))
 
 
+# ----------------------------------------------------------------- G4
+
+def with_srid(rings, srid) -> Column:
+    """A geometry that carries its reference system: struct<srid, rings>."""
+    s = F.lit(srid) if isinstance(srid, int) else _c(srid)
+    return F.struct(s.cast("int").alias("srid"), _c(rings).alias("rings"))
+
+
+def ewkt(geometry, fmt: str = "%.6f") -> Column:
+    """``SRID=n;POLYGON(...)`` of :func:`with_srid`; without a reference
+    system (NULL or 0) the plain text."""
+    g = _c(geometry)
+    text = wkt(g["rings"], fmt)
+    return F.when(F.coalesce(g["srid"], F.lit(0)) != 0, F.concat(F.lit("SRID="), g["srid"].cast("string"), F.lit(";"), text)).otherwise(text)
+
+
+def from_ewkt(text) -> Column:
+    """The inverse: struct<srid, rings>, srid 0 where none is named."""
+    t = _c(text)
+    srid = F.regexp_extract(t, r"^\s*SRID\s*=\s*(\d+)\s*;", 1)
+    return with_srid(rings_from_wkt(F.regexp_replace(t, r"^\s*SRID\s*=\s*\d+\s*;", "")), F.coalesce(srid.try_cast("int"), F.lit(0)))
+
+
+def geojson_dims(text) -> Column:
+    """Numbers of the first position of a GeoJSON polygon (2, 3 or 4)."""
+    doc = F.try_parse_json(_c(text))
+    first = F.coalesce(F.try_variant_get(doc, "$.coordinates[0][0][0]", "array<double>"), F.try_variant_get(doc, "$.coordinates[0][0]", "array<double>"))
+    return F.size(first)
+
+
 def box_rings(x0, y0, x1, y1) -> Column:
     x0, y0, x1, y1 = map(_c, (x0, y0, x1, y1))
     return F.array(F.array(pt(x0, y0), pt(x1, y0), pt(x1, y1), pt(x0, y1), pt(x0, y0)))

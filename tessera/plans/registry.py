@@ -37,5 +37,5 @@ def query(name: str, sql: str | None = None, covers: tuple[str, ...] = ()):
 def load_all() -> dict[str, Query]:
     # Importing the query modules fills the registry.
     from tessera.plans import (  # noqa: F401
-        q_composite, q_catalogue, q_grid, q_orders, q_objects, q_misc, q_pipeline, q_sinks)
+        q_composite, q_catalogue, q_grid, q_orders, q_objects, q_misc, q_pipeline, q_sinks, q_workflow)
     return REGISTRY
