@@ -9,8 +9,6 @@ per scene is proportional to the number of tiles it covers.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,27 +75,29 @@ def cover(areas: DataFrame, key: str, size: float, rings: str = "rings") -> Data
     the row of their area."""
     a = areas.select(key, F.col(rings).alias("_r")).withColumn("_b", bbox("_r"))
     wide = F.greatest(F.col("_b.xmax") - F.col("_b.xmin"), F.col("_b.ymax") - F.col("_b.ymin"))
-    most = a.agg(F.max(wide)).first()[0]
-    if most is None:
-        top = 0
-    else:
-        top = max(0, math.ceil(math.log2(max(most / size, 1.0))))
-    step = size * 2.0 ** top
-    cells = (a.withColumn("_x", F.explode(touching_tile_range("_b.xmin", "_b.xmax", step)))
-             .withColumn("_y", F.explode(touching_tile_range("_b.ymin", "_b.ymax", step)))
-             .select(key, "_r", F.lit(top).alias("_l"), F.col("_x").cast("long").alias("_x"), F.col("_y").cast("long").alias("_y"), F.lit(False).alias("_in")))
+    # An area begins at the level where it is about four to eight cells wide.
+    a = a.withColumn("_l", F.greatest(F.ceil(F.log2(F.greatest(wide / size, F.lit(1.0)))) - 3, F.lit(0)).cast("int"))
+    top = a.agg(F.max("_l")).first()[0] or 0
+
+    def index(lo, hi):
+        step = F.lit(float(size)) * F.pow(F.lit(2.0), F.col("_l"))
+        return F.explode(F.sequence((F.ceil(F.col(lo) / step) - 1).cast("long"), F.floor(F.col(hi) / step).cast("long")))
+    cells = (a.withColumn("_x", index("_b.xmin", "_b.xmax")).withColumn("_y", index("_b.ymin", "_b.ymax"))
+             .select(key, "_r", "_l", "_x", "_y", F.lit(False).alias("_in")))
     for level in range(top, -1, -1):
         w = F.lit(size * 2.0 ** level)
         box = box_rings(F.col("_x") * w, F.col("_y") * w, (F.col("_x") + 1) * w, (F.col("_y") + 1) * w)
-        cells = cells.withColumn("_box", F.when(~F.col("_in"), box))
-        cells = cells.where(F.col("_in") | intersects("_r", "_box"))
-        inside = F.col("_in") | _box_inside(F.col("_r"), F.col("_box"))
+        # Only the undecided cells of this level are looked at.
+        here = ~F.col("_in") & (F.col("_l") == level)
+        cells = cells.withColumn("_box", F.when(here, box))
+        cells = cells.where(~here | intersects("_r", "_box"))
+        inside = F.col("_in") | F.coalesce(F.when(here, _box_inside(F.col("_r"), F.col("_box"))), F.lit(False))
 
         def cell(lev, x, y, flag):
             return F.struct(lev.cast("int").alias("_l"), x.alias("_x"), y.alias("_y"), flag.alias("_in"))
         same = F.array(cell(F.col("_l"), F.col("_x"), F.col("_y"), F.col("_in2")))
         parts = F.array(*[cell(F.lit(level - 1), F.col("_x") * 2 + i, F.col("_y") * 2 + j, F.lit(False)) for i in (0, 1) for j in (0, 1)])
-        new = F.when(F.col("_in2") | F.lit(level == 0), same).otherwise(parts)
+        new = F.when(F.col("_in2") | (F.col("_l") != level) | F.lit(level == 0), same).otherwise(parts)
         cells = cells.withColumn("_in2", inside).select(key, "_r", F.inline(new))
     return cells.select(key, F.col("_l").alias("level"), F.col("_x").alias("cell_x"), F.col("_y").alias("cell_y"), F.col("_in").alias("inside"))
 
