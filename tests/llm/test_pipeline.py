@@ -61,7 +61,7 @@ def test_stages_on_odd_and_empty_tables(spark, tmp_dir):
 
 def test_queries_are_registered():
     names = list(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
