@@ -13,6 +13,14 @@ What is still large after ``DEPTH`` levels is dealt to blocks, whose members
 are all compared with each other and linked with the nearest ones.
 Candidates that survive the sketches are confirmed on the full sets.
 
+Those links join most of a large node, and the rest is finished exactly:
+large last nodes with one pivot make a *cell*, and every member that is not in
+its cell's main component is compared, on full sets, with every member of the
+cell, in tiles of ``TILE`` shingles a side.  So no link between members of a
+large node is lost.  The finish costs (members left open) x (members of the
+cell): little where the pivot's links join the group, the square of the cell
+where they don't.
+
 A pair at the threshold shares a node of level d in one tree with probability
 0.81, 0.69, 0.60, 0.53, 0.48 (d = 1..5): 16 trees miss it with probability
 2e-12 to 3e-5, less for closer pairs.
@@ -20,7 +28,9 @@ A pair at the threshold shares a node of level d in one tree with probability
 Defined cases: a null or empty text, or one without words, has the empty set
 and no links.  Rows with a null doc_id are kept, unlinked, with a null
 component.  Rows that share a doc_id are one document holding all their sets.
-Extra columns are ignored; an empty table gives an empty result.
+Extra columns are ignored; an empty table gives an empty result.  Texts of any
+length are taken whole: one document's shingles are held in memory at a time,
+or one tile's.
 """
 
 from __future__ import annotations
@@ -40,7 +50,10 @@ TREES = 16
 DEPTH = 5
 SMALL = 24           # nodes up to this size are compared exhaustively
 BLOCK = 512          # members of a block at the last level
-NEAREST = 4          # links of each block member that are confirmed
+NEAREST = 4          # links of each block member that are confirmed first
+TILE = 200_000       # shingles of one side of a tile
+SPLIT = 128          # pairs of one text that are confirmed together
+DEAL = 64            # parts in which a hot key meets its number of parts
 SKETCH_MIN = 92      # of 128 sketch bits; at similarity 3/4: 112 +- 3.7 agree
 NUM, DEN = 75, 100   # similarity threshold
 
@@ -169,11 +182,12 @@ def _agree(x1, x2, y1, y2):
     return (F.lit(WIDTH) - F.bit_count(x1.bitwiseXOR(y1)) - F.bit_count(x2.bitwiseXOR(y2))).cast("int")
 
 
-def candidates(classes: DataFrame) -> DataFrame:
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Distinct candidate pairs (a < b, agree, copies of either) of classes
-    (cid, sig, s1, s2, copies)."""
+    (cid, sig, s1, s2, copies), and the members (cell, cid) of what is still
+    large at the last level, if anything is."""
     columns = ["cid", "sig", "s1", "s2", "copies"]
-    found, active = None, classes.select(columns)
+    found, cells, active = None, None, classes.select(columns)
     for level in range(1, DEPTH + 1):
         rows = active.mapInArrow(_branch, NODES)
         # The pivot is the member with the most copies (near copies are closest
@@ -200,12 +214,14 @@ def candidates(classes: DataFrame) -> DataFrame:
             blocks = big.withColumn("block", F.pmod(F.xxhash64("node", "cid"), F.ceil(F.col("n") / BLOCK))) \
                 .groupBy("node", "block").agg(member).select("members", F.lit(True).alias("nearest"))
             new = new.union(blocks.mapInArrow(_pairs, EDGES))
+            cells = cut(big.select(F.col("p_cid").alias("cell"), "cid").distinct(), "cells")
         found = new if found is None else found.union(new)
         if last or level == DEPTH:
             break
         nodes = big.groupBy("cid").agg(F.collect_set("node").alias("nodes"))
         active = classes.select(columns).join(nodes, "cid").select(*columns, "nodes")
-    return found.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("ca").alias("ca"), F.max("cb").alias("cb"))
+    edges = found.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("ca").alias("ca"), F.max("cb").alias("cb"))
+    return edges, cells
 
 
 def _confirm(batches):
@@ -230,11 +246,79 @@ def _words(batches):
         yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), batch.column(1)], names=["cid", "text"])
 
 
+def _with_text(edges: DataFrame, key: str, texts: DataFrame, name: str) -> DataFrame:
+    """``edges`` (distinct a, b) with the text of ``key``.  A key of many pairs
+    is dealt to parts of about SPLIT pairs, each with its own copy of the text."""
+    hot = edges.groupBy(key).agg(F.ceil(F.count("*") / SPLIT).alias("parts")).where("parts > 1")
+    h = F.xxhash64("a", "b")
+    dealt = edges.withColumn("deal", F.pmod(h, F.lit(DEAL))) \
+        .join(hot.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DEAL - 1).cast("long")))), [key, "deal"], "left") \
+        .withColumn("part", F.pmod(F.shiftright(h, 8), F.coalesce("parts", F.lit(1)))).drop("deal", "parts")
+    copies = texts.select(F.col("cid").alias(key), F.col("text").alias(name)).join(hot, key, "left") \
+        .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    return dealt.join(copies, [key, "part"]).drop("part")
+
+
 def confirm(edges: DataFrame, texts: DataFrame) -> DataFrame:
-    left = texts.select(F.col("cid").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("cid").alias("b"), F.col("text").alias("tb"))
-    met = edges.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return met.mapInArrow(_confirm, "a long, b long")
+    met = _with_text(_with_text(edges.select("a", "b"), "a", texts, "ta"), "b", texts, "tb")
+    return met.select("a", "b", "ta", "tb").mapInArrow(_confirm, "a long, b long")
+
+
+def _tile(rows: pa.Table) -> pa.Table:
+    """One tile: links of its open members (``probe``) to members of other
+    components, one link per component, counted on the full sets."""
+    cid, comp = (np.array(rows.column(k).to_pylist(), np.int64) for k in ("cid", "component"))
+    probe = np.array(rows.column("probe").to_pylist(), bool)
+    sets = [shingles(t) for t in rows.column("text").to_pylist()]
+    y = np.flatnonzero(~probe)
+    sizes = np.array([len(sets[i]) for i in y], np.int64)
+    tokens = np.concatenate([sets[i] for i in y]) if len(y) else np.zeros(0, np.uint64)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], np.repeat(np.arange(len(y)), sizes)[order]
+    a, b = [], []
+    for x in np.flatnonzero(probe):
+        lo, hi = (np.searchsorted(tokens, sets[x], side) for side in ("left", "right"))
+        n = hi - lo
+        at = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+        both = np.bincount(owner[at], minlength=len(y))
+        ok = np.flatnonzero((DEN * both >= NUM * (len(sets[x]) + sizes - both)) & (comp[y] != comp[x]))
+        first = ok[np.unique(comp[y[ok]], return_index=True)[1]]
+        a.append(np.full(len(first), cid[x]))
+        b.append(cid[y[first]])
+    a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
+    return pa.table([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
+
+
+def tiles(members: DataFrame) -> DataFrame:
+    """Members (cell, cid, component, n_shingles) -> (cell, xt, yt, probe, cid,
+    component): every member that is outside its cell's main component as a
+    probe against all members, both dealt to tiles; cells of one component
+    have none."""
+    parts = members.groupBy("cell", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+    top = F.max(F.struct("n", "component", "w"))
+    plan = parts.groupBy("cell").agg(top.alias("top"), F.sum("w").alias("w"), F.count("*").alias("k")).where("k > 1") \
+        .select("cell", F.col("top.component").alias("main"), F.ceil(F.col("w") / TILE).alias("ys"),
+                F.ceil((F.col("w") - F.col("top.w")) / TILE).alias("xs"))
+    # A cell may hold a large share of all rows: it meets its plan in parts.
+    plan = plan.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DEAL - 1).cast("long"))))
+    h = F.xxhash64("cid", "cell")
+    own_x, own_y = F.pmod(h, F.col("xs")), F.pmod(F.shiftright(h, 20), F.col("ys"))
+    zero = F.lit(0).cast("long")
+    as_member = F.transform(F.sequence(zero, F.col("xs") - 1), lambda k: F.struct(
+        k.alias("xt"), own_y.alias("yt"), F.lit(False).alias("probe")))
+    as_probe = F.transform(F.sequence(zero, F.col("ys") - 1), lambda k: F.struct(
+        own_x.alias("xt"), k.alias("yt"), F.lit(True).alias("probe")))
+    return members.withColumn("deal", F.pmod(F.xxhash64("cid"), F.lit(DEAL))).join(plan, ["cell", "deal"]) \
+        .select("cell", "cid", "component", F.explode(F.when(
+            F.col("component") == F.col("main"), as_member).otherwise(F.concat(as_member, as_probe))).alias("t")) \
+        .select("cell", "t.xt", "t.yt", "t.probe", "cid", "component")
+
+
+def finish(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between components that share a cell."""
+    return tiles(members).join(texts.select("cid", "text"), "cid") \
+        .select("cell", "xt", "yt", "probe", "cid", "component", "text") \
+        .groupBy("cell", "xt", "yt").applyInArrow(_tile, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -245,9 +329,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = named.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     classes = cut(named.join(reps.withColumnRenamed("rep", "doc_id"), ["cid", "doc_id"])
                   .dropDuplicates(["cid"]), "classes")
-    edges = cut(candidates(classes), "edges")
-    # Texts of the classes that have a candidate.
-    asked = edges.select(F.col("a").alias("cid")).union(edges.select("b")).distinct()
+    edges, cells = candidates(classes)
+    edges = cut(edges, "edges")
+    # Texts of the classes that have a candidate or are in a large node.
+    asked = edges.select(F.col("a").alias("cid")).union(edges.select("b"))
+    asked = (asked if cells is None else asked.union(cells.select("cid"))).distinct()
     asked = asked.join(classes.select("cid", "doc_id"), "cid")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .join(asked.select("doc_id").distinct(), "doc_id").select("doc_id", "text").where("text IS NOT NULL") \
@@ -265,7 +351,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = edges.select("a", "b").join(first.select("a", "b"), ["a", "b"], "left_anti") \
         .join(ga, "a", "left").join(gb, "b", "left") \
         .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    links = links.union(cut(confirm(rest, texts), "links"))
+    crossing = cut(confirm(rest, texts), "links")
+    links = links.union(crossing)
+    if cells is not None:
+        # The groups as those links leave them, then what they leave open.
+        merged = components(crossing.join(ga, "a", "left").join(gb, "b", "left")
+                            .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+        members = cells.join(classes.select("cid", "n_shingles"), "cid") \
+            .join(group.withColumnRenamed("node", "cid"), "cid", "left") \
+            .withColumn("node", F.coalesce("component", "cid")).drop("component").join(merged, "node", "left") \
+            .select("cell", "cid", "n_shingles", F.coalesce("component", "node").alias("component"))
+        links = links.union(cut(finish(cut(members, "members"), texts), "links"))
     # From classes to documents: a class's smallest doc_id stands for it; a
     # doc_id with several sets links their classes.
     rep = reps.select("cid", "rep")

@@ -59,6 +59,57 @@ def test_large_group_of_near_copies_is_one_component(spark):
     assert got == want and len({got[i] for i in range(700)}) < 20
 
 
+def dense_group(rng, n, lonely):
+    """Near copies of a text that lie around the threshold, and texts that are
+    linked with a single one of them, not with the text they come from."""
+    base = words(rng, 160).split()
+    rows = [" ".join(base)]
+    for _ in range(n):
+        t = list(base)
+        for at in rng.sample(range(0, 160, 5), rng.randint(4, 7)):
+            t[at] = f"edit{rng.randrange(10**6)}"
+        rows.append(" ".join(t))
+    for k in rng.sample(range(1, n), lonely):
+        t = rows[k].split()
+        for at in rng.sample(range(0, 160, 5), 4):
+            t[at] = f"edit{rng.randrange(10**6)}"
+        rows.append(" ".join(t))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_lone_links_of_a_dense_group_are_found(spark, monkeypatch):
+    """Small nodes, blocks, tiles and parts, so that every path is taken."""
+    import random
+    for name, value in (("SMALL", 6), ("DEPTH", 2), ("BLOCK", 8), ("TILE", 9000), ("SPLIT", 5), ("DEAL", 3)):
+        monkeypatch.setattr(neardup, name, value)
+    rng = random.Random(11)
+    rows = list(enumerate(dense_group(rng, 260, 60) + dense_group(rng, 90, 30) + [words(rng, 50) for _ in range(40)]))
+    want = components_by_force(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()}
+    assert got == want
+
+
+def test_finish_links_every_pair_of_components(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(neardup, "TILE", 3000)
+    monkeypatch.setattr(neardup, "DEAL", 4)
+    texts = list(enumerate(dense_group(random.Random(12), 70, 25)))
+    sets = [shingle_set(t) for _, t in texts]
+    comp = {i: min(i, 40) for i, _ in texts}        # the main component and forty alone
+    members = spark.createDataFrame(
+        [(5, i, len(sets[i]), comp[i]) for i, _ in texts] + [(6, i, len(sets[i]), 1) for i in range(9)],
+        "cell long, cid long, n_shingles long, component long")
+    dealt = neardup.tiles(members)
+    assert dealt.where("cell = 6").isEmpty() and dealt.select("xt", "yt").distinct().count() > 4
+    got = {tuple(r) for r in neardup.finish(members, spark.createDataFrame(texts, "cid long, text string")).collect()}
+    linked = {(i, j) for j in range(len(texts)) for i in range(j) if comp[i] != comp[j]
+              and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert got <= linked and {(comp[a], comp[b]) for a, b in got} == {(comp[a], comp[b]) for a, b in linked}
+    assert len(linked) > 20
+
+
 def test_components_of_a_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(1, 2000 + i) for i in range(50)] + [(7, 7)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
