@@ -246,13 +246,12 @@ def _words(batches):
         yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), batch.column(1)], names=["cid", "text"])
 
 
-def _with_text(edges: DataFrame, key: str, texts: DataFrame, name: str) -> DataFrame:
-    """``edges`` (distinct a, b) with the text of ``key``.  A key of many pairs
-    is dealt to parts of about SPLIT pairs, each with its own copy of the text."""
-    hot = edges.groupBy(key).agg(F.ceil(F.count("*") / SPLIT).alias("parts")).where("parts > 1")
+def _with_text(edges: DataFrame, key: str, hot: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """``edges`` with the text of ``key``: a key in ``hot`` (key, parts) is
+    dealt to its parts, each with its own copy of the text."""
     h = F.xxhash64("a", "b")
-    dealt = edges.withColumn("deal", F.pmod(h, F.lit(DEAL))) \
-        .join(hot.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DEAL - 1).cast("long")))), [key, "deal"], "left") \
+    deals = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DEAL - 1).cast("long")))
+    dealt = edges.withColumn("deal", F.pmod(h, F.lit(DEAL))).join(hot.withColumn("deal", deals), [key, "deal"], "left") \
         .withColumn("part", F.pmod(F.shiftright(h, 8), F.coalesce("parts", F.lit(1)))).drop("deal", "parts")
     copies = texts.select(F.col("cid").alias(key), F.col("text").alias(name)).join(hot, key, "left") \
         .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
@@ -260,7 +259,12 @@ def _with_text(edges: DataFrame, key: str, texts: DataFrame, name: str) -> DataF
 
 
 def confirm(edges: DataFrame, texts: DataFrame) -> DataFrame:
-    met = _with_text(_with_text(edges.select("a", "b"), "a", texts, "ta"), "b", texts, "tb")
+    """The pairs of ``edges`` (distinct a, b) that reach the threshold; a text
+    of many pairs is dealt to parts of about SPLIT pairs."""
+    met = edges = cut(edges.select("a", "b"), "pairs")
+    for key, name in (("a", "ta"), ("b", "tb")):
+        hot = edges.groupBy(key).agg(F.ceil(F.count("*") / SPLIT).alias("parts")).where("parts > 1")
+        met = _with_text(met, key, hot, texts, name)
     return met.select("a", "b", "ta", "tb").mapInArrow(_confirm, "a long, b long")
 
 
