@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.sources.tables import broadcast_if_small, read_table
+from tessera.sources.tables import broadcast_if_small, clustered, read_table
 
 # Metadata-type name per region key in the scenes lens
 # (other keys keep their lower-cased region name).
@@ -202,7 +202,9 @@ def scene_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def render_documents(base: DataFrame) -> DataFrame:
-    """JSON document per scene, shaped by the family of its metadata type."""
+    """JSON document per scene, shaped by the family of its metadata type.
+    Each family's scenes are brought into order of product and time before
+    they are rendered: the scenes are narrow, the documents are not."""
     lat, lon, t = F.col("lat"), F.col("lon"), F.col("t")
     fam = family_of(F.col("mtype"))
     coord = F.struct(
@@ -290,11 +292,15 @@ def render_documents(base: DataFrame) -> DataFrame:
                  ).alias("image")))
     # One projection per family (a union of three filtered branches) keeps
     # each generated method small enough for whole-stage codegen.
-    b = base.withColumn("_fam", fam)
-    return (b.where(F.col("_fam") == "eo").withColumn("metadata", eo)
-            .unionByName(b.where(F.col("_fam") == "eo3").withColumn("metadata", eo3))
-            .unionByName(b.where(F.col("_fam") == "telemetry").withColumn("metadata", tele))
-            .drop("_fam"))
+    docs = {"eo": eo, "eo3": eo3, "telemetry": tele}
+
+    def branch(name):
+        b = base.where(fam == name)
+        return clustered(b, "dataset_type_ref", "t", share=len(docs)).withColumn("metadata", docs[name])
+    first, *others = [branch(name) for name in docs]
+    for b in others:
+        first = first.unionByName(b)
+    return first
 
 
 def render_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,13 +339,11 @@ def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dataset table as stored: the lens is ingested once per input into
     Parquet under the shared checkpoint folder (as a catalogue dump is
     loaded once) with shredded index columns (:func:`shred_search_extents`),
-    range-partitioned and sorted by product and start time so row groups
-    prune on them; later reads scan the stored documents instead of
-    re-rendering them."""
+    in ranges of product and start time so row groups prune on them; later
+    reads scan the stored documents instead of re-rendering them."""
     from tessera.sources.tables import stored
     return stored(spark, "dataset", LENS_VERSION, sf_dir, ("orders", "nation", "region"),
-                  lambda: shred_search_extents(render_dataset(spark, sf_dir)),
-                  sort_cols=("dataset_type_ref", "t_lo"))
+                  lambda: shred_search_extents(render_dataset(spark, sf_dir)))
 
 
 def dataset_location(spark: SparkSession, sf_dir: str) -> DataFrame:
