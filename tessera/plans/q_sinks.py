@@ -86,8 +86,8 @@ def s13_document_rewrite(spark, sf_dir):
     parsed = src.yaml_documents(d.select("dir", "yaml"), "yaml", "dir")
     done = obj.write_documents(parsed.select(versioned_path("dir").alias("dst"), obj.edit_document("doc").alias("doc")), uri + "/")
     done = done.checkpoint(eager=True)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root) \
-        .select(F.regexp_extract("path", f"({DEM_ROOT}/.*)/odc-metadata.yaml$", 1).alias("dst"), F.decode("content", "UTF-8").alias("y"))
+    files = src.read_paths(done.select(F.concat("dst", F.lit("/odc-metadata.yaml")).alias("path")), uri + "/") \
+        .select(F.regexp_extract("path", "^(.*)/odc-metadata.yaml$", 1).alias("dst"), F.decode("content", "UTF-8").alias("y"))
     back = src.yaml_documents(files, "y", "dst").select("dst", F.parse_json("doc").alias("d"))
     return done.join(back, "dst", "left").select("dst", "ok", "error", F.variant_get("d", "$.label", "string").alias("label"),
                                                  F.variant_get("d", "$.properties.n_chars", "bigint").alias("n_chars"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tables import SF_SMALL
-from tessera.sources import catalogue, lenses
+from tessera.sources import catalogue, lenses, objects
 
 
 def _under_range_exchanges(df) -> list[str]:
@@ -40,3 +40,21 @@ def test_stored_documents_lie_in_order(spark):
         key = (r.dataset_type_ref, r.t_lo)
         assert at.get(r.f, key) <= key
         at[r.f] = key
+
+
+def test_objects_named_by_rows_are_read_without_a_listing(spark, tmp_dir):
+    from tessera.operators import objects as obj
+    files = spark.createDataFrame([(f"a/{i}/x.yaml", f"k: {i}") for i in range(5)] + [("a/0/x.yaml", "k: 0"), (None, "n")], "path string, body string")
+    assert obj.write_objects(files.where("path IS NOT NULL"), tmp_dir + "/").where("NOT ok").count() == 0
+    asked = files.select("path").unionByName(spark.createDataFrame([("a/9/x.yaml",), ("a",)], "path string"))
+    got = objects.read_paths(asked, tmp_dir + "/")
+    assert sorted((r.path, r.length, bytes(r.content)) for r in got.collect()) == [(f"a/{i}/x.yaml", 4, f"k: {i}".encode()) for i in range(5)]
+    assert {(r.length, r.content) for r in objects.read_paths(asked, tmp_dir + "/", content=False).collect()} == {(4, None)}
+
+
+def test_rewritten_documents_are_not_listed(spark):
+    from tessera.plans.registry import load_all
+    for name in ("s13_document_rewrite", "x5_copy_edit_chain"):
+        df = load_all()[name].fn(spark, SF_SMALL)
+        assert "binaryFile" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.where("NOT ok").count() == 0 and df.count() > 0
