@@ -58,3 +58,20 @@ def test_rewritten_documents_are_not_listed(spark):
         df = load_all()[name].fn(spark, SF_SMALL)
         assert "binaryFile" not in df._jdf.queryExecution().executedPlan().toString()
         assert df.where("NOT ok").count() == 0 and df.count() > 0
+
+
+def test_projected_orders_are_validated_once(spark, monkeypatch):
+    from tessera.operators import orders as ordering
+    from tessera.plans import get_work
+    from tessera.plans.registry import load_all
+    calls, real = [], ordering.validate_orders
+
+    def counted(*a, **k):
+        calls.append(1)
+        return real(*a, **k)
+    monkeypatch.setattr(ordering, "validate_orders", counted)
+    monkeypatch.setattr(get_work, "validate_orders", counted)
+    df = load_all()["p9_projected_orders"].fn(spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert len(calls) == 1 and "from_json" not in plan and "jsontostructs" not in plan.lower()
+    assert df.count() == spark.read.parquet(SF_SMALL + "/orders.parquet").count()
