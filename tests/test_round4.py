@@ -75,3 +75,17 @@ def test_projected_orders_are_validated_once(spark, monkeypatch):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert len(calls) == 1 and "from_json" not in plan and "jsontostructs" not in plan.lower()
     assert df.count() == spark.read.parquet(SF_SMALL + "/orders.parquet").count()
+
+
+def test_composites_are_named_before_they_are_handed_out(spark):
+    from tessera.plans.do_work import order_composites
+    cells = spark.createDataFrame([(o, 3, -4, 7) for o in range(5)] + [(9, 3, -4, 8)], "order_id long, tile_x int, tile_y int, id long")
+    scenes = spark.sql("SELECT id, TIMESTAMP_NTZ '1996-02-10 00:00:00' AS t, 132.0D AS lon FROM VALUES (7L), (8L) AS v(id)")
+    pixels = spark.createDataFrame([(7, 0, 0, 1000.0, 2.0, 3.0, 0), (8, 0, 0, 5000.0, 2.0, 3.0, 0)],
+                                   "id long, px int, py int, red double, green double, blue double, qa int")
+    df = order_composites(cells, scenes, pixels)
+    plan = df._jdf.queryExecution().executedPlan().toString().lower()
+    assert "format_string" not in plan and "round(" not in plan
+    got = {(r.order_id, r.red, r.n_days) for r in df.collect()}
+    assert got == {(o, -0.1725, 1) for o in range(5)} | {(9, -0.0625, 1)}
+    assert df.select("name").distinct().count() == 1
