@@ -54,6 +54,7 @@ NEAREST = 4          # links of each block member that are confirmed first
 TILE = 200_000       # shingles of one side of a tile
 SPLIT = 128          # pairs of one text that are confirmed together
 DEAL = 64            # parts in which a hot key meets its number of parts
+MAP = 1 << 26        # bits of the map of asked documents, at most (8 MB)
 SKETCH_MIN = 92      # of 128 sketch bits; at similarity 3/4: 112 +- 3.7 agree
 NUM, DEN = 75, 100   # similarity threshold
 
@@ -193,10 +194,14 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         # The pivot is the member with the most copies (near copies are closest
         # to the text they were made from), then with the smallest hash over
         # all trees, so the nodes of a cluster mostly agree on it.
+        # Most nodes hold one document and need no pivot: all are counted
+        # first, by their name alone.
         who = ["cid", "s1", "s2", "copies"]
         order = F.struct(-F.col("copies"), F.xxhash64("cid"), *who)
-        sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min(order).alias("p")).where("n > 1")
-        met = cut(rows.join(sizes, "node").select(
+        sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+        met = cut(rows.join(sizes, "node").select("node", *who, "n"), "shared")
+        pivots = met.groupBy("node").agg(F.min(order).alias("p"))
+        met = cut(met.join(pivots, "node").select(
             "node", *who, "n", *(F.col(f"p.{c}").alias(f"p_{c}") for c in who)), "nodes")
         member = F.collect_list(F.struct(*who)).alias("members")
         small = met.where(F.col("n") <= SMALL).groupBy("node").agg(member) \
@@ -246,6 +251,22 @@ def _words(batches):
         yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), batch.column(1)], names=["cid", "text"])
 
 
+def may_hold(rows: DataFrame, ids: DataFrame, key: str, most: int = MAP) -> DataFrame:
+    """The rows whose ``key`` may be in ``ids`` (key): all that are, and few
+    others, so that the join that follows does not shuffle every text.  The ids
+    are marked in a map of 16 bits an id, ``most`` bits at most, in pages of
+    4 KB; a full map lets more rows pass, none is lost."""
+    page = 1 << 15
+    size = min(most, page * (16 * ids.count() // page + 1))
+    place = F.pmod(F.xxhash64(key), F.lit(size))
+    pages = ids.where(F.col(key).isNotNull()).select(place.alias("_h")).groupBy(F.shiftright("_h", 15).alias("_page")) \
+        .agg(F.bitmap_construct_agg(F.pmod("_h", F.lit(page))).alias("_map"))
+    held = rows.where(F.col(key).isNotNull()).withColumn("_h", place).withColumn("_page", F.shiftright("_h", 15)) \
+        .join(F.broadcast(pages), "_page")
+    byte = F.conv(F.hex(F.expr(f"substring(_map, CAST(_h % {page} AS INT) DIV 8 + 1, 1)")), 16, 10).cast("int")
+    return held.where(F.getbit(byte, F.pmod("_h", F.lit(8)).cast("int")) == 1).select(*rows.columns)
+
+
 def _with_text(edges: DataFrame, key: str, hot: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """``edges`` with the text of ``key``: a key in ``hot`` (key, parts) is
     dealt to its parts, each with its own copy of the text."""
@@ -264,7 +285,8 @@ def confirm(edges: DataFrame, texts: DataFrame) -> DataFrame:
     met = edges = cut(edges.select("a", "b"), "pairs")
     for key, name in (("a", "ta"), ("b", "tb")):
         hot = edges.groupBy(key).agg(F.ceil(F.count("*") / SPLIT).alias("parts")).where("parts > 1")
-        met = _with_text(met, key, hot, texts, name)
+        own = may_hold(texts, edges.select(F.col(key).alias("cid")).distinct(), "cid")
+        met = _with_text(met, key, hot, own, name)
     return met.select("a", "b", "ta", "tb").mapInArrow(_confirm, "a long, b long")
 
 
@@ -320,7 +342,8 @@ def tiles(members: DataFrame) -> DataFrame:
 
 def finish(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) between components that share a cell."""
-    return tiles(members).join(texts.select("cid", "text"), "cid") \
+    dealt = cut(tiles(members), "tiles")
+    return dealt.join(may_hold(texts, dealt.select("cid").distinct(), "cid").select("cid", "text"), "cid") \
         .select("cell", "xt", "yt", "probe", "cid", "component", "text") \
         .groupBy("cell", "xt", "yt").applyInArrow(_tile, "a long, b long").distinct()
 
@@ -330,17 +353,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
                .mapInArrow(_sketch, SETS), "sets")
     named = sets.where("cid IS NOT NULL AND doc_id IS NOT NULL")
-    reps = named.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    classes = cut(named.join(reps.withColumnRenamed("rep", "doc_id"), ["cid", "doc_id"])
-                  .dropDuplicates(["cid"]), "classes")
+    # Rows of one class have one set, so the same values of it.
+    same = [F.any_value(c).alias(c) for c in ("n_shingles", "sig", "s1", "s2")]
+    classes = cut(named.groupBy("cid").agg(F.min("doc_id").alias("doc_id"), *same, F.count("*").alias("copies")), "classes")
     edges, cells = candidates(classes)
     edges = cut(edges, "edges")
     # Texts of the classes that have a candidate or are in a large node.
     asked = edges.select(F.col("a").alias("cid")).union(edges.select("b"))
     asked = (asked if cells is None else asked.union(cells.select("cid"))).distinct()
-    asked = asked.join(classes.select("cid", "doc_id"), "cid")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .join(asked.select("doc_id").distinct(), "doc_id").select("doc_id", "text").where("text IS NOT NULL") \
+    asked = cut(asked.join(classes.select("cid", "doc_id"), "cid"), "asked")
+    wanted = asked.select("doc_id").distinct()
+    texts = may_hold(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+                     .where("text IS NOT NULL"), wanted, "doc_id") \
+        .join(wanted, "doc_id").select("doc_id", "text") \
         .mapInArrow(_words, "cid long, text string").dropDuplicates(["cid"]).join(asked.select("cid"), "cid")
     texts = cut(texts, "texts")
     # First each class's pair with its most copied neighbour: those links join
@@ -368,7 +393,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = links.union(cut(finish(cut(members, "members"), texts), "links"))
     # From classes to documents: a class's smallest doc_id stands for it; a
     # doc_id with several sets links their classes.
-    rep = reps.select("cid", "rep")
+    rep = classes.select("cid", F.col("doc_id").alias("rep"))
     doc_links = links.join(rep.select(F.col("cid").alias("a"), F.col("rep").alias("ra")), "a") \
         .join(rep.select(F.col("cid").alias("b"), F.col("rep").alias("rb")), "b") \
         .select(F.col("ra").alias("a"), F.col("rb").alias("b"))

@@ -110,6 +110,35 @@ def test_finish_links_every_pair_of_components(spark, monkeypatch):
     assert len(linked) > 20
 
 
+def test_map_of_ids_loses_none_and_passes_few(spark):
+    rows = spark.createDataFrame([(k, f"t{k}") for k in [None, *range(-500, 500), *range(-20, 20), 2**62, -2**63]], "doc_id long, text string")
+    ids = spark.createDataFrame([(k,) for k in [None, *range(-500, 500, 50), 2**62, -2**63, 7**20]], "doc_id long")
+    asked = {r[0] for r in ids.collect()} - {None}
+    for most, extra in ((neardup.MAP, 5), (1 << 15, 5), (64, 500)):
+        passed = Counter(r.doc_id for r in neardup.may_hold(rows, ids, "doc_id", most).collect())
+        want = Counter(r.doc_id for r in rows.collect() if r.doc_id in asked)
+        assert not want - passed and None not in passed
+        assert sum((passed - want).values()) <= extra
+    assert neardup.may_hold(rows, ids.where("doc_id IS NULL"), "doc_id").count() == 0
+
+
+def test_only_asked_texts_are_joined(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 10**6, 40)) for _ in range(300)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, *(t + " end" for t in texts[:10])])], "doc_id long, text string")
+    passed, real = [], neardup.may_hold
+
+    def spy(rows, ids, key, **kw):
+        out = real(rows, ids, key, **kw)
+        if key == "doc_id":
+            passed.append((rows.count(), out.count()))
+        return out
+    monkeypatch.setattr(neardup, "may_hold", spy)
+    got = neardup.near_duplicates(docs).collect()
+    assert {r.doc_id: r.component_id for r in got} == {k: k % 300 if k < 310 else k for k in range(310)}
+    assert len(passed) == 1 and passed[0][0] == 310 and passed[0][1] <= 40
+
+
 def test_components_of_a_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(1, 2000 + i) for i in range(50)] + [(7, 7)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
