@@ -24,10 +24,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.vector_aggregate import matrix, states
+from tessera.operators.vector_aggregate import group_rows, matrix, states
 from tessera.sources.tables import kept
 
 ON = 1e-12       # a pull that exceeds the weight by less counts as equal
+BLOCK = 512      # numbers of a block, at most (one vector at least)
+HELD = 1 << 22   # numbers a task holds while it packs them into blocks
 
 
 class State:
@@ -135,6 +137,13 @@ def advance(s: State, m: np.ndarray, eps: float, max_iter: int) -> None:
     # doubles resolve, its end is the answer.
     tiny = ~leave & (s.mu[rest] == 0) & (size <= np.maximum(1e-4 * eps, 4e-15 * np.abs(s.y[rest]).max(1)))
     stuck = ~leave & (size <= 4e-15 * np.abs(s.y[rest]).max(1))
+    # A slope of rounding size tells no more of a damped step: it would be
+    # taken and refused in turn.  The plain step tells whether y is the answer.
+    flat = np.flatnonzero(~leave & (s.mu[rest] > 0) & (pull <= ON * s.n[rest]))
+    if len(flat):
+        h = s.h[rest[flat]].reshape(-1, b, b)
+        plain = np.sqrt(((np.linalg.pinv(h, hermitian=True) @ g[flat][..., None])[..., 0] ** 2).sum(1))
+        stuck[flat] |= plain <= 1e-4 * eps
     end = rest[tiny | stuck]
     s.y[end] = s.trial[end]
     s.done[end], s.ok[end] = 1, 1
@@ -225,13 +234,43 @@ def geomedian(obs: DataFrame, group, bands, eps: float = 5.5e-6, max_iter: int =
                  pa.array(ok), pa.array(res)], names=[*group, "_y", "n_obs", "converged", "subgradient"])
     out = (x.join(few, group, "left_semi").groupBy(*group).agg(F.collect_list("_x").alias("_p")).mapInArrow(small, result))
     if not many.isEmpty():
-        out = out.unionByName(_by_rounds(kept(x.join(many.select(*group), group, "left_semi"), "vectors"), group, b, keys, eps, max_iter))
+        large = x.join(many.select(*group), group, "left_semi")
+        out = out.unionByName(_by_rounds(kept(packed(large, group, b, keys), "blocks"), group, b, keys, eps, max_iter))
     return out.select(*group, *[F.col("_y")[i].alias(c) for i, c in enumerate(bands)], "n_obs", "converged", "subgradient")
 
 
+def packed(x: DataFrame, group: list[str], b: int, keys: str) -> DataFrame:
+    """Vectors (group, _x) as blocks (group, _p) of one group's vectors each,
+    packed by the task that reads them: what is passed over once per round is
+    some hundred numbers a row."""
+    import pyarrow as pa
+
+    def blocks(batches):
+        whole = pa.Table.from_batches(batches).combine_chunks()
+        at, found = group_rows(whole, group)
+        v = matrix(whole.column("_x").combine_chunks())
+        most = max(1, BLOCK // b)
+        parts = [(k, v[i[a:a + most]].tobytes()) for k, i in enumerate(at) for a in range(0, len(i), most)]
+        out = found.take(pa.array([k for k, _ in parts], pa.int64())).append_column("_p", pa.array([p for _, p in parts], pa.binary()))
+        yield from out.combine_chunks().to_batches(max_chunksize=10_000)
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows * b
+            if n >= HELD:
+                yield from blocks(held)
+                held, n = [], 0
+        if held:
+            yield from blocks(held)
+    return x.select(*group, "_x").mapInArrow(run, f"{keys}, _p binary")
+
+
 def _by_rounds(x: DataFrame, group: list[str], b: int, keys: str, eps: float, max_iter: int) -> DataFrame:
-    """The searches of large groups: per round one pass over the observations
-    of those still searching and one row per group."""
+    """The searches of large groups, given as blocks: per round one pass over
+    the observations of those still searching and one row per group."""
     import pyarrow as pa
     state_of = f"{keys}, _t array<double>"
 
@@ -258,7 +297,18 @@ def _by_rounds(x: DataFrame, group: list[str], b: int, keys: str, eps: float, ma
         res = np.where(s.r <= ON * s.n, 0, s.r)
         return s.y, [pa.array(s.n.astype(np.int64)), pa.array(s.ok > 0), pa.array(res)]
 
-    total = states(x, group, ["_x"], lambda v: np.append(v.sum(0), len(v)), lambda s: s.sum(0))
+    def vectors(p):
+        return np.frombuffer(b"".join(p)).reshape(-1, b)
+
+    def around(p, y):
+        v = vectors(p)
+        return moments(v[None], y[:1], np.ones((1, len(v)), bool))[0]
+
+    def sums(p):
+        v = vectors(p)
+        return np.append(v.sum(0), len(v))
+
+    total = states(x, group, ["_p"], sums, lambda s: s.sum(0))
     state = kept(total.mapInArrow(mapped(begin, [*group, "_t"]), state_of), "geomedian")
     place = State(np.arange(6 * b + b * b + 12, dtype=float)[None], b)       # where the parts of a state stand
     over = int(place.done[0])
@@ -266,8 +316,7 @@ def _by_rounds(x: DataFrame, group: list[str], b: int, keys: str, eps: float, ma
     while True:
         trial = F.slice("_t", int(place.trial[0, 0]) + 1, b)
         data = x.join(state.select(*group, trial.alias("_y")), group)
-        m = states(data, group, ["_x", "_y"], lambda v, y: moments(v[None], y[:1], np.ones((1, len(v)), bool))[0],
-                   lambda s: merge_moments(s, b))
+        m = states(data, group, ["_p", "_y"], around, lambda s: merge_moments(s, b))
         both = state.join(m, group)
         state = kept(both.mapInArrow(mapped(step, [*group, "_t"]), state_of), "geomedian")
         done = state.where(F.col("_t")[over] > 0)

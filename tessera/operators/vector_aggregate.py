@@ -32,14 +32,19 @@ def group_rows(batch: pa.RecordBatch, group: list[str]) -> tuple[list[np.ndarray
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    """An array<double> column of equal lengths as (rows, length)."""
+    """An array<double> column of equal lengths as (rows, length); a binary
+    column as its values."""
+    if pa.types.is_binary(column.type):
+        out = np.empty(len(column), object)
+        out[:] = column.to_pylist()
+        return out
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
 def states(df: DataFrame, group, columns, partial: Callable, merge: Callable) -> DataFrame:
     """(group, _s) with one state per group; ``columns`` are array<double>
-    columns handed to ``partial`` as matrices."""
+    or binary columns handed to ``partial`` as matrices."""
     group, columns = list(group), list(columns)
     types = dict(df.dtypes)
     schema = ", ".join(f"`{g}` {types[g]}" for g in group) + ", _s array<double>"

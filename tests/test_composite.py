@@ -86,6 +86,38 @@ def test_geomedian_of_odd_groups(spark):
                 assert abs(got[g].x - x) < 1e-9 and abs(got[g].y - y) < 1e-9, (g, got[g])
 
 
+def test_large_groups_are_passed_over_in_blocks(spark):
+    # What every search step reads: some hundred numbers a row, none lost.
+    import numpy as np
+
+    from tessera.operators.geomedian import BLOCK, packed
+    rows = [(k % 3 if k % 50 else None, [float(k), float(k % 7)]) for k in range(9000)]
+    df = spark.createDataFrame(rows, "g int, _x array<double>").repartition(3)
+    got = packed(df, ["g"], 2, "`g` int").collect()
+    assert all(len(r._p) <= 8 * BLOCK for r in got) and len(got) < len(rows) / 50
+    seen = sorted((str(r.g), *v) for r in got for v in np.frombuffer(r._p).reshape(-1, 2).tolist())
+    assert seen == sorted((str(g), *v) for g, v in rows)
+
+
+def test_a_search_ends_where_slopes_are_rounding():
+    # At rest but for a damped step of rounding size: taken and refused for hundreds of rounds.
+    import numpy as np
+
+    from tessera.operators.geomedian import State, advance, moments
+    x = np.repeat(np.random.default_rng(3).normal(size=(50, 2)), 100, axis=0)[None]
+    mask = np.ones((1, 5000), bool)
+    s = State.start(x.mean(1), mask.sum(1))
+    while s.done[0] == 0:
+        advance(s, moments(x, s.trial, mask), 1e-7, 500)
+    best, m = s.y.copy(), moments(x, s.y, mask)
+    s = State.start(best, mask.sum(1))
+    s.y[:], s.f[:], s.r[:], s.g[:], s.h[:] = best, m[:, 0], 1e-10, [[1e-10, 0]], m[:, 5:9]
+    s.near[:], s.near_d[:], s.tested[:], s.mu[:] = m[:, 10:], m[:, 9], m[:, 10:], 1.0
+    s.trial[:] = best + 1e-3                      # a step that is refused
+    advance(s, moments(x, s.trial, mask), 1e-7, 500)
+    assert s.done[0] == 1 and s.ok[0] == 1 and np.abs(s.y - best).max() < 1e-9
+
+
 def test_vector_aggregate_sees_all_bands(spark):
     # A principal axis per group: a covariance matrix needs every pair of bands.
     import numpy as np
