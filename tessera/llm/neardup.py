@@ -36,6 +36,7 @@ or one tile's.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -99,7 +100,7 @@ def _sketch(batches):
             names=["doc_id", "n_shingles", "cid", "sig", "s1", "s2"])
 
 
-NODES = "node long, cid long, s1 long, s2 long, copies long"
+NODES = "level int, node long, cid long, s1 long, s2 long, copies long"
 
 
 def _children(nodes: np.ndarray, rows: np.ndarray, sig: np.ndarray):
@@ -118,25 +119,30 @@ def _children(nodes: np.ndarray, rows: np.ndarray, sig: np.ndarray):
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def _branch(batches):
-    """Rows (cid, sig, s1, s2, copies and, below the root, nodes) -> child nodes."""
-    roots = mix(np.arange(1, TREES + 1, dtype=np.uint64))
-    for whole in batches:
-        for at in range(0, whole.num_rows, 2000):
-            batch = whole.slice(at, 2000)
-            n = batch.num_rows
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(n, WIDTH)
-            if batch.num_columns == 5:
-                rows, nodes = np.repeat(np.arange(n), TREES), np.tile(roots, n)
-            else:
-                lists = [np.asarray(x, np.int64).view(np.uint64) for x in batch.column(5).to_pylist()]
-                rows = np.repeat(np.arange(n), [len(x) for x in lists])
-                nodes = np.concatenate(lists)
-            nodes, rows = _children(nodes, rows, sig)
-            idx = pa.array(rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_long(nodes)), *(batch.column(k).take(idx) for k in (0, 2, 3, 4))],
-                names=["node", "cid", "s1", "s2", "copies"])
+def _branch(level: int, steps: int):
+    """Rows (cid, sig, s1, s2, copies and, below the root, nodes) -> nodes of
+    the next ``steps`` levels below ``level``."""
+    def run(batches):
+        roots = mix(np.arange(1, TREES + 1, dtype=np.uint64))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000):
+                batch = whole.slice(at, 2000)
+                n = batch.num_rows
+                sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(n, WIDTH)
+                if not level:
+                    rows, nodes = np.repeat(np.arange(n), TREES), np.tile(roots, n)
+                else:
+                    lists = [np.asarray(x, np.int64).view(np.uint64) for x in batch.column(5).to_pylist()]
+                    rows = np.repeat(np.arange(n), [len(x) for x in lists])
+                    nodes = np.concatenate(lists)
+                for step in range(level + 1, level + steps + 1):
+                    nodes, rows = _children(nodes, rows, sig)
+                    idx = pa.array(rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(rows), step, np.int32)), pa.array(_long(nodes)),
+                         *(batch.column(k).take(idx) for k in (0, 2, 3, 4))],
+                        names=["level", "node", "cid", "s1", "s2", "copies"])
+    return run
 
 
 EDGES = "a long, b long, agree int, ca long, cb long"
@@ -144,39 +150,53 @@ EDGES = "a long, b long, agree int, ca long, cb long"
 
 def _agreement(s: np.ndarray) -> np.ndarray:
     """Agreeing sketch bits of all pairs of a few hundred members."""
-    s = s.view(np.uint64)      # bitwise_count takes the absolute value of signed numbers
     out = np.full((len(s), len(s)), WIDTH, np.int32)
     for k in (0, 1):
         out -= np.bitwise_count(s[:, None, k] ^ s[None, :, k]).astype(np.int32)
     return out
 
 
+def _alike(s: np.ndarray, starts: np.ndarray, n: int):
+    """Pairs (x, y, agree) of members whose sketches agree, of all groups of
+    ``n`` members from ``starts``: groups of one size are compared together."""
+    i, j = np.triu_indices(n, 1)
+    step = max(1, (1 << 20) // len(i)) if n > 1 else len(starts)
+    for at in range(0, len(starts), step):
+        x, y = (starts[at:at + step, None] + k for k in (i, j))
+        agree = np.full(x.shape, WIDTH, np.int32)
+        for k in (0, 1):
+            agree -= np.bitwise_count(s[x, k] ^ s[y, k]).astype(np.int32)
+        ok = agree >= SKETCH_MIN
+        yield x[ok], y[ok], agree[ok]
+
+
+def _near(s: np.ndarray, start: int, n: int):
+    """As _alike, of one block: only each member's nearest ones."""
+    agree = _agreement(s[start:start + n])
+    ok = np.triu(agree >= SKETCH_MIN, 1)
+    np.fill_diagonal(agree, -1)
+    near = np.zeros_like(ok)
+    np.put_along_axis(near, np.argsort(-agree, axis=1, kind="stable")[:, :NEAREST], True, axis=1)
+    i, j = np.nonzero(ok & (near | near.T))
+    return start + i, start + j, agree[i, j]
+
+
 def _pairs(batches):
     """Small nodes and blocks: compare all members on their sketches."""
     for batch in batches:
-        a, b, g, ca, cb = [], [], [], [], []
-        for members, nearest in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids = np.array([m["cid"] for m in members], np.int64)
-            agree = _agreement(np.array([(m["s1"], m["s2"]) for m in members], np.int64))
-            ok = np.triu(agree >= SKETCH_MIN, 1)
-            if nearest:
-                np.fill_diagonal(agree, -1)
-                top = np.argsort(-agree, axis=1, kind="stable")[:, :NEAREST]
-                near = np.zeros_like(ok)
-                np.put_along_axis(near, top, True, axis=1)
-                ok &= near | near.T
-            i, j = np.nonzero(ok)
-            i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
-            a.append(ids[i])
-            b.append(ids[j])
-            g.append(np.maximum(agree[i, j], agree[j, i]))
-            copies = np.array([m["copies"] for m in members], np.int64)
-            ca.append(copies[i])
-            cb.append(copies[j])
-        if a:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(a)), pa.array(np.concatenate(b)), pa.array(np.concatenate(g).astype(np.int32)),
-                 pa.array(np.concatenate(ca)), pa.array(np.concatenate(cb))], names=["a", "b", "agree", "ca", "cb"])
+        members, nearest = batch.column(0), np.array(batch.column(1).to_pylist(), bool)
+        sizes = members.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        cid, s1, s2, copies = (v.to_numpy(zero_copy_only=False) for v in members.flatten().flatten())
+        s = np.stack([s1, s2], axis=1).view(np.uint64)      # bitwise_count takes the absolute value of signed numbers
+        found = [_near(s, starts[k], sizes[k]) for k in np.flatnonzero(nearest)]
+        for n in np.unique(sizes[~nearest]):
+            found.extend(_alike(s, starts[~nearest & (sizes == n)], n))
+        if found:
+            x, y, agree = (np.concatenate(v) for v in zip(*found, strict=True))
+            x, y = np.where(cid[x] < cid[y], x, y), np.where(cid[x] < cid[y], y, x)
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (cid[x], cid[y], agree, copies[x], copies[y])],
+                                             names=["a", "b", "agree", "ca", "cb"])
 
 
 def _agree(x1, x2, y1, y2):
@@ -186,46 +206,62 @@ def _agree(x1, x2, y1, y2):
 def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Distinct candidate pairs (a < b, agree, copies of either) of classes
     (cid, sig, s1, s2, copies), and the members (cell, cid) of what is still
-    large at the last level, if anything is."""
+    large at the last level, if anything is.
+
+    The first level holds every class, the later ones only members of large
+    nodes: those are taken two at a time, as every pass over them has the same
+    shuffles.  A small node of the first of the two then branches too, which
+    finds its own pairs again and no others."""
     columns = ["cid", "sig", "s1", "s2", "copies"]
-    found, cells, active = None, None, classes.select(columns)
-    for level in range(1, DEPTH + 1):
-        rows = active.mapInArrow(_branch, NODES)
-        # The pivot is the member with the most copies (near copies are closest
-        # to the text they were made from), then with the smallest hash over
-        # all trees, so the nodes of a cluster mostly agree on it.
-        # Most nodes hold one document and need no pivot: all are counted
-        # first, by their name alone.
-        who = ["cid", "s1", "s2", "copies"]
-        order = F.struct(-F.col("copies"), F.xxhash64("cid"), *who)
-        sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
-        met = cut(rows.join(sizes, "node").select("node", *who, "n"), "shared")
-        pivots = met.groupBy("node").agg(F.min(order).alias("p"))
-        met = cut(met.join(pivots, "node").select(
-            "node", *who, "n", *(F.col(f"p.{c}").alias(f"p_{c}") for c in who)), "nodes")
-        member = F.collect_list(F.struct(*who)).alias("members")
-        small = met.where(F.col("n") <= SMALL).groupBy("node").agg(member) \
-            .select("members", F.lit(False).alias("nearest")).mapInArrow(_pairs, EDGES)
-        big = met.where(F.col("n") > SMALL)
-        star = big.where("cid <> p_cid").select(
-            F.least("cid", "p_cid").alias("a"), F.greatest("cid", "p_cid").alias("b"),
-            _agree(F.col("s1"), F.col("s2"), F.col("p_s1"), F.col("p_s2")).alias("agree"),
-            F.when(F.col("cid") < F.col("p_cid"), F.col("copies")).otherwise(F.col("p_copies")).alias("ca"),
-            F.when(F.col("cid") < F.col("p_cid"), F.col("p_copies")).otherwise(F.col("copies")).alias("cb")) \
-            .where(F.col("agree") >= SKETCH_MIN)
-        new = small.union(star)
-        last = big.isEmpty()
-        if level == DEPTH and not last:
-            blocks = big.withColumn("block", F.pmod(F.xxhash64("node", "cid"), F.ceil(F.col("n") / BLOCK))) \
-                .groupBy("node", "block").agg(member).select("members", F.lit(True).alias("nearest"))
-            new = new.union(blocks.mapInArrow(_pairs, EDGES))
-            cells = cut(big.select(F.col("p_cid").alias("cell"), "cid").distinct(), "cells")
-        found = new if found is None else found.union(new)
-        if last or level == DEPTH:
+    who = ["cid", "s1", "s2", "copies"]
+    # The pivot is the member with the most copies (near copies are closest
+    # to the text they were made from), then with the smallest hash over
+    # all trees, so the nodes of a cluster mostly agree on it.
+    pivot = F.min(F.struct(-F.col("copies"), F.xxhash64("cid"), *who)).alias("p")
+    with_pivot = ["level", "node", *who, "n", *(F.col(f"p.{c}").alias(f"p_{c}") for c in who)]
+    alone, starred, cells, level = [], [], None, 0
+    active = classes.select(columns)
+    while level < DEPTH:
+        steps = min(2, DEPTH - level) if level else 1
+        rows = active.mapInArrow(_branch(level, steps), NODES)
+        if not level:
+            # Most nodes hold one document and need no pivot: all are counted
+            # first, by their name alone.
+            sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+            met = cut(rows.join(sizes, "node").select("level", "node", *who, "n"), "shared")
+            large = met.where(F.col("n") > SMALL)
+            big = cut(large.join(large.groupBy("node").agg(pivot), "node").select(with_pivot), "nodes")
+        else:
+            rows = cut(rows, "children")
+            heads = rows.groupBy("level", "node").agg(F.count("*").alias("n"), pivot).where("n > 1")
+            met = cut(rows.join(heads, ["level", "node"]).select(with_pivot), "nodes")
+            big = met.where(F.col("n") > SMALL)
+        level += steps
+        alone.append(met.where(F.col("n") <= SMALL).select(
+            "level", "node", F.lit(0).cast("long").alias("block"), F.lit(False).alias("nearest"), *who))
+        starred.append(big)
+        deep = big.where(F.col("level") == level)
+        if deep.isEmpty():
+            break
+        if level == DEPTH:
+            alone.append(deep.select(
+                "level", "node", F.pmod(F.xxhash64("node", "cid"), F.ceil(F.col("n") / BLOCK)).alias("block"),
+                F.lit(True).alias("nearest"), *who))
+            cells = cut(deep.select(F.col("p_cid").alias("cell"), "cid").distinct(), "cells")
             break
-        nodes = big.groupBy("cid").agg(F.collect_set("node").alias("nodes"))
-        active = classes.select(columns).join(nodes, "cid").select(*columns, "nodes")
-    edges = found.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("ca").alias("ca"), F.max("cb").alias("cb"))
+        nodes = deep.groupBy("cid").agg(F.collect_set("node").alias("nodes"))
+        active = may_hold(classes.select(columns), deep.select("cid"), "cid").join(nodes, "cid").select(*columns, "nodes")
+    # Small nodes and blocks of all levels are compared in one pass.
+    pairs = reduce(DataFrame.union, alone).groupBy("level", "node", "block", "nearest") \
+        .agg(F.collect_list(F.struct(*who)).alias("members")).select("members", "nearest").mapInArrow(_pairs, EDGES)
+    star = reduce(DataFrame.union, starred).where("cid <> p_cid").select(
+        F.least("cid", "p_cid").alias("a"), F.greatest("cid", "p_cid").alias("b"),
+        _agree(F.col("s1"), F.col("s2"), F.col("p_s1"), F.col("p_s2")).alias("agree"),
+        F.when(F.col("cid") < F.col("p_cid"), F.col("copies")).otherwise(F.col("p_copies")).alias("ca"),
+        F.when(F.col("cid") < F.col("p_cid"), F.col("p_copies")).otherwise(F.col("copies")).alias("cb")) \
+        .where(F.col("agree") >= SKETCH_MIN)
+    edges = pairs.union(star).groupBy("a", "b") \
+        .agg(F.max("agree").alias("agree"), F.max("ca").alias("ca"), F.max("cb").alias("cb"))
     return edges, cells
 
 
@@ -283,10 +319,13 @@ def confirm(edges: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs of ``edges`` (distinct a, b) that reach the threshold; a text
     of many pairs is dealt to parts of about SPLIT pairs."""
     met = edges = cut(edges.select("a", "b"), "pairs")
+    # Few texts are hot: stored, they are small enough to be sent to the tasks.
+    ends = F.explode(F.array(*(F.struct(F.lit(k).alias("side"), F.col(k).alias("cid")) for k in ("a", "b"))))
+    hot = cut(edges.select(ends.alias("e")).groupBy("e.side", "e.cid")
+              .agg(F.ceil(F.count("*") / SPLIT).alias("parts")).where("parts > 1"), "hot")
     for key, name in (("a", "ta"), ("b", "tb")):
-        hot = edges.groupBy(key).agg(F.ceil(F.count("*") / SPLIT).alias("parts")).where("parts > 1")
-        own = may_hold(texts, edges.select(F.col(key).alias("cid")).distinct(), "cid")
-        met = _with_text(met, key, hot, own, name)
+        own = may_hold(texts, edges.select(F.col(key).alias("cid")), "cid")
+        met = _with_text(met, key, hot.where(F.col("side") == key).select(F.col("cid").alias(key), "parts"), own, name)
     return met.select("a", "b", "ta", "tb").mapInArrow(_confirm, "a long, b long")
 
 
@@ -348,6 +387,13 @@ def finish(members: DataFrame, texts: DataFrame) -> DataFrame:
         .groupBy("cell", "xt", "yt").applyInArrow(_tile, "a long, b long").distinct()
 
 
+def _regroup(label: DataFrame, merged: DataFrame) -> DataFrame:
+    """``label`` with its components replaced by what they were merged into
+    (node, component)."""
+    into = merged.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    return label.join(into, "component", "left").withColumn("component", F.coalesce("into", "component")).drop("into")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     sets = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -362,10 +408,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     asked = edges.select(F.col("a").alias("cid")).union(edges.select("b"))
     asked = (asked if cells is None else asked.union(cells.select("cid"))).distinct()
     asked = cut(asked.join(classes.select("cid", "doc_id"), "cid"), "asked")
-    wanted = asked.select("doc_id").distinct()
     texts = may_hold(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-                     .where("text IS NOT NULL"), wanted, "doc_id") \
-        .join(wanted, "doc_id").select("doc_id", "text") \
+                     .where("text IS NOT NULL"), asked, "doc_id").select("doc_id", "text") \
         .mapInArrow(_words, "cid long, text string").dropDuplicates(["cid"]).join(asked.select("cid"), "cid")
     texts = cut(texts, "texts")
     # First each class's pair with its most copied neighbour: those links join
@@ -381,27 +425,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .join(ga, "a", "left").join(gb, "b", "left") \
         .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     crossing = cut(confirm(rest, texts), "links")
-    links = links.union(crossing)
+    # A doc_id with several sets links their classes.  From here on a group
+    # stands for its members, so that only what crosses groups is followed.
+    several = named.groupBy("doc_id").agg(F.min("cid").alias("b"), F.max("cid").alias("hi")).where("b <> hi")
+    own = named.join(several, "doc_id").select(F.col("cid").alias("a"), "b")
+    merged = components(crossing.union(own).join(ga, "a", "left").join(gb, "b", "left")
+                        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    label = classes.select("cid", "n_shingles", F.col("doc_id").alias("rep")) \
+        .join(group.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    label = cut(_regroup(label, merged), "labels")
     if cells is not None:
         # The groups as those links leave them, then what they leave open.
-        merged = components(crossing.join(ga, "a", "left").join(gb, "b", "left")
-                            .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-        members = cells.join(classes.select("cid", "n_shingles"), "cid") \
-            .join(group.withColumnRenamed("node", "cid"), "cid", "left") \
-            .withColumn("node", F.coalesce("component", "cid")).drop("component").join(merged, "node", "left") \
-            .select("cell", "cid", "n_shingles", F.coalesce("component", "node").alias("component"))
-        links = links.union(cut(finish(cut(members, "members"), texts), "links"))
-    # From classes to documents: a class's smallest doc_id stands for it; a
-    # doc_id with several sets links their classes.
-    rep = classes.select("cid", F.col("doc_id").alias("rep"))
-    doc_links = links.join(rep.select(F.col("cid").alias("a"), F.col("rep").alias("ra")), "a") \
-        .join(rep.select(F.col("cid").alias("b"), F.col("rep").alias("rb")), "b") \
-        .select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    several = named.groupBy("doc_id").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo <> hi")
-    own = named.join(several.select("doc_id"), "doc_id").join(rep, "cid") \
-        .select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    group = components(doc_links.union(own)).withColumnRenamed("node", "rep")
-    found = rep.join(group, "rep", "left").select("cid", F.coalesce("component", "rep").alias("component_id"))
+        members = cut(cells.join(label.drop("rep"), "cid").select("cell", "cid", "component", "n_shingles"), "members")
+        late = cut(finish(members, texts), "links")
+        if not late.isEmpty():
+            la, lb = (label.select(F.col("cid").alias(k), F.col("component").alias(f"c{k}")) for k in ("a", "b"))
+            merged = components(late.join(la, "a").join(lb, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+            label = _regroup(label, merged)
+    # From classes to documents: the smallest doc_id of its classes names a group.
+    least = label.groupBy("component").agg(F.min("rep").alias("component_id"))
+    found = label.join(least, "component").select("cid", "component_id")
     doc = named.join(found, "cid").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     out = sets.select("doc_id", "n_shingles").join(doc, "doc_id", "left")
     component = F.coalesce("component_id", "doc_id")

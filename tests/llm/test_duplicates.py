@@ -139,6 +139,55 @@ def test_only_asked_texts_are_joined(spark, monkeypatch):
     assert len(passed) == 1 and passed[0][0] == 310 and passed[0][1] <= 40
 
 
+def test_pairs_of_groups_of_all_sizes():
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    groups = []
+    for n in [*range(1, neardup.SMALL + 1)] * 3 + [90]:
+        base = rng.integers(-2**63, 2**63 - 1, 2)
+        flips = [np.packbits(rng.random(128) < 0.14).view(np.int64) for _ in range(n)]
+        groups.append([{"cid": int(rng.integers(-2**63, 2**63 - 1)), "s1": int(base[0] ^ f[0]), "s2": int(base[1] ^ f[1]), "copies": k}
+                       for k, f in enumerate(flips)])
+    kind = pa.list_(pa.struct([(k, pa.int64()) for k in ("cid", "s1", "s2", "copies")]))
+    batch = pa.RecordBatch.from_arrays([pa.array(groups, kind), pa.array([len(g) > neardup.SMALL for g in groups])], names=["members", "nearest"])
+    for part in (batch, batch.slice(5, 40), batch.slice(0, 0)):
+        got = {tuple(r.values()) for out in neardup._pairs([part]) for r in out.to_pylist()}
+        want, some = set(), set()
+        for members, nearest in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            for x in members:
+                for y in members:
+                    agree = 128 - sum(((x[k] ^ y[k]) % 2**64).bit_count() for k in ("s1", "s2"))
+                    if x["cid"] < y["cid"] and agree >= neardup.SKETCH_MIN:
+                        (some if nearest else want).add((x["cid"], y["cid"], agree, x["copies"], y["copies"]))
+        assert want <= got <= want | some and (not some or some & got)
+
+
+def test_a_large_group_takes_few_tasks(spark, monkeypatch):
+    """On many partitions the tasks count, not the rows: the levels of a large
+    group, its pairs and its links are to pass few shuffles."""
+    import random
+    for name, value in (("SMALL", 6), ("BLOCK", 16), ("SPLIT", 20)):
+        monkeypatch.setattr(neardup, name, value)
+    rows = list(enumerate(dense_group(random.Random(13), 120, 20)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sc, conf = spark.sparkContext, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("few-tasks", "near duplicates of a large group")
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    track = sc.statusTracker()
+    stages = {s for j in track.getJobIdsForGroup("few-tasks") for s in track.getJobInfo(j).stageIds}
+    tasks = sum(i.numCompletedTasks for i in map(track.getStageInfo, stages) if i)
+    assert got == components_by_force(rows)
+    assert tasks < 1400      # 1758 with five passes over the levels, 1112 with three
+
+
 def test_components_of_a_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(1, 2000 + i) for i in range(50)] + [(7, 7)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
