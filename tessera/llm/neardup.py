@@ -8,16 +8,19 @@ minwise values; a *token* is (coordinate, minwise value).  In each of
 average, the branching for which a pair at similarity 3/4 keeps one common
 child on average) and its documents go to the child of their own token.
 Nodes of at most ``SMALL`` documents are compared exhaustively on 128-bit
-sketches; larger ones are compared with the node's pivot and branch again.
-What is still large after ``DEPTH`` levels is dealt to blocks, whose members
-are all compared with each other and linked with the nearest ones.
-Candidates that survive the sketches are confirmed on the full sets.
-
-Those links join most of a large node, and the rest is finished exactly:
-large last nodes with one pivot make a *cell*, and every member that is not in
-its cell's main component is compared, on full sets, with every member of the
-cell, in tiles of ``TILE`` shingles a side.  So no link between members of a
-large node is lost.  The finish costs (members left open) x (members of the
+sketches; larger ones are compared with the node's pivot and branch again,
+unless their members agree with the pivot on ``DENSE`` sketch bits on average:
+at that similarity (5/8) most of a group would come through all levels
+together, each member in several nodes of every level.  Such nodes, and what
+is still large after ``DEPTH`` levels, are dealt to blocks, whose members are
+all compared with each other and linked with the nearest ones.  Candidates
+that survive the sketches are confirmed on the full sets.
+
+Those links join most of such a node, and the rest is finished exactly: the
+large nodes that end and share a pivot make a *cell*, and every member that is
+not in its cell's main component is compared, on full sets, with every member
+of the cell, in tiles of ``TILE`` shingles a side.  So no link between members
+of a large node is lost.  The finish costs (members left open) x (members of the
 cell): little where the pivot's links join the group, the square of the cell
 where they don't.
 
@@ -50,12 +53,13 @@ WIDTH = 128          # minwise values of a set
 TREES = 16
 DEPTH = 5
 SMALL = 24           # nodes up to this size are compared exhaustively
-BLOCK = 512          # members of a block at the last level
+BLOCK = 512          # members of a block of a node that ends
 NEAREST = 4          # links of each block member that are confirmed first
 TILE = 200_000       # shingles of one side of a tile
 SPLIT = 128          # pairs of one text that are confirmed together
 DEAL = 64            # parts in which a hot key meets its number of parts
 MAP = 1 << 26        # bits of the map of asked documents, at most (8 MB)
+DENSE = 104          # mean agreement with the pivot from which a large node ends
 SKETCH_MIN = 92      # of 128 sketch bits; at similarity 3/4: 112 +- 3.7 agree
 NUM, DEN = 75, 100   # similarity threshold
 
@@ -205,8 +209,8 @@ def _agree(x1, x2, y1, y2):
 
 def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Distinct candidate pairs (a < b, agree, copies of either) of classes
-    (cid, sig, s1, s2, copies), and the members (cell, cid) of what is still
-    large at the last level, if anything is.
+    (cid, sig, s1, s2, copies), and the members (cell, cid) of the large nodes
+    that are dense or at the last level, if there are any.
 
     The first level holds every class, the later ones only members of large
     nodes: those are taken two at a time, as every pass over them has the same
@@ -219,7 +223,8 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     # all trees, so the nodes of a cluster mostly agree on it.
     pivot = F.min(F.struct(-F.col("copies"), F.xxhash64("cid"), *who)).alias("p")
     with_pivot = ["level", "node", *who, "n", *(F.col(f"p.{c}").alias(f"p_{c}") for c in who)]
-    alone, starred, cells, level = [], [], None, 0
+    agree = _agree(F.col("s1"), F.col("s2"), F.col("p_s1"), F.col("p_s2"))
+    alone, starred, ended, level = [], [], [], 0
     active = classes.select(columns)
     while level < DEPTH:
         steps = min(2, DEPTH - level) if level else 1
@@ -240,14 +245,17 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         alone.append(met.where(F.col("n") <= SMALL).select(
             "level", "node", F.lit(0).cast("long").alias("block"), F.lit(False).alias("nearest"), *who))
         starred.append(big)
-        deep = big.where(F.col("level") == level)
+        last = deep = big.where(F.col("level") == level)
         if deep.isEmpty():
             break
-        if level == DEPTH:
-            alone.append(deep.select(
-                "level", "node", F.pmod(F.xxhash64("node", "cid"), F.ceil(F.col("n") / BLOCK)).alias("block"),
-                F.lit(True).alias("nearest"), *who))
-            cells = cut(deep.select(F.col("p_cid").alias("cell"), "cid").distinct(), "cells")
+        if level < DEPTH:
+            dense = cut(deep.groupBy("node").agg(F.avg(agree).alias("agree")).where(F.col("agree") >= DENSE).select("node"), "dense")
+            last, deep = (deep.join(dense, "node", how) for how in ("left_semi", "left_anti"))
+        alone.append(last.select(
+            "level", "node", F.pmod(F.xxhash64("node", "cid"), F.ceil(F.col("n") / BLOCK)).alias("block"),
+            F.lit(True).alias("nearest"), *who))
+        ended.append(last.select(F.col("p_cid").alias("cell"), "cid"))
+        if level == DEPTH or deep.isEmpty():
             break
         nodes = deep.groupBy("cid").agg(F.collect_set("node").alias("nodes"))
         active = may_hold(classes.select(columns), deep.select("cid"), "cid").join(nodes, "cid").select(*columns, "nodes")
@@ -256,13 +264,14 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         .agg(F.collect_list(F.struct(*who)).alias("members")).select("members", "nearest").mapInArrow(_pairs, EDGES)
     star = reduce(DataFrame.union, starred).where("cid <> p_cid").select(
         F.least("cid", "p_cid").alias("a"), F.greatest("cid", "p_cid").alias("b"),
-        _agree(F.col("s1"), F.col("s2"), F.col("p_s1"), F.col("p_s2")).alias("agree"),
+        agree.alias("agree"),
         F.when(F.col("cid") < F.col("p_cid"), F.col("copies")).otherwise(F.col("p_copies")).alias("ca"),
         F.when(F.col("cid") < F.col("p_cid"), F.col("p_copies")).otherwise(F.col("copies")).alias("cb")) \
         .where(F.col("agree") >= SKETCH_MIN)
     edges = pairs.union(star).groupBy("a", "b") \
         .agg(F.max("agree").alias("agree"), F.max("ca").alias("ca"), F.max("cb").alias("cb"))
-    return edges, cells
+    cells = cut(reduce(DataFrame.union, ended).distinct(), "cells") if ended else None
+    return edges, None if cells is None or cells.isEmpty() else cells
 
 
 def _confirm(batches):

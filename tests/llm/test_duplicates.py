@@ -188,6 +188,36 @@ def test_a_large_group_takes_few_tasks(spark, monkeypatch):
     assert tasks < 1400      # 1758 with five passes over the levels, 1112 with three
 
 
+def test_a_dense_group_does_not_branch(spark, monkeypatch):
+    """Nodes that no level takes apart end where they are found; the others go
+    on, and either way every link is found."""
+    import random
+    rng, real, made = random.Random(14), neardup.cut, Counter()
+
+    def spy(df, name, *args):
+        out = real(df, name, *args)
+        made[name] += out.count()
+        return out
+    monkeypatch.setattr(neardup, "cut", spy)
+
+    def edited(t, n):
+        t = list(t)
+        for at in rng.sample(range(0, 160, 5), n):
+            t[at] = f"edit{rng.randrange(10**6)}"
+        return t
+    base = words(rng, 160).split()
+    near = [edited(base, rng.randint(2, 6)) for _ in range(150)]
+    far = [edited(t, 3) for t in near[:30]]                 # some are linked with their own text alone
+    head = words(rng, 8)
+    texts = [" ".join(t) for t in [base] * 10 + near + far] \
+        + [f"{head} {words(rng, 14)}" for _ in range(200)]  # large nodes of unlike texts
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == components_by_force(rows)
+    assert 0 < made["children"] < 6000 and made["dense"] > 5      # 23682 children when every large node branched, 2614 now
+
+
 def test_components_of_a_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(1, 2000 + i) for i in range(50)] + [(7, 7)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
